@@ -8,7 +8,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 POSITION = "_position"
+_KEY = "_key"
+_MATCH = "_match"
+_HOT = "_hot"
 _SALT = "_salt"
+_PIECE = "_piece"
 _PIECES = "_pieces"
 
 # A key with more rows than this is split; each piece has about this many rows.
@@ -48,10 +52,10 @@ def find_hot_keys(
     sketches = df.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("_group")).agg(
         *[F.expr(f"approx_top_k_accumulate(`{key}`, {_SKETCH_ITEMS})").alias(key) for key in keys]
     )
-    merged = sketches.agg(
-        F.count("*").alias("_groups"),
-        *[F.expr(f"approx_top_k_combine(`{key}`, {_SKETCH_ITEMS})").alias(key) for key in keys],
-    ).where("_groups > 0")
+    # A grouped aggregation, as the combine function fails on an empty partition without one.
+    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        *[F.expr(f"approx_top_k_combine(`{key}`, {_SKETCH_ITEMS})").alias(key) for key in keys]
+    )
     found = merged.select(
         *[
             F.expr(
@@ -72,31 +76,34 @@ def find_hot_keys(
 def spread_join(
     df: DataFrame, keys: DataFrame, on: str, how: str, hot: Mapping[Any, int] | None = None
 ) -> DataFrame:
-    """Join ``df`` to ``keys`` (one row per key) on ``on``, with hot keys split.
+    """Left or left anti join of ``df`` to ``keys`` (one row per key), with hot keys split.
 
-    Rows without a key never match, so they are spread over all tasks. The rows of a hot key
-    are dealt to its pieces, and that key's one row in ``keys`` is repeated once per piece.
+    ``on`` is a bigint or string column. Rows without a key never match; each is shuffled by
+    its spread value in place of the key, or all of them would meet in one task. The rows of
+    a hot key are dealt to its pieces, and that key's one row in ``keys`` is repeated once
+    per piece.
     """
     if hot is None:
         hot = find_hot_keys(df, [on])[on]
     spread = spread_of(df)
-    if not hot:
-        left = df.withColumn(_SALT, F.when(F.col(on).isNull(), spread).otherwise(F.lit(0)))
-        return left.join(keys.withColumn(_SALT, F.lit(0).cast("long")), [on, _SALT], how).drop(
-            _SALT
+    filled = F.coalesce(F.col(on), spread.cast(df.schema[on].dataType))
+    left = df.withColumn(_KEY, filled)
+    right = keys.withColumnRenamed(on, _MATCH)
+    same = F.col(on).isNotNull() & (F.col(_KEY) == F.col(_MATCH))
+    if hot:
+        zero = F.lit(0).cast("long")
+        # At most MAX_HOT_KEYS rows.
+        pieces = F.broadcast(
+            df.sparkSession.createDataFrame(
+                list(hot.items()), df.select(filled.alias(_HOT), zero.alias(_PIECES)).schema
+            )
         )
-
-    # At most MAX_HOT_KEYS rows.
-    pieces = F.broadcast(
-        df.sparkSession.createDataFrame(
-            list(hot.items()), df.select(on, F.lit(0).cast("long").alias(_PIECES)).schema
+        count = F.coalesce(F.col(_PIECES), F.lit(1))
+        left = left.join(pieces, F.col(on) == F.col(_HOT), "left").select(
+            *left.columns, F.pmod(spread, count).alias(_SALT)
         )
-    )
-    count = F.coalesce(F.col(_PIECES), F.lit(1))
-    left = df.join(pieces, on, "left").withColumn(
-        _SALT, F.when(F.col(on).isNull(), spread).otherwise(F.pmod(spread, count))
-    )
-    right = keys.join(pieces, on, "left").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
-    )
-    return left.drop(_PIECES).join(right.drop(_PIECES), [on, _SALT], how).drop(_SALT)
+        right = right.join(pieces, F.col(_MATCH) == F.col(_HOT), "left").select(
+            *right.columns, F.explode(F.sequence(zero, count - 1)).alias(_PIECE)
+        )
+        same = same & (F.col(_SALT) == F.col(_PIECE))
+    return left.join(right, same, how).drop(_KEY, _MATCH, _SALT, _PIECE)

@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sendgate import schemas as S
 from sendgate.plans.primary import Folders, Run, run_primary, utc_now
 
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def process_arrivals(
     spark: SparkSession,
@@ -37,7 +39,8 @@ def process_arrivals(
             run_primary(spark, row["path"], overdue(spark), folders, run, cap, step)
 
     return (
-        spark.readStream.format("binaryFile")
+        spark.readStream.schema(_FILES)
+        .format("binaryFile")
         .option("maxFilesPerTrigger", 1)
         .option("pathGlobFilter", "*.csv")
         .load(landing)
