@@ -8,7 +8,9 @@ from sendgate import schemas as S
 
 
 def funnel_counts(status: DataFrame) -> DataFrame:
-    return status.groupBy(S.FILTER_STATUS).agg(F.count("*").alias("count"))
+    """Rows per status; a row with ``copies`` counts that often."""
+    rows = F.sum(S.COPIES) if S.COPIES in status.columns else F.count("*")
+    return status.groupBy(S.FILTER_STATUS).agg(rows.alias("count"))
 
 
 def _as_json(counts: Column) -> Column:

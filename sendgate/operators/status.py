@@ -16,17 +16,12 @@ from sendgate.operators.skew import (
     find_hot_keys,
     mark_position,
     spread_join,
-    spread_of,
 )
 
-_FLAG = "_hit"
-_ROWS = "_rows"
+_MATCHES = "_matches"
 _OVERDUE = "_overdue"
 _BIZ = "_biz"
 _SENT = "_sent"
-_SLICE = "_slice"
-# Copies one expanded row may produce inside one task.
-_SLICE_ROWS = 100_000
 
 
 def normalise_due(raw: DataFrame) -> DataFrame:
@@ -74,36 +69,23 @@ def status_step(
 ) -> DataFrame:
     """Label rows by whether their ``on`` value is among ``keys``; all columns are kept.
 
-    The keys are reduced to one flagged row each before the join. With
-    ``dedupe_keys=False`` a row comes out once per matching key row, as in a plain join.
+    The keys are counted down to one row each before the join, so no row is repeated. With
+    ``dedupe_keys=False`` the column ``copies`` tells how often an outer join with the keys as
+    they are would repeat it: the repeats are counted, never made, as a loan with many
+    records would multiply all of its rows.
     """
-    right = keys.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(_ROWS))
+    right = keys.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(_MATCHES))
+    joined = spread_join(df, right, on, "left", hot)
+    status = relabel(F.col(_MATCHES).isNotNull(), hit, miss, frozen).alias(S.FILTER_STATUS)
+    columns = [c for c in df.columns if c != S.FILTER_STATUS]
     if dedupe_keys:
-        right = right.select(on, F.lit(True).alias(_FLAG))
-        joined = spread_join(df, right, on, "left", hot)
-        matched = F.col(_FLAG)
-    else:
-        joined = repeat_rows(spread_join(df, right, on, "left", hot), _ROWS)
-        matched = F.col(_ROWS).isNotNull()
-    return joined.withColumn(S.FILTER_STATUS, relabel(matched, hit, miss, frozen)).select(
-        *dict.fromkeys([*df.columns, S.FILTER_STATUS])
-    )
-
+        return joined.select(*columns, status)
+    return joined.select(*columns, status, _copies(_MATCHES))
 
-def repeat_rows(df: DataFrame, count: str) -> DataFrame:
-    """Each row ``count`` times (null counts as one).
 
-    A large count is cut into slices that are shuffled apart before they are expanded.
-    """
-    n = F.coalesce(F.col(count), F.lit(1))
-    sliced = df.withColumn(
-        _SLICE, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _SLICE_ROWS)))
-    )
-    spread = sliced.repartition(spread_of(df), F.col(_SLICE))
-    size = F.least(F.lit(_SLICE_ROWS).cast("long"), n - F.col(_SLICE) * _SLICE_ROWS)
-    return spread.withColumn(_SLICE, F.explode(F.sequence(F.lit(1).cast("long"), size))).drop(
-        _SLICE
-    )
+def _copies(matches: str) -> Column:
+    """How often an outer join with every matching record would repeat the row."""
+    return F.coalesce(F.col(matches), F.lit(1)).alias(S.COPIES)
 
 
 def step_overdue(df: DataFrame, overdue: DataFrame, dedupe_keys: bool = True) -> DataFrame:
@@ -220,8 +202,6 @@ def eligibility_cascade(
 
     joined = spread_join(mark_position(due), loans, S.APPL_ID, "left", hot[S.APPL_ID])
     joined = spread_join(joined, contacts, S.IMEI, "left", hot[S.IMEI])
-    if not dedupe_keys:
-        joined = repeat_rows(joined, _OVERDUE)
     status = (
         F.when(F.col(S.IMEI).isNull(), S.NULL)
         .when(F.col(_OVERDUE).isNotNull(), S.DELINQUENT)
@@ -229,7 +209,8 @@ def eligibility_cascade(
         .when(F.col(_SENT), S.DUPLICATE_GLOBAL)
         .otherwise(S.UNIQUE_GLOBAL)
     )
-    return joined.select(*due.columns, status.alias(S.FILTER_STATUS))
+    labelled = [*due.columns, status.alias(S.FILTER_STATUS)]
+    return joined.select(*labelled if dedupe_keys else [*labelled, _copies(_OVERDUE)])
 
 
 def eligible(status: DataFrame) -> DataFrame:

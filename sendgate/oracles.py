@@ -51,8 +51,10 @@ def _funnel(capped: str = _CAPPED) -> str:
 
 
 _NO_HISTORY = _funnel().replace("date '2024-01-02'", "date '1900-01-01'")
+_LOANS = 'loans as (select "APPL_ID" as loan, count(*) as n from overdue group by 1)'
+_WITH_COPIES = 'status left join loans on loan = "APPL_ID"'
 _FANNED = """fanned as (
-  select due.* from due left join overdue on due."APPL_ID" = overdue."APPL_ID")"""
+  select status.* from status left join overdue on status."APPL_ID" = overdue."APPL_ID")"""
 
 _TRANSFORMATIONS = """
   '{' || string_agg('"' || k || '":' || n, ',' order by k) || '}'"""
@@ -128,14 +130,21 @@ ORACLES: dict[str, str] = {
     "overdue_keys": f"with {_DUE} select * from overdue",
     "null_key_flag": _with("select * from status", levels=0),
     "step_overdue": _with("select * from status", levels=1),
-    "step_overdue_fanout": _with("select * from labelled", _FANNED, f"labelled as ({_status('fanned', 1)})"),
+    "step_overdue_fanout": _with(
+        f"select status.*, coalesce(n, 1) as copies from {_WITH_COPIES}", _LOANS, levels=1
+    ),
     "business_keys": f"with {_DUE}, {_BIZ} select * from biz",
     "step_business": _with("select * from status", levels=2),
     "capped_keys": f"""with {_DUE}
       select "IMEI", count(*) as "count" from history group by 1 having count(*) >= 3""",
     "step_global_cap": _with("select * from status"),
     "cascade_status": _with("select * from status"),
-    "cascade_fanout": _with("select * from labelled", _FANNED, f"labelled as ({_status('fanned')})"),
+    "cascade_fanout": _with(
+        f"select status.*, coalesce(n, 1) as copies from {_WITH_COPIES}", _LOANS
+    ),
+    "funnel_fanout": _with(
+        'select "FILTER_STATUS", count(*) as "count" from fanned group by 1', _FANNED
+    ),
     "cap_with_audit": _with("select * from status", capped=_CAPPED_TWICE),
     "empty_history_cascade": _NO_HISTORY,
     "cascade_rerun": _funnel().replace(

@@ -94,6 +94,11 @@ def cascade_fanout(r: Roles) -> DataFrame:
     return _cascade(r, dedupe_keys=False)
 
 
+@_query
+def funnel_fanout(r: Roles) -> DataFrame:
+    return funnel.funnel_counts(_cascade(r, dedupe_keys=False))
+
+
 @_query
 def cap_with_audit(r: Roles) -> DataFrame:
     """Audit rows count towards the cap: each sent row has one, so it counts twice."""

@@ -13,6 +13,7 @@ DUE_RENAMES = {
     "LOAN_OVERVIEW_APPL_ID": APPL_ID,
     "LOAN_OVERVIEW_IMEI": IMEI,
 }
+COPIES = "copies"
 PAYLOAD_COLUMNS = [IMEI, CODE, TRIGGER_ID]
 
 NULL = "NULL"

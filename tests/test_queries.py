@@ -69,6 +69,12 @@ def test_known_funnel(spark, scale):
     assert got == FUNNEL[scale]
 
 
+@pytest.mark.parametrize("scale, total", [("0.001", 1547), ("0.01", 15501), ("0.1", 154951)])
+def test_known_fanout_total(spark, scale, total):
+    frame = entry_point.queries()["funnel_fanout"](spark, f"/root/testdata/sf{scale}")
+    assert frame.agg({"count": "sum"}).first()[0] == total
+
+
 def test_entry(spark):
     frame = entry_point.entry(spark)
     assert frame.columns == ["FILTER_STATUS", "count"]

@@ -1,13 +1,12 @@
 import contextlib
-import datetime as dt
 import io
 import re
-from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from sendgate.operators import batching, skew, status as st
+from sendgate.operators.funnel import funnel_counts
 from tests.test_status import DAY, HISTORY
 
 
@@ -119,17 +118,18 @@ def test_numbering_spreads_one_code_and_copies(spark):
         assert tuple(numbers) == (1, 30_000, 30_000)
 
 
-def test_fanout_of_a_hot_loan_is_sliced(spark, monkeypatch):
-    monkeypatch.setattr(st, "_SLICE_ROWS", 100)
+def test_fanout_of_a_hot_loan_is_counted_not_made(spark):
     loans = spark.range(5_000).select(F.lit(1).cast("long").alias("APPL_ID"))
     due = st.flag_null_key(
-        spark.createDataFrame([(1, "1", "N"), (2, "2", "N")], "APPL_ID long, IMEI string, c string")
+        spark.createDataFrame(
+            [(1, "1", "N")] * 3 + [(2, "2", "N")], "APPL_ID long, IMEI string, c string"
+        )
     )
-    with settings(spark, **SHUFFLED):
-        got = st.step_overdue(due, loans, dedupe_keys=False)
-        assert share_of_largest(got) < 0.3
-        counts = {tuple(r) for r in got.groupBy("APPL_ID", "FILTER_STATUS").count().collect()}
-    assert counts == {(1, "DELINQUENT", 5_000), (2, "NOT_DELINQUENT", 1)}
+    got = st.step_overdue(due, loans, dedupe_keys=False)
+    counts = {tuple(r) for r in got.groupBy("APPL_ID", "FILTER_STATUS", "copies").count().collect()}
+    assert counts == {(1, "DELINQUENT", 5_000, 3), (2, "NOT_DELINQUENT", 1, 1)}
+    funnel = {tuple(r) for r in funnel_counts(got).collect()}
+    assert funnel == {("DELINQUENT", 15_000), ("NOT_DELINQUENT", 1)}
 
 
 def test_cascade_plan(spark):
