@@ -16,7 +16,7 @@ _PIECE = "_piece"
 _PIECES = "_pieces"
 
 # A key with more rows than this is split; each piece has about this many rows.
-ROWS_PER_PIECE = 1_000_000
+ROWS_PER_PIECE = 500_000
 # At most this many keys are split, so the list of split keys has a fixed size. A key beyond
 # it holds less than a thousandth of the rows and is joined like any other.
 MAX_HOT_KEYS = 1_000
@@ -36,7 +36,10 @@ def mark_position(df: DataFrame) -> DataFrame:
 
 
 def spread_of(df: DataFrame) -> Column:
-    """A value to spread rows by: their position where known, else their content."""
+    """A value to spread rows by: their position where it is marked, else their content.
+
+    Content leaves copies of one row together; only the position takes them apart.
+    """
     return F.col(POSITION) if POSITION in df.columns else F.xxhash64(*df.columns)
 
 

@@ -11,6 +11,7 @@ from sendgate import schemas as S
 from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP, Roles
 from sendgate.functions import scalars
 from sendgate.operators import batching, dispatch, funnel, logs, payloads, status as st
+from sendgate.operators.skew import POSITION, mark_position
 from sendgate.plans.primary import Folders, Run, run_primary
 from sendgate.session import new_path
 from sendgate.sources import readers, writers
@@ -48,14 +49,23 @@ def null_key_flag(r: Roles) -> DataFrame:
     return st.flag_null_key(r.due)
 
 
+def _overdue_step(r: Roles, **options) -> DataFrame:
+    flagged = st.flag_null_key(mark_position(r.due))
+    return st.step_overdue(flagged, st.overdue_keys(r.loans), **options)
+
+
+def _business_step(r: Roles) -> DataFrame:
+    return st.step_business(_overdue_step(r), r.history, RUN_DATE, BUSINESS)
+
+
 @_query
 def step_overdue(r: Roles) -> DataFrame:
-    return st.step_overdue(st.flag_null_key(r.due), st.overdue_keys(r.loans))
+    return _overdue_step(r).drop(POSITION)
 
 
 @_query
 def step_overdue_fanout(r: Roles) -> DataFrame:
-    return st.step_overdue(st.flag_null_key(r.due), st.overdue_keys(r.loans), dedupe_keys=False)
+    return _overdue_step(r, dedupe_keys=False).drop(POSITION)
 
 
 @_query
@@ -65,7 +75,7 @@ def business_keys(r: Roles) -> DataFrame:
 
 @_query
 def step_business(r: Roles) -> DataFrame:
-    return st.step_business(step_overdue(r), r.history, RUN_DATE, BUSINESS)
+    return _business_step(r).drop(POSITION)
 
 
 @_query
@@ -75,7 +85,7 @@ def capped_keys(r: Roles) -> DataFrame:
 
 @_query
 def step_global_cap(r: Roles) -> DataFrame:
-    return st.step_global_cap(step_business(r), r.history, RUN_DATE)
+    return st.step_global_cap(_business_step(r), r.history, RUN_DATE).drop(POSITION)
 
 
 def _cascade(r: Roles, history: DataFrame | None = None, **options) -> DataFrame:
