@@ -17,12 +17,11 @@ IST_OFFSET_MINUTES = 330
 
 
 def whole_number(text: Column) -> Column:
-    """Text such as ``' 0356.0 '`` or ``'3.5E2'`` as an exact whole number, else null."""
-    return F.trim(text).try_cast("decimal(20,0)")
+    """Text such as ``' 0356.0 '`` or ``'3.5E2'`` as an exact bigint, else null.
 
-
-def appl_id_of(text: Column) -> Column:
-    return whole_number(text).try_cast("bigint")
+    A fraction is cut off. The way over decimal keeps all digits, unlike one over double.
+    """
+    return F.trim(text).try_cast("decimal(38,10)").try_cast("bigint")
 
 
 def imei_of(text: Column) -> Column:

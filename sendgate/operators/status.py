@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sendgate import schemas as S
-from sendgate.functions.scalars import appl_id_of, imei_of
+from sendgate.functions.scalars import imei_of, whole_number
 from sendgate.operators.skew import (
     POSITION,
     HotKeys,
@@ -27,7 +27,7 @@ _SENT = "_sent"
 def normalise_due(raw: DataFrame) -> DataFrame:
     """Rename the raw columns, make the ids exact whole numbers, drop everything else."""
     return raw.withColumnsRenamed(S.DUE_RENAMES).select(
-        appl_id_of(F.col(S.APPL_ID)).alias(S.APPL_ID),
+        whole_number(F.col(S.APPL_ID)).alias(S.APPL_ID),
         imei_of(F.col(S.IMEI)).alias(S.IMEI),
         F.col(S.CODE).cast("string").alias(S.CODE),
     )

@@ -124,6 +124,10 @@ _TIME = "%Y-%m-%dT%H:%M:%S.%f"
 _MANIFEST = """select batch_no, "DATA_C_FILENAME", count(*) as "BATCH_FILE_COUNT"
   from named group by 1, 2"""
 
+_ANSWER = """'{"rows": ' || count(*) || ', "bytes": '
+  || (length('IMEI,Notification_Code,TriggerID') + 1 + sum(length(line) + 1)) || '}'
+    as api_response"""
+
 ORACLES: dict[str, str] = {
     "due_normalised": f"with {_DUE} select * from due",
     "due_from_csv": f"with {_DUE} select * from due",
@@ -188,6 +192,9 @@ ORACLES: dict[str, str] = {
     "read_batch": _batched(
         f"""select "IMEI", "Notification_Code", "TriggerID" from named where row_no <= {STEP}"""
     ),
+    "batch_csv": _batched(
+        f"""select "IMEI", "Notification_Code", "TriggerID" from named where row_no <= {STEP}"""
+    ),
     "init_log": _with(_init(RUN_ID), _PER_STATUS),
     "init_log_appended": _with(f"{_init(RUN_ID)} union all {_init('RUN-2')}", _PER_STATUS),
     "staging_log": _batched(
@@ -241,12 +248,15 @@ ORACLES: dict[str, str] = {
           from report"""
     ),
     "dispatch_fake_transport": _batched(
-        """select "DATA_C_FILENAME" as filename, 'success' as status, '200' as status_code,
-          '{"rows": ' || count(*) || ', "bytes": '
-            || (length('IMEI,Notification_Code,TriggerID') + 1 + sum(length(line) + 1)) || '}'
-            as api_response
+        f"""select "DATA_C_FILENAME" as filename, 'success' as status, '200' as status_code,
+          {_ANSWER}
           from lines group by 1""",
         _LINES,
     ),
     "primary_run": _batched(_MANIFEST),
+    "bulk_run": _batched(
+        f"""select "DATA_C_FILENAME", 'success' as status, '200' as status_code, {_ANSWER}
+          from lines group by 1""",
+        _LINES,
+    ),
 }

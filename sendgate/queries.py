@@ -12,8 +12,9 @@ from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP
 from sendgate.functions import scalars
 from sendgate.operators import batching, dispatch, funnel, logs, payloads, status as st
 from sendgate.operators.skew import POSITION, mark_position
+from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
-from sendgate.session import new_path
+from sendgate.session import keep, new_path
 from sendgate.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,6 +228,16 @@ def read_batch(r: Roles) -> DataFrame:
     return batch.select(S.IMEI, S.CODE, S.TRIGGER_ID)
 
 
+@_query
+def batch_csv(r: Roles) -> DataFrame:
+    """One batch as header CSV, read back."""
+    base = new_path(r.spark, "batch-csv")
+    batch = keep(batching.batch_slice(_named(r), 0), "batch")
+    name = f"/{RUN_DATE:%Y/%m/%d}/{BUSINESS}/batch_0.csv"
+    writers.write_batch_csv(batch, base, name)
+    return r.spark.read.option("header", True).csv(base + name)
+
+
 # Logs -------------------------------------------------------------------------------
 
 
@@ -394,20 +405,30 @@ def dispatch_fake_transport(r: Roles) -> DataFrame:
 # The whole run ----------------------------------------------------------------------
 
 
-@_query
-def primary_run(r: Roles) -> DataFrame:
-    """File in, manifest out: the run's status, batches and logs are written on the way."""
+def _primary(r: Roles) -> tuple[Folders, Run, DataFrame]:
     due = new_path(r.spark, "arrival")
     r.due_raw.write.option("header", True).csv(due)
     folders = Folders.under(new_path(r.spark, "run"))
-    day = r.history.withColumn("batch_no", F.lit(0).cast("long"))
-    # The day's earlier sends, staged as other transactions of their business.
+    # The day's earlier sends, staged as another transaction of each business.
     (
-        day.withColumn("transaction_id", F.lit("EARLIER"))
-        .select(S.IMEI, "run_date", "business", "transaction_id", "batch_no")
-        .write.partitionBy("run_date", "business", "transaction_id", "batch_no")
+        r.history.withColumn("transaction_id", F.lit("EARLIER"))
+        .select(S.IMEI, "run_date", "business", "transaction_id")
+        .write.partitionBy("run_date", "business", "transaction_id")
         .parquet(folders.batches)
     )
     run = Run(FILE_NAME, RUN_ID, dt.datetime(2024, 1, 2, 4, 0))
     overdue = st.overdue_keys(r.loans)
-    return run_primary(r.spark, due, overdue, folders, run, step=STEP)
+    return folders, run, run_primary(r.spark, due, overdue, folders, run, step=STEP)
+
+
+@_query
+def primary_run(r: Roles) -> DataFrame:
+    """File in, manifest out: the run's status, batches and logs are written on the way."""
+    return _primary(r)[2]
+
+
+@_query
+def bulk_run(r: Roles) -> DataFrame:
+    """The staged batches of a run, sent and reported."""
+    folders, run, _ = _primary(r)
+    return run_bulk(r.spark, folders, run, _fake_transport, _Tokens())

@@ -66,11 +66,11 @@ BATCHES = _schema(
     Notification_Code=_TEXT,
     TriggerID=_TEXT,
     row_no=_LONG,
+    batch_no=_LONG,
     DATA_C_FILENAME=_TEXT,
     run_date=T.DateType(),
     business=_TEXT,
     transaction_id=_TEXT,
-    batch_no=_LONG,
 )
 
 INIT_LOG = _schema(

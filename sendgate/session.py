@@ -47,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/sendgate/{label}-{uuid.uuid4().hex}"
+    """A fresh path; all of one application's lie together and can be dropped after it."""
+    owner = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/sendgate-{owner}/{label}-{uuid.uuid4().hex}"
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

@@ -67,7 +67,7 @@ def read_batches(
 def read_batch(
     spark: SparkSession, root: str, run_date: dt.date, transaction_id: str, batch_no: int
 ) -> DataFrame:
-    """One staged batch; only its folder is read."""
+    """One staged batch; files without it are skipped by their statistics."""
     batches = read_batches(spark, root, run_date, transaction_id)
     return batches.where(F.col("batch_no") == batch_no)
 

@@ -32,23 +32,17 @@ def write_status(
 def write_batches(
     batches: DataFrame, root: str, run_date: dt.date, business: str, transaction_id: str
 ) -> str:
-    """Write all batches in one job, a folder per batch.
+    """Write all batches in one job, as one table.
 
-    Rows are gathered by batch and code, so a batch has one file per code, none of them
-    larger than the batch step.
+    Numbered rows come in number order per code, so each file holds a run of batches and a
+    read of one batch skips the other files by their statistics. A folder per batch would
+    cost a file per batch and task, and the day's history would be read from all of them.
     """
     folder = run_folder(root, run_date, business, transaction_id)
     columns = [
-        S.APPL_ID, S.IMEI, S.CODE, S.TRIGGER_ID, "row_no", "DATA_C_FILENAME", "batch_no",
+        S.APPL_ID, S.IMEI, S.CODE, S.TRIGGER_ID, "row_no", "batch_no", "DATA_C_FILENAME",
     ]
-    (
-        batches.select(*columns)
-        .repartition("batch_no", S.CODE)
-        .sortWithinPartitions("batch_no", S.CODE, "row_no")
-        .write.mode("overwrite")
-        .partitionBy("batch_no")
-        .parquet(folder)
-    )
+    batches.select(*columns).write.mode("overwrite").parquet(folder)
     return folder
 
 

@@ -51,6 +51,15 @@ def test_due_is_found_by_header(spark, tmp_path):
         readers.read_due(spark, bad)
 
 
+def test_overdue_is_read_from_the_loan_table(spark, tmp_path):
+    rows = [(1, 1, 0.5, "a"), (1, 2, 9.0, "b"), (2, 0, 9.0, "c"), (3, 1, 0.0, "d"), (4, None, 1.0, "e")]
+    loans = spark.createDataFrame(rows, S.LOAN_FACT)
+    for fmt in ("parquet", "orc"):
+        loans.write.format(fmt).save(str(tmp_path / fmt))
+        got = readers.read_overdue(spark, str(tmp_path / fmt), fmt)
+        assert [tuple(r) for r in got.collect()] == [(1,), (1,)]
+
+
 def test_missing_history_is_empty_and_other_errors_are_not_hidden(spark, tmp_path):
     empty = readers.read_history(spark, str(tmp_path / "none"), DAY)
     assert empty.count() == 0 and empty.schema == S.BATCHES

@@ -124,12 +124,14 @@ def test_normalise(spark):
         [
             (" 0356.0 ", "0356", "1"), ("7", "3.56789E14", "N"), ("x", "nan", None),
             ("9223372036854775808", "35678901234567890", "N"), (None, None, "N"), ("", " ", ""),
+            ("7.9", "-3.9", "N"),
         ],
         "LOAN_OVERVIEW_APPL_ID string, LOAN_OVERVIEW_IMEI string, Notification_Code string",
     )
     assert [tuple(row) for row in st.normalise_due(raw).collect()] == [
         (356, "356", "1"), (7, "356789000000000", "N"), (None, None, None),
         (None, "35678901234567890", "N"), (None, None, "N"), (None, None, ""),
+        (7, "-3", "N"),
     ]
 
 
