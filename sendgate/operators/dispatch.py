@@ -6,8 +6,10 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+import sendgate
 from sendgate import schemas as S
 from sendgate.functions.scalars import response_json
 from sendgate.operators.payloads import HEADER, payload_lines
@@ -16,6 +18,9 @@ from sendgate.operators.payloads import HEADER, payload_lines
 Transport = Callable[[str, str, str], tuple[int, str]]
 TokenSource = Callable[[], str]
 
+# The sending function goes to the executors with its code, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sendgate)
+
 _UNAUTHORISED = 401
 _SENT_SCHEMA = "filename string, attempt int, code int, api_response string"
 
