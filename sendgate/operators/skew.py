@@ -7,6 +7,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sendgate.session import keep
+
 POSITION = "_position"
 _KEY = "_key"
 _MATCH = "_match"
@@ -15,6 +17,8 @@ _SALT = "_salt"
 _PIECE = "_piece"
 _PIECES = "_pieces"
 
+# A key table is broadcast up to this many rows, at most some 100 MB.
+BROADCAST_KEYS = 1_000_000
 # A key with more rows than this is split; each piece has about this many rows.
 ROWS_PER_PIECE = 500_000
 # At most this many keys are split, so the list of split keys has a fixed size. A key beyond
@@ -76,18 +80,40 @@ def find_hot_keys(
     }
 
 
+def match_keys(
+    df: DataFrame,
+    tables: Sequence[tuple[str, DataFrame]],
+    how: str,
+    max_broadcast: int = BROADCAST_KEYS,
+    rows_per_piece: int = ROWS_PER_PIECE,
+) -> DataFrame:
+    """Left or left anti join of ``df`` to key tables, each given with its key column.
+
+    A key table has one row per key and no null key. Each is written once and counted: up to
+    ``max_broadcast`` rows it is broadcast and ``df`` is not shuffled for it; beyond that
+    both sides are shuffled, with the hot keys of ``df`` split.
+    """
+    written = [(on, keep(keys, "keys")) for on, keys in tables]
+    large = [on for on, keys in written if keys.count() > max_broadcast]
+    hot = find_hot_keys(df, large, rows_per_piece) if large else {}
+    for on, keys in written:
+        if on in hot:
+            df = spread_join(df, keys, on, how, hot[on])
+        else:
+            df = df.join(F.broadcast(keys), on, how)
+    return df
+
+
 def spread_join(
-    df: DataFrame, keys: DataFrame, on: str, how: str, hot: Mapping[Any, int] | None = None
+    df: DataFrame, keys: DataFrame, on: str, how: str, hot: Mapping[Any, int]
 ) -> DataFrame:
-    """Left or left anti join of ``df`` to ``keys`` (one row per key), with hot keys split.
+    """Shuffled left or left anti join of ``df`` to ``keys``, with the ``hot`` keys split.
 
     ``on`` is a bigint or string column. Rows without a key never match; each is shuffled by
     its spread value in place of the key, or all of them would meet in one task. The rows of
     a hot key are dealt to its pieces, and that key's one row in ``keys`` is repeated once
     per piece.
     """
-    if hot is None:
-        hot = find_hot_keys(df, [on])[on]
     spread = spread_of(df)
     filled = F.coalesce(F.col(on), spread.cast(df.schema[on].dataType))
     left = df.withColumn(_KEY, filled)

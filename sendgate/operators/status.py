@@ -3,20 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
-from typing import Any
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sendgate import schemas as S
 from sendgate.functions.scalars import imei_of, whole_number
-from sendgate.operators.skew import (
-    POSITION,
-    HotKeys,
-    find_hot_keys,
-    mark_position,
-    spread_join,
-)
+from sendgate.operators.skew import mark_position, match_keys
 
 _MATCHES = "_matches"
 _OVERDUE = "_overdue"
@@ -65,17 +58,17 @@ def status_step(
     miss: str,
     frozen: Sequence[str],
     dedupe_keys: bool = True,
-    hot: Mapping[Any, int] | None = None,
+    **join: int,
 ) -> DataFrame:
     """Label rows by whether their ``on`` value is among ``keys``; all columns are kept.
 
     The keys are counted down to one row each before the join, so no row is repeated. With
     ``dedupe_keys=False`` the column ``copies`` tells how often an outer join with the keys as
     they are would repeat it: the repeats are counted, never made, as a loan with many
-    records would multiply all of its rows.
+    records would multiply all of its rows. ``join`` holds limits for ``match_keys``.
     """
     right = keys.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(_MATCHES))
-    joined = spread_join(df, right, on, "left", hot)
+    joined = match_keys(df, [(on, right)], "left", **join)
     status = relabel(F.col(_MATCHES).isNotNull(), hit, miss, frozen).alias(S.FILTER_STATUS)
     columns = [c for c in df.columns if c != S.FILTER_STATUS]
     if dedupe_keys:
@@ -187,21 +180,20 @@ def eligibility_cascade(
     include_audit: DataFrame | None = None,
     dedupe_keys: bool = True,
     exclude: str | None = None,
-    hot: HotKeys | None = None,
+    **join: int,
 ) -> DataFrame:
     """All steps at once: ``due`` with the final status of every row.
 
     Gives what the steps give one after another, but reads the history once and joins it
-    once. ``due`` has to be a scan or a written table (see ``mark_position``).
+    once. ``due`` has to be a scan or a written table (see ``mark_position``); ``join`` holds
+    limits for ``match_keys``.
     """
-    if hot is None:
-        hot = find_hot_keys(due, [S.APPL_ID, S.IMEI])
     loans = overdue.where(F.col(S.APPL_ID).isNotNull()).groupBy(S.APPL_ID)
     loans = loans.agg(F.count("*").alias(_OVERDUE))
     contacts = contact_summary(history, run_date, business, cap, include_audit, exclude)
 
-    joined = spread_join(mark_position(due), loans, S.APPL_ID, "left", hot[S.APPL_ID])
-    joined = spread_join(joined, contacts, S.IMEI, "left", hot[S.IMEI])
+    tables = [(S.APPL_ID, loans), (S.IMEI, contacts)]
+    joined = match_keys(mark_position(due), tables, "left", **join)
     status = (
         F.when(F.col(S.IMEI).isNull(), S.NULL)
         .when(F.col(_OVERDUE).isNotNull(), S.DELINQUENT)
@@ -226,14 +218,11 @@ def eligible_only(
     cap: int = S.DAILY_CAP,
     include_audit: DataFrame | None = None,
     exclude: str | None = None,
-    hot: HotKeys | None = None,
+    **join: int,
 ) -> DataFrame:
     """The eligible rows alone, by anti joins, for runs that need no status of the others."""
-    if hot is None:
-        hot = find_hot_keys(due, [S.APPL_ID, S.IMEI])
     loans = overdue.where(F.col(S.APPL_ID).isNotNull()).select(S.APPL_ID).distinct()
     contacts = contact_summary(history, run_date, business, cap, include_audit, exclude)
     keyed = mark_position(due.where(F.col(S.IMEI).isNotNull()))
-    kept = spread_join(keyed, loans, S.APPL_ID, "left_anti", hot[S.APPL_ID])
-    kept = spread_join(kept, contacts.select(S.IMEI), S.IMEI, "left_anti", hot[S.IMEI])
-    return kept.drop(POSITION).select(*due.columns)
+    tables = [(S.APPL_ID, loans), (S.IMEI, contacts.select(S.IMEI))]
+    return match_keys(keyed, tables, "left_anti", **join).select(*due.columns)

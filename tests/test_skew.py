@@ -135,18 +135,17 @@ def test_fanout_of_a_hot_loan_is_counted_not_made(spark):
 def test_cascade_plan(spark):
     due = spark.createDataFrame([(1, "1", "N")], "APPL_ID long, IMEI string, Notification_Code string")
     overdue = spark.createDataFrame([(1,)], "APPL_ID long")
-    history = spark.createDataFrame([("1", "CD", DAY, "t")], HISTORY)
-    hot = {"APPL_ID": {}, "IMEI": {}}
-    with settings(spark, **SHUFFLED):
-        plan = plan_of(st.eligibility_cascade(due, overdue, history, DAY, "CD", hot=hot))
-        only = plan_of(st.eligible_only(due, overdue, history, DAY, "CD", hot=hot))
-    # One shuffle per side and join, and none for the aggregations below them.
-    assert len(re.findall("Exchange hashpartitioning", plan)) == 4
-    assert len(re.findall("Exchange hashpartitioning", only)) == 4
-    assert len(re.findall("LeftOuter", plan)) == 2
-    assert len(re.findall("LeftAnti", only)) == 2
-    for text in (plan, only):
-        assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+    history = spark.createDataFrame([("1", "CD", DAY, "t")], HISTORY)  # one key
+    args = (due, overdue, history, DAY, "CD")
+    for limit, shuffles, joins in ((1, 0, "BroadcastHashJoin"), (0, 4, "SortMergeJoin")):
+        with settings(spark, **SHUFFLED):
+            plan = plan_of(st.eligibility_cascade(*args, max_broadcast=limit))
+            only = plan_of(st.eligible_only(*args, max_broadcast=limit))
+        # Small key tables leave the rows where they are; else one shuffle per side and join.
+        for text, kind in ((plan, "LeftOuter"), (only, "LeftAnti")):
+            assert len(re.findall("Exchange hashpartitioning", text)) == shuffles
+            assert len(re.findall(joins, text)) == len(re.findall(kind, text)) == 2
+            assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
 
 def test_scan_reads_only_what_is_needed(spark):

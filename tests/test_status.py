@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as h
 
 from sendgate import schemas as S
-from sendgate.operators import funnel, skew, status as st
+from sendgate.operators import funnel, status as st
 from tests import brute
 
 DAY = dt.date(2024, 1, 2)
@@ -144,12 +144,15 @@ loan_ids = h.one_of(h.none(), h.integers(1, 6))
     due=h.lists(h.tuples(loan_ids, imeis, h.sampled_from(["A", "B"])), min_size=1, max_size=30),
     loans=h.lists(h.tuples(loan_ids, h.integers(0, 1), h.sampled_from([0.0, 5.0])), max_size=10),
     history=h.lists(h.tuples(imeis, h.sampled_from(["CD", "AB"])), max_size=15),
+    max_broadcast=h.sampled_from([-1, 2, 1_000]),
     rows_per_piece=h.sampled_from([2, 1_000]),
 )
-def test_cascade_equals_brute_force(spark, due, loans, history, rows_per_piece):
+def test_cascade_equals_brute_force(
+    spark, due, loans, history, max_broadcast, rows_per_piece
+):
     frames = tables(spark, due, loans, history)
+    limits = {"max_broadcast": max_broadcast, "rows_per_piece": rows_per_piece}
     expected = Counter(brute.status_of(due, brute.overdue_ids(loans), history, "CD"))
-    hot = skew.find_hot_keys(frames[0], ["APPL_ID", "IMEI"], rows_per_piece)
-    assert bag(st.eligibility_cascade(*frames, DAY, "CD", hot=hot)) == expected
+    assert bag(st.eligibility_cascade(*frames, DAY, "CD", **limits)) == expected
     kept = Counter(row[:3] for row in expected.elements() if row[3] == S.UNIQUE_GLOBAL)
-    assert bag(st.eligible_only(*frames, DAY, "CD", hot=hot)) == kept
+    assert bag(st.eligible_only(*frames, DAY, "CD", **limits)) == kept
