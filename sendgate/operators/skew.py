@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -80,20 +81,45 @@ def find_hot_keys(
     }
 
 
+@dataclass(frozen=True)
+class KeyTable:
+    """The other side of a join: its ``rows``, and how they become one row per ``on`` key."""
+
+    on: str
+    rows: DataFrame
+    reduce: Callable[[DataFrame], DataFrame]
+
+    def keys(self, asked: DataFrame | None = None) -> DataFrame:
+        """One row per key, if given only of the ``asked`` keys."""
+        rows = self.rows.where(F.col(self.on).isNotNull())
+        if asked is not None:
+            rows = rows.join(asked, self.on, "left_semi")
+        return self.reduce(rows)
+
+
 def match_keys(
     df: DataFrame,
-    tables: Sequence[tuple[str, DataFrame]],
+    tables: Sequence[KeyTable],
     how: str,
+    rows: int | None = None,
     max_broadcast: int = BROADCAST_KEYS,
     rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
-    """Left or left anti join of ``df`` to key tables, each given with its key column.
+    """Left or left anti join of ``df`` to key tables.
 
-    A key table has one row per key and no null key. Each is written once and counted: up to
-    ``max_broadcast`` rows it is broadcast and ``df`` is not shuffled for it; beyond that
+    If ``df`` is known to have no more than ``max_broadcast`` ``rows``, its keys are sent to
+    the other side first: of a large table only the rows asked for are aggregated, and the
+    result can be no larger than ``df``. Otherwise each key table is written once and counted.
+    Up to ``max_broadcast`` rows it is broadcast and ``df`` is not shuffled for it; beyond that
     both sides are shuffled, with the hot keys of ``df`` split.
     """
-    written = [(on, keep(keys, "keys")) for on, keys in tables]
+    if rows is not None and rows <= max_broadcast:
+        small = [(t.on, t.keys(F.broadcast(df.select(t.on).distinct()))) for t in tables]
+        for on, keys in small:
+            df = df.join(F.broadcast(keys), on, how)
+        return df
+
+    written = [(t.on, keep(t.keys(), "keys")) for t in tables]
     large = [on for on, keys in written if keys.count() > max_broadcast]
     hot = find_hot_keys(df, large, rows_per_piece) if large else {}
     for on, keys in written:
@@ -107,7 +133,7 @@ def match_keys(
 def spread_join(
     df: DataFrame, keys: DataFrame, on: str, how: str, hot: Mapping[Any, int]
 ) -> DataFrame:
-    """Shuffled left or left anti join of ``df`` to ``keys``, with the ``hot`` keys split.
+    """Shuffled left or left anti join of ``df`` to unique ``keys``, the ``hot`` ones split.
 
     ``on`` is a bigint or string column. Rows without a key never match; each is shuffled by
     its spread value in place of the key, or all of them would meet in one task. The rows of

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sendgate import schemas as S
 from sendgate.functions.scalars import imei_of, whole_number
-from sendgate.operators.skew import mark_position, match_keys
+from sendgate.operators.skew import KeyTable, mark_position, match_keys
 
 _MATCHES = "_matches"
-_OVERDUE = "_overdue"
 _BIZ = "_biz"
-_SENT = "_sent"
+_CAPPED = "_capped"
 
 
 def normalise_due(raw: DataFrame) -> DataFrame:
@@ -67,18 +66,21 @@ def status_step(
     they are would repeat it: the repeats are counted, never made, as a loan with many
     records would multiply all of its rows. ``join`` holds limits for ``match_keys``.
     """
-    right = keys.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias(_MATCHES))
-    joined = match_keys(df, [(on, right)], "left", **join)
+    joined = match_keys(df, [_counted(keys, on)], "left", **join)
     status = relabel(F.col(_MATCHES).isNotNull(), hit, miss, frozen).alias(S.FILTER_STATUS)
     columns = [c for c in df.columns if c != S.FILTER_STATUS]
     if dedupe_keys:
         return joined.select(*columns, status)
-    return joined.select(*columns, status, _copies(_MATCHES))
+    return joined.select(*columns, status, _copies())
 
 
-def _copies(matches: str) -> Column:
+def _counted(keys: DataFrame, on: str) -> KeyTable:
+    return KeyTable(on, keys, lambda rows: rows.groupBy(on).agg(F.count("*").alias(_MATCHES)))
+
+
+def _copies() -> Column:
     """How often an outer join with every matching record would repeat the row."""
-    return F.coalesce(F.col(matches), F.lit(1)).alias(S.COPIES)
+    return F.coalesce(F.col(_MATCHES), F.lit(1)).alias(S.COPIES)
 
 
 def step_overdue(df: DataFrame, overdue: DataFrame, dedupe_keys: bool = True) -> DataFrame:
@@ -145,29 +147,29 @@ def step_global_cap(
     )
 
 
-def contact_summary(
+def contacts_of_day(
     history: DataFrame,
     run_date: dt.date,
     business: str,
     cap: int = S.DAILY_CAP,
     include_audit: DataFrame | None = None,
     exclude: str | None = None,
-) -> DataFrame:
+) -> KeyTable:
     """Both history questions in one aggregation: the keys either history step would stop."""
     by_business = F.col("business") == business
     rows = day_of(history, run_date, exclude).select(S.IMEI, by_business.alias(_BIZ))
     if include_audit is not None:
         audit = day_of(include_audit, run_date, exclude)
         rows = rows.unionByName(audit.select(S.IMEI, F.lit(False).alias(_BIZ)))
-    summary = (
-        rows.where(F.col(S.IMEI).isNotNull())
-        .groupBy(S.IMEI)
-        .agg(
+
+    def summary(rows: DataFrame) -> DataFrame:
+        per_key = rows.groupBy(S.IMEI).agg(
             F.coalesce(F.max(_BIZ), F.lit(False)).alias(_BIZ),
-            (F.count("*") >= cap).alias(_SENT),
+            (F.count("*") >= cap).alias(_CAPPED),
         )
-    )
-    return summary.where(F.col(_BIZ) | F.col(_SENT))
+        return per_key.where(F.col(_BIZ) | F.col(_CAPPED))
+
+    return KeyTable(S.IMEI, rows, summary)
 
 
 def eligibility_cascade(
@@ -188,21 +190,18 @@ def eligibility_cascade(
     once. ``due`` has to be a scan or a written table (see ``mark_position``); ``join`` holds
     limits for ``match_keys``.
     """
-    loans = overdue.where(F.col(S.APPL_ID).isNotNull()).groupBy(S.APPL_ID)
-    loans = loans.agg(F.count("*").alias(_OVERDUE))
-    contacts = contact_summary(history, run_date, business, cap, include_audit, exclude)
-
-    tables = [(S.APPL_ID, loans), (S.IMEI, contacts)]
-    joined = match_keys(mark_position(due), tables, "left", **join)
+    contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)
+    tables = [_counted(overdue, S.APPL_ID), contacts]
+    joined = match_keys(mark_position(due), tables, "left", due.count(), **join)
     status = (
         F.when(F.col(S.IMEI).isNull(), S.NULL)
-        .when(F.col(_OVERDUE).isNotNull(), S.DELINQUENT)
+        .when(F.col(_MATCHES).isNotNull(), S.DELINQUENT)
         .when(F.col(_BIZ), S.DUPLICATE_BIZ)
-        .when(F.col(_SENT), S.DUPLICATE_GLOBAL)
+        .when(F.col(_CAPPED), S.DUPLICATE_GLOBAL)
         .otherwise(S.UNIQUE_GLOBAL)
     )
     labelled = [*due.columns, status.alias(S.FILTER_STATUS)]
-    return joined.select(*labelled if dedupe_keys else [*labelled, _copies(_OVERDUE)])
+    return joined.select(*labelled if dedupe_keys else [*labelled, _copies()])
 
 
 def eligible(status: DataFrame) -> DataFrame:
@@ -221,8 +220,8 @@ def eligible_only(
     **join: int,
 ) -> DataFrame:
     """The eligible rows alone, by anti joins, for runs that need no status of the others."""
-    loans = overdue.where(F.col(S.APPL_ID).isNotNull()).select(S.APPL_ID).distinct()
-    contacts = contact_summary(history, run_date, business, cap, include_audit, exclude)
+    contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)
     keyed = mark_position(due.where(F.col(S.IMEI).isNotNull()))
-    tables = [(S.APPL_ID, loans), (S.IMEI, contacts.select(S.IMEI))]
-    return match_keys(keyed, tables, "left_anti", **join).select(*due.columns)
+    tables = [_counted(overdue, S.APPL_ID), contacts]
+    kept = match_keys(keyed, tables, "left_anti", due.count(), **join)
+    return kept.select(*due.columns)

@@ -133,19 +133,37 @@ def test_fanout_of_a_hot_loan_is_counted_not_made(spark):
 
 
 def test_cascade_plan(spark):
-    due = spark.createDataFrame([(1, "1", "N")], "APPL_ID long, IMEI string, Notification_Code string")
+    due = spark.createDataFrame(
+        [(1, "1", "N"), (2, "2", "N")], "APPL_ID long, IMEI string, Notification_Code string"
+    )
     overdue = spark.createDataFrame([(1,)], "APPL_ID long")
-    history = spark.createDataFrame([("1", "CD", DAY, "t")], HISTORY)  # one key
+    history = spark.createDataFrame([("1", "CD", DAY, "t")], HISTORY)
     args = (due, overdue, history, DAY, "CD")
-    for limit, shuffles, joins in ((1, 0, "BroadcastHashJoin"), (0, 4, "SortMergeJoin")):
+
+    def plans(limit):
         with settings(spark, **SHUFFLED):
-            plan = plan_of(st.eligibility_cascade(*args, max_broadcast=limit))
+            status = plan_of(st.eligibility_cascade(*args, max_broadcast=limit))
             only = plan_of(st.eligible_only(*args, max_broadcast=limit))
-        # Small key tables leave the rows where they are; else one shuffle per side and join.
-        for text, kind in ((plan, "LeftOuter"), (only, "LeftAnti")):
-            assert len(re.findall("Exchange hashpartitioning", text)) == shuffles
-            assert len(re.findall(joins, text)) == len(re.findall(kind, text)) == 2
-            assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+        for text in (status, only):
+            assert not re.search("Python|Cartesian|NestedLoop|Window", text)
+        return (status, "LeftOuter"), (only, "LeftAnti")
+
+    def count(pattern, text):
+        return len(re.findall(pattern, text))
+
+    # Both key tables beyond the limit: one shuffle per side and join.
+    for text, kind in plans(0):
+        assert count(f"SortMergeJoin .*{kind}", text) == 2
+        assert count("Exchange hashpartitioning", text) == 4
+    # Key tables within it: the rows are not shuffled.
+    for text, kind in plans(1):
+        assert count(f"BroadcastHashJoin .*{kind}", text) == 2
+        assert count("Exchange hashpartitioning", text) == 0
+    # Few rows: only the keys asked for reach the aggregations of the other side.
+    for text, kind in plans(2):
+        assert count(f"BroadcastHashJoin .*{kind}", text) == 2
+        assert "SortMergeJoin" not in text
+        assert count("HashAggregate.*\\n.*(Project.*\\n.*)?BroadcastHashJoin.*LeftSemi", text) == 2
 
 
 def test_scan_reads_only_what_is_needed(spark):
