@@ -306,9 +306,9 @@ def run_date_ist(r: Roles) -> DataFrame:
 @_query
 def business_of_file(r: Roles) -> DataFrame:
     """Names with a business part, and names without one."""
-    name = F.when(F.col("event_type") == "error", F.concat(F.lit("X"), F.col("event_id"))).otherwise(
-        F.concat(F.lit(" FILE_"), F.col("event_type"), F.lit("_"), F.col("event_id"))
-    )
+    named = F.concat(F.lit(" FILE_"), F.col("event_type"), F.lit("_"), F.col("event_id"))
+    plain = F.concat(F.lit("X"), F.col("event_id"))
+    name = F.when(F.col("event_type") == "error", plain).otherwise(named)
     return r.events.select("event_id", scalars.business_of(name).alias("business"))
 
 

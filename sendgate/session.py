@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,14 +37,14 @@ def local_session(app: str, cpus: int = 8, **extra: str) -> SparkSession:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sendgate-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\[]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sendgate-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
