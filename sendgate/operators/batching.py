@@ -19,6 +19,10 @@ _SHIFT = "_shift"
 
 ORDER = (S.APPL_ID, S.IMEI)
 
+# Blocks are sized by rows, as copies pack so well that sizes in bytes say little about work.
+ROWS_PER_BLOCK = 500_000
+MAX_BLOCKS = 50_000
+
 
 def number_rows(
     df: DataFrame,
@@ -26,6 +30,7 @@ def number_rows(
     order: Sequence[str] = ORDER,
     name: str = "row_no",
     settled: bool = False,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Number rows 1, 2, ... per ``by`` group in ``order``, whatever the size of a group.
 
@@ -41,7 +46,8 @@ def number_rows(
     columns = df.columns
     others = [c for c in columns if c not in by and c not in order]
     sort = [*by, *order, *others, POSITION]
-    ranged = mark_position(df).repartitionByRange(*sort).sortWithinPartitions(*sort)
+    n_blocks = min(MAX_BLOCKS, df.count() // rows_per_block + 1)
+    ranged = mark_position(df).repartitionByRange(n_blocks, *sort).sortWithinPartitions(*sort)
     # The range bounds are drawn from a sample, so the placed rows are written once and
     # both passes below read the same places.
     placed = keep(

@@ -6,6 +6,13 @@ import pytest
 from sendgate.operators import batching
 from tests import brute
 
+
+@pytest.fixture(autouse=True, params=[batching.ROWS_PER_BLOCK, 4])
+def block_size(request, monkeypatch):
+    """Every test with one block and with many."""
+    defaults = batching.number_rows.__defaults__
+    monkeypatch.setattr(batching.number_rows, "__defaults__", (*defaults[:-1], request.param))
+
 COLUMNS = "APPL_ID bigint, IMEI string, Notification_Code string"
 
 

@@ -110,7 +110,7 @@ def test_spread_join_spreads_missing_hot_and_copied_keys(spark):
 def test_numbering_spreads_one_code_and_copies(spark):
     with settings(spark, **SHUFFLED):
         due = skewed_due(spark)
-        got = batching.number_rows(due, ["Notification_Code"])
+        got = batching.number_rows(due, ["Notification_Code"], rows_per_block=2_000)
         placed = spark.read.parquet(*[f for f in got.inputFiles() if "/placed-" in f])
         blocks = [r["count"] for r in placed.groupBy("_block").count().collect()]
         assert len(blocks) >= 12 and max(blocks) < 30_000 / 8
