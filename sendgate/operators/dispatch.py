@@ -41,6 +41,15 @@ def classify_response(code: Column) -> Column:
     )
 
 
+def _fetch_token(tokens: TokenSource, wait: Callable[[int], float]) -> str:
+    for failed in range(1, S.TOKEN_ATTEMPTS):
+        try:
+            return tokens()
+        except Exception:
+            time.sleep(wait(failed))
+    return tokens()
+
+
 def _send_with_retry(
     file_name: str,
     payload: str,
@@ -60,7 +69,7 @@ def _send_with_retry(
     refreshed = False
     while raised < max_attempts:
         try:
-            token = token if token is not None else tokens()
+            token = _fetch_token(tokens, wait) if token is None else token
             code, text = transport(file_name, payload, token)
         except Exception as error:  # the outcome is a row, so no batch is lost from the log
             raised += 1

@@ -66,4 +66,4 @@ def raise_on_failed_runs(run_log: DataFrame) -> None:
         return
     shown = ", ".join(names[:_SHOWN_RUNS])
     more = ", ..." if len(names) > _SHOWN_RUNS else ""
-    raise RuntimeError(f"One or more runs failed: {shown}{more}")
+    raise RuntimeError(f"failed runs: {shown}{more}")

@@ -143,6 +143,7 @@ ORACLES: dict[str, str] = {
       select "IMEI", count(*) as "count" from history group by 1 having count(*) >= 3""",
     "step_global_cap": _with("select * from status"),
     "cascade_status": _with("select * from status"),
+    "cascade_shuffled": _with("select * from status"),
     "cascade_fanout": _with(
         f"select status.*, coalesce(n, 1) as copies from {_WITH_COPIES}", _LOANS
     ),
@@ -156,6 +157,7 @@ ORACLES: dict[str, str] = {
     ),
     "eligible": _with("select * from eligible", _ELIGIBLE),
     "eligible_only": _with("select * from eligible", _ELIGIBLE),
+    "eligible_only_shuffled": _with("select * from eligible", _ELIGIBLE),
     "funnel_counts": _funnel(),
     "funnel_json": _with(
         f'select {_TRANSFORMATIONS} as "TRANSFORMATIONS" from per_status', _PER_STATUS

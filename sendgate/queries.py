@@ -100,6 +100,15 @@ def cascade_status(r: Roles) -> DataFrame:
     return _cascade(r)
 
 
+# The joins as they are run when no side is small: shuffled, with the hot keys split.
+_SHUFFLED = {"max_broadcast": 0, "rows_per_piece": 50}
+
+
+@_query
+def cascade_shuffled(r: Roles) -> DataFrame:
+    return _cascade(r, **_SHUFFLED)
+
+
 @_query
 def cascade_fanout(r: Roles) -> DataFrame:
     return _cascade(r, dedupe_keys=False)
@@ -139,6 +148,12 @@ def eligible_only(r: Roles) -> DataFrame:
     return st.eligible_only(r.due, overdue, r.history, RUN_DATE, BUSINESS)
 
 
+@_query
+def eligible_only_shuffled(r: Roles) -> DataFrame:
+    overdue = st.overdue_keys(r.loans)
+    return st.eligible_only(r.due, overdue, r.history, RUN_DATE, BUSINESS, **_SHUFFLED)
+
+
 # Funnel -----------------------------------------------------------------------------
 
 

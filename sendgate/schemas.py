@@ -28,6 +28,7 @@ UNIQUE_GLOBAL = "UNIQUE_GLOBAL"
 DAILY_CAP = 3
 BATCH_STEP = 1_000_000
 SEND_ATTEMPTS = 3
+TOKEN_ATTEMPTS = 5
 BACKOFF_MIN_SECONDS = 2
 BACKOFF_MAX_SECONDS = 20
 

@@ -11,11 +11,12 @@ from sendgate import schemas as S
 from sendgate.sources.layout import run_folder
 
 
-def require_rows(filename: str, data: DataFrame) -> None:
-    if not isinstance(filename, str) or not filename:
-        raise ValueError("Invalid or empty filename.")
-    if not isinstance(data, DataFrame) or data.isEmpty():
-        raise ValueError("Invalid or empty DataFrame.")
+def require_rows(file_name: str, rows: DataFrame) -> None:
+    """Refuse a batch file without a name or without rows."""
+    if not isinstance(file_name, str) or not file_name.strip():
+        raise ValueError(f"a batch file needs a name, not {file_name!r}")
+    if rows is None or rows.isEmpty():
+        raise ValueError(f"no rows for {file_name}")
 
 
 def write_status(
@@ -46,13 +47,13 @@ def write_batches(
     return folder
 
 
-def write_batch_csv(batch: DataFrame, base: str, filename: str) -> str:
+def write_batch_csv(batch: DataFrame, base: str, file_name: str) -> str:
     """Write one batch as header CSV under ``base`` and return its relative path."""
-    require_rows(filename, batch)
+    require_rows(file_name, batch)
     batch.select(*S.PAYLOAD_COLUMNS).write.mode("overwrite").option("header", True).option(
         "escape", '"'
-    ).csv(base.rstrip("/") + filename)
-    return filename
+    ).csv(base.rstrip("/") + file_name)
+    return file_name
 
 
 def append_log(rows: DataFrame, path: str, schema: StructType) -> None:

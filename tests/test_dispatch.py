@@ -5,9 +5,10 @@ from collections import Counter
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from sendgate.operators import batching, dispatch, payloads
-from pyspark.sql import functions as F
 
 COLUMNS = "APPL_ID bigint, IMEI string, Notification_Code string, TriggerID string, row_no bigint, DATA_C_FILENAME string"
 
@@ -128,6 +129,30 @@ def test_a_failing_token_source_is_an_outcome_too(spark):
     assert got == {"/f0.csv": ("failed", None, 3, "PermissionError('locked')")}
 
 
+def test_a_token_source_is_asked_again(spark):
+    class Tokens:
+        """Fails four times, then gives a token."""
+
+        asked = 0
+
+        def __call__(self):
+            self.asked += 1
+            if self.asked < 5:
+                raise TimeoutError
+            return "late"
+
+    got = outcomes(
+        dispatch.dispatch_batches(
+            batches(spark, 1), lambda n, p, t: (200, t), Tokens(), 1, wait=no_wait
+        )
+    )
+    assert got == {"/f0.csv": ("success", "200", 1, "late")}
+
+
+def test_executors_need_no_copy_of_the_package():
+    assert "sendgate" in cloudpickle.list_registry_pickle_by_value()
+
+
 def test_report_has_one_row_per_manifest_row(spark):
     manifest = spark.createDataFrame([("a",), ("b",), ("c",)], "DATA_C_FILENAME string")
     attempts = spark.createDataFrame(

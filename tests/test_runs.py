@@ -158,7 +158,7 @@ def test_names_and_folders_are_checked(spark, tmp_path):
         "/r/run_date=2024-01-02/business=a%20b/transaction_id=x%2Fy"
     )
     frame = spark.createDataFrame([("1", "N", "t")], "IMEI string, Notification_Code string, TriggerID string")
-    for name, data in (("", frame), (None, frame), ("/a", frame.limit(0)), ("/a", None)):
+    for name, data in (("", frame), (" ", frame), (None, frame), ("/a", frame.limit(0)), ("/a", None)):
         with pytest.raises(ValueError):
             writers.require_rows(name, data)
     assert writers.write_batch_csv(frame, str(tmp_path), "/a.csv") == "/a.csv"
@@ -179,7 +179,7 @@ def test_failed_runs_raise(spark):
     ok = spark.createDataFrame([("a", "ok", 0), ("b", None, 0)], S.RUN_LOG)
     logs.raise_on_failed_runs(ok)
     bad = spark.createDataFrame([("a", "ok", 0), ("b", "ERROR: x", 1), ("c", "ERROR: y", 1)], S.RUN_LOG)
-    with pytest.raises(RuntimeError, match="failed: b, c$"):
+    with pytest.raises(RuntimeError, match="^failed runs: b, c$"):
         logs.raise_on_failed_runs(bad.coalesce(1))
 
 
