@@ -59,6 +59,7 @@ def number_rows(
         "placed",
     )
 
+    # One row per block and group, so no window here holds more than MAX_BLOCKS rows.
     earlier = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(
         Window.unboundedPreceding, -1
     )

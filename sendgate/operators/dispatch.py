@@ -95,9 +95,9 @@ def dispatch_batches(
     """Send every batch as one payload and return one row per attempt.
 
     ``tasks`` is the number of files sent at the same time. A file goes out whole, so a task
-    holds one payload at a time; the batch step bounds it. A task that is run again sends
-    again: the file name is the receiver's key for repeats. Write the result once and read
-    that, as each evaluation sends.
+    holds one payload at a time; the batch step bounds it. A task that is run again, or twice
+    by speculation, sends again: the file name is the receiver's key for repeats. Write the
+    result once and read that, as each evaluation sends.
     """
     spark = batches.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
