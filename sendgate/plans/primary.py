@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sendgate import schemas as S
 from sendgate.operators import batching, logs
@@ -65,14 +65,20 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def log_kpi(spark: SparkSession, folders: Folders, run: Run, item: str, started) -> None:
-    row = (run.transaction_id, run.file_name, item, started, utc_now())
-    runs = spark.createDataFrame(
-        [row],
-        "TRANSACTION_ID string, CG_FILENAME string, ITEM_TYPE string,"
-        " started timestamp_ntz, ended timestamp_ntz",
+def log_kpi(
+    spark: SparkSession, folders: Folders, run: Run, item: str, started: dt.datetime
+) -> None:
+    def moment(time: dt.datetime) -> Column:
+        return F.lit(time.isoformat()).cast("timestamp_ntz")
+
+    one = spark.range(1).select(
+        F.lit(run.transaction_id).alias("TRANSACTION_ID"),
+        F.lit(run.file_name).alias("CG_FILENAME"),
+        F.lit(item).alias("ITEM_TYPE"),
+        moment(started).alias("started"),
+        moment(utc_now()).alias("ended"),
     )
-    writers.append_log(logs.kpi_log(runs), f"{folders.logs}/kpi", S.KPI_LOG)
+    writers.append_log(logs.kpi_log(one), f"{folders.logs}/kpi", S.KPI_LOG)
 
 
 def run_primary(
