@@ -104,6 +104,7 @@ def match_keys(
     rows: int | None = None,
     max_broadcast: int = BROADCAST_KEYS,
     rows_per_piece: int = ROWS_PER_PIECE,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left or left anti join of ``df`` to key tables.
 
@@ -111,7 +112,8 @@ def match_keys(
     the other side first: of a large table only the rows asked for are aggregated, and the
     result can be no larger than ``df``. Otherwise each key table is written once and counted.
     Up to ``max_broadcast`` rows it is broadcast and ``df`` is not shuffled for it; beyond that
-    both sides are shuffled, with the hot keys of ``df`` split.
+    both sides are shuffled, with the hot keys of ``df`` split. They are looked for in ``df``
+    unless ``hot`` names them, which saves evaluating ``df`` once more if it is no scan.
     """
     if rows is not None and rows <= max_broadcast:
         small = [(t.on, t.keys(F.broadcast(df.select(t.on).distinct()))) for t in tables]
@@ -121,10 +123,11 @@ def match_keys(
 
     written = [(t.on, keep(t.keys(), "keys")) for t in tables]
     large = [on for on, keys in written if keys.count() > max_broadcast]
-    hot = find_hot_keys(df, large, rows_per_piece) if large else {}
+    if large and hot is None:
+        hot = find_hot_keys(df, large, rows_per_piece)
     for on, keys in written:
-        if on in hot:
-            df = spread_join(df, keys, on, how, hot[on])
+        if on in large:
+            df = spread_join(df, keys, on, how, hot.get(on, {}))
         else:
             df = df.join(F.broadcast(keys), on, how)
     return df

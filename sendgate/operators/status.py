@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -57,14 +58,14 @@ def status_step(
     miss: str,
     frozen: Sequence[str],
     dedupe_keys: bool = True,
-    **join: int,
+    **join: Any,
 ) -> DataFrame:
     """Label rows by whether their ``on`` value is among ``keys``; all columns are kept.
 
     The keys are counted down to one row each before the join, so no row is repeated. With
     ``dedupe_keys=False`` the column ``copies`` tells how often an outer join with the keys as
     they are would repeat it: the repeats are counted, never made, as a loan with many
-    records would multiply all of its rows. ``join`` holds limits for ``match_keys``.
+    records would multiply all of its rows. ``join`` holds options for ``match_keys``.
     """
     joined = match_keys(df, [_counted(keys, on)], "left", **join)
     status = relabel(F.col(_MATCHES).isNotNull(), hit, miss, frozen).alias(S.FILTER_STATUS)
@@ -83,9 +84,11 @@ def _copies() -> Column:
     return F.coalesce(F.col(_MATCHES), F.lit(1)).alias(S.COPIES)
 
 
-def step_overdue(df: DataFrame, overdue: DataFrame, dedupe_keys: bool = True) -> DataFrame:
+def step_overdue(
+    df: DataFrame, overdue: DataFrame, dedupe_keys: bool = True, **join: Any
+) -> DataFrame:
     return status_step(
-        df, overdue, S.APPL_ID, S.DELINQUENT, S.NOT_DELINQUENT, [S.NULL], dedupe_keys
+        df, overdue, S.APPL_ID, S.DELINQUENT, S.NOT_DELINQUENT, [S.NULL], dedupe_keys, **join
     )
 
 
@@ -118,7 +121,7 @@ def capped_keys(
 
 
 def step_business(
-    df: DataFrame, history: DataFrame, run_date: dt.date, business: str
+    df: DataFrame, history: DataFrame, run_date: dt.date, business: str, **join: Any
 ) -> DataFrame:
     return status_step(
         df,
@@ -127,6 +130,7 @@ def step_business(
         S.DUPLICATE_BIZ,
         S.UNIQUE_BIZ,
         [S.NULL, S.DELINQUENT],
+        **join,
     )
 
 
@@ -136,6 +140,7 @@ def step_global_cap(
     run_date: dt.date,
     cap: int = S.DAILY_CAP,
     include_audit: DataFrame | None = None,
+    **join: Any,
 ) -> DataFrame:
     return status_step(
         df,
@@ -144,6 +149,7 @@ def step_global_cap(
         S.DUPLICATE_GLOBAL,
         S.UNIQUE_GLOBAL,
         [S.NULL, S.DELINQUENT, S.DUPLICATE_BIZ],
+        **join,
     )
 
 
@@ -182,13 +188,13 @@ def eligibility_cascade(
     include_audit: DataFrame | None = None,
     dedupe_keys: bool = True,
     exclude: str | None = None,
-    **join: int,
+    **join: Any,
 ) -> DataFrame:
     """All steps at once: ``due`` with the final status of every row.
 
     Gives what the steps give one after another, but reads the history once and joins it
     once. ``due`` has to be a scan or a written table (see ``mark_position``); ``join`` holds
-    limits for ``match_keys``.
+    options for ``match_keys``.
     """
     contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)
     tables = [_counted(overdue, S.APPL_ID), contacts]
@@ -217,7 +223,7 @@ def eligible_only(
     cap: int = S.DAILY_CAP,
     include_audit: DataFrame | None = None,
     exclude: str | None = None,
-    **join: int,
+    **join: Any,
 ) -> DataFrame:
     """The eligible rows alone, by anti joins, for runs that need no status of the others."""
     contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as h
 
 from sendgate import schemas as S
-from sendgate.operators import funnel, status as st
+from sendgate.operators import funnel, skew, status as st
 from tests import brute
 
 DAY = dt.date(2024, 1, 2)
@@ -67,6 +67,23 @@ def test_golden_steps_with_one_shared_history(golden):
     assert bag(got) == expected_golden()
 
 
+@pytest.mark.parametrize("join", [
+    {"max_broadcast": 0},
+    {"max_broadcast": 0, "rows_per_piece": 1},
+    {"max_broadcast": 0, "hot": {S.IMEI: {"103": 2, "108": 3}}},
+])
+def test_golden_steps_shuffled(golden, join):
+    due, overdue, history = golden
+    got = (
+        skew.mark_position(due).transform(st.flag_null_key)
+        .transform(st.step_overdue, overdue, **join)
+        .transform(st.step_business, history, DAY, "CD", **join)
+        .transform(st.step_global_cap, history, DAY, **join)
+        .drop(skew.POSITION)
+    )
+    assert bag(got) == expected_golden()
+
+
 def test_golden_eligible_only(golden):
     due, overdue, history = golden
     status = st.eligibility_cascade(due, overdue, history, DAY, "CD")
