@@ -20,6 +20,9 @@ _PIECES = "_pieces"
 
 # A key table is broadcast up to this many rows, at most some 100 MB.
 BROADCAST_KEYS = 1_000_000
+# Beyond this many rows, cutting a key table down to the keys asked for would seldom make it
+# small enough to broadcast.
+ASKED_ROWS = 10 * BROADCAST_KEYS
 # A key with more rows than this is split; each piece has about this many rows.
 ROWS_PER_PIECE = 500_000
 # At most this many keys are split, so the list of split keys has a fixed size. A key beyond
@@ -90,10 +93,10 @@ class KeyTable:
     reduce: Callable[[DataFrame], DataFrame]
 
     def keys(self, asked: DataFrame | None = None) -> DataFrame:
-        """One row per key, if given only of the ``asked`` keys."""
+        """One row per key; rows not ``asked`` for are dropped before anything is shuffled."""
         rows = self.rows.where(F.col(self.on).isNotNull())
         if asked is not None:
-            rows = rows.join(asked, self.on, "left_semi")
+            rows = rows.join(F.broadcast(asked), self.on, "left_semi")
         return self.reduce(rows)
 
 
@@ -103,29 +106,47 @@ def match_keys(
     how: str,
     rows: int | None = None,
     max_broadcast: int = BROADCAST_KEYS,
+    max_asked: int = ASKED_ROWS,
     rows_per_piece: int = ROWS_PER_PIECE,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Left or left anti join of ``df`` to key tables.
-
-    If ``df`` is known to have no more than ``max_broadcast`` ``rows``, its keys are sent to
-    the other side first: of a large table only the rows asked for are aggregated, and the
-    result can be no larger than ``df``. Otherwise each key table is written once and counted.
-    Up to ``max_broadcast`` rows it is broadcast and ``df`` is not shuffled for it; beyond that
-    both sides are shuffled, with the hot keys of ``df`` split. They are looked for in ``df``
-    unless ``hot`` names them, which saves evaluating ``df`` once more if it is no scan.
+    """Left or left anti join of ``df`` to key tables, no two on the same key.
+
+    ``rows`` is the size of ``df`` where it is known, ``df`` then being a scan.
+
+    * Up to ``max_broadcast`` rows, the keys of ``df`` are sent to the other side, and the key
+      table, which then can be no larger than ``df``, is sent back.
+    * Otherwise the key table is written once and counted. Up to ``max_broadcast`` keys it is
+      broadcast, and ``df`` is not shuffled for it. A larger one is first cut down to the keys
+      asked for, if ``df`` has up to ``max_asked`` rows.
+    * Where it is still larger, both sides are shuffled, with the hot keys of ``df`` split.
+      They are looked for in ``df`` unless ``hot`` names them, which saves evaluating ``df``
+      once more if it is no scan.
     """
+
+    def asked(on: str) -> DataFrame:
+        return df.select(on).distinct()
+
     if rows is not None and rows <= max_broadcast:
-        small = [(t.on, t.keys(F.broadcast(df.select(t.on).distinct()))) for t in tables]
-        for on, keys in small:
+        few = [(t.on, t.keys(asked(t.on))) for t in tables]
+        for on, keys in few:
             df = df.join(F.broadcast(keys), on, how)
         return df
 
-    written = [(t.on, keep(t.keys(), "keys")) for t in tables]
-    large = [on for on, keys in written if keys.count() > max_broadcast]
+    written = {}
+    large = []
+    for t in tables:
+        keys = keep(t.keys(), "keys")
+        n_keys = keys.count()
+        if n_keys > max_broadcast and rows is not None and rows <= max_asked:
+            keys = keep(keys.join(asked(t.on), t.on, "left_semi"), "keys")
+            n_keys = keys.count()
+        written[t.on] = keys
+        if n_keys > max_broadcast:
+            large.append(t.on)
     if large and hot is None:
         hot = find_hot_keys(df, large, rows_per_piece)
-    for on, keys in written:
+    for on, keys in written.items():
         if on in large:
             df = spread_join(df, keys, on, how, hot.get(on, {}))
         else:

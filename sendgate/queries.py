@@ -101,7 +101,7 @@ def cascade_status(r: Roles) -> DataFrame:
 
 
 # The joins as they are run when no side is small: shuffled, with the hot keys split.
-_SHUFFLED = {"max_broadcast": 0, "rows_per_piece": 50}
+_SHUFFLED = {"max_broadcast": 0, "max_asked": 0, "rows_per_piece": 50}
 
 
 @_query

@@ -166,6 +166,23 @@ def test_cascade_plan(spark):
         assert count("HashAggregate.*\\n.*(Project.*\\n.*)?BroadcastHashJoin.*LeftSemi", text) == 2
 
 
+def test_large_key_table_is_cut_down_to_the_keys_asked_for(spark):
+    due = spark.range(3).select(
+        F.col("id").alias("APPL_ID"), F.lit("x").alias("IMEI"), F.lit("N").alias("Notification_Code")
+    )
+    overdue = spark.range(2, 12).select(F.col("id").alias("APPL_ID"))
+    history = spark.createDataFrame([], HISTORY)
+
+    def plan(**limits):
+        with settings(spark, **SHUFFLED):
+            got = st.eligibility_cascade(due, overdue, history, DAY, "CD", max_broadcast=2, **limits)
+            assert got.where("FILTER_STATUS = 'DELINQUENT'").count() == 1
+            return plan_of(got)
+
+    assert "SortMergeJoin" not in plan()
+    assert "SortMergeJoin" in plan(max_asked=2)
+
+
 def test_scan_reads_only_what_is_needed(spark):
     from sendgate.fixtures import Roles
 

@@ -66,7 +66,7 @@ def duck(skewed_dir):
 def test_skewed_query_matches_sql(spark, duck, skewed_dir, monkeypatch, name):
     # Blocks and pieces small enough that the hot groups span many.
     monkeypatch.setattr(batching.number_rows, "__defaults__", (*batching.number_rows.__defaults__[:-1], 300))
-    monkeypatch.setattr(skew.match_keys, "__defaults__", (None, 100, 200, None))
+    monkeypatch.setattr(skew.match_keys, "__defaults__", (None, 100, 10**9, 200, None))
     frame = entry_point.queries()[name](spark, skewed_dir)
     got = frame.collect()
     result = duck.execute(entry_point.oracle_sql()[name])

@@ -156,19 +156,22 @@ imeis = h.one_of(h.none(), h.sampled_from(["1", "2", "3", "4", "5"]))
 loan_ids = h.one_of(h.none(), h.integers(1, 6))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     due=h.lists(h.tuples(loan_ids, imeis, h.sampled_from(["A", "B"])), min_size=1, max_size=30),
     loans=h.lists(h.tuples(loan_ids, h.integers(0, 1), h.sampled_from([0.0, 5.0])), max_size=10),
     history=h.lists(h.tuples(imeis, h.sampled_from(["CD", "AB"])), max_size=15),
     max_broadcast=h.sampled_from([-1, 2, 1_000]),
+    max_asked=h.sampled_from([0, 1_000]),
     rows_per_piece=h.sampled_from([2, 1_000]),
 )
 def test_cascade_equals_brute_force(
-    spark, due, loans, history, max_broadcast, rows_per_piece
+    spark, due, loans, history, max_broadcast, max_asked, rows_per_piece
 ):
     frames = tables(spark, due, loans, history)
-    limits = {"max_broadcast": max_broadcast, "rows_per_piece": rows_per_piece}
+    limits = {
+        "max_broadcast": max_broadcast, "max_asked": max_asked, "rows_per_piece": rows_per_piece,
+    }
     expected = Counter(brute.status_of(due, brute.overdue_ids(loans), history, "CD"))
     assert bag(st.eligibility_cascade(*frames, DAY, "CD", **limits)) == expected
     kept = Counter(row[:3] for row in expected.elements() if row[3] == S.UNIQUE_GLOBAL)
