@@ -30,7 +30,7 @@ class Folders:
 
 @dataclass(frozen=True)
 class Run:
-    """One run: its file, id and start, fixed once so that every step sees the same day."""
+    """One run: its file, id and start (UTC), fixed once so that all steps see the same day."""
 
     file_name: str
     transaction_id: str

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +33,7 @@ def process_arrivals(
 
     def run_one(arrived: DataFrame, _epoch: int) -> None:
         for row in arrived.collect():  # one path per micro-batch
-            name = unquote(row["path"]).rsplit("/", 1)[-1]
+            name = row["path"].rsplit("/", 1)[-1]
             run = Run(name, f"arrival-{name}", clock())
             run_primary(spark, row["path"], overdue(spark), folders, run, cap, step)
 

@@ -198,12 +198,12 @@ def test_arrivals(spark, tmp_path, overdue):
         assert query.exception() is None
 
     process()
-    write_due(landing / "B_CD_2.csv", ROWS + ["N1,x,107,7"])
+    write_due(landing / "B_CD_2 a%20b.csv", ROWS + ["N1,x,107,7"])
     (landing / "ignored.txt").write_text("x")
     process()
     process()
     log = readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).collect()
     assert {(r["CG_FILENAME"], r["CG_COUNT"], r["ELIGIBLE_COUNT"]) for r in log} == {
-        ("A_CD_1.csv", 6, 4), ("B_CD_2.csv", 7, 1),
+        ("A_CD_1.csv", 6, 4), ("B_CD_2 a%20b.csv", 7, 1),
     }
     assert len(log) == 2
