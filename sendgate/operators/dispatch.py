@@ -101,10 +101,11 @@ def dispatch_batches(
     """
     spark = batches.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Batches are dealt to the tasks in turn, as hashing would give some tasks many more.
     lines = (
-        payload_lines(batches)
-        .repartition(tasks, "DATA_C_FILENAME")
-        .sortWithinPartitions("DATA_C_FILENAME", S.CODE, "row_no")
+        payload_lines(batches, "batch_no")
+        .repartitionById(tasks, F.pmod("batch_no", F.lit(tasks)).cast("int"))
+        .sortWithinPartitions("batch_no", "DATA_C_FILENAME", S.CODE, "row_no")
         .select("DATA_C_FILENAME", "line")
     )
 

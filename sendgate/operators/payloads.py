@@ -18,10 +18,10 @@ _CSV = {
 }
 
 
-def payload_lines(batches: DataFrame) -> DataFrame:
-    """One CSV line per row, with the columns that place it in its file."""
+def payload_lines(batches: DataFrame, *others: str) -> DataFrame:
+    """One CSV line per row, with the columns that place it in its file, and ``others``."""
     line = F.to_csv(F.struct(*S.PAYLOAD_COLUMNS), _CSV)
-    return batches.select("DATA_C_FILENAME", S.CODE, "row_no", line.alias("line"))
+    return batches.select("DATA_C_FILENAME", S.CODE, "row_no", line.alias("line"), *others)
 
 
 def build_payloads(batches: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:

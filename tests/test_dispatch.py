@@ -5,12 +5,15 @@ from collections import Counter
 
 import pandas as pd
 import pytest
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from sendgate.operators import batching, dispatch, payloads
 
-COLUMNS = "APPL_ID bigint, IMEI string, Notification_Code string, TriggerID string, row_no bigint, DATA_C_FILENAME string"
+COLUMNS = (
+    "APPL_ID bigint, IMEI string, Notification_Code string, TriggerID string, row_no bigint,"
+    " DATA_C_FILENAME string, batch_no bigint"
+)
 
 
 def no_wait(_attempt):
@@ -23,7 +26,7 @@ def token():
 
 def batches(spark, files=3, rows=4):
     data = [
-        (i, f"{i}", f"N{i % 2}", f"t{f}-{i}", i // 2 + 1, f"/f{f}.csv")
+        (i, f"{i}", f"N{i % 2}", f"t{f}-{i}", i // 2 + 1, f"/f{f}.csv", f)
         for f in range(files) for i in range(rows)
     ]
     return spark.createDataFrame(data, COLUMNS).repartition(4)
@@ -65,6 +68,15 @@ def test_whole_payload_reaches_the_transport(spark):
         assert rows[1:] == [[str(i), f"N{i % 2}", f"t{f}-{i}"] for i in (0, 2, 1, 3)]
 
 
+def test_batches_are_dealt_evenly(spark):
+    def where(name, payload, token):
+        return 200, str(TaskContext.get().partitionId())
+
+    frame = batches(spark, files=12)
+    got = outcomes(dispatch.dispatch_batches(frame, where, token, tasks=4, wait=no_wait))
+    assert sorted(Counter(v[3] for v in got.values()).values()) == [3, 3, 3, 3]
+
+
 def test_payload_longer_than_one_arrow_batch(spark):
     def lines(name, payload, token):
         return 200, str(payload.count("\n"))
@@ -179,7 +191,7 @@ def test_lines_equal_the_pandas_form(spark):
         ("5", "two\nlines", "t5"), ("6", "back\\slash", "t6"), ("7", "it's", "t7"),
     ]
     frame = spark.createDataFrame(
-        [(i, imei, code, t, i, "/f.csv") for i, (imei, code, t) in enumerate(values)], COLUMNS
+        [(i, imei, code, t, i, "/f.csv", 0) for i, (imei, code, t) in enumerate(values)], COLUMNS
     )
     got = [r["line"] for r in payloads.payload_lines(frame).orderBy("row_no").collect()]
     expected = pd.DataFrame(values).to_csv(index=False, header=False)
