@@ -84,3 +84,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_and_decode(documents, _public_vocabulary())
+
+
+# 10 Sharding --------------------------------------------------------------------------
+
+
+@_query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import sharding
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_documents(documents, shards=24)
