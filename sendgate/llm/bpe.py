@@ -25,11 +25,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -44,22 +46,26 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from sendgate.llm.common import fresh
+
 # Texts of about this many bytes are split, or decoded, at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # A query encodes pieces of about this many bytes at a time.
 PIECE_BYTES = 1 << 20
 # Encoded pieces that a task remembers, some 200 bytes each; it starts afresh beyond.
 REMEMBERED = 600_000
 # Pieces up to this many bytes take one contraction per step.
 SHORT_BYTES = 64
-DUCKDB = {"threads": 1, "memory_limit": "300MB"}
+# Nothing is written to a disk: a chunk's rows fit in memory.
+DUCKDB = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Ranks of a byte-level BPE, as the text of a rank file, and the pattern that splits texts.
 
-    A rank file has a fixed size, some hundred kilobytes, and travels with the code.
+    A rank file has a fixed size, some hundred kilobytes, and travels with the code. It has to
+    hold every single byte, and ranks below 65,536.
     """
 
     ranks: bytes
@@ -88,59 +94,42 @@ def merge_rows(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
     ]
 
 
-# A row per byte: the shared start of both queries.
-_BYTES = """
-with recursive
-token as (
-    select word, pos, ids.id
-    from (select word, unnest(range(octet_length(bytes))) as pos,
-                 unnest(regexp_extract_all(hex(bytes), '..')) as byte from pieces)
-    join byte_ids as ids using (byte)
-),"""
-
-# One pair of every piece per step: its lowest rank, leftmost.
-_ENCODE_SHORT = (
-    _BYTES
-    + """
-step as (
-    select word, pos, id, true as busy from token
+# One pair of every piece per step: its lowest rank, leftmost. A row per position is joined with
+# the merges; ``merged * 2**20 + position`` orders the found pairs.
+_ENCODE_SHORT = """
+with recursive step as (
+    select word, ids, true as busy from pieces
     union all (
-        with paired as (
-            select s.*, m.merged
-            from (select word, pos, id, lead(id) over w as following, lead(pos) over w as next
-                  from step where busy window w as (partition by word order by pos)) as s
-            left join merges as m on m.l = s.id and m.r = s.following
+        with pairs as (
+            select word, unnest(range(1, len(ids))) as pos,
+                   unnest(ids[:-2]) * 65536 + unnest(ids[2:]) as pair
+            from step where busy
         ),
         best as (
-            select word, arg_min(struct_pack(at := pos, eaten := next, made := merged),
-                                 merged * 1048576::bigint + pos)
-                         filter (merged is not null) as pair
-            from paired group by word
+            select word, min(merged * 1048576 + pos) as best
+            from pairs join merges using (pair) group by word
         )
-        select word, pos, case when pos = pair.at then pair.made else id end as id,
-               pair is not null as busy
-        from paired join best using (word)
-        where pair is null or pos <> pair.eaten
+        select s.word, case when best is null then ids
+            else ids[:best % 1048576 - 1] || [best // 1048576] || ids[best % 1048576 + 2:]
+            end as ids, best is not null as busy
+        from (select word, ids from step where busy) as s left join best using (word)
     )
 )
-select word, list(id order by pos) as ids from step where not busy group by word
+select word, ids from step where not busy
 """
-)
 
 # Long pieces: all occurrences of the lowest rank in one step, every second one where they
 # overlap, unless a new neighbour pair would have a lower rank still.
-_ENCODE_LONG = (
-    _BYTES
-    + """
-step as (
-    select word, pos, id, true as busy from token
+_ENCODE_LONG = """
+with recursive step as (
+    select word, unnest(range(len(ids))) as pos, unnest(ids) as id, true as busy from pieces
     union all (
         with paired as (
             select s.*, m.merged, min(m.merged) over (partition by word) as best
             from (select word, pos, id, lag(id) over w as before, lead(id) over w as following,
                          lead(id, 2) over w as after, row_number() over w as nth
                   from step where busy window w as (partition by word order by pos)) as s
-            left join merges as m on m.l = s.id and m.r = s.following
+            left join merges as m on m.pair = s.id * 65536 + s.following
         ),
         ordered as (
             select *, merged is not null and merged = best as fits,
@@ -155,12 +144,12 @@ step as (
         ),
         judged as (
             select dealt.*, coalesce(bool_or(second and (
-                       x.l is not null or y.l is not null or z.l is not null))
+                       x.pair is not null or y.pair is not null or z.pair is not null))
                        over (partition by word), false) as risky
             from dealt
-            left join risks as x on x.l = before and x.r = best
-            left join risks as y on y.l = best and y.r = after
-            left join risks as z on z.l = best and z.r = best
+            left join risks as x on x.pair = before * 65536 + best
+            left join risks as y on y.pair = best * 65536 + after
+            left join risks as z on z.pair = best * 65536 + best
         ),
         chosen as (
             select *, case when risky then fits and nth_fit = 1 else second end as starts
@@ -176,14 +165,11 @@ step as (
 )
 select word, list(id order by pos) as ids from step where not busy group by word
 """
-)
 
 _DECODE = """
-select text_no, unhex(string_agg(v.token, '' order by pos)) as bytes
-from (select text_no, unnest(ids) as id, unnest(range(len(ids))) as pos from encoded) as e
-left join vocabulary as v using (id)
+select text_no, unhex(array_to_string(list(token order by pos), '')) as bytes
+from encoded join vocabulary using (id)
 group by text_no
-having count(v.id) = count(*) or error('an id is not in the vocabulary') is null
 """
 
 
@@ -197,7 +183,14 @@ class Codec:
         self.words: dict[str, bytes] = {}
         left, right, merged = zip(*merge_rows(self.ranks), strict=True)
         tables = {
-            "merges": pa.table({"l": left, "r": right, "merged": merged}),
+            "merges": pa.table(
+                {
+                    "pair": np.array(left) * 65536 + np.array(right),
+                    "merged": np.array(merged, np.int64),
+                    # Does the merged token come before one of its own parts?
+                    "early": np.array(merged) < np.maximum(left, right),
+                }
+            ),
             "vocabulary": pa.table(
                 {
                     "id": list(self.ranks.values()),
@@ -209,14 +202,9 @@ class Codec:
             self.database.register("given", table)
             self.database.execute(f"create table {name} as select * from given")
             self.database.unregister("given")
-        self.database.execute(
-            "create table byte_ids as select token as byte, id from vocabulary"
-            " where length(token) = 2"
-        )
-        # Pairs that come before one of their own parts.
-        self.database.execute(
-            "create table risks as select l, r from merges where merged < greatest(l, r)"
-        )
+        self.database.execute("create table risks as select pair from merges where early")
+        self.byte_ids = np.array([self.ranks[bytes([byte])] for byte in range(256)])
+        self.known_ids = np.array(sorted(self.ranks.values()))
 
     def encode_words(self, words: list[str]) -> None:
         """Remember the ids of pieces, as little-endian unsigned 32-bit integers."""
@@ -233,17 +221,18 @@ class Codec:
                 self._contract(query, part)
 
     def _contract(self, query: str, part: list[tuple[str, bytes]]) -> None:
+        raw = [piece for _, piece in part]
+        ids = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+        offsets = np.cumsum([0, *map(len, raw)], dtype=np.int32)
         pieces = pa.table(
             {
-                "word": pa.array(range(len(part)), pa.int64()),
-                "bytes": pa.array([piece for _, piece in part], pa.binary()),
+                "word": np.arange(len(part)),
+                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
             }
         )
         self.database.register("pieces", pieces)
         found = self.database.sql(query).to_arrow_table()
         self.database.unregister("pieces")
-        if found.num_rows != len(part):
-            raise ValueError("a byte is not in the vocabulary")
         ids = found["ids"].combine_chunks()
         ends = ids.offsets.to_pylist()
         flat = ids.values.cast(pa.uint32()).to_numpy(zero_copy_only=False).tobytes()
@@ -256,23 +245,34 @@ class Codec:
             split = [self.split(text) if text else [] for text in part]
             if len(self.words) > REMEMBERED:
                 self.words.clear()
-            new = {word for words in split for word in words} - self.words.keys()
+            new: set[str] = set()
+            for words in split:
+                new.update(words)
+            new.difference_update(self.words)
             self.encode_words(sorted(new))
-            known = self.words
-            yield [b"".join([known[word] for word in words]) for words in split]
+            ids_of = self.words.__getitem__
+            yield [b"".join(map(ids_of, words)) for words in split]
 
-    def decode(self, encoded: list[list[int] | None] | pa.Array) -> list[bytes]:
+    def decode(self, encoded: Sequence[Sequence[int] | None] | pa.ListArray) -> list[bytes]:
         """The bytes that the ids of each text stand for."""
-        table = pa.table(
-            {"text_no": pa.array(range(len(encoded)), pa.int64()), "ids": pa.array(encoded)}
-        )
-        if len(encoded) == 0 or pc.sum(pc.list_value_length(table["ids"])).as_py() in (None, 0):
+        if not isinstance(encoded, pa.ListArray):
+            encoded = pa.array(encoded, pa.list_(pa.int64()))
+        flat = encoded.flatten().to_numpy()
+        if not len(flat):
             return [b""] * len(encoded)
-        self.database.register("encoded", table)
+        lengths = pc.fill_null(pc.list_value_length(encoded), 0).to_numpy()
+        rows = {
+            "text_no": np.repeat(np.arange(len(encoded)), lengths),
+            "pos": np.arange(len(flat)),
+            "id": flat,
+        }
+        if not np.isin(flat, self.known_ids).all():
+            raise ValueError("an id is not in the vocabulary")
+        self.database.register("encoded", pa.table(rows))
         found = self.database.sql(_DECODE).to_arrow_table()
         self.database.unregister("encoded")
         by_text = dict(zip(found["text_no"].to_pylist(), found["bytes"].to_pylist(), strict=True))
-        return [by_text.get(i) or b"" for i in range(len(encoded))]
+        return [by_text.get(i, b"") for i in range(len(encoded))]
 
 
 @lru_cache(maxsize=2)
@@ -311,9 +311,7 @@ def _with(df: DataFrame, *fields: StructField) -> StructType:
     return StructType([f for f in df.schema if f.name.lower() not in names] + list(fields))
 
 
-def _appended(
-    batch: pa.RecordBatch, columns: dict[str, pa.Array]
-) -> pa.RecordBatch:
+def _appended(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     names = {name.lower() for name in columns}
     kept = [name for name in batch.schema.names if name.lower() not in names]
     return pa.RecordBatch.from_arrays(
@@ -331,77 +329,80 @@ def _ids_array(encoded: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encode(batches: Batches, vocabulary: Vocabulary, text: str, ids: str) -> Batches:
+    for batch in batches:
+        for rows in _in_rows(batch, pc.binary_length(batch.column(text))):
+            texts = rows.column(text).to_pylist()
+            encoded = [x for part in codec(vocabulary).encode(texts) for x in part]
+            yield _appended(rows, {ids: _ids_array(encoded)})
+
+
+def _decode(batches: Batches, vocabulary: Vocabulary, ids: str, decoded: str) -> Batches:
+    for batch in batches:
+        # A token stands for some three bytes.
+        lengths = pc.multiply(pc.list_value_length(batch.column(ids)), 3)
+        for rows in _in_rows(batch, lengths):
+            found = codec(vocabulary).decode(rows.column(ids))
+            yield _appended(rows, {decoded: pa.array(found, pa.binary())})
+
+
+def _digest(batches: Batches, dropped: Sequence[str], ids: str, decoded: str) -> Batches:
+    for batch in batches:
+        arrays = batch.column(ids)
+        flat = arrays.values.to_numpy().astype("<u4", copy=False)
+        ends = arrays.offsets.to_pylist()
+        spans = list(pairwise(ends))
+        columns = {
+            "n_tokens": pa.array([b - a for a, b in spans], pa.int64()),
+            "ids_sha256": pa.array(
+                [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in spans], pa.string()
+            ),
+            "decoded_sha256": pa.array(
+                [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(decoded)],
+                pa.string(),
+            ),
+        }
+        names = {name.lower() for name in (*dropped, ids, decoded, *columns)}
+        kept = [name for name in batch.schema.names if name.lower() not in names]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(name) for name in kept), *columns.values()], [*kept, *columns]
+        )
+
+
 def encode_texts(
     df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
     """``df`` with the token ids of its texts, an array of integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in _in_rows(batch, pc.binary_length(batch.column(text))):
-                texts = rows.column(text).to_pylist()
-                encoded = [x for part in codec(vocabulary).encode(texts) for x in part]
-                yield _appended(rows, {ids: _ids_array(encoded)})
-
-    return df.mapInArrow(run, _with(df, StructField(ids, ArrayType(IntegerType()))))
+    schema = _with(df, StructField(ids, ArrayType(IntegerType())))
+    return df.mapInArrow(lambda batches: _encode(batches, vocabulary, text, ids), schema)
 
 
 def decode_ids(
     df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded"
 ) -> DataFrame:
     """``df`` with the bytes that its token ids stand for."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = pc.multiply(pc.list_value_length(batch.column(ids)), 8)
-            for rows in _in_rows(batch, lengths):
-                found = codec(vocabulary).decode(rows.column(ids))
-                yield _appended(rows, {decoded: pa.array(found, pa.binary())})
-
-    return df.mapInArrow(run, _with(df, StructField(decoded, BinaryType())))
+    schema = _with(df, StructField(decoded, BinaryType()))
+    return df.mapInArrow(lambda batches: _decode(batches, vocabulary, ids, decoded), schema)
 
 
-def digest_tokens(
-    df: DataFrame, ids: str = "ids", decoded: str = "decoded"
-) -> DataFrame:
-    """``df`` with the number of tokens and the SHA-256 of ids and decoded bytes in their place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = batch.column(ids)
-            flat = arrays.values.to_numpy().astype("<u4", copy=False)
-            ends = arrays.offsets.to_pylist()
-            columns = {
-                "n_tokens": pa.array([b - a for a, b in zip(ends, ends[1:])], pa.int64()),
-                "ids_sha256": pa.array(
-                    [
-                        hashlib.sha256(flat[a:b].tobytes()).hexdigest()
-                        for a, b in zip(ends, ends[1:])
-                    ],
-                    pa.string(),
-                ),
-                "decoded_sha256": pa.array(
-                    [hashlib.sha256(x.as_py()).hexdigest() for x in batch.column(decoded)],
-                    pa.string(),
-                ),
-            }
-            kept = [n for n in batch.schema.names if n not in (ids, decoded, *columns)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), *columns.values()], [*kept, *columns]
-            )
+def encode_and_decode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """Encode every text, decode the ids again, and put both results' digests in its place.
 
+    The columns n_tokens, ids_sha256 (of little-endian unsigned 32-bit integers) and
+    decoded_sha256 replace the text. The steps share one Python worker.
+    """
+    ids, decoded = fresh(df.columns, "ids"), fresh(df.columns, "decoded")
     fields = [
         StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()),
         StructField("decoded_sha256", StringType()),
     ]
-    names = {ids, decoded, *(f.name for f in fields)}
-    return df.mapInArrow(run, StructType([f for f in df.schema if f.name not in names] + fields))
 
+    def run(batches: Batches) -> Batches:
+        encoded = _encode(batches, vocabulary, text, ids)
+        return _digest(_decode(encoded, vocabulary, ids, decoded), [text], ids, decoded)
 
-def encode_and_decode(
-    df: DataFrame, vocabulary: Vocabulary, text: str = "text"
-) -> DataFrame:
-    """Encode every text, decode the ids again, and digest both."""
-    encoded = encode_texts(df, vocabulary, text).drop(text)
-    return digest_tokens(decode_ids(encoded, vocabulary))
+    return df.mapInArrow(run, _with(df.drop(text), *fields))
