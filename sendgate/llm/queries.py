@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sendgate.llm import url_filter
 
@@ -95,3 +95,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard_documents(documents, shards=24)
+
+# 7 Toxicity ---------------------------------------------------------------------------
+
+
+def held_out(doc_id):
+    """Rows that no label is learned from: crc32 of the id's text is divisible by 5."""
+    return F.crc32(F.to_binary(doc_id.cast("string"), F.lit("utf-8"))) % 5 == 0
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import toxicity
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    known = labels.where(~held_out(F.col("doc_id")))
+    model = toxicity.fit(documents, known)
+    scored = toxicity.score_texts(documents, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
