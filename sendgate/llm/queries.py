@@ -114,3 +114,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(documents, known)
     scored = toxicity.score_texts(documents, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+# 4 HTML extraction --------------------------------------------------------------------
+
+
+@_query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import html_extract
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract_text(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -1,0 +1,129 @@
+import html
+import re
+
+import pytest
+
+from sendgate.llm.html_extract import Recurring, extract_text, site_templates
+from sendgate.llm.html_page import Page
+from sendgate.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain(source):
+    return Page(source).text((), ())
+
+
+def test_query_against_brute_force(spark):
+    """The pages of this table mark their article, and nothing recurs inside of it."""
+    rows = QUERIES["op4_html_extract"](spark, SF_DIR).collect()
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
+    assert len(rows) == len(pages)
+    got = {r.page_id: r for r in rows}
+    for page in pages:
+        article = re.search(r"<article>(.*)</article>", page.html, re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)>", article)
+        texts = [" ".join(html.unescape(re.sub(r"<[^>]+>", " ", b)).split()) for b in blocks]
+        expected = "\n\n".join(t for t in texts if t)
+        row = got[page.page_id]
+        assert row.text == expected and row.n_chars == len(expected) and row.url == page.url
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        ("", ""),
+        ("no markup &amp; a < b", "no markup & a < b"),
+        ("<p>a<p>b<br>c", "a\n\nb c"),
+        ("<p><b>x<br><p>y</b> z</p>", "x\n\ny z"),
+        ("<div>a<span>b</span><i>c</i></div>d", "abc\n\nd"),
+        ("<article><h1>T</h1><p>1&nbsp;&#50; &eacute;&notanentity;</p></article>x", "T\n\n1 2 é¬anentity;"),
+        ("<script>if (a<b) '</p>'</script><style>p{}</style><!-- <p>c</p> --><p>k</p>", "k"),
+        ("<nav><ul><li>m</ul></nav><div class='side-bar ad'>x</div><p>k", "k"),
+        ("<div class='page-header'><article><p>k</article></div>", "k"),
+        ("<article><header><h1>T</h1></header><p>k</p><footer>f</footer></article>", "T\n\nk"),
+        ("<main><p>a</p><article><p>k</p></article></main>", "k"),
+        ("<article>k<div id='comments'><p>r</p></div><form>f</form></article>", "k"),
+        ("<article class='has-comments'>k</article><article class='comment'>r</article>", "k"),
+        ("<div class='cookieNotice'>n</div><div role='navigation'>m</div><p hidden>h</p>k", "k"),
+        ("<ul><li><a>one</a><li><a>two</a><li><a>three</a></ul><p>k <a>l</a></p>", "k l"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\n\nb\n\nc"),
+        ("<textarea><p>t</textarea><p>k</p><title>t", "k"),
+        ("<p title=\"a>b\" x='>'>k</p><br/><p/>l", "k\n\nl"),
+        ("<![CDATA[<b>]]><?xml x?><!DOCTYPE html>k", "<b>k"),
+        ("<", "<"),
+        ("<p", ""),
+        ("</p></div>k</html>l", "k\n\nl"),
+        ("<div class='content'><p>" + "k" * 50 + "</p></div><p>x</p>", "k" * 50),
+    ],
+)
+def test_page(source, expected):
+    assert plain(source) == expected
+
+
+def test_deep_and_long_pages():
+    assert plain("<div>" * 20_000 + "k" + "</div>" * 20_000) == "k"
+    assert plain("<b><p>" * 5_000 + "k") == "k"
+    long = "word " * 200_000
+    assert plain(f"<p>{long}") == long.strip()
+    assert plain("<" * 20_000).startswith("<")
+
+
+def site(page, story, host="www.site.com", ad="Buy our fine things today"):
+    body = (
+        f"<div><a>Home</a> <a>News</a></div><div><b>{ad}</b></div><div><p>{story}</p>"
+        f"<p>Stay in touch with us.</p></div><div>Reader board {page}</div>"
+    )
+    return (page, f"http://{host}/{page}", f"<body>{body}</body>", "x")
+
+
+def pages_of(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+
+
+def test_templates_are_counted_per_host(spark):
+    rows = [site(i, f"Story number {i} is its own.") for i in range(12)]
+    rows += [site(100 + i, f"Other story {i}.", "b.com") for i in range(3)]
+    rows += [(200, None, rows[0][2], "x"), (201, "http://www.site.com/e", None, "x")]
+    rows += [(202, "http://www.site.com/e", "", "x"), (None, None, None, None)]
+    found = extract_text(pages_of(spark, rows))
+    assert found.columns == ["page_id", "url", "text"]
+    got = {r.page_id: r.text for r in found.collect()}
+    for i in range(12):
+        assert got[i] == f"Story number {i} is its own.\n\nReader board {i}"
+    assert "Buy our" in got[100] and "Buy our" in got[200]  # too few pages to tell
+    assert got[201] == got[202] == got[None] == ""
+
+
+def test_copies_are_no_template(spark):
+    rows = [site(i, "The same story.")[1:3] for i in range(8)]
+    rows = [(i, url, re.sub(r"board \d+", "board", source), "x") for i, (url, source) in enumerate(rows)]
+    assert site_templates(pages_of(spark, rows), Recurring()).count() == 0
+    text = {r.text for r in extract_text(pages_of(spark, rows)).collect()}
+    assert len(text) == 1 and "The same story." in text.pop()
+
+
+def test_inside_of_articles(spark):
+    """A notice inside of every article goes; a paragraph that some articles share stays."""
+    rows = []
+    for i in range(30):
+        shared = "<p>Shared by a few.</p>" if i < 8 else ""
+        source = f"<article><p>Story {i}.</p>{shared}<div>Follow us now.</div></article>"
+        rows.append((i, "http://s.org/", source, None))
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows)).collect()}
+    assert got[0] == "Story 0.\n\nShared by a few." and got[29] == "Story 29."
+
+
+def test_counts_by_definition(spark):
+    rows = [site(i, f"Story number {i % 9}.") for i in range(12)]
+    found = {r.hash for r in site_templates(pages_of(spark, rows), Recurring()).collect()}
+    counts = {}
+    for _, _, source, _ in rows:
+        page, inside, outside = Page(source).subtrees()
+        for value in {*inside, *outside}:
+            counts.setdefault(value, set()).add(page)
+    assert found == {value for value, on in counts.items() if len(on) >= 4}
+
+
+def test_empty_table(spark):
+    assert extract_text(pages_of(spark, [])).count() == 0
