@@ -125,3 +125,13 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_extract.extract_text(pages)
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+# 9 Embedding near-dedup ---------------------------------------------------------------
+
+
+@_query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import embedding_dedup
+
+    embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.near_duplicates(embeddings)
