@@ -135,3 +135,13 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return embedding_dedup.near_duplicates(embeddings)
+
+# 2 Approximate nearest neighbours -----------------------------------------------------
+
+
+@_query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import ann
+
+    embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(embeddings, F.col("vec_id") % 20 == 0, k=20)
