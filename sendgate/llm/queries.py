@@ -145,3 +145,40 @@ def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     embeddings = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest_neighbours(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+# 8 Mixing sources ---------------------------------------------------------------------
+
+# The domain of a source goes by its number; sources without one are a domain of their own.
+DOMAINS = ("crawl", "news", "books", "forum")
+_DOMAIN_WEIGHTS = {"crawl": 4, "news": 2, "books": 3, "forum": 1, "other": 1}
+
+
+def source_tree() -> list:
+    """Domain, language and source of a document."""
+    number = F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("long")
+    names = F.lit(list(DOMAINS))
+    domain = F.get(names, F.pmod(F.floor(number / 5), F.lit(len(DOMAINS))).cast("int"))
+    return [F.coalesce(domain, F.lit("other")), F.col("lang"), F.col("source")]
+
+
+def text_tokens():
+    """The usual estimate: four bytes a token."""
+    return F.ceil(F.octet_length("text") / 4)
+
+
+def source_mix(share: float, epochs: int):
+    """Target weights of domains, and English with three times another language's weight."""
+    from sendgate.llm.mixing import Mix
+
+    weights = {(domain,): weight for domain, weight in _DOMAIN_WEIGHTS.items()}
+    weights |= {(domain, "en"): 3 for domain in _DOMAIN_WEIGHTS}
+    return Mix(weights=weights, share=share, epochs=epochs, seed=20)
+
+
+@_query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import mixing
+
+    documents = _table(spark, sf_dir, "documents")
+    mixed = mixing.mix_sources(documents, source_tree(), text_tokens(), source_mix(1.0, 2))
+    return mixed.select("doc_id", "lang", "source", "epoch", "leaf_budget", "mix_tokens")
