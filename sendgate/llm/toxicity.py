@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sendgate.llm import string_kernel as kernel
+from sendgate.session import keep
 
 
 @dataclass(frozen=True)
@@ -236,12 +237,20 @@ def labelled_sample(
         .agg((F.max("toxic") > 0).alias("toxic"))
     )
     rows = docs.where(F.col(text).isNotNull()).select("doc_id", F.col(text).alias("text"))
-    rows = rows.join(labels, "doc_id").select("toxic", "text")
+    # The texts stay where they are until the few that are wanted are known.
+    known = rows.select("doc_id", F.xxhash64("text").alias("hash")).join(labels, "doc_id")
     parts = [
-        rows.where(F.col("toxic") == kind).orderBy(F.xxhash64("text"), "text").limit(most)
+        known.where(F.col("toxic") == kind).orderBy("hash", "doc_id").limit(most)
         for kind, most in ((True, settings.toxic), (False, settings.clean))
     ]
-    return parts[0].unionAll(parts[1]).toPandas()
+    wanted = keep(parts[0].unionAll(parts[1]), "wanted").distinct()
+    return (
+        rows.withColumn("hash", F.xxhash64("text"))
+        .join(F.broadcast(wanted), ["doc_id", "hash"])
+        .orderBy("hash", "doc_id")
+        .select("toxic", "text")
+        .toPandas()
+    )
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings | None = None) -> Model:
