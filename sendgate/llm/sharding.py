@@ -49,6 +49,8 @@ def split_hubs(links: DataFrame, most: int) -> DataFrame:
         .where(F.col("_size") > 1)
         .withColumn("_pieces", F.ceil(F.col("_size") / F.lit(most)))
     )
+    # From a written table, Spark can split the rows of a large hub in the join.
+    sizes = broadcast_if_small(keep(sizes, "hubs"))
     return links.join(sizes, "hub").select(
         "row", F.xxhash64("hub", F.pmod(F.xxhash64("row"), "_pieces")).alias("hub")
     )
@@ -213,9 +215,6 @@ def shard_documents(
     links = base.select(
         F.col(row).alias("row"), F.xxhash64(hub, "text_crc32", "size").alias("hub")
     )
-    shared = keep(links, "hubs")
-    many = shared.groupBy("hub").agg(F.count("*").alias("_n")).where("_n > 1").select("hub")
-    links = keep(shared.join(many, "hub", "left_semi"), "links")
     placed = balanced_shards(base.select(F.col(row).alias("row")), links, shards, rounds)
     return base.join(placed.withColumnRenamed("row", row), row).select(
         *others,
