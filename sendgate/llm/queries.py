@@ -182,3 +182,88 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     mixed = mixing.mix_sources(documents, source_tree(), text_tokens(), source_mix(1.0, 2))
     return mixed.select("doc_id", "lang", "source", "epoch", "leaf_budget", "mix_tokens")
+
+# 6 Line dedup -------------------------------------------------------------------------
+
+
+@_query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import line_dedup
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_recurring_lines(documents)
+    return kept.select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped"),
+        F.md5(F.to_binary("text", F.lit("utf-8"))).alias("text_md5"),
+    )
+
+
+ORACLES["op6_line_dedup"] = r"""
+with texts as (
+    select distinct text from documents where text is not null
+), lines as (
+    select text, unnest(string_split(text, chr(10))) as line,
+           unnest(range(len(string_split(text, chr(10))))) as place
+    from texts
+), worded as (
+    select *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+    from lines
+), leaved as (
+    select *, len(words) as n, list_transform(words[:least(3, len(words) // 3)],
+           lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as lead_words
+    from worded where len(words) >= 3
+), different as (
+    select n, lead_words, line, any_value(words) as words, count(distinct text) as texts
+    from leaved group by n, lead_words, line
+), leaf_texts as (
+    select n, lead_words from leaved group by n, lead_words having count(distinct text) >= 5
+), spread as (
+    select n, lead_words, line, texts, unnest(words) as word, unnest(range(len(words))) as spot
+    from different semi join leaf_texts using (n, lead_words)
+), constant as (
+    select n, lead_words, spot, word from spread where not regexp_matches(word, '[0-9]')
+    group by n, lead_words, spot, word having sum(texts) >= 5
+), templates as (
+    select n, lead_words, line, list((spot, word) order by spot) as template, count(*) as fixed
+    from spread join constant using (n, lead_words, spot, word)
+    group by n, lead_words, line
+), templated as (
+    select text, place, leaved.n, leaved.lead_words, template
+    from leaved join templates using (n, lead_words, line) where fixed >= leaved.n * 0.7
+), recurring as (
+    select n, lead_words, template from templated
+    group by n, lead_words, template having count(distinct text) >= 5
+), found as (
+    select text, place, n, lead_words, template
+    from templated semi join recurring using (n, lead_words, template)
+), held as (
+    select text, sum(n) as repeated from found group by text
+), sizes as (
+    select text, sum(n) as words from leaved group by text
+), own as (
+    select n, lead_words, template, text, sum(n) as own from found group by all
+), alone as (
+    select n, lead_words, template from own join held using (text) join sizes using (text)
+    group by n, lead_words, template
+    having count(*) filter (words > own and repeated - own <= (words - own) * 0.5)
+           >= greatest(5, count(*) * 0.5)
+), minor as (
+    select text from held join sizes using (text) where repeated <= words * 0.5
+), dropped as (
+    select text, place from found semi join alone using (n, lead_words, template)
+    union select text, place from found semi join minor using (text)
+), listed as (
+    select text, count(*) as n_dropped, string_agg(place, ',' order by place) as dropped
+    from dropped group by text
+), kept as (
+    select l.text, string_agg(line, chr(10) order by place) as kept
+    from lines as l anti join dropped as d on d.text = l.text and d.place = l.place group by l.text
+)
+select doc_id, len(string_split(d.text, chr(10))) as n_lines, coalesce(n_dropped, 0) as n_dropped,
+       coalesce(dropped, '') as dropped,
+       case when d.text is not null then md5(coalesce(kept, '')) end as text_md5
+from documents as d left join listed on listed.text = d.text left join kept on kept.text = d.text
+"""
