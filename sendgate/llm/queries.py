@@ -267,3 +267,14 @@ select doc_id, len(string_split(d.text, chr(10))) as n_lines, coalesce(n_dropped
        case when d.text is not null then md5(coalesce(kept, '')) end as text_md5
 from documents as d left join listed on listed.text = d.text left join kept on kept.text = d.text
 """
+
+# 3 N-gram Jaccard join ----------------------------------------------------------------
+
+
+@_query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import jaccard_join
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    linked = jaccard_join.link_documents(documents)
+    return linked.select("doc_id", "n_shingles", "component_id", "class_id")
