@@ -365,7 +365,7 @@ def _digest(batches: Batches, dropped: Sequence[str], ids: str, decoded: str) ->
                 pa.string(),
             ),
         }
-        names = {name.lower() for name in (*dropped, ids, decoded, *columns)}
+        names = {name.lower() for name in (*dropped, *columns)}
         kept = [name for name in batch.schema.names if name.lower() not in names]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(name) for name in kept), *columns.values()], [*kept, *columns]
@@ -388,14 +388,18 @@ def decode_ids(
     return df.mapInArrow(lambda batches: _decode(batches, vocabulary, ids, decoded), schema)
 
 
-def encode_and_decode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+def encode_and_decode(
+    df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_ids: bool = False
+) -> DataFrame:
     """Encode every text, decode the ids again, and put both results' digests in its place.
 
     The columns n_tokens, ids_sha256 (of little-endian unsigned 32-bit integers) and
-    decoded_sha256 replace the text. The steps share one Python worker.
+    decoded_sha256 replace the text; with ``keep_ids``, the column ids comes before them. The
+    steps share one Python worker.
     """
     ids, decoded = fresh(df.columns, "ids"), fresh(df.columns, "decoded")
-    fields = [
+    fields = [StructField(ids, ArrayType(IntegerType()))] if keep_ids else []
+    fields += [
         StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()),
         StructField("decoded_sha256", StringType()),
@@ -403,6 +407,7 @@ def encode_and_decode(df: DataFrame, vocabulary: Vocabulary, text: str = "text")
 
     def run(batches: Batches) -> Batches:
         encoded = _encode(batches, vocabulary, text, ids)
-        return _digest(_decode(encoded, vocabulary, ids, decoded), [text], ids, decoded)
+        dropped = [text, decoded] if keep_ids else [text, ids, decoded]
+        return _digest(_decode(encoded, vocabulary, ids, decoded), dropped, ids, decoded)
 
     return df.mapInArrow(run, _with(df.drop(text), *fields))

@@ -69,7 +69,7 @@ from ranked where place = 1
 # 5 Byte-level BPE ---------------------------------------------------------------------
 
 
-def _public_vocabulary():
+def public_vocabulary():
     import public_tokenizers
 
     from sendgate.llm import bpe
@@ -83,7 +83,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sendgate.llm import bpe
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode_and_decode(documents, _public_vocabulary())
+    return bpe.encode_and_decode(documents, public_vocabulary())
 
 
 # 10 Sharding --------------------------------------------------------------------------

@@ -7,14 +7,14 @@ import pytest
 import tiktoken
 
 from sendgate.llm import bpe
-from sendgate.llm.queries import QUERIES, _public_vocabulary
+from sendgate.llm.queries import QUERIES, public_vocabulary
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return _public_vocabulary()
+    return public_vocabulary()
 
 
 @pytest.fixture(scope="module")
