@@ -12,7 +12,7 @@ TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 STAMP_FORMAT = "yyyyMMddHHmmss"
 FILE_PREFIX = "DCNOTIF_"
 FILE_SUFFIX = "_REQ.csv"
-IST_OFFSET_MINUTES = 330
+IST_ZONE = "Asia/Kolkata"
 # End of the fixed values.
 
 
@@ -28,17 +28,24 @@ def imei_of(text: Column) -> Column:
     return whole_number(text).cast("string")
 
 
-def to_ist(ts: Column) -> Column:
-    """UTC time as Indian Standard Time, which has no daylight saving."""
-    return ts + F.expr(f"interval {IST_OFFSET_MINUTES} minute")
+def to_ist(ts: Column, instant: bool = False) -> Column:
+    """UTC time as Indian Standard Time, which has no daylight saving.
+
+    ``ts`` is a timestamp without time zone that holds UTC, or, with ``instant``, a timestamp
+    with one, whatever the time zone of the session.
+    """
+    plain = ts.cast("timestamp_ntz")
+    if instant:
+        return F.convert_timezone(None, F.lit(IST_ZONE), plain)
+    return F.convert_timezone(F.lit("UTC"), F.lit(IST_ZONE), plain)
 
 
-def run_date_ist(ts: Column) -> Column:
-    return F.date_format(to_ist(ts), RUN_DATE_FORMAT)
+def run_date_ist(ts: Column, instant: bool = False) -> Column:
+    return F.date_format(to_ist(ts, instant), RUN_DATE_FORMAT)
 
 
-def ist_text(ts: Column) -> Column:
-    return F.date_format(to_ist(ts), TIME_FORMAT)
+def ist_text(ts: Column, instant: bool = False) -> Column:
+    return F.date_format(to_ist(ts, instant), TIME_FORMAT)
 
 
 def business_of(file_name: Column) -> Column:

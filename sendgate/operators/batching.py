@@ -21,7 +21,6 @@ ORDER = (S.APPL_ID, S.IMEI)
 
 # Blocks are sized by rows, as copies pack so well that sizes in bytes say little about work.
 ROWS_PER_BLOCK = 500_000
-MAX_BLOCKS = 50_000
 
 
 def number_rows(
@@ -31,6 +30,7 @@ def number_rows(
     name: str = "row_no",
     settled: bool = False,
     rows_per_block: int = ROWS_PER_BLOCK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number rows 1, 2, ... per ``by`` group in ``order``, whatever the size of a group.
 
@@ -39,14 +39,15 @@ def number_rows(
     its place in its block; the sizes of the blocks before it give the rest. Ties are broken
     by the other columns, so the numbers depend on the rows alone.
 
-    ``settled`` says that ``df`` is a scan or a written table already.
+    ``settled`` says that ``df`` is a scan or a written table already, ``rows`` how many rows
+    it has; they are counted otherwise. The placed rows are written while the plan is built.
     """
     if not settled:
         df = keep(df, "unnumbered")
     columns = df.columns
     others = [c for c in columns if c not in by and c not in order]
     sort = [*by, *order, *others, POSITION]
-    n_blocks = min(MAX_BLOCKS, df.count() // rows_per_block + 1)
+    n_blocks = (df.count() if rows is None else rows) // rows_per_block + 1
     ranged = mark_position(df).repartitionByRange(n_blocks, *sort).sortWithinPartitions(*sort)
     # The range bounds are drawn from a sample, so the placed rows are written once and
     # both passes below read the same places.
@@ -59,7 +60,7 @@ def number_rows(
         "placed",
     )
 
-    # One row per block and group, so no window here holds more than MAX_BLOCKS rows.
+    # One row per block and group: a window holds a row per half a million of the table's.
     earlier = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -92,9 +93,10 @@ def assign_batches(
     code: str = S.CODE,
     order: Sequence[str] = ORDER,
     settled: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Batch k holds the rows ``k*step+1 .. (k+1)*step`` of every code; none is empty."""
-    return _with_batch_no(number_rows(df, [code], order, settled=settled), step)
+    return _with_batch_no(number_rows(df, [code], order, settled=settled, rows=rows), step)
 
 
 def assign_batches_balanced(
@@ -102,9 +104,10 @@ def assign_batches_balanced(
     step: int = S.BATCH_STEP,
     order: Sequence[str] = ORDER,
     settled: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Batches of exactly ``step`` rows over all codes; the last may be smaller."""
-    return _with_batch_no(number_rows(df, (), order, settled=settled), step)
+    return _with_batch_no(number_rows(df, (), order, settled=settled, rows=rows), step)
 
 
 def batch_slice(batches: DataFrame, batch_no: int) -> DataFrame:

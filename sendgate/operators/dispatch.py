@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -12,17 +13,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 import sendgate
 from sendgate import schemas as S
 from sendgate.functions.scalars import response_json
-from sendgate.operators.payloads import HEADER, payload_lines
+from sendgate.operators.payloads import HEADER, PART_ROWS, build_payloads
 
-# transport(file name, payload text, token) -> (HTTP status code, response text)
-Transport = Callable[[str, str, str], tuple[int, str]]
+# transport(file name, pieces of the payload text, token) -> (HTTP status code, response text)
+Transport = Callable[[str, Iterator[str], str], tuple[int, str]]
 TokenSource = Callable[[], str]
 
 # The sending function goes to the executors with its code, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sendgate)
 
 _UNAUTHORISED = 401
-_SENT_SCHEMA = "filename string, attempt int, code int, api_response string"
+_SENT_SCHEMA = "filename string, attempt int, code int, api_response string, last boolean"
+# A payload is held in memory up to this many bytes, and on the task's own disk beyond.
+SPOOLED_BYTES = 16 << 20
+_PIECE = 1 << 20
 
 
 def backoff_seconds(attempt: int) -> float:
@@ -41,47 +45,69 @@ def classify_response(code: Column) -> Column:
     )
 
 
-def _fetch_token(tokens: TokenSource, wait: Callable[[int], float]) -> str:
-    for failed in range(1, S.TOKEN_ATTEMPTS):
-        try:
-            return tokens()
-        except Exception:
-            time.sleep(wait(failed))
-    return tokens()
+class _Tokens:
+    """The token of one task. A source that failed is not asked again by the same task."""
+
+    def __init__(self, source: TokenSource, wait: Callable[[int], float]) -> None:
+        self._source = source
+        self._wait = wait
+        self._token: str | None = None
+        self._failure: Exception | None = None
+
+    def get(self, fresh: bool = False) -> str:
+        if self._failure is not None:
+            raise self._failure
+        if self._token is None or fresh:
+            for asked in range(1, S.TOKEN_ATTEMPTS + 1):
+                try:
+                    self._token = self._source()
+                    break
+                except Exception as error:
+                    if asked == S.TOKEN_ATTEMPTS:
+                        self._failure = error
+                        raise
+                    time.sleep(self._wait(asked))
+        return self._token
 
 
 def _send_with_retry(
     file_name: str,
-    payload: str,
-    tokens: TokenSource,
-    token: str | None,
+    payload: Callable[[], Iterator[str]],
+    tokens: _Tokens,
     transport: Transport,
     max_attempts: int,
     wait: Callable[[int], float],
-) -> tuple[list[tuple[str, int, int | None, str]], str | None]:
-    """Every attempt for one file, and the token to go on with.
+) -> list[tuple[str, int, int | None, str, bool]]:
+    """Every attempt for one file; the last one decides.
 
     A raised error is retried up to ``max_attempts`` times; one 401 refreshes the token and
-    sends again; any other answer is final.
+    sends again; any other answer is final. A token that cannot be had ends the file at once.
     """
-    attempts: list[tuple[str, int, int | None, str]] = []
+    answers: list[tuple[int | None, str]] = []
     raised = 0
     refreshed = False
     while raised < max_attempts:
         try:
-            token = _fetch_token(tokens, wait) if token is None else token
-            code, text = transport(file_name, payload, token)
+            token = tokens.get(fresh=refreshed and answers[-1][0] == _UNAUTHORISED)
         except Exception as error:  # the outcome is a row, so no batch is lost from the log
+            answers.append((None, f"{error!r}"))
+            break
+        try:
+            code, text = transport(file_name, payload(), token)
+        except Exception as error:
             raised += 1
-            attempts.append((file_name, len(attempts) + 1, None, f"{error!r}"))
+            answers.append((None, f"{error!r}"))
             if raised < max_attempts:
                 time.sleep(wait(raised))
             continue
-        attempts.append((file_name, len(attempts) + 1, int(code), text))
+        answers.append((int(code), text))
         if code != _UNAUTHORISED or refreshed:
             break
-        token, refreshed = None, True
-    return attempts, token
+        refreshed = True
+    return [
+        (file_name, number, code, text, number == len(answers))
+        for number, (code, text) in enumerate(answers, 1)
+    ]
 
 
 def dispatch_batches(
@@ -91,54 +117,67 @@ def dispatch_batches(
     tasks: int | None = None,
     max_attempts: int = S.SEND_ATTEMPTS,
     wait: Callable[[int], float] = backoff_seconds,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Send every batch as one payload and return one row per attempt.
 
-    ``tasks`` is the number of files sent at the same time. A file goes out whole, so a task
-    holds one payload at a time; the batch step bounds it. A task that is run again, or twice
-    by speculation, sends again: the file name is the receiver's key for repeats. Write the
-    result once and read that, as each evaluation sends.
+    ``tasks`` is the number of files sent at the same time. The payload is put together in the
+    JVM, in parts of at most ``part_rows`` lines; a task spools the parts of one file at a time,
+    beyond ``SPOOLED_BYTES`` to its disk, and hands them to the transport piece by piece, again
+    from the start for a retry. So memory does not bound the size of a batch. A task that is
+    run again, or twice by speculation, sends again: the file name is the receiver's key for
+    repeats. Write the result once and read that, as each evaluation sends.
     """
     spark = batches.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Batches are dealt to the tasks in turn, as hashing would give some tasks many more.
-    lines = (
-        payload_lines(batches, "batch_no")
+    parts = (
+        build_payloads(batches, part_rows, ["batch_no"])
         .repartitionById(tasks, F.pmod("batch_no", F.lit(tasks)).cast("int"))
-        .sortWithinPartitions("batch_no", "DATA_C_FILENAME", S.CODE, "row_no")
-        .select("DATA_C_FILENAME", "line")
+        .sortWithinPartitions("batch_no", "DATA_C_FILENAME", S.CODE, "part_no")
+        .select("DATA_C_FILENAME", "payload")
     )
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        token: str | None = None
-        current: str | None = None
-        held: list[str] = []
-
-        def flush() -> pd.DataFrame:
-            nonlocal token
-            payload = "\n".join([HEADER, *held]) + "\n"
-            attempts, token = _send_with_retry(
-                current, payload, tokens, token, transport, max_attempts, wait
-            )
-            frame = pd.DataFrame(attempts, columns=["filename", "attempt", "code", "api_response"])
+        known = _Tokens(tokens, wait)
+
+        def rows() -> Iterator[tuple[str, str]]:
+            for frame in frames:
+                yield from zip(frame["DATA_C_FILENAME"], frame["payload"], strict=True)
+
+        def flush(file_name: str, spool: tempfile.SpooledTemporaryFile) -> pd.DataFrame:
+            def pieces() -> Iterator[str]:
+                spool.seek(0)
+                yield from iter(lambda: spool.read(_PIECE), "")
+
+            attempts = _send_with_retry(file_name, pieces, known, transport, max_attempts, wait)
+            spool.close()
+            columns = ["filename", "attempt", "code", "api_response", "last"]
+            frame = pd.DataFrame(attempts, columns=columns)
             frame["code"] = frame["code"].astype("Int32")
             return frame
 
-        for frame in frames:
-            for file_name, rows in frame.groupby("DATA_C_FILENAME", sort=False):
-                if file_name != current:
-                    if current is not None:
-                        yield flush()
-                    current, held = file_name, []
-                held.append("\n".join(rows["line"]))
-        if current is not None:
-            yield flush()
-
-    sent = lines.mapInPandas(send, _SENT_SCHEMA)
-    return sent.select(
+        current: str | None = None
+        spool = None
+        for file_name, part in rows():
+            if file_name != current:
+                if spool is not None:
+                    yield flush(current, spool)
+                current = file_name
+                spool = tempfile.SpooledTemporaryFile(
+                    SPOOLED_BYTES, "w+", encoding="utf-8", newline=""
+                )
+                spool.write(f"{HEADER}\n")
+            spool.write(f"{part}\n")
+        if spool is not None:
+            yield flush(current, spool)
+
+    # No retry follows a refusal that decides.
+    refused = F.col("last") & (F.col("code") == _UNAUTHORISED)
+    return parts.mapInPandas(send, _SENT_SCHEMA).select(
         "filename",
         "attempt",
-        classify_response(F.col("code")).alias("status"),
+        F.when(refused, "error").otherwise(classify_response(F.col("code"))).alias("status"),
         F.col("code").cast("string").alias("status_code"),
         "api_response",
     )

@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from sendgate.functions.scalars import ist_text
 from sendgate.operators.funnel import funnel_totals
 
-_SHOWN_RUNS = 100
-
-
 def init_log(status: DataFrame, file_name: str, transaction_id: str) -> DataFrame:
     return funnel_totals(status).select(
         F.lit(file_name).alias("CG_FILENAME"),
@@ -58,12 +55,10 @@ def failed_runs(run_log: DataFrame) -> DataFrame:
     return run_log.where(F.col("result").startswith("ERROR:"))
 
 
-def raise_on_failed_runs(run_log: DataFrame) -> None:
-    """Stop with the names of failed runs; a long list is shortened in the message only."""
+def raise_on_failed_runs(run_log: DataFrame, path: str) -> None:
+    """Write the failed runs to ``path`` and stop with their number, if there are any."""
     failed = failed_runs(run_log)
-    names = [row["path"] for row in failed.select("path").limit(_SHOWN_RUNS + 1).collect()]
-    if not names:
-        return
-    shown = ", ".join(names[:_SHOWN_RUNS])
-    more = ", ..." if len(names) > _SHOWN_RUNS else ""
-    raise RuntimeError(f"failed runs: {shown}{more}")
+    failed.write.mode("overwrite").parquet(path)
+    number = run_log.sparkSession.read.schema(run_log.schema).parquet(path).count()
+    if number:
+        raise RuntimeError(f"{number} failed runs, listed in {path}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from sendgate import schemas as S
@@ -24,16 +26,20 @@ def payload_lines(batches: DataFrame, *others: str) -> DataFrame:
     return batches.select("DATA_C_FILENAME", S.CODE, "row_no", line.alias("line"), *others)
 
 
-def build_payloads(batches: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def build_payloads(
+    batches: DataFrame, part_rows: int = PART_ROWS, others: Sequence[str] = ()
+) -> DataFrame:
     """The payload text in parts of at most ``part_rows`` lines.
 
     A file is the header, then its parts by code and ``part_no``, each followed by a line
-    end. No group is larger than a part, whatever the size of the batch.
+    end. No group is larger than a part, whatever the size of the batch. ``others`` are
+    columns that the rows of a file share.
     """
-    parts = payload_lines(batches).withColumn(
+    parts = payload_lines(batches, *others).withColumn(
         "part_no", F.expr(f"(row_no - 1) div {int(part_rows)}")
     )
     return parts.groupBy("DATA_C_FILENAME", S.CODE, "part_no").agg(
         F.count("*").alias("n_rows"),
         F.expr("listagg(line, '\n') within group (order by row_no)").alias("payload"),
+        *[F.first(column).alias(column) for column in others],
     )

@@ -1,41 +1,22 @@
-"""Key joins that stay even when single keys, or missing keys, hold much of the data."""
+"""Key joins that aggregate only what is asked for, and stay even under hot and missing keys."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from sendgate.session import keep
+from sendgate.session import broadcast_if_small, is_small, keep
 
 POSITION = "_position"
-_KEY = "_key"
-_MATCH = "_match"
-_HOT = "_hot"
-_SALT = "_salt"
-_PIECE = "_piece"
-_PIECES = "_pieces"
-
-# A key table is broadcast up to this many rows, at most some 100 MB.
-BROADCAST_KEYS = 1_000_000
-# Beyond this many rows, cutting a key table down to the keys asked for would seldom make it
-# small enough to broadcast.
-ASKED_ROWS = 10 * BROADCAST_KEYS
-# A key with more rows than this is split; each piece has about this many rows.
-ROWS_PER_PIECE = 500_000
-# At most this many keys are split, so the list of split keys has a fixed size. A key beyond
-# it holds less than a thousandth of the rows and is joined like any other.
-MAX_HOT_KEYS = 1_000
-_SKETCH_ITEMS = 4_096
-_SKETCH_GROUPS = 256
 
-HotKeys = Mapping[str, Mapping[Any, int]]
+# A key table is broadcast up to this many rows, and up to ``session.BROADCAST_BYTES``.
+BROADCAST_KEYS = 1_000_000
 
 
 def mark_position(df: DataFrame) -> DataFrame:
-    """Number the rows of a scan, so that even copies of one row can be spread.
+    """Number the rows of a scan, so that even copies of one row differ.
 
     ``df`` has to be a scan or a written table: its rows keep their places when a task is
     run again.
@@ -43,47 +24,6 @@ def mark_position(df: DataFrame) -> DataFrame:
     return df.withColumn(POSITION, F.monotonically_increasing_id())
 
 
-def spread_of(df: DataFrame) -> Column:
-    """A value to spread rows by: their position where it is marked, else their content.
-
-    Content leaves copies of one row together; only the position takes them apart.
-    """
-    return F.col(POSITION) if POSITION in df.columns else F.xxhash64(*df.columns)
-
-
-def find_hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE
-) -> HotKeys:
-    """Per key column, the keys with more than ``rows_per_piece`` rows and their piece count.
-
-    One pass builds a frequent-items sketch of fixed size per input partition; the sketches
-    are merged in two levels and at most ``MAX_HOT_KEYS`` keys per column reach the driver.
-    The counts are estimates: they choose how a join is spread, never what it returns.
-    """
-    sketches = df.groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("_group")).agg(
-        *[F.expr(f"approx_top_k_accumulate(`{key}`, {_SKETCH_ITEMS})").alias(key) for key in keys]
-    )
-    # A grouped aggregation, as the combine function fails on an empty partition without one.
-    merged = sketches.groupBy(F.lit(0).alias("_all")).agg(
-        *[F.expr(f"approx_top_k_combine(`{key}`, {_SKETCH_ITEMS})").alias(key) for key in keys]
-    )
-    found = merged.select(
-        *[
-            F.expr(
-                f"filter(approx_top_k_estimate(`{key}`, {MAX_HOT_KEYS}),"
-                f" x -> x.item is not null and x.count > {rows_per_piece})"
-            ).alias(key)
-            for key in keys
-        ]
-    ).first()
-    if found is None:
-        return {key: {} for key in keys}
-    return {
-        key: {item["item"]: -(-item["count"] // rows_per_piece) for item in found[key]}
-        for key in keys
-    }
-
-
 @dataclass(frozen=True)
 class KeyTable:
     """The other side of a join: its ``rows``, and how they become one row per ``on`` key."""
@@ -92,12 +32,10 @@ class KeyTable:
     rows: DataFrame
     reduce: Callable[[DataFrame], DataFrame]
 
-    def keys(self, asked: DataFrame | None = None) -> DataFrame:
-        """One row per key; rows not ``asked`` for are dropped before anything is shuffled."""
+    def keys(self, asked: DataFrame) -> DataFrame:
+        """One row per key; rows not ``asked`` for are dropped before anything is aggregated."""
         rows = self.rows.where(F.col(self.on).isNotNull())
-        if asked is not None:
-            rows = rows.join(F.broadcast(asked), self.on, "left_semi")
-        return self.reduce(rows)
+        return self.reduce(rows.join(asked, self.on, "left_semi"))
 
 
 def match_keys(
@@ -106,83 +44,33 @@ def match_keys(
     how: str,
     rows: int | None = None,
     max_broadcast: int = BROADCAST_KEYS,
-    max_asked: int = ASKED_ROWS,
-    rows_per_piece: int = ROWS_PER_PIECE,
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left or left anti join of ``df`` to key tables, no two on the same key.
 
     ``rows`` is the size of ``df`` where it is known, ``df`` then being a scan.
 
-    * Up to ``max_broadcast`` rows, the keys of ``df`` are sent to the other side, and the key
-      table, which then can be no larger than ``df``, is sent back.
-    * Otherwise the key table is written once and counted. Up to ``max_broadcast`` keys it is
-      broadcast, and ``df`` is not shuffled for it. A larger one is first cut down to the keys
-      asked for, if ``df`` has up to ``max_asked`` rows.
-    * Where it is still larger, both sides are shuffled, with the hot keys of ``df`` split.
-      They are looked for in ``df`` unless ``hot`` names them, which saves evaluating ``df``
-      once more if it is no scan.
+    * If ``df`` is small, its keys are sent to the other side, and the key table, which then
+      is no larger, is sent back.
+    * Otherwise the different keys of ``df`` are written and counted, and cut the other side
+      down before it is aggregated: by broadcast if they are few, else shuffled by key, which
+      the aggregation needs anyway. The key table is written and counted too; a small one is
+      broadcast, and ``df`` is not shuffled for it.
+    * What is large on both sides is a plain join of two tables. Rows of a hot key, copies of
+      one row, and rows without a key meet in one partition there, and Spark's skew join
+      (``spark.sql.adaptive.skewJoin.enabled``) splits it by size when it has the sizes.
     """
-
-    def asked(on: str) -> DataFrame:
-        return df.select(on).distinct()
-
     if rows is not None and rows <= max_broadcast:
-        few = [(t.on, t.keys(asked(t.on))) for t in tables]
-        for on, keys in few:
-            df = df.join(F.broadcast(keys), on, how)
-        return df
-
-    written = {}
-    large = []
+        asked = df.select(*[t.on for t in tables])
+        if is_small(asked, max_broadcast):
+            few = [(t.on, t.keys(F.broadcast(df.select(t.on).distinct()))) for t in tables]
+            for on, keys in few:
+                df = df.join(F.broadcast(keys), on, how)
+            return df
+    few = []
     for t in tables:
-        keys = keep(t.keys(), "keys")
-        n_keys = keys.count()
-        if n_keys > max_broadcast and rows is not None and rows <= max_asked:
-            keys = keep(keys.join(asked(t.on), t.on, "left_semi"), "keys")
-            n_keys = keys.count()
-        written[t.on] = keys
-        if n_keys > max_broadcast:
-            large.append(t.on)
-    if large and hot is None:
-        hot = find_hot_keys(df, large, rows_per_piece)
-    for on, keys in written.items():
-        if on in large:
-            df = spread_join(df, keys, on, how, hot.get(on, {}))
-        else:
-            df = df.join(F.broadcast(keys), on, how)
+        asked = df.where(F.col(t.on).isNotNull()).select(t.on).distinct()
+        asked = broadcast_if_small(keep(asked, "asked"), max_broadcast)
+        few.append((t.on, keep(t.keys(asked), "keys")))
+    for on, keys in few:
+        df = df.join(broadcast_if_small(keys, max_broadcast), on, how)
     return df
-
-
-def spread_join(
-    df: DataFrame, keys: DataFrame, on: str, how: str, hot: Mapping[Any, int]
-) -> DataFrame:
-    """Shuffled left or left anti join of ``df`` to unique ``keys``, the ``hot`` ones split.
-
-    ``on`` is a bigint or string column. Rows without a key never match; each is shuffled by
-    its spread value in place of the key, or all of them would meet in one task. The rows of
-    a hot key are dealt to its pieces, and that key's one row in ``keys`` is repeated once
-    per piece.
-    """
-    spread = spread_of(df)
-    filled = F.coalesce(F.col(on), spread.cast(df.schema[on].dataType))
-    left = df.withColumn(_KEY, filled)
-    right = keys.withColumnRenamed(on, _MATCH)
-    same = F.col(on).isNotNull() & (F.col(_KEY) == F.col(_MATCH))
-    if hot:
-        zero = F.lit(0).cast("long")
-        # At most MAX_HOT_KEYS rows.
-        pieces = F.broadcast(
-            df.sparkSession.createDataFrame(
-                list(hot.items()), df.select(filled.alias(_HOT), zero.alias(_PIECES)).schema
-            )
-        )
-        count = F.coalesce(F.col(_PIECES), F.lit(1))
-        left = left.join(pieces, F.col(on) == F.col(_HOT), "left").select(
-            *left.columns, F.pmod(spread, count).alias(_SALT)
-        )
-        right = right.join(pieces, F.col(_MATCH) == F.col(_HOT), "left").select(
-            *right.columns, F.explode(F.sequence(zero, count - 1)).alias(_PIECE)
-        )
-        same = same & (F.col(_SALT) == F.col(_PIECE))
-    return left.join(right, same, how).drop(_KEY, _MATCH, _SALT, _PIECE)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sendgate import schemas as S
 from sendgate.functions.scalars import imei_of, whole_number
-from sendgate.operators.skew import KeyTable, mark_position, match_keys
+from sendgate.operators.skew import KeyTable, match_keys
 
 _MATCHES = "_matches"
 _BIZ = "_biz"
@@ -65,7 +65,8 @@ def status_step(
     The keys are counted down to one row each before the join, so no row is repeated. With
     ``dedupe_keys=False`` the column ``copies`` tells how often an outer join with the keys as
     they are would repeat it: the repeats are counted, never made, as a loan with many
-    records would multiply all of its rows. ``join`` holds options for ``match_keys``.
+    records would multiply all of its rows. The key table is written while the plan is built.
+    ``join`` holds options for ``match_keys``.
     """
     joined = match_keys(df, [_counted(keys, on)], "left", **join)
     status = relabel(F.col(_MATCHES).isNotNull(), hit, miss, frozen).alias(S.FILTER_STATUS)
@@ -188,17 +189,19 @@ def eligibility_cascade(
     include_audit: DataFrame | None = None,
     dedupe_keys: bool = True,
     exclude: str | None = None,
+    rows: int | None = None,
     **join: Any,
 ) -> DataFrame:
     """All steps at once: ``due`` with the final status of every row.
 
     Gives what the steps give one after another, but reads the history once and joins it
-    once. ``due`` has to be a scan or a written table (see ``mark_position``); ``join`` holds
-    options for ``match_keys``.
+    once. ``due`` has to be a scan or a written table; it is counted at once unless ``rows``
+    says its size. If it is large, the key tables are written while the plan is built.
+    ``join`` holds options for ``match_keys``.
     """
     contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)
     tables = [_counted(overdue, S.APPL_ID), contacts]
-    joined = match_keys(mark_position(due), tables, "left", due.count(), **join)
+    joined = match_keys(due, tables, "left", due.count() if rows is None else rows, **join)
     status = (
         F.when(F.col(S.IMEI).isNull(), S.NULL)
         .when(F.col(_MATCHES).isNotNull(), S.DELINQUENT)
@@ -223,11 +226,15 @@ def eligible_only(
     cap: int = S.DAILY_CAP,
     include_audit: DataFrame | None = None,
     exclude: str | None = None,
+    rows: int | None = None,
     **join: Any,
 ) -> DataFrame:
-    """The eligible rows alone, by anti joins, for runs that need no status of the others."""
+    """The eligible rows alone, by anti joins, for runs that need no status of the others.
+
+    Like ``eligibility_cascade``, it counts ``due`` unless ``rows`` says its size.
+    """
     contacts = contacts_of_day(history, run_date, business, cap, include_audit, exclude)
-    keyed = mark_position(due.where(F.col(S.IMEI).isNotNull()))
+    keyed = due.where(F.col(S.IMEI).isNotNull())
     tables = [_counted(overdue, S.APPL_ID), contacts]
-    kept = match_keys(keyed, tables, "left_anti", due.count(), **join)
+    kept = match_keys(keyed, tables, "left_anti", due.count() if rows is None else rows, **join)
     return kept.select(*due.columns)

@@ -24,7 +24,9 @@ def _hit(table: str, column: str) -> str:
 
 _BIZ = f"""biz as (select distinct "IMEI" from history where business = '{BUSINESS}')"""
 _CAPPED = 'capped as (select "IMEI" from history group by 1 having count(*) >= 3)'
-_CAPPED_TWICE = 'capped as (select "IMEI" from history group by 1 having 2 * count(*) >= 3)'
+_CAPPED_WITH_AUDIT = """capped as (
+  select "IMEI" from (select "IMEI" from history union all select "IMEI" from due)
+  group by 1 having count(*) >= 3)"""
 
 
 def _status(rows: str = "due", levels: int = 3) -> str:
@@ -124,14 +126,23 @@ _TIME = "%Y-%m-%dT%H:%M:%S.%f"
 _MANIFEST = """select batch_no, "DATA_C_FILENAME", count(*) as "BATCH_FILE_COUNT"
   from named group by 1, 2"""
 
-_ANSWER = """'{"rows": ' || count(*) || ', "bytes": '
-  || (length('IMEI,Notification_Code,TriggerID') + 1 + sum(length(line) + 1)) || '}'
-    as api_response"""
+_ANSWER = '''format('{{"rows": {}, "bytes": {}, "md5": "{}"}}', count(*),
+  length('IMEI,Notification_Code,TriggerID') + 1 + sum(length(line) + 1),
+  md5('IMEI,Notification_Code,TriggerID' || chr(10)
+      || string_agg(line || chr(10), '' order by "Notification_Code", row_no)))
+    as api_response'''
+
+_STAGED = f"""select '{RUN_ID}' as "TRANSACTION_ID", '{FILE_NAME}' as "CG_FILENAME",
+  "DATA_C_FILENAME", count(*) as "BATCH_FILE_COUNT" from named group by 3"""
+_OUTCOMES = f"""select "DATA_C_FILENAME", 'success' as status, '200' as status_code, {_ANSWER}
+  from lines group by 1"""
 
 ORACLES: dict[str, str] = {
     "due_normalised": f"with {_DUE} select * from due",
     "due_from_csv": f"with {_DUE} select * from due",
+    "due_from_odd_csv": f'with {_DUE} select * from due where "IMEI" is not null',
     "overdue_keys": f"with {_DUE} select * from overdue",
+    "overdue_from_table": f"with {_DUE} select * from overdue",
     "null_key_flag": _with("select * from status", levels=0),
     "step_overdue": _with("select * from status", levels=1),
     "step_overdue_fanout": _with(
@@ -150,8 +161,9 @@ ORACLES: dict[str, str] = {
     "funnel_fanout": _with(
         'select "FILTER_STATUS", count(*) as "count" from fanned group by 1', _FANNED
     ),
-    "cap_with_audit": _with("select * from status", capped=_CAPPED_TWICE),
+    "cap_with_audit": _with("select * from status", capped=_CAPPED_WITH_AUDIT),
     "empty_history_cascade": _NO_HISTORY,
+    "absent_history_cascade": _NO_HISTORY,
     "cascade_rerun": _funnel().replace(
         "date '2024-01-02')", f"date '2024-01-02' and event_type <> '{BUSINESS}')"
     ),
@@ -199,10 +211,7 @@ ORACLES: dict[str, str] = {
     ),
     "init_log": _with(_init(RUN_ID), _PER_STATUS),
     "init_log_appended": _with(f"{_init(RUN_ID)} union all {_init('RUN-2')}", _PER_STATUS),
-    "staging_log": _batched(
-        f"""select '{RUN_ID}' as "TRANSACTION_ID", '{FILE_NAME}' as "CG_FILENAME",
-          "DATA_C_FILENAME", count(*) as "BATCH_FILE_COUNT" from named group by 3"""
-    ),
+    "staging_log": _batched(_STAGED),
     "manifest_for_run": f"""
       select distinct 'user_' || user_id || '.csv' as "DATA_C_FILENAME"
       from events where event_type = '{BUSINESS}'""",
@@ -255,10 +264,23 @@ ORACLES: dict[str, str] = {
           from lines group by 1""",
         _LINES,
     ),
-    "primary_run": _batched(_MANIFEST),
-    "bulk_run": _batched(
-        f"""select "DATA_C_FILENAME", 'success' as status, '200' as status_code, {_ANSWER}
+    "dispatch_retried": _batched(
+        f"""select "DATA_C_FILENAME" as filename, 3 as attempt, 'success' as status,
+          '200' as status_code, {_ANSWER}
           from lines group by 1""",
         _LINES,
     ),
+    "primary_run": _batched(_MANIFEST),
+    "primary_status": _with(
+        'select "APPL_ID", "IMEI", "Notification_Code", "FILTER_STATUS" from status'
+    ),
+    "primary_init_log": _with(_init(RUN_ID), _PER_STATUS),
+    "primary_run_twice": _batched(_STAGED),
+    "bulk_run": _batched(_OUTCOMES, _LINES),
+    "bulk_after_rerun": _batched(_OUTCOMES, _LINES),
+    "run_log_written": f"""
+      select * from (values ('{FILE_NAME}', false, 0, (select count(*) from orders)),
+        ('noname.csv', true, 1, null), ('X_view_1.csv', true, 1, null),
+        ('X_error_2.csv', false, 0, (select count(*) from orders)))
+        as t(path, failed, retries, "CG_COUNT")""",
 }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sendgate import schemas as S
 from sendgate.operators import dispatch, logs
-from sendgate.plans.primary import Folders, Run, log_kpi, utc_now
-from sendgate.session import broadcast_if_small, keep
+from sendgate.plans.primary import Folders, Run, first_start, log_kpi, utc_now
+from sendgate.session import broadcast_if_small, keep, scratch, settle
 from sendgate.sources import readers, writers
 
 
@@ -24,21 +24,33 @@ def run_bulk(
 ) -> DataFrame:
     """Send what the manifest of this transaction lists; returns one outcome per file.
 
-    Only files in the manifest are sent, and each gets exactly one row in the response log.
+    Only files in the run's own manifest are sent, and each gets exactly one row in the
+    response log. Sending again replaces these rows.
     """
     started = utc_now()
-    staging = readers.read_log(spark, f"{folders.logs}/staging", S.STAGING_LOG)
-    # A repeated run logs its files again; a file is still sent once.
-    manifest = keep(logs.manifest_for(staging, run.transaction_id).distinct(), "manifest")
-    staged = readers.read_batches(spark, folders.batches, run.run_date, run.transaction_id)
-    listed = staged.join(broadcast_if_small(manifest), "DATA_C_FILENAME", "left_semi")
-    # Written before anything reads it: evaluating the attempts again would send again.
-    attempts = keep(dispatch.dispatch_batches(listed, transport, tokens, tasks, wait=wait), "sent")
-    report = dispatch.dispatch_report(manifest, dispatch.latest_attempt(attempts))
-    writers.append_log(
+    settle(spark)
+    run = first_start(spark, folders, run)
+    with scratch(spark):
+        staging = readers.read_run_log(
+            spark, f"{folders.logs}/staging", S.STAGING_LOG, *run.owner
+        )
+        manifest = keep(logs.manifest_for(staging, run.transaction_id), "manifest")
+        staged = readers.read_batches(
+            spark, folders.batches, run.run_date, run.transaction_id, run.business
+        )
+        listed = staged.join(broadcast_if_small(manifest), "DATA_C_FILENAME", "left_semi")
+        # Written before anything reads it: evaluating the attempts again would send again.
+        attempts = keep(
+            dispatch.dispatch_batches(listed, transport, tokens, tasks, wait=wait), "sent"
+        )
+        report = dispatch.dispatch_report(manifest, dispatch.latest_attempt(attempts))
+        outcomes = writers.write_log(report, f"{folders.logs}/outcomes", S.OUTCOMES, *run.owner)
+    report = readers.read_log(spark, outcomes, S.OUTCOMES)
+    writers.write_log(
         dispatch.response_log(report, run.transaction_id),
         f"{folders.logs}/response",
         S.RESPONSE_LOG,
+        *run.owner,
     )
     log_kpi(spark, folders, run, S.ITEM_BULK, started)
     return report

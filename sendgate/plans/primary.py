@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sendgate import schemas as S
 from sendgate.operators import batching, logs
 from sendgate.operators.status import eligibility_cascade, eligible
-from sendgate.session import keep
+from sendgate.session import keep, scratch, settle
 from sendgate.sources import readers, writers
 
 
@@ -39,6 +40,9 @@ class Run:
     def __post_init__(self) -> None:
         object.__setattr__(self, "file_name", self.file_name.strip())
         object.__setattr__(self, "transaction_id", self.transaction_id.strip())
+        if self.started.tzinfo:
+            utc = self.started.astimezone(dt.timezone.utc).replace(tzinfo=None)
+            object.__setattr__(self, "started", utc)
         if not self.business:
             raise ValueError(f"no business in file name {self.file_name!r}")
 
@@ -49,8 +53,7 @@ class Run:
 
     @property
     def local_start(self) -> dt.datetime:
-        utc = self.started.astimezone(dt.timezone.utc) if self.started.tzinfo else self.started
-        return utc.replace(tzinfo=None) + dt.timedelta(minutes=330)
+        return self.started + dt.timedelta(minutes=330)
 
     @property
     def run_date(self) -> dt.date:
@@ -60,11 +63,32 @@ class Run:
     def stamp(self) -> str:
         return self.local_start.strftime("%Y%m%d%H%M%S")
 
+    @property
+    def owner(self) -> tuple[dt.date, str, str]:
+        """What names the run's own folders."""
+        return self.run_date, self.business, self.transaction_id
+
 
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def first_start(spark: SparkSession, folders: Folders, run: Run) -> Run:
+    """``run`` with the start of its transaction's first attempt, which is noted if this is it.
+
+    So a run that is repeated, be it after midnight, has the same day, folders and file names.
+    """
+    path = f"{folders.logs}/start/{quote(run.transaction_id, safe='')}"
+    schema = "started timestamp_ntz"
+    mine = spark.createDataFrame([(run.started,)], schema)
+    mine.write.mode("ignore").parquet(path)
+    noted = spark.read.schema(schema).parquet(path).first()
+    if noted is None:  # the first attempt was cut short while it wrote this
+        mine.write.mode("overwrite").parquet(path)
+        return run
+    return replace(run, started=noted["started"])
+
+
 def log_kpi(
     spark: SparkSession, folders: Folders, run: Run, item: str, started: dt.datetime
 ) -> None:
@@ -78,7 +102,7 @@ def log_kpi(
         moment(started).alias("started"),
         moment(utc_now()).alias("ended"),
     )
-    writers.append_log(logs.kpi_log(one), f"{folders.logs}/kpi", S.KPI_LOG)
+    writers.write_log(logs.kpi_log(one), f"{folders.logs}/kpi/{item}", S.KPI_LOG, *run.owner)
 
 
 def run_primary(
@@ -90,39 +114,67 @@ def run_primary(
     cap: int = S.DAILY_CAP,
     step: int = S.BATCH_STEP,
     balanced: bool = False,
+    count_audit: bool = False,
+    dedupe_keys: bool = True,
+    multi_line: bool = False,
+    drop_bad: bool = False,
 ) -> DataFrame:
     """Run the file through the cascade and stage its batches; returns the manifest rows.
 
     The cascade runs once: the written status table feeds the log and the batches. Running
-    the same transaction again replaces its status and its batches.
+    the same transaction again, at whatever time, replaces its status, batches and log rows.
+    ``count_audit`` also counts the day's status rows of other transactions towards the cap,
+    ``dedupe_keys=False`` counts the fan-out of several overdue records; ``multi_line`` and
+    ``drop_bad`` go to ``read_due``. Intermediate tables are dropped in the end.
     """
     started = utc_now()
-    # The text is parsed once; later passes read only the columns they need.
-    due = keep(readers.read_due(spark, due_path), "due")
-    history = readers.read_history(spark, folders.batches, run.run_date, run.transaction_id)
-    status = eligibility_cascade(due, overdue, history, run.run_date, run.business, cap)
-    owner = (run.run_date, run.business, run.transaction_id)
-    written = writers.write_status(status, folders.status, *owner)
-    status = spark.read.schema(status.schema).parquet(written)
-
-    writers.append_log(
-        logs.init_log(status, run.file_name, run.transaction_id),
-        f"{folders.logs}/init",
-        S.INIT_LOG,
+    settle(spark)
+    run = first_start(spark, folders, run)
+    with scratch(spark):
+        # The text is parsed once; later passes read only the columns they need.
+        due = keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
+        history = readers.read_history(spark, folders.batches, run.run_date, run.transaction_id)
+        audit = readers.read_status(spark, folders.status, run.run_date) if count_audit else None
+        status = eligibility_cascade(
+            due,
+            overdue,
+            history,
+            run.run_date,
+            run.business,
+            cap,
+            include_audit=audit,
+            dedupe_keys=dedupe_keys,
+            exclude=run.transaction_id,
+        )
+        if count_audit:  # it is read and replaced in one folder
+            status = keep(status, "status")
+        written = writers.write_status(status, folders.status, *run.owner)
+        status = spark.read.schema(status.schema).parquet(written)
+
+        init = writers.write_log(
+            logs.init_log(status, run.file_name, run.transaction_id),
+            f"{folders.logs}/init",
+            S.INIT_LOG,
+            *run.owner,
+        )
+        totals = readers.read_log(spark, init, S.INIT_LOG).first()
+
+        assign = batching.assign_batches_balanced if balanced else batching.assign_batches
+        rows = eligible(status).drop(S.COPIES)
+        batches = assign(rows, step, settled=True, rows=totals["ELIGIBLE_COUNT"])
+        batches = batching.add_trigger_ids(batches, run.transaction_id)
+        batches = batching.name_batches(batches, run.stamp, run.run_date, run.business)
+        writers.write_batches(batches, folders.batches, *run.owner)
+
+    staged = readers.read_batches(
+        spark, folders.batches, run.run_date, run.transaction_id, run.business
     )
-
-    assign = batching.assign_batches_balanced if balanced else batching.assign_batches
-    batches = assign(eligible(status), step, settled=True)
-    batches = batching.add_trigger_ids(batches, run.transaction_id)
-    batches = batching.name_batches(batches, run.stamp, run.run_date, run.business)
-    writers.write_batches(batches, folders.batches, *owner)
-
-    staged = readers.read_batches(spark, folders.batches, run.run_date, run.transaction_id)
     manifest = batching.batch_manifest(staged)
-    writers.append_log(
+    writers.write_log(
         logs.staging_log(manifest, run.file_name, run.transaction_id),
         f"{folders.logs}/staging",
         S.STAGING_LOG,
+        *run.owner,
     )
     log_kpi(spark, folders, run, S.ITEM_PRIMARY, started)
     return manifest.orderBy(F.col("batch_no"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import hashlib
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,9 +13,9 @@ from sendgate import schemas as S
 from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP, Roles
 from sendgate.functions import scalars
 from sendgate.operators import batching, dispatch, funnel, logs, payloads, status as st
-from sendgate.operators.skew import POSITION, mark_position
 from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
+from sendgate.plans.runs import run_log, run_logged
 from sendgate.session import keep, new_path
 from sendgate.sources import readers, writers
 
@@ -45,13 +47,34 @@ def overdue_keys(r: Roles) -> DataFrame:
     return st.overdue_keys(r.loans)
 
 
+@_query
+def due_from_odd_csv(r: Roles) -> DataFrame:
+    """A file with line ends inside quotes, and lines with a value too many, left out."""
+    path = new_path(r.spark, "due-csv")
+    raw = r.due_raw.withColumn("OTHER", F.lit("two\nlines"))
+    line = F.to_csv(F.struct(*raw.columns), {"escape": '"'})
+    more = F.when(F.col("LOAN_OVERVIEW_IMEI").isNull(), ",1").otherwise("")
+    text = raw.select(F.concat(line, more).alias("value"))
+    header = r.spark.createDataFrame([(",".join(raw.columns),)], "value string")
+    # One file with its header first, as it would arrive.
+    header.unionAll(text).coalesce(1).write.text(path)
+    return readers.read_due(r.spark, path, multi_line=True, drop_bad=True)
+
+
+@_query
+def overdue_from_table(r: Roles) -> DataFrame:
+    path = new_path(r.spark, "loans")
+    r.loans.write.parquet(path)
+    return readers.read_overdue(r.spark, path)
+
+
 @_query
 def null_key_flag(r: Roles) -> DataFrame:
     return st.flag_null_key(r.due)
 
 
 def _overdue_step(r: Roles, **options) -> DataFrame:
-    flagged = st.flag_null_key(mark_position(r.due))
+    flagged = st.flag_null_key(r.due)
     return st.step_overdue(flagged, st.overdue_keys(r.loans), **options)
 
 
@@ -61,12 +84,12 @@ def _business_step(r: Roles) -> DataFrame:
 
 @_query
 def step_overdue(r: Roles) -> DataFrame:
-    return _overdue_step(r).drop(POSITION)
+    return _overdue_step(r)
 
 
 @_query
 def step_overdue_fanout(r: Roles) -> DataFrame:
-    return _overdue_step(r, dedupe_keys=False).drop(POSITION)
+    return _overdue_step(r, dedupe_keys=False)
 
 
 @_query
@@ -76,7 +99,7 @@ def business_keys(r: Roles) -> DataFrame:
 
 @_query
 def step_business(r: Roles) -> DataFrame:
-    return _business_step(r).drop(POSITION)
+    return _business_step(r)
 
 
 @_query
@@ -86,7 +109,7 @@ def capped_keys(r: Roles) -> DataFrame:
 
 @_query
 def step_global_cap(r: Roles) -> DataFrame:
-    return st.step_global_cap(_business_step(r), r.history, RUN_DATE).drop(POSITION)
+    return st.step_global_cap(_business_step(r), r.history, RUN_DATE)
 
 
 def _cascade(r: Roles, history: DataFrame | None = None, **options) -> DataFrame:
@@ -100,8 +123,8 @@ def cascade_status(r: Roles) -> DataFrame:
     return _cascade(r)
 
 
-# The joins as they are run when no side is small: shuffled, with the hot keys split.
-_SHUFFLED = {"max_broadcast": 0, "max_asked": 0, "rows_per_piece": 50}
+# The joins as they are run when no side is small: shuffled.
+_SHUFFLED = {"max_broadcast": 0}
 
 
 @_query
@@ -121,8 +144,10 @@ def funnel_fanout(r: Roles) -> DataFrame:
 
 @_query
 def cap_with_audit(r: Roles) -> DataFrame:
-    """Audit rows count towards the cap: each sent row has one, so it counts twice."""
-    return _cascade(r, include_audit=r.history)
+    """Audit rows of an earlier run count towards the cap, those of rejected rows too."""
+    root = new_path(r.spark, "audit")
+    writers.write_status(_cascade(r), root, RUN_DATE, "EARLIER", "EARLIER")
+    return _cascade(r, include_audit=readers.read_status(r.spark, root, RUN_DATE))
 
 
 @_query
@@ -130,6 +155,13 @@ def empty_history_cascade(r: Roles) -> DataFrame:
     return funnel.funnel_counts(_cascade(r, r.no_history))
 
 
+@_query
+def absent_history_cascade(r: Roles) -> DataFrame:
+    """The first run ever: the folder of the history is not there yet."""
+    nothing = readers.read_history(r.spark, new_path(r.spark, "none"), RUN_DATE)
+    return funnel.funnel_counts(_cascade(r, nothing))
+
+
 @_query
 def cascade_rerun(r: Roles) -> DataFrame:
     """The run's own rows in the history do not count against it."""
@@ -263,10 +295,11 @@ def init_log(r: Roles) -> DataFrame:
 
 @_query
 def init_log_appended(r: Roles) -> DataFrame:
-    """Two runs append to the log; both rows are read back."""
+    """Two runs log, one of them twice; a row of each is read back."""
     path = new_path(r.spark, "init-log")
-    for run_id in (RUN_ID, "RUN-2"):
-        writers.append_log(logs.init_log(_cascade(r), FILE_NAME, run_id), path, S.INIT_LOG)
+    for run_id in (RUN_ID, "RUN-2", RUN_ID):
+        log = logs.init_log(_cascade(r), FILE_NAME, run_id)
+        writers.write_log(log, path, S.INIT_LOG, RUN_DATE, BUSINESS, run_id)
     return readers.read_log(r.spark, path, S.INIT_LOG)
 
 
@@ -391,11 +424,32 @@ def response_log_parsed(r: Roles) -> DataFrame:
     return dispatch.parse_responses(response_log(r))
 
 
-def _fake_transport(file_name: str, payload: str, token: str) -> tuple[int, str]:
-    """Refuses the first token, then answers with the size of what it was sent."""
+def _fake_transport(file_name: str, payload: Iterator[str], token: str) -> tuple[int, str]:
+    """Refuses the first token, then answers with the size and digest of what it was sent."""
     if token == "stale":
         return 401, "expired"
-    return 200, f'{{"rows": {payload.count(chr(10)) - 1}, "bytes": {len(payload.encode())}}}'
+    lines = size = 0
+    digest = hashlib.md5()
+    for piece in payload:
+        raw = piece.encode()
+        lines, size = lines + raw.count(b"\n"), size + len(raw)
+        digest.update(raw)
+    answer = f'"rows": {lines - 1}, "bytes": {size}, "md5": "{digest.hexdigest()}"'
+    return 200, "{" + answer + "}"
+
+
+class _Flaky:
+    """Raises twice for every file, then answers with the digest of what it was sent."""
+
+    def __init__(self) -> None:
+        self.calls: Counter[str] = Counter()
+
+    def __call__(self, file_name: str, payload: Iterator[str], token: str) -> tuple[int, str]:
+        self.calls[file_name] += 1
+        if self.calls[file_name] < 3:
+            next(payload)
+            raise ConnectionError("down")
+        return _fake_transport(file_name, payload, token)
 
 
 class _Tokens:
@@ -417,23 +471,51 @@ def dispatch_fake_transport(r: Roles) -> DataFrame:
     )
 
 
+@_query
+def dispatch_retried(r: Roles) -> DataFrame:
+    """Every file is sent whole at the third attempt."""
+    attempts = dispatch.dispatch_batches(
+        _named(r), _Flaky(), lambda: "fresh", wait=lambda _: 0.0, part_rows=100
+    )
+    return dispatch.latest_attempt(attempts)
+
+
 # The whole run ----------------------------------------------------------------------
 
 
-def _primary(r: Roles) -> tuple[Folders, Run, DataFrame]:
+def _staged(r: Roles) -> tuple[str, Folders]:
+    """The arriving file, and folders with the day's earlier sends of each business."""
     due = new_path(r.spark, "arrival")
     r.due_raw.write.option("header", True).csv(due)
     folders = Folders.under(new_path(r.spark, "run"))
-    # The day's earlier sends, staged as another transaction of each business.
     (
         r.history.withColumn("transaction_id", F.lit("EARLIER"))
         .select(S.IMEI, "run_date", "business", "transaction_id")
         .write.partitionBy("run_date", "business", "transaction_id")
         .parquet(folders.batches)
     )
-    run = Run(FILE_NAME, RUN_ID, dt.datetime(2024, 1, 2, 4, 0))
+    return due, folders
+
+
+_STARTED = dt.datetime(2024, 1, 2, 4, 0)
+
+
+def _primary(r: Roles, runs: Sequence[tuple[dt.datetime, int]] = ((_STARTED, STEP),)):
+    """The primary run, once per given start and step, always as the same transaction."""
+    due, folders = _staged(r)
     overdue = st.overdue_keys(r.loans)
-    return folders, run, run_primary(r.spark, due, overdue, folders, run, step=STEP)
+    for started, step in runs:
+        run = Run(FILE_NAME, RUN_ID, started)
+        manifest = run_primary(r.spark, due, overdue, folders, run, step=step)
+    return folders, run, manifest
+
+
+# Repeated with a larger step, at last after midnight.
+_AGAIN = (
+    (_STARTED, STEP // 2),
+    (_STARTED + dt.timedelta(minutes=5), 10 * STEP),
+    (_STARTED + dt.timedelta(days=1), STEP),
+)
 
 
 @_query
@@ -442,8 +524,59 @@ def primary_run(r: Roles) -> DataFrame:
     return _primary(r)[2]
 
 
+@_query
+def primary_status(r: Roles) -> DataFrame:
+    """The status table that a whole run wrote."""
+    folders, run, _ = _primary(r)
+    status = readers.read_status(r.spark, folders.status, run.run_date)
+    return status.select(S.APPL_ID, S.IMEI, S.CODE, S.FILTER_STATUS)
+
+
+@_query
+def primary_init_log(r: Roles) -> DataFrame:
+    """The init log of a whole run that was repeated."""
+    folders, _, _ = _primary(r, _AGAIN)
+    return readers.read_log(r.spark, f"{folders.logs}/init", S.INIT_LOG)
+
+
+@_query
+def primary_run_twice(r: Roles) -> DataFrame:
+    """The staging log after repeats: what the last one staged, and nothing else."""
+    folders, _, _ = _primary(r, _AGAIN)
+    return readers.read_log(r.spark, f"{folders.logs}/staging", S.STAGING_LOG)
+
+
 @_query
 def bulk_run(r: Roles) -> DataFrame:
     """The staged batches of a run, sent and reported."""
     folders, run, _ = _primary(r)
     return run_bulk(r.spark, folders, run, _fake_transport, _Tokens())
+
+
+@_query
+def bulk_after_rerun(r: Roles) -> DataFrame:
+    """One outcome per file that is staged in the end."""
+    folders, run, _ = _primary(r, _AGAIN)
+    return run_bulk(r.spark, folders, run, _fake_transport, _Tokens())
+
+
+@_query
+def run_log_written(r: Roles) -> DataFrame:
+    """A good file, one without a business in its name, one that is not there, and a good one."""
+    due, folders = _staged(r)
+    overdue = st.overdue_keys(r.loans)
+    for path, name in ((due, FILE_NAME), (due, "noname.csv"), (due + "-x", "X_view_1.csv"), (due, "X_error_2.csv")):
+
+        def work(path: str = path, name: str = name) -> None:
+            run = Run(name, f"T-{name}", _STARTED)
+            run_primary(r.spark, path, overdue, folders, run, step=STEP)
+
+        run_logged(r.spark, folders, name, work)
+    log = run_log(r.spark, folders)
+    counted = readers.read_log(r.spark, f"{folders.logs}/init", S.INIT_LOG)
+    failed = logs.failed_runs(log).select("path", F.lit(True).alias("failed"))
+    return (
+        log.join(failed, "path", "left")
+        .join(counted.select(F.col("CG_FILENAME").alias("path"), "CG_COUNT"), "path", "left")
+        .select("path", F.coalesce("failed", F.lit(False)).alias("failed"), "retries", "CG_COUNT")
+    )

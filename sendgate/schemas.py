@@ -96,6 +96,8 @@ ATTEMPTS = _schema(
 
 RESPONSE_LOG = _schema(TRANSACTION_ID=_TEXT, DATA_C_FILENAME=_TEXT, DATA_C_RESPONSE=_TEXT)
 
+OUTCOMES = _schema(DATA_C_FILENAME=_TEXT, status=_TEXT, status_code=_TEXT, api_response=_TEXT)
+
 KPI_LOG = _schema(
     TRANSACTION_ID=_TEXT,
     CG_FILENAME=_TEXT,

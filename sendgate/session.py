@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType, DataType, NumericType, StringType
 
 # Runtime settings the jobs are planned for. The checksum pair makes Spark rerun a whole
 # stage when a recomputed map task produces other rows than the lost one did.
@@ -53,6 +57,9 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sendgate-{owner}/{label}-{uuid.uuid4().hex}"
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from that table.
 
@@ -60,15 +67,66 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     survives the loss of any executor without recomputing what came before.
     """
     path = new_path(df.sparkSession, label)
+    held = _SCRATCH.get()
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop in the end what ``keep`` writes inside; nothing may be read from it after that."""
+    held: list[str] = []
+    outer = _SCRATCH.set(held)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(outer)
+        for path in held:
+            drop(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a written table, wherever it is; one that is not there is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def settle(spark: SparkSession) -> None:
+    """Set what the plans rely on in a session that others have made."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 # Small control tables (a row per batch file or per sorted block, up to some 100 bytes each)
-# are broadcast up to this many rows.
+# are broadcast up to this many rows, and any table up to this many bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+
+def _bytes_of(column: Column, kind: DataType) -> Column:
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, NumericType):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(column.cast("string")), F.lit(0)) + 16
+
+
+def size_of(table: DataFrame) -> tuple[int, int]:
+    """Rows of a table, and about how many bytes they take in memory; one job."""
+    parts = [_bytes_of(table[f.name], f.dataType) for f in table.schema]
+    each = sum(parts[1:], parts[0]) if parts else F.lit(0)
+    rows, held = table.agg(F.count("*"), F.sum(each.cast("long"))).first()
+    return rows, held or 0
+
+
+def is_small(table: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    rows, held = size_of(table)
+    return rows <= max_rows and held <= max_bytes
 
 
 def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a written table if it is counted to be small, else leave the join to Spark."""
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return F.broadcast(table) if is_small(table, max_rows) else table

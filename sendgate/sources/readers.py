@@ -10,22 +10,37 @@ from pyspark.sql.types import StructType
 
 from sendgate import schemas as S
 from sendgate.operators.status import day_of, normalise_due, overdue_keys
-from sendgate.sources.layout import day_folder
+from sendgate.sources.layout import day_folder, run_folder
 
 
-def read_due(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+_BAD = "_bad_record"
+
+
+def read_due(
+    spark: SparkSession, path: str, multi_line: bool = False, drop_bad: bool = False
+) -> DataFrame:
     """The candidates of one header CSV file, normalised.
 
-    Columns are found by header name, as text; a missing one fails at once. ``multi_line``
-    allows line ends inside quotes, at the price of one task per file.
+    Columns are found by header name, as text; a missing one fails at once. A record with more
+    or fewer values than the header, such as a line of a record whose quoted text goes over
+    several lines, fails the read, or is left out with ``drop_bad``. ``multi_line`` allows line
+    ends inside quotes, at the price of one task per file.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
+        .option("columnNameOfCorruptRecord", _BAD)
+        .option("columnPruning", False)  # else the values of a record are not counted
     )
-    return normalise_due(raw.select(*S.DUE_RAW.names))
+    header = reader.csv(path).schema
+    raw = reader.schema(header.add(_BAD, "string")).csv(path).select(*S.DUE_RAW.names, _BAD)
+    good = F.col(_BAD).isNull()
+    if drop_bad:
+        return normalise_due(raw.where(good))
+    told = F.raise_error(F.concat(F.lit("not as many values as the header has: "), F.col(_BAD)))
+    code = F.when(good, F.col(S.CODE)).otherwise(told.cast("string"))
+    return normalise_due(raw.withColumn(S.CODE, code))
 
 
 def read_overdue(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -58,9 +73,13 @@ def read_status(spark: SparkSession, root: str, run_date: dt.date) -> DataFrame:
 
 
 def read_batches(
-    spark: SparkSession, root: str, run_date: dt.date, transaction_id: str
+    spark: SparkSession, root: str, run_date: dt.date, transaction_id: str, business: str | None = None
 ) -> DataFrame:
-    staged = _read_staged(spark, root, day_folder(root, run_date), S.BATCHES)
+    """The staged batches of a transaction; with ``business``, only its own folder is listed."""
+    folder = day_folder(root, run_date)
+    if business is not None:
+        folder = run_folder(root, run_date, business, transaction_id)
+    staged = _read_staged(spark, root, folder, S.BATCHES)
     return staged.where(F.col("transaction_id") == transaction_id)
 
 
@@ -73,4 +92,22 @@ def read_batch(
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return _read_staged(spark, path, path, schema)
+    """The log rows under ``path``: of one run if that is its folder, else of all below."""
+    try:
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def read_run_log(
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    run_date: dt.date,
+    business: str,
+    transaction_id: str,
+) -> DataFrame:
+    """The log rows of one run; no other run's files are listed or read."""
+    return read_log(spark, run_folder(root, run_date, business, transaction_id), schema)

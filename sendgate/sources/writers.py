@@ -22,11 +22,14 @@ def require_rows(file_name: str, rows: DataFrame) -> None:
 def write_status(
     status: DataFrame, root: str, run_date: dt.date, business: str, transaction_id: str
 ) -> str:
-    """Write every row with its status; a rerun of the same transaction replaces it."""
+    """Write every row with its status; a rerun of the same transaction replaces it.
+
+    The fan-out counts are written where there are any.
+    """
     folder = run_folder(root, run_date, business, transaction_id)
-    status.select(S.APPL_ID, S.IMEI, S.CODE, S.FILTER_STATUS).write.mode("overwrite").parquet(
-        folder
-    )
+    columns = [S.APPL_ID, S.IMEI, S.CODE, S.FILTER_STATUS]
+    columns += [S.COPIES] if S.COPIES in status.columns else []
+    status.select(*columns).write.mode("overwrite").parquet(folder)
     return folder
 
 
@@ -56,7 +59,16 @@ def write_batch_csv(batch: DataFrame, base: str, file_name: str) -> str:
     return file_name
 
 
-def append_log(rows: DataFrame, path: str, schema: StructType) -> None:
-    """Append log rows, however many, in one write."""
+def write_log(
+    rows: DataFrame,
+    root: str,
+    schema: StructType,
+    run_date: dt.date,
+    business: str,
+    transaction_id: str,
+) -> str:
+    """Write the log rows of one run to its own folder; a rerun replaces them."""
+    folder = run_folder(root, run_date, business, transaction_id)
     typed = [F.col(field.name).cast(field.dataType) for field in schema]
-    rows.select(*typed).write.mode("append").parquet(path)
+    rows.select(*typed).write.mode("overwrite").parquet(folder)
+    return folder

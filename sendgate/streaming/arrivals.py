@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sendgate import schemas as S
 from sendgate.plans.primary import Folders, Run, run_primary, utc_now
+from sendgate.plans.runs import run_logged
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -28,14 +29,21 @@ def process_arrivals(
 
     Files are taken one at a time, as the result of each depends on those before it. The
     stream carries only paths; the run reads the file itself. The transaction id comes from
-    the file name, so a repeated micro-batch replaces what it wrote before.
+    the file name and keeps the time of its first attempt, so a repeated micro-batch replaces
+    what it wrote before, after midnight too. A file that fails, or whose name has no business,
+    is a row in the run log, and the stream goes on with the next.
     """
 
     def run_one(arrived: DataFrame, _epoch: int) -> None:
         for row in arrived.collect():  # one path per micro-batch
-            name = row["path"].rsplit("/", 1)[-1]
-            run = Run(name, f"arrival-{name}", clock())
-            run_primary(spark, row["path"], overdue(spark), folders, run, cap, step)
+            path = row["path"]
+            name = path.rsplit("/", 1)[-1]
+
+            def work(path: str = path, name: str = name) -> None:
+                run = Run(name, f"arrival-{name}", clock())
+                run_primary(spark, path, overdue(spark), folders, run, cap, step)
+
+            run_logged(spark, folders, path, work)
 
     return (
         spark.readStream.schema(_FILES)

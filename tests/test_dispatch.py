@@ -54,7 +54,7 @@ def test_waits():
 
 def test_whole_payload_reaches_the_transport(spark):
     def echo(name, payload, token):
-        return 200, payload
+        return 200, "".join(payload)
 
     frame = batches(spark)
     got = outcomes(dispatch.dispatch_batches(frame, echo, token, tasks=2, wait=no_wait))
@@ -79,7 +79,7 @@ def test_batches_are_dealt_evenly(spark):
 
 def test_payload_longer_than_one_arrow_batch(spark):
     def lines(name, payload, token):
-        return 200, str(payload.count("\n"))
+        return 200, str("".join(payload).count("\n"))
 
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
@@ -128,17 +128,61 @@ def test_retry_refresh_and_errors(spark):
     assert got["/f1.csv"] == ("failed", None, 3, "ConnectionError('down')")
     assert got["/f2.csv"] == ("error", "500", 1, "broken")
     assert got["/f3.csv"] == ("success", "200", 2, "token2")
-    assert got["/f4.csv"] == ("auth_retry", "401", 2, "expired")
+    # No retry follows the second refusal.
+    assert got["/f4.csv"] == ("error", "401", 2, "expired")
+    first = {r["attempt"]: r["status"] for r in rows if r["filename"] == "/f4.csv"}
+    assert first == {1: "auth_retry", 2: "error"}
 
 
-def test_a_failing_token_source_is_an_outcome_too(spark):
+def test_a_dead_token_source_is_asked_five_times_by_a_task(spark, tmp_path):
+    asked = tmp_path / "asked"
+
     def no_token():
+        with open(asked, "a") as f:
+            f.write("x")
         raise PermissionError("locked")
 
     got = outcomes(
-        dispatch.dispatch_batches(batches(spark, 1), lambda *_: (200, ""), no_token, 1, wait=no_wait)
+        dispatch.dispatch_batches(batches(spark, 9), lambda *_: (200, ""), no_token, 1, wait=no_wait)
     )
-    assert got == {"/f0.csv": ("failed", None, 3, "PermissionError('locked')")}
+    assert set(got.values()) == {("failed", None, 1, "PermissionError('locked')")} and len(got) == 9
+    assert len(asked.read_text()) == 5
+
+
+def test_a_token_that_cannot_be_renewed_ends_the_file(spark):
+    class Tokens:
+        asked = 0
+
+        def __call__(self):
+            self.asked += 1
+            if self.asked > 1:
+                raise PermissionError("locked")
+            return "old"
+
+    frame = dispatch.dispatch_batches(
+        batches(spark, 2), lambda *_: (401, "expired"), Tokens(), 1, wait=no_wait
+    )
+    rows = sorted((r["filename"], r["attempt"], r["status"]) for r in frame.collect())
+    assert rows == [("/f0.csv", 1, "auth_retry"), ("/f0.csv", 2, "failed"), ("/f1.csv", 1, "failed")]
+
+
+def test_a_retry_gets_the_payload_from_its_start(spark, monkeypatch):
+    class Api:
+        def __init__(self):
+            self.calls = Counter()
+
+        def __call__(self, name, payload, token):
+            self.calls[name] += 1
+            if self.calls[name] < 3:
+                next(payload)
+                raise ConnectionError("down")
+            return 200, "".join(payload)
+
+    frame = batches(spark, files=2, rows=500)
+    got = outcomes(dispatch.dispatch_batches(frame, Api(), token, 1, wait=no_wait, part_rows=7))
+    for status, _, attempt, text in got.values():
+        assert (status, attempt) == ("success", 3) and text.count("\n") == 501
+        assert text.startswith("IMEI,") and text.count("IMEI") == 1
 
 
 def test_a_token_source_is_asked_again(spark):
@@ -210,7 +254,9 @@ def test_parts_make_the_file(spark, part_rows):
     for r in rows:
         files.setdefault(r["DATA_C_FILENAME"], [payloads.HEADER]).append(r["payload"])
     sent = outcomes(
-        dispatch.dispatch_batches(frame, lambda n, p, t: (200, p), token, tasks=2, wait=no_wait)
+        dispatch.dispatch_batches(
+            frame, lambda n, p, t: (200, "".join(p)), token, tasks=2, wait=no_wait
+        )
     )
     assert {k: "\n".join(v) + "\n" for k, v in files.items()} == {k: v[3] for k, v in sent.items()}
 

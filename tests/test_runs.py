@@ -11,6 +11,7 @@ from sendgate.operators import logs
 from sendgate.operators.status import overdue_keys
 from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
+from sendgate.plans.runs import run_log, run_logged
 from sendgate.sources import layout, readers, writers
 from sendgate.streaming.arrivals import process_arrivals
 
@@ -121,7 +122,7 @@ def test_bulk_run(spark, tmp_path, overdue):
 
     def api(name, payload, token):
         with open(calls / name.replace("/", "-"), "a") as f:
-            f.write(payload)
+            f.writelines(payload)
         return (200, '{"ok": true}') if name.endswith("_0_REQ.csv") else (503, "busy")
 
     report = run_bulk(spark, folders, run, api, lambda: "t", tasks=2, wait=lambda _: 0.0)
@@ -175,12 +176,73 @@ def test_odd_names_survive_the_folder_names(spark, tmp_path):
     assert (got["business"], got["transaction_id"], got["run_date"]) == ("a b", "x/y:1=2%", DAY)
 
 
-def test_failed_runs_raise(spark):
+def test_failed_runs_raise(spark, tmp_path):
     ok = spark.createDataFrame([("a", "ok", 0), ("b", None, 0)], S.RUN_LOG)
-    logs.raise_on_failed_runs(ok)
-    bad = spark.createDataFrame([("a", "ok", 0), ("b", "ERROR: x", 1), ("c", "ERROR: y", 1)], S.RUN_LOG)
-    with pytest.raises(RuntimeError, match="^failed runs: b, c$"):
-        logs.raise_on_failed_runs(bad.coalesce(1))
+    logs.raise_on_failed_runs(ok, str(tmp_path / "none"))
+    rows = [("a", "ok", 0)] + [(f"b{i}", "ERROR: x", 1) for i in range(300)]
+    path = str(tmp_path / "failed")
+    with pytest.raises(RuntimeError, match="^300 failed runs, listed in "):
+        logs.raise_on_failed_runs(spark.createDataFrame(rows, S.RUN_LOG), path)
+    assert {r["path"] for r in spark.read.parquet(path).collect()} == {f"b{i}" for i in range(300)}
+
+
+def test_a_failed_run_is_a_row(spark, tmp_path):
+    folders = Folders.under(str(tmp_path / "staging"))
+    tries = []
+
+    def work():
+        tries.append(1)
+        if len(tries) < 2:
+            raise OSError("later\nmore")
+
+    assert run_logged(spark, folders, "/in/a b.csv", work)
+    assert not run_logged(spark, folders, "/in/x.csv", lambda: 1 / 0)
+    assert run_logged(spark, folders, "/in/x.csv", lambda: None)
+    assert not run_logged(spark, folders, "/in/y.csv", lambda: 1 / 0, retries=2)
+    assert {tuple(r) for r in run_log(spark, folders).collect()} == {
+        ("/in/a b.csv", "ok", 1), ("/in/x.csv", "ok", 0),
+        ("/in/y.csv", "ERROR: ZeroDivisionError: division by zero", 2),
+    }
+
+
+def test_repeat_after_midnight_replaces_everything(spark, tmp_path, overdue):
+    folders = Folders.under(str(tmp_path / "staging"))
+    due = write_due(tmp_path / "due.csv", ROWS)
+    for hours, step in ((0, 1), (1, 2), (30, 100)):
+        run = Run("A_CD_1.csv", "T1", START + dt.timedelta(hours=hours))
+        manifest = run_primary(spark, due, overdue, folders, run, step=step).collect()
+    assert [r["BATCH_FILE_COUNT"] for r in manifest] == [4]
+    assert readers.read_batches(spark, folders.batches, DAY + dt.timedelta(days=1), "T1").count() == 0
+    assert readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).count() == 1
+    report = run_bulk(spark, folders, run, lambda n, p, t: (200, ""), lambda: "t")
+    assert [r["status"] for r in report.collect()] == ["success"]
+    # Nothing of other runs is listed to find the manifest.
+    own = readers.read_run_log(
+        spark, f"{folders.logs}/staging", S.STAGING_LOG, DAY, "CD", "T1"
+    )
+    assert all("transaction_id=T1" in path for path in own.inputFiles())
+
+
+def test_audit_fanout_and_odd_records_of_a_run(spark, tmp_path):
+    folders = Folders.under(str(tmp_path / "staging"))
+    overdue = spark.createDataFrame([(2,), (2,), (2,)], "APPL_ID bigint")
+    due = write_due(tmp_path / "due.csv", ROWS)
+    run_primary(spark, due, overdue, folders, Run("A_AB_1.csv", "T1", START), dedupe_keys=False)
+    init = readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).first()
+    assert (init["CG_COUNT"], init["ELIGIBLE_COUNT"]) == (8, 4)
+    # 102 was rejected, so it is in the audit only; the others are there and sent as well.
+    nobody = spark.createDataFrame([], "APPL_ID bigint")
+    for name, cap in (("T2", 1), ("T3", 2)):
+        run = Run(f"A_{name}_1.csv", name, START)
+        run_primary(spark, due, nobody, folders, run, cap, count_audit=True)
+    kept = statuses(spark, folders, Run("A_T2_1.csv", "T2", START))
+    assert kept[2, "102"] == S.DUPLICATE_GLOBAL
+    odd = write_due(tmp_path / "odd.csv", ['N1,"two', 'lines",101,1', "N1,x,102,2,9", "N1,x,103,3"])
+    with pytest.raises(Exception, match="not as many values"):
+        run_primary(spark, odd, nobody, folders, Run("A_CD_9.csv", "T9", START))
+    run = Run("A_CD_9.csv", "T9", START)
+    run_primary(spark, odd, nobody, folders, run, 99, multi_line=True, drop_bad=True)
+    assert set(statuses(spark, folders, run)) == {(1, "101"), (3, "103")}
 
 
 def test_arrivals(spark, tmp_path, overdue):
@@ -199,9 +261,14 @@ def test_arrivals(spark, tmp_path, overdue):
 
     process()
     write_due(landing / "B_CD_2 a%20b.csv", ROWS + ["N1,x,107,7"])
+    write_due(landing / "noname.csv", ROWS)
     (landing / "ignored.txt").write_text("x")
     process()
     process()
+    failed = logs.failed_runs(run_log(spark, folders)).collect()
+    assert [(r["path"].rsplit("/", 1)[-1], r["retries"]) for r in failed] == [("noname.csv", 1)]
+    assert "no business in file name" in failed[0]["result"]
+    assert run_log(spark, folders).count() == 3
     log = readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).collect()
     assert {(r["CG_FILENAME"], r["CG_COUNT"], r["ELIGIBLE_COUNT"]) for r in log} == {
         ("A_CD_1.csv", 6, 4), ("B_CD_2 a%20b.csv", 7, 1),

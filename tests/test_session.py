@@ -48,3 +48,25 @@ def test_kept_table_is_a_scan_with_the_same_rows(spark):
     kept = session.keep(frame, "kept")
     assert kept.schema.names == ["id", "s"] and kept.inputFiles()
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, frame.collect()))
+
+
+def test_scratch_tables_are_dropped(spark):
+    with session.scratch(spark):
+        kept = session.keep(spark.range(3), "scratch")
+        path = kept.inputFiles()[0]
+        with session.scratch(spark):
+            inner = session.keep(kept, "scratch").inputFiles()[0]
+        assert kept.count() == 3
+        with pytest.raises(Exception):
+            spark.read.parquet(inner)
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+    session.drop(spark, path)
+
+
+def test_plans_set_what_they_rely_on(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    session.settle(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    spark.conf.set("spark.sql.session.timeZone", before)

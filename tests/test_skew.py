@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sendgate.operators import batching, skew, status as st
 from sendgate.operators.funnel import funnel_counts
+from sendgate.session import is_small, keep
 from tests.test_status import DAY, HISTORY
 
 
@@ -59,52 +60,51 @@ def skew_table(frame):
     return frame.repartition(4)
 
 
-def test_hot_keys_are_found_with_their_pieces(spark):
-    due = skewed_due(spark)
-    hot = skew.find_hot_keys(due, ["APPL_ID", "IMEI"], 1_000)
-    assert hot == {"APPL_ID": {77: 10}, "IMEI": {"hot": 10, "copy": 10}}
-    assert skew.find_hot_keys(due, ["IMEI"]) == {"IMEI": {}}
-
-
-@pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_hot_keys_of_little_or_no_data(spark, adaptive):
-    with settings(spark, **{"spark.sql.adaptive.enabled": adaptive}):
-        empty = spark.createDataFrame([], "k string, m bigint")
-        assert skew.find_hot_keys(empty, ["k", "m"], 1) == {"k": {}, "m": {}}
-        nulls = spark.createDataFrame([(None, 1), (None, 1)], "k string, m bigint")
-        assert skew.find_hot_keys(nulls.repartition(7), ["k", "m"], 1) == {"k": {}, "m": {1: 2}}
-
-
-def test_list_of_hot_keys_is_bounded(spark):
-    many = spark.range(20_000).select((F.col("id") % 4_000).alias("k"))
-    hot = skew.find_hot_keys(many, ["k"], 1)["k"]
-    assert len(hot) == skew.MAX_HOT_KEYS
+# What Spark's skew join does beyond 256 MB, at the size of these tables.
+SKEW = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200b",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400b",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+}
 
 
-@pytest.mark.parametrize("how", ["left", "left_anti"])
-@pytest.mark.parametrize("marked", [True, False])
-def test_spread_join_keeps_every_row(spark, how, marked):
-    due = skewed_due(spark, 9_000)
-    due = skew.mark_position(due) if marked else due
-    keys = spark.createDataFrame([("hot", 1), ("other", 1)], "IMEI string, flag int")
-    hot = skew.find_hot_keys(due, ["IMEI"], 100)["IMEI"]
-    plain = due.join(keys, "IMEI", how)
-    spread = skew.spread_join(due, keys, "IMEI", how, hot)
-    columns = [c for c in plain.columns if c != skew.POSITION]
-    count = lambda f: {tuple(r) for r in f.groupBy(*columns).count().collect()}
-    assert count(spread) == count(plain)
+def spread_over(frame):
+    """The part of all rows in the fullest task, with the plan that ran."""
+    counted = frame.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count("*").alias("count"), F.max("APPL_ID"), F.max("FILTER_STATUS")
+    )
+    sizes = [row["count"] for row in counted.collect()]
+    return max(sizes) / sum(sizes), counted._jdf.queryExecution().toString()
 
 
-def test_spread_join_spreads_missing_hot_and_copied_keys(spark):
-    keys = spark.createDataFrame([("hot", 1), ("copy", 1)], "IMEI string, flag int")
-    with settings(spark, **SHUFFLED):
-        due = skew.mark_position(skewed_due(spark))
-        hot = skew.find_hot_keys(due, ["IMEI"], 100)["IMEI"]
-        assert share_of_largest(due.join(keys, "IMEI", "left")) > 0.3
-        assert share_of_largest(skew.spread_join(due, keys, "IMEI", "left", hot)) < 0.12
-        # The rows without a key are spread even when no key is hot.
-        nulls = skew.spread_join(due.where("IMEI is null"), keys, "IMEI", "left", {})
-        assert share_of_largest(nulls) < 0.1
+@pytest.mark.parametrize("key", ["missing", "hot", "copies", "many hot keys", "small hot key"])
+def test_skew_join_splits_what_meets_under_one_key(spark, key):
+    """No list of hot keys is needed: rows need no marked position, and no key is missed."""
+    n = F.col("id")
+    imei = {
+        "missing": F.when(n % 2 == 0, F.concat(F.lit("k"), n)),
+        "hot": F.when(n % 2 == 0, F.concat(F.lit("k"), n)).otherwise("hot"),
+        "copies": F.when(n >= 0, "copy"),
+        "many hot keys": F.concat(F.lit("k"), n % 3_000),
+        "small hot key": F.when(n % 4_000 == 0, "small").otherwise(F.concat(F.lit("k"), n)),
+    }[key]
+    appl = F.when(n >= 0, 1).cast("long") if key == "copies" else n
+    rows = spark.range(400_000 if key == "small hot key" else 40_000).repartition(32)
+    due = rows.select(appl.alias("APPL_ID"), imei.alias("IMEI"), F.lit("N").alias("c"))
+    history = spark.createDataFrame([("hot",), ("copy",), ("k2",), ("small",)], "IMEI string")
+    with settings(spark, **SKEW):
+        got = st.status_step(
+            st.flag_null_key(due), history, "IMEI", "HIT", "MISS", [], max_broadcast=0
+        )
+        share, plan = spread_over(got)
+        assert share < 0.1
+        assert "SortMergeJoin" in plan
+        if key in ("missing", "hot", "copies"):
+            assert "skew=true" in plan
 
 
 def test_numbering_spreads_one_code_and_copies(spark):
@@ -166,21 +166,27 @@ def test_cascade_plan(spark):
         assert count("HashAggregate.*\\n.*(Project.*\\n.*)?BroadcastHashJoin.*LeftSemi", text) == 2
 
 
-def test_large_key_table_is_cut_down_to_the_keys_asked_for(spark):
-    due = spark.range(3).select(
-        F.col("id").alias("APPL_ID"), F.lit("x").alias("IMEI"), F.lit("N").alias("Notification_Code")
+@pytest.mark.parametrize("max_broadcast", [0, 2_000_000])
+def test_keys_not_asked_for_are_never_aggregated(spark, max_broadcast):
+    """Two million candidates: the other side is cut down below its aggregation."""
+    asked = skew.broadcast_if_small(
+        keep(spark.range(2_000_000).select(F.col("id").alias("APPL_ID")), "asked"), max_broadcast
     )
-    overdue = spark.range(2, 12).select(F.col("id").alias("APPL_ID"))
-    history = spark.createDataFrame([], HISTORY)
-
-    def plan(**limits):
-        with settings(spark, **SHUFFLED):
-            got = st.eligibility_cascade(due, overdue, history, DAY, "CD", max_broadcast=2, **limits)
-            assert got.where("FILTER_STATUS = 'DELINQUENT'").count() == 1
-            return plan_of(got)
-
-    assert "SortMergeJoin" not in plan()
-    assert "SortMergeJoin" in plan(max_asked=2)
+    loans = spark.range(3_000_000).select((F.col("id") % 2_500_000).alias("APPL_ID"))
+    with settings(spark, **{**SHUFFLED, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        keys = st._counted(loans, "APPL_ID").keys(asked)
+        plan = plan_of(keys)
+        lines = [i for i, line in enumerate(plan.splitlines()) if "HashAggregate" in line]
+        semi = next(i for i, line in enumerate(plan.splitlines()) if "LeftSemi" in line)
+        assert lines and max(lines) < semi
+        assert keys.count() == 2_000_000
+
+
+def test_long_keys_are_not_broadcast(spark):
+    """Few rows whose keys are long texts: the size in bytes decides."""
+    due = spark.range(300).select(F.expr("repeat('x', 300000) || id").alias("IMEI"))
+    assert not is_small(due, 1_000)
+    assert is_small(due.select(F.substr("IMEI", F.lit(1), F.lit(10))), 1_000)
 
 
 def test_scan_reads_only_what_is_needed(spark):

@@ -64,9 +64,10 @@ def duck(skewed_dir):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_skewed_query_matches_sql(spark, duck, skewed_dir, monkeypatch, name):
-    # Blocks and pieces small enough that the hot groups span many.
-    monkeypatch.setattr(batching.number_rows, "__defaults__", (*batching.number_rows.__defaults__[:-1], 300))
-    monkeypatch.setattr(skew.match_keys, "__defaults__", (None, 100, 10**9, 200, None))
+    # Blocks small enough that the hot groups span many, and key tables too large to broadcast.
+    defaults = batching.number_rows.__defaults__
+    monkeypatch.setattr(batching.number_rows, "__defaults__", (*defaults[:-2], 300, None))
+    monkeypatch.setattr(skew.match_keys, "__defaults__", (None, 100))
     frame = entry_point.queries()[name](spark, skewed_dir)
     got = frame.collect()
     result = duck.execute(entry_point.oracle_sql()[name])

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as h
 
 from sendgate import schemas as S
-from sendgate.operators import funnel, skew, status as st
+from sendgate.operators import funnel, status as st
 from tests import brute
 
 DAY = dt.date(2024, 1, 2)
@@ -67,20 +67,15 @@ def test_golden_steps_with_one_shared_history(golden):
     assert bag(got) == expected_golden()
 
 
-@pytest.mark.parametrize("join", [
-    {"max_broadcast": 0},
-    {"max_broadcast": 0, "rows_per_piece": 1},
-    {"max_broadcast": 0, "hot": {S.IMEI: {"103": 2, "108": 3}}},
-])
-def test_golden_steps_shuffled(golden, join):
+def test_golden_steps_shuffled(golden):
     due, overdue, history = golden
+    join = {"max_broadcast": 0}
     got = (
-        skew.mark_position(due).transform(st.flag_null_key)
+        due.transform(st.flag_null_key)
         .transform(st.step_overdue, overdue, **join)
         .transform(st.step_business, history, DAY, "CD", **join)
         .transform(st.step_global_cap, history, DAY, **join)
-        .drop(skew.POSITION)
-    )
+    )
     assert bag(got) == expected_golden()
 
 
@@ -162,16 +157,10 @@ loan_ids = h.one_of(h.none(), h.integers(1, 6))
     loans=h.lists(h.tuples(loan_ids, h.integers(0, 1), h.sampled_from([0.0, 5.0])), max_size=10),
     history=h.lists(h.tuples(imeis, h.sampled_from(["CD", "AB"])), max_size=15),
     max_broadcast=h.sampled_from([-1, 2, 1_000]),
-    max_asked=h.sampled_from([0, 1_000]),
-    rows_per_piece=h.sampled_from([2, 1_000]),
 )
-def test_cascade_equals_brute_force(
-    spark, due, loans, history, max_broadcast, max_asked, rows_per_piece
-):
+def test_cascade_equals_brute_force(spark, due, loans, history, max_broadcast):
     frames = tables(spark, due, loans, history)
-    limits = {
-        "max_broadcast": max_broadcast, "max_asked": max_asked, "rows_per_piece": rows_per_piece,
-    }
+    limits = {"max_broadcast": max_broadcast}
     expected = Counter(brute.status_of(due, brute.overdue_ids(loans), history, "CD"))
     assert bag(st.eligibility_cascade(*frames, DAY, "CD", **limits)) == expected
     kept = Counter(row[:3] for row in expected.elements() if row[3] == S.UNIQUE_GLOBAL)
