@@ -4,19 +4,22 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|`` for their sets of 5-wo
 
 1. Documents with equal sets are one class, and one of each class goes on.
 2. All sets are put in one order of shingles, seldom ones first. How often a shingle occurs, a
-   count sketch of fixed size says, added up over all documents; any order is right, this one
-   keeps lists short. Sets of sizes n that link with anything share at least c of the first
+   count sketch of fixed size says, added up over all documents; what occurs once in some
+   millions of shingles read one after the other is left out of it. Any order is right, this
+   one keeps lists short. Sets of sizes n that link with anything share at least c of the first
    ``n - ceil(0.75 n) + c`` shingles of both.
-3. Small (light) sets go by c = 2: every subset of two of these first shingles is a key. Large
-   (heavy) sets go by c = 1: every single one is a key, and its inverted list holds the sets
-   that have it. The boundary x between small and large is where the costs of both, summed over
+3. Small (light) sets go by c = 2: every subset of two of these first shingles is a key. Of
+   large (heavy) sets every single one is a key, and its inverted list holds the sets that have
+   it; c is ``SHARED_KEYS`` where the sizes allow, and a set that shares fewer of its keys than
+   that with all others together has no candidates. The boundary x between small and large is where the costs of both, summed over
    the sizes of all sets, are least. Sets up to 4x/3 have subset keys and those above x single
    ones, so that any two sets that can link meet under a key of one kind.
 4. The sets of a key are candidates. Keys with the same least document (hub) are one cluster. In
-   a first round every set is compared with its hubs only, which joins the members of large
-   groups of near copies in one pass. In a second round the members of a cluster that are not
-   yet connected are compared with each other, by scanning inverted lists inside tasks; members
-   that are connected need not be compared. Clusters of any size are cut into chunks.
+   a first round every set is compared with the hub that it shares most keys with, which joins
+   the members of large groups of near copies in one pass. In a second round only keys whose
+   sets are of several components count; the members of a cluster that are not connected yet
+   are compared with each other, by scanning inverted lists inside tasks. Clusters of any size
+   are cut into chunks.
 
 So no link between different texts is lost to the connected components, and no group's pairs are
 written out. Sets are compared exactly, as sets of 64-bit hashes; shingles that differ are taken
@@ -37,18 +40,22 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sendgate.llm import shingles as S
 from sendgate.llm.common import fresh
 from sendgate.llm.components import components
 from sendgate.session import broadcast_if_small, keep
 
-_CELL_BITS = 20
-_SHEET = 1 << 14  # cells of the sketch in one row
+_CELL_BITS = 24
+_SHEET_BITS = 16  # cells of the sketch in one row
+SHARED_KEYS = 16  # the c of large sets
+CANDIDATE_COST = 100  # what another set on a list costs, in keys written
+_COUNTED = 1 << 22  # shingles that are counted exactly at a time
 # Numbers of rows and keys, 16 bytes each, are broadcast up to this many.
 BROADCAST_NUMBERS = 2_000_000
 
@@ -65,6 +72,19 @@ def _least_shared(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
+def _singles(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many single keys a large set shares at least with any large set it links with."""
+    return np.where(_least_shared(n, percent) >= SHARED_KEYS, SHARED_KEYS, 1)
+
+
+def surely_shared(percent: int) -> int:
+    """The least size of which all sets that can link share ``SHARED_KEYS`` single keys."""
+    size = 1
+    while _least_shared(_least_shared(size, percent), percent) < SHARED_KEYS:
+        size += 1
+    return size
+
+
 # The first pass: sizes, classes and the sketch ----------------------------------------
 
 
@@ -72,8 +92,20 @@ def _describe(texts: DataFrame) -> DataFrame:
     """A row per text: size and hash of its set; and rows with parts of the count sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << _CELL_BITS, np.int64)
-        names = ["row", "n", "one", "two", "sheet", "counts"]
+        names = ["row", "n", "one", "two", "sheet", "cells", "times"]
+        held: list[np.ndarray] = []
+        counted: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def count() -> None:
+            found = np.concatenate(held)
+            held.clear()
+            found.sort()
+            # Every further occurrence of a shingle; the first one is added below.
+            again = found[1:][found[1:] == found[:-1]]
+            again, times = np.unique(again, return_counts=True)
+            cells = (again >> np.uint64(64 - _CELL_BITS)).astype(np.uint32)
+            counted.append((cells, (times + 1).astype(np.uint32)))
+
         for batch in S.in_chunks(batches, "text"):
             hashes, bounds = S.shingle_sets(batch["text"])
             n = np.diff(bounds)
@@ -83,101 +115,118 @@ def _describe(texts: DataFrame) -> DataFrame:
                 at = bounds[:-1][filled]
                 sums[0, filled] = np.add.reduceat(S.mix(hashes + np.uint64(1)), at)
                 sums[1, filled] = np.bitwise_xor.reduceat(S.mix(hashes ^ np.uint64(0x5BD1E995)), at)
-                cells = (hashes >> np.uint64(64 - _CELL_BITS)).astype(np.int64)
-                counts += np.bincount(cells, minlength=len(counts))
-            nulls = len(n)
+                held.append(hashes)
+                if sum(map(len, held)) >= _COUNTED:
+                    count()
+            none = len(n)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["row"],
                     pa.array(n),
                     pa.array(sums[0].view(np.int64)),
                     pa.array(sums[1].view(np.int64)),
-                    pa.nulls(nulls, pa.int32()),
-                    pa.nulls(nulls, pa.binary()),
+                    pa.nulls(none, pa.int32()),
+                    pa.nulls(none, pa.binary()),
+                    pa.nulls(none, pa.binary()),
                 ],
                 names,
             )
-        sheets = counts.reshape(-1, _SHEET)
-        used = np.flatnonzero(sheets.any(axis=1))
-        if len(used):
-            none = pa.nulls(len(used), pa.int64())
+        if held:
+            count()
+        if counted:
+            cells, place = np.unique(
+                np.concatenate([cells for cells, _ in counted]), return_inverse=True
+            )
+            times = np.bincount(place, np.concatenate([times for _, times in counted]))
+            times = np.minimum(times, 2**32 - 1).astype("<u4")
+            sheet, first = np.unique(cells >> _SHEET_BITS, return_index=True)
+            spans = list(pairwise([*first.tolist(), len(cells)]))
+            none = pa.nulls(len(sheet), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    none,
-                    none,
-                    none,
-                    none,
-                    pa.array(used, pa.int32()),
-                    pa.array([sheets[i].astype("<i8").tobytes() for i in used], pa.binary()),
+                    *[none] * 4,
+                    pa.array(sheet, pa.int32()),
+                    pa.array([cells[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+                    pa.array([times[a:b].tobytes() for a, b in spans], pa.binary()),
                 ],
                 names,
             )
 
     return texts.mapInArrow(
-        run, "row long, n long, one long, two long, sheet int, counts binary"
+        run, "row long, n long, one long, two long, sheet int, cells binary, times binary"
     )
 
 
-def _sketch(described: DataFrame) -> np.ndarray:
-    """The added counts of all cells, a table of fixed size."""
+def _levels(described: DataFrame) -> np.ndarray:
+    """How often the shingles of each cell occur, in powers of two; 0 if hardly ever.
+
+    The counts of all parts are added up sheet by sheet; the result is a table of fixed size.
+    """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for sheet, counts in zip(batch["sheet"].to_pylist(), batch["counts"], strict=True):
-                there = sums.setdefault(sheet, np.zeros(_SHEET, np.int64))
-                there += np.frombuffer(counts.as_buffer(), "<i8")
-        if sums:
+            sheets: dict[int, np.ndarray] = {}
+            columns = (batch[name].to_pylist() for name in ("sheet", "cells", "times"))
+            for sheet, cells, times in zip(*columns, strict=True):
+                counts = sheets.setdefault(sheet, np.zeros(1 << _SHEET_BITS, np.int64))
+                at = np.frombuffer(cells, "<u4").astype(np.int64) & ((1 << _SHEET_BITS) - 1)
+                counts[at] += np.frombuffer(times, "<u4")
             yield pa.RecordBatch.from_pydict(
                 {
-                    "sheet": pa.array(list(sums), pa.int32()),
-                    "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary()),
+                    "sheet": pa.array(list(sheets), pa.int32()),
+                    "counts": pa.array([x.astype("<i8").tobytes() for x in sheets.values()]),
                 }
             )
 
-    parts = described.where("sheet is not null").select("sheet", "counts")
-    # The sheets of one part of the table meet in one task, at most 128 kilobytes each.
-    added = parts.repartition("sheet").mapInArrow(add, "sheet int, counts binary")
-    counts = np.zeros((1 << _CELL_BITS) // _SHEET * _SHEET, np.int64).reshape(-1, _SHEET)
-    for row in added.collect():
-        counts[row["sheet"]] += np.frombuffer(row["counts"], "<i8")
-    return counts.ravel()
-
+    def finish(key: tuple, table: pa.Table) -> pa.Table:
+        counts = sum(np.frombuffer(x, "<i8") for x in table["counts"].to_pylist())
+        levels = np.ceil(np.log2(counts + 1)).astype(np.uint8)
+        return pa.table({"sheet": pa.array([key[0].as_py()], pa.int32()), "levels": [levels.tobytes()]})
 
-def _levels(counts: np.ndarray) -> np.ndarray:
-    """How often the shingles of each cell occur, in powers of two."""
-    return np.ceil(np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    parts = described.where("sheet is not null").select("sheet", "cells", "times")
+    added = parts.repartition("sheet").mapInArrow(add, "sheet int, counts binary")
+    done = added.groupBy("sheet").applyInArrow(finish, "sheet int, levels binary")
+    levels = np.zeros(1 << _CELL_BITS, np.uint8)
+    for row in done.toLocalIterator():
+        start = row["sheet"] << _SHEET_BITS
+        levels[start : start + (1 << _SHEET_BITS)] = np.frombuffer(row["levels"], np.uint8)
+    return levels
 
 
 # The boundary between small and large sets --------------------------------------------
 
 
-def _list_lengths(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of all occurrences, seldom shingles first, and the mean list length up to each."""
-    spread = np.median(counts)  # what unrelated shingles add to each cell
-    order = np.argsort(counts)
-    mass = np.cumsum(counts[order], dtype=float)
-    extra = np.maximum(counts[order] - 2.0 * spread, 0.0)
-    work = np.cumsum(extra * counts[order])
-    at = np.searchsorted(mass, np.linspace(0.01, 1, 100) * mass[-1]).clip(max=len(mass) - 1)
-    return np.linspace(0.01, 1, 100), 1.0 + work[at] / np.maximum(mass[at], 1.0)
+def _list_lengths(levels: np.ndarray, total: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of all occurrences, seldom shingles first, and the mean list length up to each.
 
+    ``total`` is the number of all occurrences; those that the sketch has not are on lists of
+    one.
+    """
+    cells = np.bincount(levels)[1:].astype(float)
+    length = 2.0 ** np.arange(1, len(cells) + 1)
+    mass = np.maximum(total - (cells * length).sum(), 0.0) + np.cumsum(cells * length)
+    means = 1.0 + np.cumsum(cells * length * length) / np.maximum(mass, 1.0)
+    top = max(total, float(mass[-1]) if len(mass) else 0.0, 1.0)
+    return np.concatenate(([0.0], mass / top)), np.concatenate(([1.0], means))
 
-def choose_boundary(sizes: dict[int, int], counts: np.ndarray, percent: int) -> int:
+
+def choose_boundary(sizes: dict[int, int], levels: np.ndarray, percent: int) -> int:
     """The size x up to which sets are small: where enumerating and scanning cost least.
 
     ``sizes`` says how many sets have about each size.
     """
-    if not sizes or not counts.any():
+    if not sizes:
         return 0
-    shares, lengths = _list_lengths(counts)
+    total = float(sum(n * many for n, many in sizes.items()))
+    shares, lengths = _list_lengths(levels, total)
 
     def subsets(n: int) -> int:
         return math.comb(n - _least_shared(n, percent) + 2, 2)
 
     def scans(n: int) -> float:
-        first = n - _least_shared(n, percent) + 1
-        return first * float(np.interp(first / n, shares, lengths))
+        first = n - _least_shared(n, percent) + int(_singles(n, percent))
+        others = float(np.interp(min(1.0, first / n), shares, lengths)) - 1.0
+        return first * (1.0 + CANDIDATE_COST * others)
 
     def cost(x: int) -> float:
         return sum(
@@ -194,7 +243,7 @@ def choose_boundary(sizes: dict[int, int], counts: np.ndarray, percent: int) ->
 
 def _keys(texts: DataFrame, levels: np.ndarray, boundary: int, percent: int) -> DataFrame:
     """Keys of every set: single shingles of large sets, subsets of two of small ones."""
-    shared = texts.sparkSession.sparkContext.broadcast(levels)  # a megabyte
+    shared = texts.sparkSession.sparkContext.broadcast(levels)  # 16 megabytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in S.in_chunks(batches, "text"):
@@ -208,7 +257,7 @@ def _keys(texts: DataFrame, levels: np.ndarray, boundary: int, percent: int) ->
             rest = n - _least_shared(n, percent)
             heavy = (n > boundary) & (n > 1)
             light = (n * percent <= boundary * 100) & (n > 1)
-            one = heavy[owner] & (place < (rest + 1)[owner])
+            one = heavy[owner] & (place < (rest + _singles(n, percent))[owner])
             keys, owners = [hashes[one]], [owner[one]]
             for doc in np.flatnonzero(light):
                 first = hashes[bounds[doc] :][: rest[doc] + 2]
@@ -314,7 +363,7 @@ def _candidate_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
             hashes, bounds = S.shingle_sets(batch["text"])
             raw = hashes.astype("<u8").tobytes()
             ends = (8 * bounds).tolist()
-            parts = [raw[a:b] for a, b in zip(ends, ends[1:])]
+            parts = [raw[a:b] for a, b in pairwise(ends)]
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array(parts, pa.binary())], ["row", "hashes"]
             )
@@ -325,18 +374,95 @@ def _candidate_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def _clusters(keys: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members of clusters of at least two: hub, row, n, and the cluster's summed sizes."""
+@dataclass(frozen=True)
+class _Needs:
+    """Which sets share at least ``SHARED_KEYS`` keys with any set that they link with."""
+
+    boundary: int
+    percent: int
+
+    def enough(self, listed: DataFrame, sizes: DataFrame) -> DataFrame:
+        """The rows that have as many keys in ``listed`` as a link takes."""
+        large = (F.col("n") * self.percent > self.boundary * 100) & (
+            F.col("n") >= surely_shared(self.percent)
+        )
+        counted = listed.groupBy("row").agg(F.count("*").alias("shared")).join(sizes, "row")
+        return counted.where(~large | (F.col("shared") >= SHARED_KEYS)).select("row")
+
+
+def _listed(keys: DataFrame, sizes: DataFrame, needs: _Needs) -> DataFrame:
+    """Keys and rows on lists of two or more, of rows that have enough of them."""
+    lists = keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key")
+    listed = keep(keys.join(_numbers(keep(lists, "lists")), "key", "left_semi"), "listed")
+    enough = _numbers(keep(needs.enough(listed, sizes), "enough"))
+    return keep(listed.join(enough, "row", "left_semi"), "listed")
+
+
+def _shared_with_hubs(listed: DataFrame) -> DataFrame:
+    """Rows with the hubs (the least rows) of their lists, and how many lists they share."""
     hubs = (
-        keys.groupBy("key")
+        listed.groupBy("key")
         .agg(F.min("row").alias("hub"), F.count("*").alias("many"))
         .where("many > 1")
         .select("key", "hub")
     )
-    members = keys.join(_numbers(keep(hubs, "hubs")), "key").select("hub", "row").distinct()
-    members = keep(members, "members").join(sizes, "row")
-    total = members.groupBy("hub").agg(F.sum("n").alias("total"), F.count("*").alias("many"))
-    return keep(members.join(_numbers(keep(total, "totals")), "hub"), "clusters")
+    joined = listed.join(_numbers(keep(hubs, "hubs")), "key")
+    return keep(joined.groupBy("hub", "row").agg(F.count("*").alias("shared")), "shared")
+
+
+def _first_clusters(listed: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Every row with the one hub it shares most lists with: hub, row, n, total.
+
+    Sets of sizes that cannot link are left out.
+    """
+    sized = _shared_with_hubs(listed).where("hub != row").join(sizes, "row")
+    sized = sized.join(sizes.select(F.col("row").alias("hub"), F.col("n").alias("hub_n")), "hub")
+    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    best = (
+        sized.where(fits)
+        .groupBy("row", "n")
+        .agg(F.max_by(F.struct("hub", "hub_n"), F.struct("shared", -F.col("hub"))).alias("best"))
+        .select(F.col("best.hub").alias("hub"), "row", "n", F.col("best.hub_n").alias("hub_n"))
+    )
+    best = keep(best, "best")
+    hubs = best.groupBy("hub").agg(F.max("hub_n").alias("n"), F.sum("n").alias("total"))
+    hubs = keep(hubs, "hubs")
+    members = best.select("hub", "row", "n").unionAll(hubs.select("hub", F.col("hub").alias("row"), "n"))
+    return keep(members.join(_numbers(hubs.select("hub", "total")), "hub"), "clusters")
+
+
+def _second_clusters(
+    listed: DataFrame, reached: DataFrame, sizes: DataFrame, needs: _Needs
+) -> DataFrame:
+    """What may still link: hub, row, n and root of rows on lists with several components.
+
+    A row that links with one of another component shares enough such lists. A row that has no
+    other of a size that it can link with in its cluster is left out.
+    """
+    roots = _numbers(reached.withColumnRenamed("node", "row"))
+    rooted = listed.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    open_keys = (
+        rooted.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low != high")
+        .select("key")
+    )
+    left = keep(listed.join(_numbers(keep(open_keys, "open")), "key", "left_semi"), "listed")
+    enough = _numbers(keep(needs.enough(left, sizes), "enough"))
+    left = keep(left.join(enough, "row", "left_semi"), "listed")
+    by_size = Window.partitionBy("hub").orderBy("n", "row")
+    members = (
+        _shared_with_hubs(left)
+        .join(sizes, "row")
+        .withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+        .where(
+            (F.col("n") * needs.percent <= F.col("below") * 100)
+            | (F.col("above") * needs.percent <= F.col("n") * 100)
+        )
+        .select("hub", "row", "n")
+    )
+    members = members.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    return keep(members, "clusters")
 
 
 def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -359,17 +485,10 @@ def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def _second_round(
-    clusters: DataFrame, reached: DataFrame, sets: DataFrame, join: Join
-) -> DataFrame:
-    """Links between members of clusters of more than two that the first round left apart."""
-    named = (
-        clusters.where("many > 2")
-        .join(_numbers(reached.withColumnRenamed("node", "row")), "row", "left")
-        .withColumn("root", F.coalesce("root", "row"))
-    )
-    centre = named.where("row = hub").select("hub", F.col("root").alias("hub_root"))
-    named = keep(named.join(_numbers(keep(centre, "centres")), "hub"), "named")
+def _second_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Links between members of clusters that are of different components."""
+    centre = clusters.groupBy("hub").agg(F.min_by("root", "row").alias("hub_root"))
+    named = keep(clusters.join(_numbers(keep(centre, "centres")), "hub"), "named")
     apart = F.col("root") != F.col("hub_root")
     open_ = (
         named.groupBy("hub")
@@ -426,7 +545,7 @@ def link_documents(
     described = keep(_describe(texts.select("row", "text")), "described")
     ids = texts.select("row", "id")
     sizes = described.where("row is not null").select("row", "n", "one", "two")
-    counts = _sketch(described)
+    levels = _levels(described)
 
     classes = (
         sizes.where("n > 0")
@@ -454,15 +573,18 @@ def link_documents(
         )
         boundary = choose_boundary(
             {r["size"]: r["count"] for r in near.groupBy("size").count().collect()},
-            counts,
+            levels,
             join.percent,
         )
-    keys = keep(_keys(singles, _levels(counts), boundary, join.percent), "keys")
-    clusters = _clusters(keys, known.select("row", "n"))
-    sets = _candidate_sets(singles, clusters)
+    keys = keep(_keys(singles, levels, boundary, join.percent), "keys")
+    needs, sizes = _Needs(boundary, join.percent), known.select("row", "n")
+    listed = _listed(keys, sizes, needs)
+    sets = _candidate_sets(singles, listed)
+    clusters = _first_clusters(listed, sizes, join.percent)
     first = keep(_first_round(clusters, sets, join), "links")
     reached = keep(components(first), "components")
-    second = keep(_second_round(clusters, reached, sets, join), "links")
+    clusters = _second_clusters(listed, reached, sizes, needs)
+    second = keep(_second_round(clusters, sets, join), "links")
     reached = keep(components(first.unionAll(second)), "components")
     roots = _numbers(reached.select(F.col("node").alias("class"), "root"))
     named = keep(

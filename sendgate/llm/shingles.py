@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 WORDS = 5
 # Texts of about this many bytes are read at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
