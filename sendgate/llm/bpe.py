@@ -27,7 +27,6 @@ import base64
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import pairwise
 
 import duckdb
@@ -53,7 +52,7 @@ CHUNK_BYTES = 2 << 20
 # A query encodes pieces of about this many bytes at a time.
 PIECE_BYTES = 1 << 20
 # Encoded pieces that a task remembers, some 200 bytes each; it starts afresh beyond.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 # Pieces up to this many bytes take one contraction per step.
 SHORT_BYTES = 64
 # Nothing is written to a disk: a chunk's rows fit in memory.
@@ -206,6 +205,10 @@ class Codec:
         self.byte_ids = np.array([self.ranks[bytes([byte])] for byte in range(256)])
         self.known_ids = np.array(sorted(self.ranks.values()))
 
+    def close(self) -> None:
+        self.words.clear()
+        self.database.close()
+
     def encode_words(self, words: list[str]) -> None:
         """Remember the ids of pieces, as little-endian unsigned 32-bit integers."""
         short, long = [], []
@@ -275,12 +278,6 @@ class Codec:
         return [by_text.get(i, b"") for i in range(len(encoded))]
 
 
-@lru_cache(maxsize=2)
-def codec(vocabulary: Vocabulary) -> Codec:
-    """One per Python worker, however many batches it is given."""
-    return Codec(vocabulary)
-
-
 def _in_chunks(items: list, size: Callable[[object], int], most: int) -> Iterator[list]:
     part: list = []
     held = 0
@@ -332,20 +329,29 @@ def _ids_array(encoded: list[bytes]) -> pa.Array:
 Batches = Iterator[pa.RecordBatch]
 
 
-def _encode(batches: Batches, vocabulary: Vocabulary, text: str, ids: str) -> Batches:
+def _opened(vocabulary: Vocabulary, work: Callable[[Codec], Batches]) -> Batches:
+    """Work with a codec of the task's own: a worker that lives on holds nothing of it."""
+    codec = Codec(vocabulary)
+    try:
+        yield from work(codec)
+    finally:
+        codec.close()
+
+
+def _encode(batches: Batches, codec: Codec, text: str, ids: str) -> Batches:
     for batch in batches:
         for rows in _in_rows(batch, pc.binary_length(batch.column(text))):
             texts = rows.column(text).to_pylist()
-            encoded = [x for part in codec(vocabulary).encode(texts) for x in part]
+            encoded = [x for part in codec.encode(texts) for x in part]
             yield _appended(rows, {ids: _ids_array(encoded)})
 
 
-def _decode(batches: Batches, vocabulary: Vocabulary, ids: str, decoded: str) -> Batches:
+def _decode(batches: Batches, codec: Codec, ids: str, decoded: str) -> Batches:
     for batch in batches:
         # A token stands for some three bytes.
         lengths = pc.multiply(pc.list_value_length(batch.column(ids)), 3)
         for rows in _in_rows(batch, lengths):
-            found = codec(vocabulary).decode(rows.column(ids))
+            found = codec.decode(rows.column(ids))
             yield _appended(rows, {decoded: pa.array(found, pa.binary())})
 
 
@@ -377,7 +383,10 @@ def encode_texts(
 ) -> DataFrame:
     """``df`` with the token ids of its texts, an array of integers."""
     schema = _with(df, StructField(ids, ArrayType(IntegerType())))
-    return df.mapInArrow(lambda batches: _encode(batches, vocabulary, text, ids), schema)
+    return df.mapInArrow(
+        lambda batches: _opened(vocabulary, lambda codec: _encode(batches, codec, text, ids)),
+        schema,
+    )
 
 
 def decode_ids(
@@ -385,7 +394,10 @@ def decode_ids(
 ) -> DataFrame:
     """``df`` with the bytes that its token ids stand for."""
     schema = _with(df, StructField(decoded, BinaryType()))
-    return df.mapInArrow(lambda batches: _decode(batches, vocabulary, ids, decoded), schema)
+    return df.mapInArrow(
+        lambda batches: _opened(vocabulary, lambda codec: _decode(batches, codec, ids, decoded)),
+        schema,
+    )
 
 
 def encode_and_decode(
@@ -405,9 +417,13 @@ def encode_and_decode(
         StructField("decoded_sha256", StringType()),
     ]
 
-    def run(batches: Batches) -> Batches:
-        encoded = _encode(batches, vocabulary, text, ids)
-        dropped = [text, decoded] if keep_ids else [text, ids, decoded]
-        return _digest(_decode(encoded, vocabulary, ids, decoded), dropped, ids, decoded)
+    dropped = [text, decoded] if keep_ids else [text, ids, decoded]
 
-    return df.mapInArrow(run, _with(df.drop(text), *fields))
+    def run(batches: Batches, codec: Codec) -> Batches:
+        encoded = _encode(batches, codec, text, ids)
+        return _digest(_decode(encoded, codec, ids, decoded), dropped, ids, decoded)
+
+    return df.mapInArrow(
+        lambda batches: _opened(vocabulary, lambda codec: run(batches, codec)),
+        _with(df.drop(text), *fields),
+    )
