@@ -57,7 +57,7 @@ SHARED_KEYS = 16  # the c of large sets
 CANDIDATE_COST = 100  # what another set on a list costs, in keys written
 _COUNTED = 1 << 22  # shingles that are counted exactly at a time
 # Numbers of rows and keys, 16 bytes each, are broadcast up to this many.
-BROADCAST_NUMBERS = 2_000_000
+BROADCAST_NUMBERS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -202,7 +202,9 @@ def _list_lengths(levels: np.ndarray, total: float) -> tuple[np.ndarray, np.ndar
     ``total`` is the number of all occurrences; those that the sketch has not are on lists of
     one.
     """
-    cells = np.bincount(levels)[1:].astype(float)
+    # Sheet by sheet, as counting makes wide numbers of all that it is given.
+    sheets = levels.reshape(-1, min(len(levels), 1 << _SHEET_BITS))
+    cells = sum(np.bincount(sheet, minlength=64) for sheet in sheets)[1:].astype(float)
     length = 2.0 ** np.arange(1, len(cells) + 1)
     mass = np.maximum(total - (cells * length).sum(), 0.0) + np.cumsum(cells * length)
     means = 1.0 + np.cumsum(cells * length * length) / np.maximum(mass, 1.0)
@@ -392,8 +394,9 @@ class _Needs:
 
 def _listed(keys: DataFrame, sizes: DataFrame, needs: _Needs) -> DataFrame:
     """Keys and rows on lists of two or more, of rows that have enough of them."""
-    lists = keys.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key")
-    listed = keep(keys.join(_numbers(keep(lists, "lists")), "key", "left_semi"), "listed")
+    # Most keys are on one set only: one shuffle tells, where a join would take a second one.
+    many = F.count("*").over(Window.partitionBy("key"))
+    listed = keep(keys.withColumn("many", many).where("many > 1").drop("many"), "listed")
     enough = _numbers(keep(needs.enough(listed, sizes), "enough"))
     return keep(listed.join(enough, "row", "left_semi"), "listed")
 
@@ -478,8 +481,10 @@ def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             )
         ).alias("chunk"),
     )
+    # The numbers go to the sets, which then are shuffled once, to their groups.
     return (
-        dealt.join(sets, "row")
+        sets.join(_numbers(keep(dealt, "dealt")), "row")
+        .select("hub", "chunk", "row", "hashes")
         .groupBy("hub", "chunk")
         .applyInArrow(_compare_with_hub(join.percent), "a long, b long")
     )
@@ -521,10 +526,11 @@ def _second_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame
         ),
         lambda pair: pair.low < F.col("first"),
     )
+    dealt = placed.select("hub", "row", "root", "chunk", F.explode(pairs).alias("pair"))
+    dealt = dealt.select("hub", "pair.low", "pair.high", "row", "root", "chunk")
     return (
-        placed.select("hub", "row", "root", "chunk", F.explode(pairs).alias("pair"))
-        .join(sets, "row")
-        .select("hub", "pair.low", "pair.high", "row", "root", "chunk", "hashes")
+        sets.join(_numbers(keep(dealt, "dealt")), "row")
+        .select("hub", "low", "high", "row", "root", "chunk", "hashes")
         .groupBy("hub", "low", "high")
         .applyInArrow(_compare_chunks(join.percent), "a long, b long")
     )
