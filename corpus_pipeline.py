@@ -34,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts less recurring lines; n_chars follows the text."""
-    shorter = line_dedup.drop_recurring_lines(docs)
+    shorter = line_dedup.drop_recurring_lines(docs, tree=line_dedup.WHOLE)
     cut = F.size("dropped") > 0
     n_chars = F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return shorter.withColumn("n_chars", n_chars).select(*docs.columns)

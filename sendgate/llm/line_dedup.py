@@ -13,6 +13,10 @@ these would empty them. So a recurring line is dropped
   lines make up at most half of the rest of their words; else
 * from a text of which recurring lines make up at most half of the words.
 
+With ``passage_words`` set, as in ``WHOLE``, a line of that many words or more is also a template
+of its own, as it stands, and ``passage_texts`` different texts make it recurring. The default
+leaves these out: it is what the SQL of op6_line_dedup says.
+
 All counts are of different texts, over all documents. Only DataFrame functions are used.
 
 Defined results:
@@ -49,6 +53,18 @@ class Tree:
     similarity: float = 0.7  # share of a line's words that have to be constant
     alone: float = 0.5  # share of a text's words, at most, that recurring lines make up
     mostly: float = 0.5  # share of a template's texts that it has to be alone in
+    passage_words: int | None = None  # lines of so many words are passages; None: no line is
+    passage_texts: int = 2  # different texts that make a passage recurring
+
+    def exact_floor(self, n: Column) -> Column:
+        """Different texts that make a line of ``n`` words recurring as it stands; null: none."""
+        if self.passage_words is None:
+            return F.lit(None).cast("int")
+        return F.when(n >= self.passage_words, self.passage_texts)
+
+
+# Also what few texts share, if it is long.
+WHOLE = Tree(passage_words=50)
 
 
 def _words(line: Column) -> Column:
@@ -74,6 +90,25 @@ def _lines(texts: DataFrame, tree: Tree) -> DataFrame:
     )
 
 
+def _repeats(known: DataFrame, tree: Tree) -> DataFrame:
+    """Lines that enough texts hold as they stand, each line a template of its own."""
+    asked = known.withColumn("floor", tree.exact_floor(F.col("n"))).where("floor is not null")
+    repeated = (
+        asked.select("line_hash", "key", "floor")
+        .distinct()
+        .groupBy("line_hash", "floor")
+        .agg(F.count("*").alias("texts"))
+        .where(F.col("texts") >= F.col("floor"))
+        .select("line_hash")
+    )
+    repeated = broadcast_if_small(keep(repeated, "repeats"))
+    return (
+        asked.join(repeated, "line_hash", "left_semi")
+        .select("key", "place", "n", F.xxhash64("line_hash", "n").alias("template"), "floor")
+        .distinct()
+    )
+
+
 def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
     """The lines to drop: key of the text and place of the line.
 
@@ -139,24 +174,33 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
         .select("template")
     )
     recurring = broadcast_if_small(keep(recurring, "recurring"))
-    found = keep(in_template.join(recurring, "template", "left_semi"), "recurring-lines")
+    found = in_template.join(recurring, "template", "left_semi").withColumn(
+        "floor", F.lit(tree.texts)
+    )
+    if tree.passage_words is not None:
+        found = keep(found, "templated-lines")
+        found = found.unionByName(
+            _repeats(known, tree).join(found.select("key", "place"), ["key", "place"], "left_anti")
+        )
+    found = keep(found, "recurring-lines")
     sizes = known.select("key", "place", "n").distinct().groupBy("key").agg(F.sum("n").alias("all"))
     held = found.groupBy("key").agg(F.sum("n").alias("repeated"))
     held = keep(held.join(sizes, "key"), "repeated")
     rest = F.col("all") - F.col("own")
     alone = (
         found.groupBy("template", "key")
-        .agg(F.sum("n").alias("own"))
+        .agg(F.sum("n").alias("own"), F.first("floor").alias("floor"))
         .join(held, "key")
         .groupBy("template")
         .agg(
+            F.first("floor").alias("floor"),
             F.count("*").alias("texts"),
             F.count_if((rest > 0) & (F.col("repeated") - F.col("own") <= rest * tree.alone)).alias(
                 "alone"
             ),
         )
         .where(
-            (F.col("alone") >= tree.texts) & (F.col("alone") >= F.col("texts") * tree.mostly)
+            (F.col("alone") >= F.col("floor")) & (F.col("alone") >= F.col("texts") * tree.mostly)
         )
         .select("template", F.lit(True).alias("everywhere"))
     )

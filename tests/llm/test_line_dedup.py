@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from sendgate.llm.line_dedup import drop_recurring_lines
+from sendgate.llm.line_dedup import WHOLE, drop_recurring_lines
 
 WORDS = ["the", "an", "on", "re", "ti", "ble", "ou", "st", "nd", "wh", "ea", "in", "or", "es"]
 
@@ -96,3 +96,21 @@ def test_short_lines_stay(spark, n):
 def test_plan_has_no_python(spark):
     df = spark.createDataFrame([("a b c",)], "text string")
     assert "Python" not in drop_recurring_lines(df)._jdf.queryExecution().toString()
+
+
+def test_long_passages_that_few_texts_share(spark):
+    draw = random.Random(6)
+    texts, places = [], []
+    for texts_with in (2, 3, 4):
+        passage = line(draw, 60)
+        for _ in range(texts_with):
+            texts.append("\n".join([line(draw, 40), passage, line(draw, 40)]))
+            places.append([1])
+    short = line(draw, 49)
+    texts += [f"{line(draw, 40)}\n{short}" for _ in range(4)]
+    # A copy with a line changed is no other document: both keep what they share.
+    copied = [line(draw, 60) for _ in range(9)]
+    texts += ["\n".join(copied + [line(draw, 60)]) for _ in range(2)]
+    places += [[]] * 6
+    assert [row.dropped for row in run(spark, texts, tree=WHOLE)] == places
+    assert all(row.dropped == [] for row in run(spark, texts))
