@@ -13,16 +13,19 @@ these would empty them. So a recurring line is dropped
   lines make up at most half of the rest of their words; else
 * from a text of which recurring lines make up at most half of the words.
 
-With ``passage_words`` set, as in ``WHOLE``, a line of that many words or more is also a template
-of its own, as it stands, and ``passage_texts`` different texts make it recurring. The default
-leaves these out: it is what the SQL of op6_line_dedup says.
+With ``exact`` set, every line is also a template of its own, as it stands, whatever share of its
+words holds digits. A line of fewer than ``least_words`` words takes as many more texts as it is
+shorter. With ``passage_words`` set, ``passage_texts`` different texts make a line of that many
+words or more recurring as it stands. ``WHOLE`` has both; the default has neither, which is what
+the SQL of op6_line_dedup says.
 
 All counts are of different texts, over all documents. Only DataFrame functions are used.
 
 Defined results:
 
 * A null text stays null, an empty one empty. A text whose lines all go is empty.
-* Lines end with a line feed only. Lines of fewer than ``least_words`` words are never dropped.
+* Lines end with a line feed only. Lines of fewer than ``least_words`` words are
+  dropped only with ``exact``, and lines without words never.
 * Repeated rows, and rows with equal texts, are treated alike and all kept.
 * Every column of the input stays; the text is replaced. The columns n_lines and dropped (places
   of the dropped lines, from 0) are added and take the place of columns so named.
@@ -55,16 +58,27 @@ class Tree:
     mostly: float = 0.5  # share of a template's texts that it has to be alone in
     passage_words: int | None = None  # lines of so many words are passages; None: no line is
     passage_texts: int = 2  # different texts that make a passage recurring
+    exact: bool = False  # any line is also a template as it stands, with its digits
 
     def exact_floor(self, n: Column) -> Column:
         """Different texts that make a line of ``n`` words recurring as it stands; null: none."""
-        if self.passage_words is None:
-            return F.lit(None).cast("int")
-        return F.when(n >= self.passage_words, self.passage_texts)
+        floor = F.lit(None).cast("int")
+        if self.exact:
+            # The fewer words a line has, the more texts it takes.
+            short = F.ceil(F.lit(self.texts * self.least_words) / n).cast("int")
+            floor = F.when(n < self.least_words, short).otherwise(F.lit(self.texts))
+        if self.passage_words is not None:
+            floor = F.when(n >= self.passage_words, F.lit(self.passage_texts)).otherwise(floor)
+        return floor
 
+    @property
+    def fewest_words(self) -> int:
+        """Words of the shortest lines that may be dropped."""
+        return 1 if self.exact else self.least_words
 
-# Also what few texts share, if it is long.
-WHOLE = Tree(passage_words=50)
+
+# Also what few texts share, if it is long, and what recurs as it stands, whatever its words are.
+WHOLE = Tree(passage_words=50, exact=True)
 
 
 def _words(line: Column) -> Column:
@@ -76,11 +90,11 @@ def _masked(words: Column) -> Column:
 
 
 def _lines(texts: DataFrame, tree: Tree) -> DataFrame:
-    """A row per line of at least ``least_words`` words: text, place, leaf, and the line."""
+    """A row per line that may be dropped: text, place, leaf, and the line."""
     rows = texts.select("key", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
     rows = rows.withColumn("words", _words(F.col("line"))).withColumn("n", F.size("words"))
     first = F.slice("words", F.lit(1), F.least(F.lit(tree.depth), F.floor(F.col("n") / 3)).cast("int"))
-    return rows.where(F.col("n") >= tree.least_words).select(
+    return rows.where(F.col("n") >= tree.fewest_words).select(
         "key",
         "place",
         "line",
@@ -117,15 +131,16 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
     known = keep(
         _lines(texts, tree).select("key", "place", "leaf", "line_hash", "n"), "lines"
     )
+    masked = known.where(F.col("n") >= tree.least_words)
     leaves = (
-        known.select("leaf", "key").distinct().groupBy("leaf").agg(F.count("*").alias("texts"))
+        masked.select("leaf", "key").distinct().groupBy("leaf").agg(F.count("*").alias("texts"))
     )
     leaves = broadcast_if_small(
         keep(leaves.where(F.col("texts") >= tree.texts).select("leaf"), "leaves")
     )
     # In how many texts is each line of these leaves? A row per different line.
     counted = (
-        known.join(leaves, "leaf", "left_semi")
+        masked.join(leaves, "leaf", "left_semi")
         .select("leaf", "line_hash", "key")
         .distinct()
         .groupBy("leaf", "line_hash")
@@ -158,7 +173,7 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
             F.xxhash64("leaf", "fixed").alias("template"),
         )
     )
-    in_template = known.join(broadcast_if_small(keep(templates, "templates")), ["leaf", "line_hash"])
+    in_template = masked.join(broadcast_if_small(keep(templates, "templates")), ["leaf", "line_hash"])
     in_template = keep(
         in_template.where(F.col("n_fixed") >= F.col("n") * tree.similarity)
         .select("key", "place", "n", "template")
@@ -177,7 +192,7 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
     found = in_template.join(recurring, "template", "left_semi").withColumn(
         "floor", F.lit(tree.texts)
     )
-    if tree.passage_words is not None:
+    if tree.exact or tree.passage_words is not None:
         found = keep(found, "templated-lines")
         found = found.unionByName(
             _repeats(known, tree).join(found.select("key", "place"), ["key", "place"], "left_anti")

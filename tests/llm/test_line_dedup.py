@@ -114,3 +114,23 @@ def test_long_passages_that_few_texts_share(spark):
     places += [[]] * 6
     assert [row.dropped for row in run(spark, texts, tree=WHOLE)] == places
     assert all(row.dropped == [] for row in run(spark, texts))
+
+
+def test_lines_of_digits_go(spark):
+    draw = random.Random(7)
+    phone = "Call 0171 555 0199 or 0171 555 0198 from 9 to 5"
+    table = " ".join(f"{i} Team{i}" for i in range(30))
+    texts = [f"{line(draw, 40)}\n{phone}\n{line(draw, 40)}\n{table}" for _ in range(5)]
+    texts += [f"{line(draw, 40)}\n{phone.replace('9', str(i))}" for i in range(3)]  # other numbers
+    rows = run(spark, texts, tree=WHOLE)
+    assert [row.dropped for row in rows] == [[1, 3]] * 5 + [[]] * 3
+    assert all(row.dropped == [] for row in run(spark, texts))
+
+
+def test_short_lines_take_more_texts(spark):
+    draw = random.Random(8)
+    held = [("Read more", 8), ("Go on", 7), ("Share", 15), ("Top", 14)]
+    texts = [f"{line(draw, 40)}\n\n{short}" for short, n in held for _ in range(n)]
+    rows = run(spark, texts, tree=WHOLE)
+    places = [[2] if short in ("Read more", "Share") else [] for short, n in held for _ in range(n)]
+    assert [row.dropped for row in rows] == places
