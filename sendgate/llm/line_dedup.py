@@ -19,6 +19,11 @@ shorter. With ``passage_words`` set, ``passage_texts`` different texts make a li
 words or more recurring as it stands. ``WHOLE`` has both; the default has neither, which is what
 the SQL of op6_line_dedup says.
 
+Blocks that recur together, as a header and a footer do, are not alone. With ``copied`` set, as in
+``WHOLE``, a template also goes everywhere if most of its texts, and ``texts`` at least, have a rest
+of their own: recurring lines make up less than ``copied`` of their words. Texts beyond that are
+near copies of each other.
+
 All counts are of different texts, over all documents. Only DataFrame functions are used.
 
 Defined results:
@@ -59,6 +64,7 @@ class Tree:
     passage_words: int | None = None  # lines of so many words are passages; None: no line is
     passage_texts: int = 2  # different texts that make a passage recurring
     exact: bool = False  # any line is also a template as it stands, with its digits
+    copied: float | None = None  # above this share of recurring words a text is a copy
 
     def exact_floor(self, n: Column) -> Column:
         """Different texts that make a line of ``n`` words recurring as it stands; null: none."""
@@ -77,8 +83,9 @@ class Tree:
         return 1 if self.exact else self.least_words
 
 
-# Also what few texts share, if it is long, and what recurs as it stands, whatever its words are.
-WHOLE = Tree(passage_words=50, exact=True)
+# Also what few texts share, if it is long, what recurs as it stands, whatever its words are, and
+# blocks that recur together. Two texts of one length that share 6/7 have a Jaccard index of 0.75.
+WHOLE = Tree(passage_words=50, exact=True, copied=6 / 7)
 
 
 def _words(line: Column) -> Column:
@@ -200,7 +207,12 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
     found = keep(found, "recurring-lines")
     sizes = known.select("key", "place", "n").distinct().groupBy("key").agg(F.sum("n").alias("all"))
     held = found.groupBy("key").agg(F.sum("n").alias("repeated"))
-    held = keep(held.join(sizes, "key"), "repeated")
+    held = held.join(sizes, "key")
+    if tree.copied is None:
+        own_rest = F.lit(False)
+    else:
+        own_rest = F.col("repeated") < F.col("all") * tree.copied
+    held = keep(held.withColumn("differs", own_rest), "repeated")
     rest = F.col("all") - F.col("own")
     alone = (
         found.groupBy("template", "key")
@@ -213,9 +225,12 @@ def recurring_lines(texts: DataFrame, tree: Tree) -> DataFrame:
             F.count_if((rest > 0) & (F.col("repeated") - F.col("own") <= rest * tree.alone)).alias(
                 "alone"
             ),
+            F.count_if("differs").alias("differ"),
         )
         .where(
-            (F.col("alone") >= F.col("floor")) & (F.col("alone") >= F.col("texts") * tree.mostly)
+            ((F.col("alone") >= F.col("floor")) & (F.col("alone") >= F.col("texts") * tree.mostly))
+            # What few texts share together may be most of a document, which none would keep.
+            | ((F.col("differ") >= tree.texts) & (F.col("differ") >= F.col("texts") * tree.mostly))
         )
         .select("template", F.lit(True).alias("everywhere"))
     )

@@ -134,3 +134,14 @@ def test_short_lines_take_more_texts(spark):
     rows = run(spark, texts, tree=WHOLE)
     places = [[2] if short in ("Read more", "Share") else [] for short, n in held for _ in range(n)]
     assert [row.dropped for row in rows] == places
+
+
+def test_blocks_that_come_together_go(spark):
+    draw = random.Random(9)
+    header, footer = line(draw, 60), line(draw, 60)
+    pages = ["\n".join([header, line(draw, 40), footer]) for _ in range(12)]
+    copied = [line(draw) for _ in range(12)]
+    copies = ["\n".join([*copied[:i], line(draw), *copied[i + 1 :]]) for i in range(12)]
+    rows = run(spark, pages + copies, tree=WHOLE)
+    assert [row.dropped for row in rows] == [[0, 2]] * 12 + [[]] * 12
+    assert all(row.dropped == [] for row in run(spark, pages))
