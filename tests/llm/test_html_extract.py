@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from sendgate.llm import html_extract
 from sendgate.llm.html_extract import Recurring, extract_text, site_templates
 from sendgate.llm.html_page import Page
 from sendgate.llm.queries import QUERIES
@@ -125,5 +126,35 @@ def test_counts_by_definition(spark):
     assert found == {value for value, on in counts.items() if len(on) >= 4}
 
 
+@pytest.mark.parametrize("most", [html_extract.HOST_HASHES, 3])
+def test_templates_of_a_hot_host(spark, monkeypatch, most):
+    """Several templates on small shares of a host, handed out per host and per page."""
+    monkeypatch.setattr(html_extract, "HOST_HASHES", most)
+    rows = []
+    for i in range(3000):
+        notice = f"<div>Notice of section {i % 20}.</div>"  # on 5 % inside, 150 pages
+        aside = f"<div>Board of section {i % 100}.</div>"  # on 1 % outside, 30 pages
+        few = f"<p>Shared paragraph {i // 50}.</p>"  # on 50 pages, too few inside
+        rows.append((i, "http://hot.org/", f"{aside}<article><p>Story {i}.</p>{few}{notice}</article>", None))
+    rows += [(i, "http://hot.org/", rows[i - 3000][2], None) for i in range(3000, 3100)]  # copies
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows)).collect()}
+    assert got == {
+        i: f"Story {i % 3000}.\n\nShared paragraph {i % 3000 // 50}." for i in range(3100)
+    }
+    plain = [(i, "http://h.org/", re.sub("</?article>", "", rows[i][2]), None) for i in range(3000)]
+    got = [r.text for r in extract_text(pages_of(spark, plain)).collect()]
+    assert not any("Board" in text or "Notice" in text for text in got)
+
+
+def test_inside_of_articles_of_a_small_host(spark):
+    rows = []
+    for i in range(5):
+        shared = "<p>Shared by most.</p>" if i else ""
+        source = f"<article><p>Story {i}.</p>{shared}<div>Follow us now.</div></article>"
+        rows.append((i, "http://small.org/", source, None))
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows)).collect()}
+    assert got[0] == "Story 0." and got[4] == "Story 4.\n\nShared by most."
+
+
 def test_empty_table(spark):
     assert extract_text(pages_of(spark, [])).count() == 0
