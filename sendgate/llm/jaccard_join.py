@@ -21,8 +21,10 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|`` for their sets of 5-wo
    are compared with each other, by scanning inverted lists inside tasks. Clusters of any size
    are cut into chunks.
 
-So no link between different texts is lost to the connected components, and no group's pairs are
-written out. Sets are compared exactly, as sets of 64-bit hashes; shingles that differ are taken
+So no component is lost, and no group's pairs are written out. Where links are asked for, with their
+number per document or pair by pair, one round takes the place of these two: all members of a
+cluster are compared with each other, chunk by chunk, and a pair that meets in several clusters
+counts in the one with the least hub. Sets are compared exactly, as sets of 64-bit hashes; shingles that differ are taken
 for equal with a chance of about 1 in 10**19 each.
 
 Defined results:
@@ -353,6 +355,80 @@ def _compare_chunks(percent: int):
     return run
 
 
+def _overlaps(
+    tokens: np.ndarray, holder: np.ndarray, own: np.ndarray, n_holders: int
+) -> np.ndarray:
+    """How many of ``own`` each holder has; ``tokens`` are sorted, with their holders beside."""
+    start, stop = np.searchsorted(tokens, own, "left"), np.searchsorted(tokens, own, "right")
+    lengths = stop - start
+    at = np.arange(lengths.sum()) + np.repeat(start - np.cumsum(lengths) + lengths, lengths)
+    return np.bincount(holder[at], minlength=n_holders)
+
+
+def _inverted(lists: list[np.ndarray], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    tokens = np.concatenate([*lists, np.zeros(0, kind)])
+    holder = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    order = np.argsort(tokens, kind="stable")
+    return tokens[order], holder[order]
+
+
+def _compare_all(percent: int, every_pair: bool):
+    """All links between two chunks of a cluster: their number per row, and linked pairs.
+
+    Without ``every_pair``, only pairs that connect what was not connected in this task. A pair
+    that also meets in a cluster of a lesser hub is left to that one.
+    """
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        hub, low, high = (x.as_py() for x in key)
+        table = table.sort_by("row")
+        rows, weights = table["row"].to_numpy(), table["weight"].to_numpy()
+        chunk = table["chunk"].to_numpy()
+        sets = _sets(table)
+        lesser = [np.array(x, np.int64) for x in table["hubs"].to_pylist()]
+        lesser = [x[x < hub] for x in lesser]
+        sizes = np.array([len(s) for s in sets])
+        left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+        tokens, holder = _inverted([sets[i] for i in right], "<u8")
+        hub_tokens, hub_holder = _inverted([lesser[i] for i in right], "<i8")
+        links = np.zeros(len(rows), np.int64)
+        part = np.arange(len(rows))
+        pairs: list[tuple[int, np.ndarray]] = []
+        for i in left:
+            overlap = _overlaps(tokens, holder, sets[i], len(right))
+            near = _linked(overlap, sizes[i], sizes[right], percent)
+            if low == high:
+                near &= right > i
+            if near.any() and len(lesser[i]):
+                near &= _overlaps(hub_tokens, hub_holder, lesser[i], len(right)) == 0
+            found = right[near]
+            links[i] += weights[found].sum()
+            links[found] += weights[i]
+            if not every_pair:
+                found = found[part[found] != part[i]]
+                parts, first = np.unique(part[found], return_index=True)
+                found = found[first]
+                part[np.isin(part, parts)] = part[i]
+            if len(found):
+                pairs.append((rows[i], rows[found]))
+        held = np.flatnonzero(links)
+        a = [np.full(len(others), row) for row, others in pairs]
+        b = [others for _, others in pairs]
+        n_pairs = sum(map(len, b))
+        return pa.table(
+            {
+                "row": pa.array(np.concatenate([rows[held], *a]), pa.int64()),
+                "links": pa.array([*links[held].tolist(), *[None] * n_pairs], pa.int64()),
+                "other": pa.array(
+                    [*[None] * len(held), *np.concatenate([np.zeros(0, np.int64), *b]).tolist()],
+                    pa.int64(),
+                ),
+            }
+        )
+
+    return run
+
+
 def _numbers(table: DataFrame) -> DataFrame:
     return broadcast_if_small(table, BROADCAST_NUMBERS)
 
@@ -468,6 +544,67 @@ def _second_clusters(
     return keep(members, "clusters")
 
 
+def _of_near_size(members: DataFrame, percent: int) -> DataFrame:
+    """The members (hub, row, n) with another one in their cluster of a size they can link with."""
+    # By different sizes, of which a cluster has few, not by members.
+    sizes = keep(members.groupBy("hub", "n").agg(F.count("*").alias("many")), "sizes")
+    by_size = Window.partitionBy("hub").orderBy("n")
+    near = (
+        sizes.withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
+        .where(
+            (F.col("many") > 1)
+            | (F.col("n") * percent <= F.col("below") * 100)
+            | (F.col("above") * percent <= F.col("n") * 100)
+        )
+        .select("hub", "n")
+    )
+    return members.join(_numbers(keep(near, "near")), ["hub", "n"], "left_semi")
+
+
+def _all_links(
+    listed: DataFrame,
+    sets: DataFrame,
+    sizes: DataFrame,
+    weights: DataFrame,
+    join: Join,
+    every_pair: bool,
+) -> DataFrame:
+    """Every link: (row, links) to be added up per row, and linked pairs (row, other).
+
+    ``weights`` has the number of documents of each set that several have. Without
+    ``every_pair``, the pairs are only enough to connect what links.
+    """
+    members = _shared_with_hubs(listed).join(sizes, "row").select("hub", "row", "n")
+    clusters = keep(_of_near_size(keep(members, "members"), join.percent), "clusters")
+    traits = (
+        clusters.groupBy("row")
+        .agg(F.sort_array(F.collect_list("hub")).alias("hubs"))
+        .join(weights, "row", "left")
+        .select("row", "hubs", F.coalesce("weight", F.lit(1).cast("long")).alias("weight"))
+    )
+    traits = keep(traits, "traits")
+    totals = clusters.groupBy("hub").agg(F.ceil(F.sum("n") / F.lit(join.chunk)).alias("pieces"))
+    placed = clusters.join(_numbers(keep(totals, "totals")), "hub").withColumn(
+        "chunk", F.pmod(F.xxhash64("row"), "pieces")
+    )
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
+    dealt = placed.select("hub", "row", "chunk", other).select(
+        "hub",
+        "row",
+        "chunk",
+        F.least("chunk", "other").alias("low"),
+        F.greatest("chunk", "other").alias("high"),
+    )
+    return keep(
+        sets.join(_numbers(traits), "row")
+        .join(_numbers(keep(dealt, "dealt")), "row")
+        .select("hub", "low", "high", "row", "chunk", "weight", "hubs", "hashes")
+        .groupBy("hub", "low", "high")
+        .applyInArrow(_compare_all(join.percent, every_pair), "row long, links long, other long"),
+        "links",
+    )
+
+
 def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     pieces = F.ceil(F.col("total") / F.lit(join.chunk))
     member = F.col("row") != F.col("hub")
@@ -536,15 +673,23 @@ def _second_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame
     )
 
 
-def link_documents(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join | None = None
-) -> DataFrame:
-    """Per row of ``docs``: ``_row`` (its place), ``id``, n_shingles, class_id and component_id.
+@dataclass(frozen=True)
+class _Found:
+    """What is known before sets are compared."""
 
-    ``class_id`` is the least id of the documents with the same set, ``component_id`` the least
-    that links reach. ``_first`` is true for one row of each component.
-    """
-    join = join or Join()
+    known: DataFrame  # row, id, n and class of every document
+    listed: DataFrame
+    sets: DataFrame
+    sizes: DataFrame
+    needs: _Needs
+
+    def weights(self) -> DataFrame:
+        """The number of documents of each set that several have."""
+        many = self.known.where("n > 0").groupBy(F.col("class").alias("row"))
+        return many.agg(F.count("*").alias("weight")).where("weight > 1")
+
+
+def _prepare(docs: DataFrame, id: str, text: str, join: Join) -> _Found:
     texts = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text")
     )
@@ -585,17 +730,62 @@ def link_documents(
     keys = keep(_keys(singles, levels, boundary, join.percent), "keys")
     needs, sizes = _Needs(boundary, join.percent), known.select("row", "n")
     listed = _listed(keys, sizes, needs)
-    sets = _candidate_sets(singles, listed)
-    clusters = _first_clusters(listed, sizes, join.percent)
-    first = keep(_first_round(clusters, sets, join), "links")
+    return _Found(known, listed, _candidate_sets(singles, listed), sizes, needs)
+
+
+def _connected(found: _Found, join: Join) -> DataFrame:
+    """The least node that each linked row reaches, by as few links as it takes."""
+    clusters = _first_clusters(found.listed, found.sizes, join.percent)
+    first = keep(_first_round(clusters, found.sets, join), "links")
     reached = keep(components(first), "components")
-    clusters = _second_clusters(listed, reached, sizes, needs)
-    second = keep(_second_round(clusters, sets, join), "links")
-    reached = keep(components(first.unionAll(second)), "components")
+    clusters = _second_clusters(found.listed, reached, found.sizes, found.needs)
+    second = keep(_second_round(clusters, found.sets, join), "links")
+    return keep(components(first.unionAll(second)), "components")
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    return found.where("other is not null").select(
+        F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")
+    )
+
+
+def link_documents(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    join: Join | None = None,
+    links: bool = False,
+) -> DataFrame:
+    """Per row of ``docs``: ``_row`` (its place), ``id``, n_shingles, class_id and component_id.
+
+    ``class_id`` is the least id of the documents with the same set, ``component_id`` the least
+    that links reach. ``_first`` is true for one row of each component. With ``links``, every
+    candidate pair is compared, and n_links is the number of other documents that link.
+    """
+    join = join or Join()
+    found = _prepare(docs, id, text, join)
+    known = found.known
+    if links:
+        weights = keep(found.weights(), "weights")
+        linked = _all_links(found.listed, found.sets, found.sizes, weights, join, False)
+        reached = keep(components(_pairs(linked)), "components")
+        counts = linked.where("links is not null").groupBy("row").agg(F.sum("links").alias("n_links"))
+        counts = keep(
+            counts.join(weights, "row", "full").select(
+                F.col("row").alias("class"),
+                (F.coalesce("n_links", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1).alias("n_links"),
+            ),
+            "counts",
+        )
+        known = known.join(_numbers(counts), "class", "left")
+        known = known.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    else:
+        reached = _connected(found, join)
+    counted = ["n_links"] if links else []
     roots = _numbers(reached.select(F.col("node").alias("class"), "root"))
     named = keep(
         known.join(roots, "class", "left").select(
-            "row", "id", "n", "class", F.coalesce("root", "class").alias("root")
+            "row", "id", "n", "class", F.coalesce("root", "class").alias("root"), *counted
         ),
         "roots",
     )
@@ -611,10 +801,31 @@ def link_documents(
             "class_id",
             "component_id",
             (F.col("row") == F.col("first")).alias("_first"),
+            *counted,
         )
     )
 
 
+def linked_pairs(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join | None = None
+) -> DataFrame:
+    """Every linked pair of different sets, by one document of each: the first in the table.
+
+    The columns are the places ``_a`` and ``_b`` with ``_a < _b``, and the ids a and b. Documents with
+    equal sets link, too; link_documents has their class. A group of m near copies that all link
+    gives m(m - 1)/2 rows.
+    """
+    join = join or Join()
+    found = _prepare(docs, id, text, join)
+    weights = keep(found.weights(), "weights")
+    linked = _all_links(found.listed, found.sets, found.sizes, weights, join, True)
+    pairs = _pairs(linked).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    for side in "ab":
+        named = found.known.select(F.col("row").alias(f"_{side}"), F.col("id").alias(side))
+        pairs = pairs.join(named, f"_{side}")
+    return pairs.select("_a", "_b", "a", "b")
+
+
 def drop_near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join | None = None
 ) -> DataFrame:

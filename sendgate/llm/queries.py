@@ -276,5 +276,5 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sendgate.llm import jaccard_join
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    linked = jaccard_join.link_documents(documents)
-    return linked.select("doc_id", "n_shingles", "component_id", "class_id")
+    linked = jaccard_join.link_documents(documents, links=True)
+    return linked.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")

@@ -13,6 +13,7 @@ from sendgate.llm.jaccard_join import (
     choose_boundary,
     drop_near_duplicates,
     link_documents,
+    linked_pairs,
 )
 from sendgate.llm.queries import QUERIES
 from sendgate.session import keep
@@ -148,3 +149,37 @@ def test_boundary_follows_costs():
     common[:100] = 17
     assert choose_boundary({50: 1000, 500: 1000}, common, 75) >= 50
     assert choose_boundary({}, nothing, 75) == 0
+
+
+def brute_links(rows):
+    """The linked pairs of places in ``rows``."""
+    sets = [shingle_set(text) for _, text in rows]
+    pairs = itertools.combinations(range(len(rows)), 2)
+    return [
+        (a, b)
+        for a, b in pairs
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) > 0
+    ]
+
+
+@pytest.mark.parametrize(
+    "join", [None, Join(boundary=0, chunk=300), Join(boundary=8, chunk=64), Join(boundary=10**9)]
+)
+def test_every_link_is_counted(spark, join):
+    rows = [(i, text) for i, (_, text) in enumerate(corpus(5))] + [(10_000, None), (10_001, " ")]
+    expected = dict.fromkeys(range(len(rows)), 0)
+    linked = brute_links(rows)
+    for pair in linked:
+        for place in pair:
+            expected[place] += 1
+    df = keep(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "docs")
+    found = link_documents(df, join=join, links=True).collect()
+    assert {r.doc_id: r.n_links for r in found} == {rows[i][0]: n for i, n in expected.items()}
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+    # Pairs of different sets, each once.
+    sets = [frozenset(shingle_set(text)) for _, text in rows]
+    different = {frozenset((sets[a], sets[b])) for a, b in linked if sets[a] != sets[b]}
+    pairs = linked_pairs(df, join=join).collect()
+    assert all(r._a < r._b for r in pairs)
+    assert len(pairs) == len(different)
+    assert {frozenset((sets[r.a], sets[r.b])) for r in pairs} == different
