@@ -227,9 +227,9 @@ def train(texts: Sequence[str], toxic: Sequence[bool], settings: Settings | None
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, settings: Settings, text: str = "text"
 ) -> pd.DataFrame:
-    """Text and label of the labelled documents that the bounds of ``settings`` let in.
+    """Text and label of the different labelled texts that the bounds of ``settings`` let in.
 
-    Which ones, a hash of the text decides; the result goes to the driver.
+    A text is toxic if any of its copies is. Which ones, a hash of the text decides; the result goes to the driver.
     """
     labels = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -239,15 +239,19 @@ def labelled_sample(
     rows = docs.where(F.col(text).isNotNull()).select("doc_id", F.col(text).alias("text"))
     # The texts stay where they are until the few that are wanted are known.
     known = rows.select("doc_id", F.xxhash64("text").alias("hash")).join(labels, "doc_id")
+    known = known.groupBy("hash").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
+    known = keep(known, "labelled")
     parts = [
-        known.where(F.col("toxic") == kind).orderBy("hash", "doc_id").limit(most)
+        known.where(F.col("toxic") == kind).orderBy("hash").limit(most)
         for kind, most in ((True, settings.toxic), (False, settings.clean))
     ]
-    wanted = keep(parts[0].unionAll(parts[1]), "wanted").distinct()
+    wanted = keep(parts[0].unionAll(parts[1]), "wanted")
     return (
         rows.withColumn("hash", F.xxhash64("text"))
         .join(F.broadcast(wanted), ["doc_id", "hash"])
-        .orderBy("hash", "doc_id")
+        .groupBy("hash")  # rows may repeat
+        .agg(F.first("toxic").alias("toxic"), F.first("text").alias("text"))
+        .orderBy("hash")
         .select("toxic", "text")
         .toPandas()
     )

@@ -123,6 +123,17 @@ def test_sample_is_bounded_and_labels_may_repeat(spark):
     assert len(everything) == 40 and everything["toxic"].sum() == 21
 
 
+def test_sample_takes_each_text_once(spark):
+    rows = [(i, f"text {i % 10}" if i < 400 else f"text {i}") for i in range(420)]
+    docs = spark.createDataFrame(rows + [(415, "text 415")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 400)) for i in range(420)] + [(3, 1)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, toxicity.Settings())
+    assert sorted(sample["text"]) == sorted({text for _, text in rows})
+    assert set(sample["text"][sample["toxic"]]) == {"text 3", *(f"text {i}" for i in range(400, 420))}
+    few = toxicity.labelled_sample(docs, labels, toxicity.Settings(toxic=5, clean=7))
+    assert len(set(few["text"])) == 12 and few["toxic"].sum() == 5
+
+
 def test_query_on_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = QUERIES["op7_toxicity"](spark, sf_dir).collect()
