@@ -278,3 +278,71 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     linked = jaccard_join.link_documents(documents, links=True)
     return linked.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+# 11 Conversation prefix trie ----------------------------------------------------------
+
+NO_MEMBERS = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # SHA-256 of nothing
+
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import prefix_trie
+
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    conv = F.col("conv_id")
+    head = F.crc32(F.to_binary(conv.cast("string"), F.lit("utf-8"))) % 9
+    recipes = turns.select("conv_id").distinct().select(
+        "conv_id", (conv - conv % 5).alias("base_id"), head.alias("head")
+    )
+    trie = prefix_trie.prefix_trie(turns, recipes)
+    nodes = trie.nodes.withColumnRenamed("saved_bytes", "saved_tokens")
+    digests = prefix_trie.ends_digest(trie.ends)
+    ends = F.coalesce("ends_sha256", F.lit(NO_MEMBERS)).alias("ends_sha256")
+    return nodes.join(digests, ["conv_id", "depth"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", ends
+    )
+
+
+ORACLES["op11_prefix_trie"] = """
+with stored as (
+    select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                         order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns
+    from conversations where conv_id is not null group by conv_id
+), heads as (
+    select conv_id, turns, xor(list_reduce(
+        list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint),
+        lambda crc, byte: list_reduce(range(8), lambda x, bit:
+            case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end, xor(crc, byte)),
+        4294967295::bigint), 4294967295::bigint) % 9 as h
+    from stored
+), rebuilt as (
+    select o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) as turns
+    from heads as o left join stored as b on b.conv_id = o.conv_id - o.conv_id % 5
+), prefixes as (
+    select conv_id, turns[1:depth] as prefix, depth, depth = len(turns) as ended
+    from (select conv_id, turns, unnest(range(len(turns) + 1)) as depth from rebuilt)
+), nodes as (
+    select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256
+    from prefixes group by prefix, depth
+), children as (
+    select prefix[1:depth - 1] as prefix, depth - 1 as depth, count(*) as n_children
+    from nodes where depth > 0 group by all
+), sized as (
+    select n.*, coalesce(n_children, 0) as n_children,
+           case when n.depth = 0 then 0
+                else (n_convs - 1) * strlen(n.prefix[n.depth].text) end as saved
+    from nodes as n left join children as c on c.prefix = n.prefix and c.depth = n.depth
+), above as (
+    select *, unnest(range(depth + 1)) as top from sized
+), subtrees as (
+    select prefix[1:top] as prefix, top as depth, count(*) filter (n_children = 0) as n_leaves,
+           sum(saved) as saved_tokens
+    from above group by all
+)
+select s.conv_id, s.depth, p.conv_id as parent_conv_id, s.n_convs, s.n_children, t.n_leaves,
+       t.saved_tokens::bigint as saved_tokens, s.ends_sha256
+from sized as s
+join subtrees as t on t.prefix = s.prefix and t.depth = s.depth
+left join nodes as p on s.depth > 0 and p.depth = s.depth - 1 and p.prefix = s.prefix[1:s.depth - 1]
+"""

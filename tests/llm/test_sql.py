@@ -8,7 +8,7 @@ from sendgate.llm.queries import ORACLES, QUERIES
 from tests.test_queries import rows_of
 
 SF_DIR = "/root/testdata/sf0.01"
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -34,5 +34,5 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_registered():
     assert QUERIES.keys() <= entry_point.queries().keys()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert any(name.startswith(f"op{number}_") for name in QUERIES), number
