@@ -346,3 +346,39 @@ from sized as s
 join subtrees as t on t.prefix = s.prefix and t.depth = s.depth
 left join nodes as p on s.depth > 0 and p.depth = s.depth - 1 and p.prefix = s.prefix[1:s.depth - 1]
 """
+
+# 13 Substring dedup -------------------------------------------------------------------
+
+
+@_query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import substring_dedup
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring_dedup.drop_repeats(documents, length=13, settled=True)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_substring_dedup"] = r"""
+with texts as (
+    select row_number() over () as row_no, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+    from documents
+), windows as (
+    select row_no, doc_id, first_word, array_to_string(words[first_word:first_word + 12], ' ') as run
+    from (select *, unnest(range(1, len(words) - 11)) as first_word from texts)
+), least as (
+    select run, min(doc_id) as least from windows group by run
+), covered as (
+    select distinct row_no, unnest(range(first_word, first_word + 13)) as place
+    from windows join least using (run) where least < doc_id
+), placed as (
+    select row_no, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from texts
+), kept as (
+    select row_no, count(*) as n_kept, string_agg(word, ' ' order by place) as kept
+    from placed anti join covered using (row_no, place) group by row_no
+)
+select doc_id, len(words) as n_words, len(words) - coalesce(n_kept, 0) as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (row_no)
+"""
