@@ -382,3 +382,47 @@ select doc_id, len(words) as n_words, len(words) - coalesce(n_kept, 0) as n_remo
        sha256(coalesce(kept, '')) as kept_sha256
 from texts left join kept using (row_no)
 """
+
+# 12 Ranked lexical search -------------------------------------------------------------
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sendgate.llm import lexical_search
+
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return lexical_search.search(documents, items, k=20)
+
+
+ORACLES["op12_lexical_search"] = r"""
+with texts as (
+    select 'd' as kind, row_number() over () as row_no, doc_id as id, text from documents
+    union all select 'q', row_number() over (), item_id, text from benchmark
+), split as (
+    select kind, row_no, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from texts where text is not null
+), docs as (
+    select row_no, id as doc_id, terms, len(terms) as n from split where kind = 'd' and len(terms) > 0
+), totals as (
+    select count(*) as n_docs, sum(n)::bigint as n_words from docs
+), counts as (
+    select row_no, doc_id, term, count(*) as tf, any_value(n) as n
+    from (select row_no, doc_id, n, unnest(terms) as term from docs) group by row_no, doc_id, term
+), weights as (
+    select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from counts, totals group by term, n_docs
+), asked as (
+    select row_no as q, id as item_id, unnest(terms) as term from split where kind = 'q'
+), scores as (
+    select q, item_id, row_no, doc_id, sum(w * ((1000000000 * tf)
+               // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words))))::bigint as score
+    from asked join counts using (term) join weights using (term), totals group by q, item_id, row_no, doc_id
+), ranked as (
+    select *, row_number() over (partition by q order by score desc, doc_id nulls first) as rank
+    from scores where score > 0
+)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 20
+"""

@@ -1,0 +1,150 @@
+"""Lexical search and its ball trees against plain Python."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sendgate.llm import ball_tree as B, lexical_search as L
+
+DOCS = "doc_id long, text string"
+ITEMS = "item_id long, text string"
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return TERM.findall(folded)
+
+
+def brute(docs, items, k):
+    counted = [(doc, Counter(terms(text))) for doc, text in docs]
+    counted = [(doc, counts) for doc, counts in counted if counts]
+    n, words = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, counts in counted for t in counts)
+    found = []
+    for item, text in items:
+        scores = []
+        for doc, counts in counted:
+            m = 75 + 25 * counts.total() * n // words
+            score = 0
+            for t in terms(text):
+                if t in counts:
+                    w = math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                    score += w * (1_000_000_000 * counts[t] // (1000 * counts[t] + 12 * m))
+            if score > 0:
+                scores.append((-score, doc is not None, doc or 0, doc))
+        found += [(item, i + 1, x[3], -x[0]) for i, x in enumerate(sorted(scores)[:k])]
+    return sorted(found, key=str)
+
+
+def searched(spark, docs, items, k=5):
+    rows = L.search(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), k).collect()
+    return sorted([tuple(r) for r in rows], key=str)
+
+
+def made_up(seed, n=300):
+    draw = random.Random(seed)
+    languages = [[f"{a}{draw.choice('éxYZß')}{i}" for i in range(60)] for a in "pqrs"]
+    docs = []
+    for doc in range(n):
+        words = draw.choice(languages)
+        text = " ".join(draw.choice(words[: draw.choice([5, 60])]) for _ in range(draw.choice([0, 1, 5, 40, 300])))
+        docs.append((doc, text + draw.choice(["", "!", "\x00-\x7f", " AbC"])))
+    docs += [(n + 1, docs[5][1])] * 3 + [(None, docs[5][1]), (None, None), (n + 2, None), (n + 3, ""), (n + 4, "...")]
+    items = [(i, " ".join(draw.choices(draw.choice(languages), k=draw.choice([1, 4, 30])))) for i in range(25)]
+    items += [(3, items[3][1]), (3, "other words"), (None, items[4][1]), (90, None), (91, ""), (92, "nowhere")]
+    return docs, items
+
+
+@pytest.mark.parametrize("k", [1, 5, 1000])
+def test_made_up_texts(spark, k):
+    docs, items = made_up(k)
+    assert searched(spark, docs, items, k) == brute(docs, items, k)
+
+
+def test_small_blocks_of_documents_and_queries(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_DOCS", 40)
+    monkeypatch.setattr(L, "BLOCK_ENTRIES", 600)
+    monkeypatch.setattr(L, "QUERIES", 9)
+    monkeypatch.setattr(B, "LEAF", 4)
+    docs, items = made_up(7)
+    assert searched(spark, docs, items) == brute(docs, items, 5)
+
+
+def test_ties_go_by_id(spark):
+    docs = [(doc, "one two three") for doc in range(200, 0, -1)]
+    items = [(1, "two two"), (2, "three four")]
+    assert searched(spark, docs, items) == brute(docs, items, 5)
+
+
+def test_empty_tables(spark):
+    assert searched(spark, [], [(1, "a")]) == []
+    assert searched(spark, [(1, "a")], []) == []
+    assert searched(spark, [], []) == []
+
+
+def test_extra_columns(spark):
+    docs = spark.createDataFrame([(1, "a b")], DOCS).withColumns({"n": F.lit(0), "terms": F.lit("x")})
+    items = spark.createDataFrame([(9, "b")], ITEMS).withColumns({"q": F.lit(5), "rank": F.lit(7), "score": F.lit(0)})
+    assert [r.doc_id for r in L.search(docs, items).collect()] == [1]
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    monkeypatch.setattr(L, "_PIECE", 7)
+    for text in ("", "a", "abcdefghijklmnop q", "ab cd " * 9, "x" * 50, " " * 30, "abcdefg hijklmn opqrstu", "é" * 9 + " Z"):
+        found = [t.decode() for part in L.terms_of(text.encode()) for t in part if t]
+        assert found == terms(text), text
+
+
+def test_most_is_pruned_where_queries_are_selective():
+    """Clusters over terms of their own: bounds of other clusters' balls are below the k-th score."""
+    draw = np.random.default_rng(5)
+    n, clusters, width = 4096, 16, 20
+    of = np.arange(n) % clusters
+    terms_ = [np.sort(draw.choice(width, 8, replace=False)) + width * c for c in of]
+    bounds = np.arange(n + 1) * 8
+    impacts = draw.integers(300_000, 900_000, n * 8)
+    queries = B.Queries(np.arange(clusters + 1) * 5, np.concatenate([np.arange(5) + width * c for c in range(clusters)]),
+                        np.ones(clusters * 5, np.int64))
+    weights = draw.integers(1000, 9000, clusters * width)
+    space = B.Space(weights, B.term_groups(queries, weights, 16), 16)
+    tree = B.build(bounds, np.concatenate(terms_), impacts, space)
+    dense = np.zeros(len(weights), np.int64)
+    full = np.zeros((n, len(weights)), np.int64)
+    full[np.repeat(np.arange(n), 8), np.concatenate(terms_)] = impacts
+    total = 0
+    for q in range(clusters):
+        best = B.Best(10)
+        scored = B.search(tree, list(range(n)), *queries.of(q), space, dense, best)
+        exact = full[:, queries.of(q)[0]] @ weights[queries.of(q)[0]]
+        expected = sorted(range(n), key=lambda i: (-exact[i], i))[:10]
+        assert [doc for doc, _ in best.rows()] == expected
+        total += scored
+    assert total <= n * clusters / 4
+    assert not dense.any()
+
+
+def test_bounds_hold_at_every_node():
+    draw = np.random.default_rng(6)
+    n, vocabulary = 500, 80
+    lengths = draw.integers(0, 30, n)
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    terms_ = np.concatenate([np.sort(draw.choice(vocabulary, m, replace=False)) for m in lengths])
+    impacts = draw.integers(0, 1_000_000, len(terms_))
+    queries = B.Queries(np.array([0, 6]), np.sort(draw.choice(vocabulary, 6, replace=False)), draw.integers(1, 5, 6))
+    weights = draw.integers(0, 20_000, vocabulary)
+    space = B.Space(weights, B.term_groups(queries, weights, 4), 4)
+    tree = B.build(bounds, terms_, impacts, space)
+    limits = B.upper_bounds(tree, *queries.of(0), space)
+    dense = np.zeros(vocabulary, np.int64)
+    dense[queries.terms] = queries.times * weights[queries.terms]
+    sums = np.concatenate(([0], np.cumsum(dense[tree.terms] * tree.impacts)))
+    scores = np.diff(sums[tree.bounds])
+    assert sorted(tree.rows.tolist()) == list(range(n))
+    for first, last, limit in zip(tree.first, tree.last, limits):
+        assert scores[first:last].max() <= limit
