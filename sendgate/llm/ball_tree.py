@@ -109,11 +109,22 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(first - (ends - lengths), lengths)
 
 
+def _widest_gap(values: np.ndarray) -> int:
+    """Where to cut sorted values: at the widest gap that leaves an eighth on either side.
+
+    So like documents stay together and the depth is logarithmic; equal values are halved.
+    """
+    low = max(len(values) // 8, 1)
+    gaps = np.diff(values[low - 1 : len(values) - low + 1])
+    at = int(np.argmax(gaps))
+    return low + at if gaps[at] > 0 else len(values) // 2
+
+
 def build(bounds: np.ndarray, terms: np.ndarray, impacts: np.ndarray, space: Space) -> Tree:
     """A tree over the documents ``bounds[i]`` to ``bounds[i + 1]``.
 
-    A node is halved by whether its documents are nearer to one or the other of two that lie far
-    apart, so equal halves are of like documents, and copies split evenly.
+    The documents of a node are sorted by how much nearer they are to one than to the other of two
+    that lie far apart, and cut in two at a wide gap.
     """
     n = len(bounds) - 1
     local, place = np.unique(terms, return_inverse=True)
@@ -165,11 +176,12 @@ def build(bounds: np.ndarray, terms: np.ndarray, impacts: np.ndarray, space: Spa
         one = int(np.argmax(squares[docs] - 2 * products(docs, center, entries, at)))
         from_one = apart_from(one)
         from_two = apart_from(int(np.argmax(from_one)))
-        order[first:last] = docs[np.argsort(from_one - from_two, kind="stable")]
-        half = first + len(docs) // 2
+        by_nearness = np.argsort(from_one - from_two, kind="stable")
+        order[first:last] = docs[by_nearness]
+        cut = first + _widest_gap((from_one - from_two)[by_nearness])
         nodes[node] = (first, last, len(nodes))
         open_ += [len(nodes), len(nodes) + 1]
-        nodes += [(first, half, 0), (half, last, 0)]
+        nodes += [(first, cut, 0), (cut, last, 0)]
 
     entries = _ranges(bounds[order], bounds[order + 1])
     lengths = bounds[order + 1] - bounds[order]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sendgate.llm import ball_tree as B
 from sendgate.session import keep
 
-GROUPS = 16
+GROUPS = 64
 BLOCK_DOCS = 2048
 BLOCK_ENTRIES = 500_000
 # Bounds of one block of queries, which is held by every task; a single larger query is one.

@@ -104,28 +104,26 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
 def test_most_is_pruned_where_queries_are_selective():
     """Clusters over terms of their own: bounds of other clusters' balls are below the k-th score."""
     draw = np.random.default_rng(5)
-    n, clusters, width = 4096, 16, 20
+    n, clusters, width, held = 4096, 16, 12, 6
     of = np.arange(n) % clusters
-    terms_ = [np.sort(draw.choice(width, 8, replace=False)) + width * c for c in of]
-    bounds = np.arange(n + 1) * 8
-    impacts = draw.integers(300_000, 900_000, n * 8)
-    queries = B.Queries(np.arange(clusters + 1) * 5, np.concatenate([np.arange(5) + width * c for c in range(clusters)]),
-                        np.ones(clusters * 5, np.int64))
-    weights = draw.integers(1000, 9000, clusters * width)
+    terms_ = np.concatenate([np.sort(draw.choice(width, held, replace=False)) + width * c for c in of])
+    impacts = draw.integers(300_000, 900_000, n * held)
+    every = np.arange(clusters * width)
+    queries = B.Queries(np.arange(clusters + 1) * width, every, np.ones(len(every), np.int64))
+    weights = draw.integers(1000, 9000, len(every))
     space = B.Space(weights, B.term_groups(queries, weights, 16), 16)
-    tree = B.build(bounds, np.concatenate(terms_), impacts, space)
-    dense = np.zeros(len(weights), np.int64)
-    full = np.zeros((n, len(weights)), np.int64)
-    full[np.repeat(np.arange(n), 8), np.concatenate(terms_)] = impacts
+    tree = B.build(np.arange(n + 1) * held, terms_, impacts, space)
+    dense = np.zeros(len(every), np.int64)
+    full = np.zeros((n, len(every)), np.int64)
+    full[np.repeat(np.arange(n), held), terms_] = impacts
     total = 0
     for q in range(clusters):
         best = B.Best(10)
-        scored = B.search(tree, list(range(n)), *queries.of(q), space, dense, best)
+        total += B.search(tree, list(range(n)), *queries.of(q), space, dense, best)
         exact = full[:, queries.of(q)[0]] @ weights[queries.of(q)[0]]
         expected = sorted(range(n), key=lambda i: (-exact[i], i))[:10]
         assert [doc for doc, _ in best.rows()] == expected
-        total += scored
-    assert total <= n * clusters / 4
+    assert total <= n * clusters / 8
     assert not dense.any()
 
 
