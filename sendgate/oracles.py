@@ -284,3 +284,37 @@ ORACLES: dict[str, str] = {
         ('X_error_2.csv', false, 0, (select count(*) from orders)))
         as t(path, failed, retries, "CG_COUNT")""",
 }
+
+# The rival's run, then the other with the rival's rows in its history.
+_RIVAL = ("click", "RUN-2")
+
+
+def _labelled(name: str, business: str, history: str) -> str:
+    return f"""{name} as (
+  select *, case when "IMEI" is null then 'NULL'
+    when coalesce("APPL_ID" in (select "APPL_ID" from overdue), false) then 'DELINQUENT'
+    when "IMEI" in (select "IMEI" from {history} where business = '{business}') then 'DUPLICATE_BIZ'
+    when "IMEI" in (select "IMEI" from {history} group by 1 having count(*) >= 3)
+    then 'DUPLICATE_GLOBAL' else 'UNIQUE_GLOBAL' end as "FILTER_STATUS" from due)"""
+
+
+_SERIAL = f"""with {_DUE},
+{_labelled("rival", _RIVAL[0], "history")},
+later as (select * from history union all
+  select "IMEI", '{_RIVAL[0]}' from rival where "FILTER_STATUS" = 'UNIQUE_GLOBAL'),
+{_labelled("mine", BUSINESS, "later")},
+both_runs as (
+  select *, '{_RIVAL[0]}' as business, '{_RIVAL[1]}' as transaction_id from rival
+  union all select *, '{BUSINESS}', '{RUN_ID}' from mine)
+"""
+
+ORACLES |= {
+    "race_status": _SERIAL + "select * from both_runs",
+    "race_batches": _SERIAL + f"""
+      select *, (row_no - 1) // {STEP} as batch_no from (
+        select "APPL_ID", "IMEI", "Notification_Code", transaction_id, row_number() over (
+          partition by transaction_id, "Notification_Code"
+          order by "APPL_ID" nulls first, "IMEI" nulls first) as row_no
+        from both_runs where "FILTER_STATUS" = 'UNIQUE_GLOBAL')""",
+    "killed_before_commit": _batched(_STAGED),
+}

@@ -13,11 +13,12 @@ from sendgate import schemas as S
 from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP, Roles
 from sendgate.functions import scalars
 from sendgate.operators import batching, dispatch, funnel, logs, payloads, status as st
+from sendgate.plans import concurrent
 from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
 from sendgate.plans.runs import run_log, run_logged
 from sendgate.session import keep, new_path
-from sendgate.sources import readers, writers
+from sendgate.sources import commits, readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -580,3 +581,73 @@ def run_log_written(r: Roles) -> DataFrame:
         .join(counted.select(F.col("CG_FILENAME").alias("path"), "CG_COUNT"), "path", "left")
         .select("path", F.coalesce("failed", F.lit(False)).alias("failed"), "retries", "CG_COUNT")
     )
+
+
+# Runs at the same time ----------------------------------------------------------------
+
+RIVAL = "click"
+RIVAL_ID = "RUN-2"
+
+
+def _published(r: Roles) -> tuple[str, str]:
+    """The arriving file, and a folder where the day's earlier sends are published."""
+    due = new_path(r.spark, "arrival")
+    r.due_raw.write.option("header", True).csv(due)
+    base = new_path(r.spark, "published")
+    columns = [f for f in S.BATCHES if f.name not in ("run_date", "business", "transaction_id")]
+    for business in ("view", "click", "purchase", "signup", "error"):
+        rows = r.history.where(F.col("business") == business)
+        known = {S.IMEI: F.col(S.IMEI)}
+        batches = rows.select(
+            *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
+        )
+        commits.publish(r.spark, base, RUN_DATE, business, f"EARLIER-{business}", {"batches": batches})
+    return due, base
+
+
+def _race(r: Roles) -> str:
+    """Two businesses' runs read the same day; the rival commits while the other is about to."""
+    due, base = _published(r)
+    overdue = st.overdue_keys(r.loans)
+    mine = Run(FILE_NAME, RUN_ID, _STARTED)
+    rival = Run(f"CUSTOMERS_{RIVAL}_20240102.csv", RIVAL_ID, _STARTED)
+
+    def overtake(tries: int) -> None:
+        if not tries:
+            concurrent.run_concurrent(r.spark, due, overdue, base, rival, step=STEP)
+
+    concurrent.run_concurrent(r.spark, due, overdue, base, mine, step=STEP, before_commit=overtake)
+    return base
+
+
+@_query
+def race_status(r: Roles) -> DataFrame:
+    """The status of both runs, as if the one that committed last had begun after the other."""
+    status = commits.read_published(r.spark, _race(r), concurrent.STATUS, S.STATUS, RUN_DATE)
+    return status.select(S.APPL_ID, S.IMEI, S.CODE, S.FILTER_STATUS, "business", "transaction_id")
+
+
+@_query
+def race_batches(r: Roles) -> DataFrame:
+    """The batches of both runs, numbered without the rows that lost."""
+    batches = commits.read_published(r.spark, _race(r), concurrent.BATCHES, S.BATCHES, RUN_DATE)
+    ours = batches.where(F.col("transaction_id").isin(RUN_ID, RIVAL_ID))
+    return ours.select(S.APPL_ID, S.IMEI, S.CODE, "row_no", "batch_no", "transaction_id")
+
+
+@_query
+def killed_before_commit(r: Roles) -> DataFrame:
+    """A repeat that ends between its last write and its commit: the first attempt's log is read."""
+    due, base = _published(r)
+    overdue = st.overdue_keys(r.loans)
+    run = Run(FILE_NAME, RUN_ID, _STARTED)
+    concurrent.run_concurrent(r.spark, due, overdue, base, run, step=STEP)
+
+    def die(_tries: int) -> None:
+        raise InterruptedError
+
+    try:
+        concurrent.run_concurrent(r.spark, due, overdue, base, run, step=10 * STEP, before_commit=die)
+    except InterruptedError:
+        pass
+    return commits.read_published(r.spark, base, concurrent.STAGING, S.STAGING_LOG, RUN_DATE)

@@ -74,6 +74,16 @@ BATCHES = _schema(
     transaction_id=_TEXT,
 )
 
+COMMIT = _schema(
+    version=_LONG,
+    run_date=T.DateType(),
+    business=_TEXT,
+    transaction_id=_TEXT,
+    snapshot=_TEXT,
+    tables=T.ArrayType(_TEXT),
+    token=_TEXT,
+)
+
 INIT_LOG = _schema(
     CG_FILENAME=_TEXT,
     TRANSACTION_ID=_TEXT,
