@@ -317,4 +317,11 @@ ORACLES |= {
           order by "APPL_ID" nulls first, "IMEI" nulls first) as row_no
         from both_runs where "FILTER_STATUS" = 'UNIQUE_GLOBAL')""",
     "killed_before_commit": _batched(_STAGED),
+    "bulk_after_loss": _batched(
+        f"""select "DATA_C_FILENAME", case when lost then 'unresolved' else status end as status,
+          case when not lost then status_code end as status_code,
+          case when not lost then api_response end as api_response
+        from (select *, "DATA_C_FILENAME" like '%\\_1\\_REQ.csv' escape '\\' as lost from ({_OUTCOMES}))""",
+        _LINES,
+    ),
 }

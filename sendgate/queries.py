@@ -583,6 +583,29 @@ def run_log_written(r: Roles) -> DataFrame:
     )
 
 
+class _Killed:
+    """Ends the whole task, as a lost executor does, while the given file is in flight."""
+
+    def __init__(self, ending: str) -> None:
+        self.ending = ending
+
+    def __call__(self, file_name: str, payload: Iterator[str], token: str) -> tuple[int, str]:
+        if file_name.endswith(self.ending):
+            raise SystemExit("lost")
+        return _fake_transport(file_name, payload, token)
+
+
+@_query
+def bulk_after_loss(r: Roles) -> DataFrame:
+    """A dispatch that is lost with a file in flight, and the repeat that sends the rest."""
+    folders, run, _ = _primary(r)
+    try:
+        run_bulk(r.spark, folders, run, _Killed("_1_REQ.csv"), lambda: "fresh", tasks=1, ledger=True)
+    except Exception:  # as the driver sees it, the job has failed
+        pass
+    return run_bulk(r.spark, folders, run, _fake_transport, lambda: "fresh", tasks=1, ledger=True)
+
+
 # Runs at the same time ----------------------------------------------------------------
 
 RIVAL = "click"

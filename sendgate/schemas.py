@@ -104,6 +104,8 @@ ATTEMPTS = _schema(
     api_response=_TEXT,
 )
 
+INTENTS = _schema(filename=_TEXT, wave=_LONG)
+
 RESPONSE_LOG = _schema(TRANSACTION_ID=_TEXT, DATA_C_FILENAME=_TEXT, DATA_C_RESPONSE=_TEXT)
 
 OUTCOMES = _schema(DATA_C_FILENAME=_TEXT, status=_TEXT, status_code=_TEXT, api_response=_TEXT)
