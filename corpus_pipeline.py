@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sendgate.llm import bpe, jaccard_join, line_dedup, mixing, toxicity
+from sendgate.llm.common import small_batches
 from sendgate.llm.queries import (
     held_out,
     public_vocabulary,
@@ -27,6 +28,7 @@ MIX_SHARE = 0.8
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that score below 0.5; held-out labels are not learned from."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
     model = toxicity.fit(docs, labels)
     return toxicity.score_texts(docs, model).where("predicted = 0").select(*docs.columns)
@@ -42,6 +44,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the first in the table."""
+    small_batches(spark)
     return jaccard_join.drop_near_duplicates(docs)
 
 
@@ -53,6 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
+    small_batches(spark)
     texts = docs.select("doc_id", "lang", "source", "text")
     return bpe.encode_and_decode(texts, public_vocabulary(), keep_ids=True)
 

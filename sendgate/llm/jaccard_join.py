@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sendgate.llm import shingles as S
-from sendgate.llm.common import fresh
+from sendgate.llm.common import fresh, return_memory
 from sendgate.llm.components import components
 from sendgate.session import broadcast_if_small, keep
 
@@ -57,7 +57,7 @@ _CELL_BITS = 24
 _SHEET_BITS = 16  # cells of the sketch in one row
 SHARED_KEYS = 16  # the c of large sets
 CANDIDATE_COST = 100  # what another set on a list costs, in keys written
-_COUNTED = 1 << 22  # shingles that are counted exactly at a time
+_COUNTED = 1 << 20  # shingles that are counted exactly at a time
 # Numbers of rows and keys, 16 bytes each, are broadcast up to this many.
 BROADCAST_NUMBERS = 1_000_000
 
@@ -135,6 +135,7 @@ def _describe(texts: DataFrame) -> DataFrame:
             )
         if held:
             count()
+        return_memory()
         if counted:
             cells, place = np.unique(
                 np.concatenate([cells for cells, _ in counted]), return_inverse=True
@@ -275,6 +276,7 @@ def _keys(texts: DataFrame, levels: np.ndarray, boundary: int, percent: int) ->
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(rows)],
                     ["key", "row"],
                 )
+        return_memory()
 
     return texts.mapInArrow(run, "key long, row long")
 
@@ -445,6 +447,7 @@ def _candidate_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array(parts, pa.binary())], ["row", "hashes"]
             )
+        return_memory()
 
     wanted = _numbers(keep(members.select("row").distinct(), "wanted"))
     return keep(
@@ -470,7 +473,8 @@ class _Needs:
 
 def _listed(keys: DataFrame, sizes: DataFrame, needs: _Needs) -> DataFrame:
     """Keys and rows on lists of two or more, of rows that have enough of them."""
-    # Most keys are on one set only: one shuffle tells, where a join would take a second one.
+    # Most keys are on one set only: one shuffle tells, where a join would take a second one. They
+    # go into it as they are made; written first, they would take as much disk again.
     many = F.count("*").over(Window.partitionBy("key"))
     listed = keep(keys.withColumn("many", many).where("many > 1").drop("many"), "listed")
     enough = _numbers(keep(needs.enough(listed, sizes), "enough"))
@@ -727,7 +731,7 @@ def _prepare(docs: DataFrame, id: str, text: str, join: Join) -> _Found:
             levels,
             join.percent,
         )
-    keys = keep(_keys(singles, levels, boundary, join.percent), "keys")
+    keys = _keys(singles, levels, boundary, join.percent)
     needs, sizes = _Needs(boundary, join.percent), known.select("row", "n")
     listed = _listed(keys, sizes, needs)
     return _Found(known, listed, _candidate_sets(singles, listed), sizes, needs)

@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from sendgate.llm import string_kernel as kernel
+from sendgate.llm.common import return_memory
 from sendgate.session import keep
 
 
@@ -277,6 +278,7 @@ def score_texts(
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(shared.value.score(texts.tolist()))
+        return_memory()
 
     others = [c for c in docs.columns if c.lower() not in (score.lower(), predicted.lower())]
     scored = docs.select(*others, scores(F.col(text)).alias(score))
