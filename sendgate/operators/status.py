@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sendgate import schemas as S
 from sendgate.functions.scalars import imei_of, whole_number
+from sendgate.operators.batching import number_rows
 from sendgate.operators.skew import KeyTable, match_keys
+from sendgate.session import keep
 
 _MATCHES = "_matches"
 _BIZ = "_biz"
 _CAPPED = "_capped"
+_RANK = "_rank"
+_SENT = "_sent"
 
 
 def normalise_due(raw: DataFrame) -> DataFrame:
@@ -213,6 +217,43 @@ def eligibility_cascade(
     return joined.select(*labelled if dedupe_keys else [*labelled, _copies()])
 
 
+def cap_within_file(
+    status: DataFrame,
+    history: DataFrame,
+    run_date: dt.date,
+    cap: int = S.DAILY_CAP,
+    include_audit: DataFrame | None = None,
+    exclude: str | None = None,
+    settled: bool = False,
+    rows: int | None = None,
+    **join: Any,
+) -> DataFrame:
+    """``status`` with the cap kept inside the file as well, not only between files.
+
+    Each key has a running quota: what was sent earlier in the day, then the file's eligible rows
+    of that key one by one, in the order of loan id and code. Rows beyond ``cap`` become
+    ``DUPLICATE_GLOBAL``. The ranks come from the block numbering, so a hot key, or one with very
+    many copies, is never one task. ``settled`` says that ``status`` is a scan or a written table,
+    ``rows`` how many eligible rows it has; ``join`` holds options for ``match_keys``.
+    """
+    status = status if settled else keep(status, "status")
+    open_ = F.col(S.FILTER_STATUS) == S.UNIQUE_GLOBAL
+    order = [S.APPL_ID, S.CODE]
+    ranked = number_rows(status.where(open_), [S.IMEI], order, _RANK, settled=True, rows=rows)
+    sent = day_of(history, run_date, exclude).select(S.IMEI)
+    if include_audit is not None:
+        sent = sent.unionByName(day_of(include_audit, run_date, exclude).select(S.IMEI))
+    table = KeyTable(S.IMEI, sent, lambda found: found.groupBy(S.IMEI).agg(F.count("*").alias(_SENT)))
+    joined = match_keys(ranked, [table], "left", **join)
+    over = F.col(_RANK) + F.coalesce(_SENT, F.lit(0)) > cap
+    label = F.when(over, S.DUPLICATE_GLOBAL).otherwise(S.UNIQUE_GLOBAL)
+    capped = joined.select(
+        *[label.alias(c) if c == S.FILTER_STATUS else F.col(c) for c in status.columns]
+    )
+    # A row without a status is not eligible either.
+    return status.where(~F.coalesce(open_, F.lit(False))).unionByName(capped)
+
+
 def eligible(status: DataFrame) -> DataFrame:
     return status.where(F.col(S.FILTER_STATUS) == S.UNIQUE_GLOBAL).drop(S.FILTER_STATUS)
 

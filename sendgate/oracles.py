@@ -325,3 +325,15 @@ ORACLES |= {
         _LINES,
     ),
 }
+
+_WITHIN_FILE = _with(
+    """select "APPL_ID", "IMEI", "Notification_Code",
+      case when "FILTER_STATUS" = 'UNIQUE_GLOBAL' and coalesce(n, 0) + place > 3
+        then 'DUPLICATE_GLOBAL' else "FILTER_STATUS" end as "FILTER_STATUS"
+    from (select *, row_number() over (
+        partition by "IMEI", "FILTER_STATUS"
+        order by "APPL_ID" nulls first, "Notification_Code" nulls first) as place from status)
+    left join sent using ("IMEI")""",
+    'sent as (select "IMEI", count(*) as n from history group by 1)',
+)
+ORACLES |= {"cap_within_file": _WITHIN_FILE, "cap_within_file_shuffled": _WITHIN_FILE}

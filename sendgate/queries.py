@@ -606,6 +606,17 @@ def bulk_after_loss(r: Roles) -> DataFrame:
     return run_bulk(r.spark, folders, run, _fake_transport, lambda: "fresh", tasks=1, ledger=True)
 
 
+@_query
+def cap_within_file(r: Roles) -> DataFrame:
+    """Each device gets at most three rows a day, those of this file included."""
+    return st.cap_within_file(_cascade(r), r.history, RUN_DATE)
+
+
+@_query
+def cap_within_file_shuffled(r: Roles) -> DataFrame:
+    return st.cap_within_file(_cascade(r), r.history, RUN_DATE, **_SHUFFLED)
+
+
 # Runs at the same time ----------------------------------------------------------------
 
 RIVAL = "click"
