@@ -45,12 +45,12 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from sendgate.llm.common import fresh
+from sendgate.llm.common import fresh, return_memory
 
 # Texts of about this many bytes are split, or decoded, at a time.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 # A query encodes pieces of about this many bytes at a time.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 # Encoded pieces that a task remembers, some 200 bytes each; it starts afresh beyond.
 REMEMBERED = 300_000
 # Pieces up to this many bytes take one contraction per step.
@@ -336,6 +336,7 @@ def _opened(vocabulary: Vocabulary, work: Callable[[Codec], Batches]) -> Batches
         yield from work(codec)
     finally:
         codec.close()
+        return_memory()
 
 
 def _encode(batches: Batches, codec: Codec, text: str, ids: str) -> Batches:

@@ -56,6 +56,7 @@ from sendgate.session import broadcast_if_small, keep
 _CELL_BITS = 24
 _SHEET_BITS = 16  # cells of the sketch in one row
 SHARED_KEYS = 16  # the c of large sets
+_LARGE = 2 << 20  # bytes of a group
 CANDIDATE_COST = 100  # what another set on a list costs, in keys written
 _COUNTED = 1 << 20  # shingles that are counted exactly at a time
 # Numbers of rows and keys, 16 bytes each, are broadcast up to this many.
@@ -289,6 +290,8 @@ def _linked(overlap, n, m, percent: int):
 
 
 def _sets(table: pa.Table) -> list[np.ndarray]:
+    if table.nbytes >= _LARGE:  # what the groups before it took, not once per small group
+        return_memory()
     return [np.frombuffer(x.as_buffer(), "<u8") for x in table["hashes"].combine_chunks()]
 
 
