@@ -71,7 +71,9 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     if held is not None:
         held.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._kept_at = path
+    return table
 
 
 @contextlib.contextmanager
@@ -93,6 +95,11 @@ def drop(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release(table: DataFrame) -> None:
+    """Drop a table that ``keep`` gave, once all that reads it has been written elsewhere."""
+    drop(table.sparkSession, table._kept_at)
+
+
 def settle(spark: SparkSession) -> None:
     """Set what the plans rely on in a session that others have made."""
     for key, value in SETTINGS.items():

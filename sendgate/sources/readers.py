@@ -11,11 +11,25 @@ from pyspark.sql.types import StructType
 from sendgate import schemas as S
 from sendgate.operators.status import day_of, normalise_due, overdue_keys
 from sendgate.sources.layout import day_folder, run_folder
+from sendgate.sources.records import read_records
+from sendgate.sources.records import read_records
 
 
 _BAD = "_bad_record"
 
 
+def _ddl(header: StructType) -> str:
+    """The header's columns and that of bad records, all text."""
+    names = [field.name.replace("`", "``") for field in header] + [_BAD]
+    return ", ".join(f"`{name}` string" for name in names)
+
+
+def _ddl(header: StructType) -> str:
+    """The header's columns and that of bad records, all text."""
+    names = [field.name.replace("`", "``") for field in header] + [_BAD]
+    return ", ".join(f"`{name}` string" for name in names)
+
+
 def read_due(
     spark: SparkSession, path: str, multi_line: bool = False, drop_bad: bool = False
 ) -> DataFrame:
@@ -24,17 +38,26 @@ def read_due(
     Columns are found by header name, as text; a missing one fails at once. A record with more
     or fewer values than the header, such as a line of a record whose quoted text goes over
     several lines, fails the read, or is left out with ``drop_bad``. ``multi_line`` allows line
-    ends inside quotes, at the price of one task per file.
+    ends inside quotes (not in the header); a file is read by many tasks all the same.
     """
     reader = (
         spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _BAD)
         .option("columnPruning", False)  # else the values of a record are not counted
     )
     header = reader.csv(path).schema
-    raw = reader.schema(header.add(_BAD, "string")).csv(path).select(*S.DUE_RAW.names, _BAD)
+    if multi_line:
+        parsed = F.from_csv("record", _ddl(header), {"escape": '"', "columnNameOfCorruptRecord": _BAD})
+        records = read_records(spark, path).where(~F.col("first"))
+        raw = records.select(parsed.alias("_r")).select("_r.*").select(*S.DUE_RAW.names, _BAD)
+    else:
+        if multi_line:
+        parsed = F.from_csv("record", _ddl(header), {"escape": '"', "columnNameOfCorruptRecord": _BAD})
+        records = read_records(spark, path).where(~F.col("first"))
+        raw = records.select(parsed.alias("_r")).select("_r.*").select(*S.DUE_RAW.names, _BAD)
+    else:
+        raw = reader.schema(header.add(_BAD, "string")).csv(path).select(*S.DUE_RAW.names, _BAD)
     good = F.col(_BAD).isNull()
     if drop_bad:
         return normalise_due(raw.where(good))
