@@ -58,7 +58,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
     small_batches(spark)
     texts = docs.select("doc_id", "lang", "source", "text")
-    return bpe.encode_and_decode(texts, public_vocabulary(), keep_ids=True)
+    return bpe.encode_and_decode(texts, public_vocabulary(), keep_ids=True, sizes=bpe.FRUGAL)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -48,9 +48,9 @@ from pyspark.sql.types import (
 from sendgate.llm.common import fresh, return_memory
 
 # Texts of about this many bytes are split, or decoded, at a time.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 2 << 20
 # A query encodes pieces of about this many bytes at a time.
-PIECE_BYTES = 1 << 18
+PIECE_BYTES = 1 << 20
 # Encoded pieces that a task remembers, some 200 bytes each; it starts afresh beyond.
 REMEMBERED = 300_000
 # Pieces up to this many bytes take one contraction per step.
@@ -59,6 +59,19 @@ SHORT_BYTES = 64
 DUCKDB = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """What a task works on at a time and remembers; less takes less memory and more time."""
+
+    chunk_bytes: int = CHUNK_BYTES
+    piece_bytes: int = PIECE_BYTES
+    remembered: int = REMEMBERED
+
+
+# For workers that share their executor's memory with much else: about a quarter.
+FRUGAL = Sizes(CHUNK_BYTES // 4, PIECE_BYTES // 4, REMEMBERED // 4)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Ranks of a byte-level BPE, as the text of a rank file, and the pattern that splits texts.
@@ -175,7 +188,8 @@ group by text_no
 class Codec:
     """The tables of one vocabulary in a DuckDB database of this process."""
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
+    def __init__(self, vocabulary: Vocabulary, sizes: Sizes | None = None) -> None:
+        self.sizes = sizes or Sizes()
         self.ranks = parse_ranks(vocabulary.ranks)
         self.split = regex.compile(vocabulary.pattern).findall
         self.database = duckdb.connect(config=DUCKDB)
@@ -220,7 +234,7 @@ class Codec:
             else:
                 (short if len(piece) <= SHORT_BYTES else long).append((word, piece))
         for query, rest in ((_ENCODE_SHORT, short), (_ENCODE_LONG, long)):
-            for part in _in_chunks(rest, lambda item: len(item[1]), PIECE_BYTES):
+            for part in _in_chunks(rest, lambda item: len(item[1]), self.sizes.piece_bytes):
                 self._contract(query, part)
 
     def _contract(self, query: str, part: list[tuple[str, bytes]]) -> None:
@@ -244,9 +258,9 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> Iterator[list[bytes]]:
         """Ids of each text as little-endian unsigned 32-bit integers, some texts at a time."""
-        for part in _in_chunks(texts, lambda text: len(text or ""), CHUNK_BYTES):
+        for part in _in_chunks(texts, lambda text: len(text or ""), self.sizes.chunk_bytes):
             split = [self.split(text) if text else [] for text in part]
-            if len(self.words) > REMEMBERED:
+            if len(self.words) > self.sizes.remembered:
                 self.words.clear()
             new: set[str] = set()
             for words in split:
@@ -329,9 +343,11 @@ def _ids_array(encoded: list[bytes]) -> pa.Array:
 Batches = Iterator[pa.RecordBatch]
 
 
-def _opened(vocabulary: Vocabulary, work: Callable[[Codec], Batches]) -> Batches:
+def _opened(
+    vocabulary: Vocabulary, work: Callable[[Codec], Batches], sizes: Sizes | None = None
+) -> Batches:
     """Work with a codec of the task's own: a worker that lives on holds nothing of it."""
-    codec = Codec(vocabulary)
+    codec = Codec(vocabulary, sizes)
     try:
         yield from work(codec)
     finally:
@@ -402,7 +418,11 @@ def decode_ids(
 
 
 def encode_and_decode(
-    df: DataFrame, vocabulary: Vocabulary, text: str = "text", keep_ids: bool = False
+    df: DataFrame,
+    vocabulary: Vocabulary,
+    text: str = "text",
+    keep_ids: bool = False,
+    sizes: Sizes | None = None,
 ) -> DataFrame:
     """Encode every text, decode the ids again, and put both results' digests in its place.
 
@@ -425,6 +445,6 @@ def encode_and_decode(
         return _digest(_decode(encoded, codec, ids, decoded), dropped, ids, decoded)
 
     return df.mapInArrow(
-        lambda batches: _opened(vocabulary, lambda codec: run(batches, codec)),
+        lambda batches: _opened(vocabulary, lambda codec: run(batches, codec), sizes),
         _with(df.drop(text), *fields),
     )

@@ -10,11 +10,14 @@ from pyspark.sql import SparkSession
 
 # A batch of rows sent to a Python worker, or back, holds about so many bytes at most.
 BATCH_BYTES = 4 << 20
+# A task that writes texts holds a row group of this size before it goes to the file.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what executors and their Python workers hold of long texts at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
 
 
 def return_memory() -> None:

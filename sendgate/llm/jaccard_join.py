@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sendgate.llm import shingles as S
 from sendgate.llm.common import fresh, return_memory
 from sendgate.llm.components import components
-from sendgate.session import broadcast_if_small, keep
+from sendgate.session import broadcast_if_small, keep, release
 
 _CELL_BITS = 24
 _SHEET_BITS = 16  # cells of the sketch in one row
@@ -480,8 +480,11 @@ def _listed(keys: DataFrame, sizes: DataFrame, needs: _Needs) -> DataFrame:
     # go into it as they are made; written first, they would take as much disk again.
     many = F.count("*").over(Window.partitionBy("key"))
     listed = keep(keys.withColumn("many", many).where("many > 1").drop("many"), "listed")
-    enough = _numbers(keep(needs.enough(listed, sizes), "enough"))
-    return keep(listed.join(enough, "row", "left_semi"), "listed")
+    enough = keep(needs.enough(listed, sizes), "enough")
+    whole = keep(listed.join(_numbers(enough), "row", "left_semi"), "listed")
+    release(listed)
+    release(enough)
+    return whole
 
 
 def _shared_with_hubs(listed: DataFrame) -> DataFrame:
@@ -719,6 +722,7 @@ def _prepare(docs: DataFrame, id: str, text: str, join: Join) -> _Found:
         .select("row", "id", "n", F.coalesce("class", "row").alias("class")),
         "known",
     )
+    release(described)
     copies = _numbers(keep(known.where("row != class").select("row"), "copies"))
     singles = texts.select("row", "text").join(copies, "row", "left_anti")
 
@@ -744,9 +748,13 @@ def _connected(found: _Found, join: Join) -> DataFrame:
     """The least node that each linked row reaches, by as few links as it takes."""
     clusters = _first_clusters(found.listed, found.sizes, join.percent)
     first = keep(_first_round(clusters, found.sets, join), "links")
+    release(clusters)
     reached = keep(components(first), "components")
     clusters = _second_clusters(found.listed, reached, found.sizes, found.needs)
     second = keep(_second_round(clusters, found.sets, join), "links")
+    release(clusters)
+    release(found.listed)
+    release(found.sets)
     return keep(components(first.unionAll(second)), "components")
 
 
@@ -775,6 +783,8 @@ def link_documents(
     if links:
         weights = keep(found.weights(), "weights")
         linked = _all_links(found.listed, found.sets, found.sizes, weights, join, False)
+        release(found.listed)
+        release(found.sets)
         reached = keep(components(_pairs(linked)), "components")
         counts = linked.where("links is not null").groupBy("row").agg(F.sum("links").alias("n_links"))
         counts = keep(
