@@ -96,14 +96,13 @@ def parse_ranks(text: bytes) -> dict[bytes, int]:
     }
 
 
-def merge_rows(ranks: dict[bytes, int]) -> list[tuple[int, int, int]]:
+def merge_rows(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
     """Every pair of tokens whose bytes make a token: left, right and merged."""
-    return [
-        (ranks[token[:i]], ranks[token[i:]], rank)
-        for token, rank in ranks.items()
-        for i in range(1, len(token))
-        if token[:i] in ranks and token[i:] in ranks
-    ]
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                yield left, right, rank
 
 
 # One pair of every piece per step: its lowest rank, leftmost. A row per position is joined with
@@ -194,14 +193,16 @@ class Codec:
         self.split = regex.compile(vocabulary.pattern).findall
         self.database = duckdb.connect(config=DUCKDB)
         self.words: dict[str, bytes] = {}
-        left, right, merged = zip(*merge_rows(self.ranks), strict=True)
+        # Straight into numbers, as lists of them would be most of what a worker takes.
+        flat = np.fromiter((x for row in merge_rows(self.ranks) for x in row), np.int64)
+        left, right, merged = flat.reshape(-1, 3).T
         tables = {
             "merges": pa.table(
                 {
-                    "pair": np.array(left) * 65536 + np.array(right),
-                    "merged": np.array(merged, np.int64),
+                    "pair": left * 65536 + right,
+                    "merged": merged.copy(),
                     # Does the merged token come before one of its own parts?
-                    "early": np.array(merged) < np.maximum(left, right),
+                    "early": merged < np.maximum(left, right),
                 }
             ),
             "vocabulary": pa.table(
@@ -218,6 +219,7 @@ class Codec:
         self.database.execute("create table risks as select pair from merges where early")
         self.byte_ids = np.array([self.ranks[bytes([byte])] for byte in range(256)])
         self.known_ids = np.array(sorted(self.ranks.values()))
+        return_memory()
 
     def close(self) -> None:
         self.words.clear()
