@@ -12,18 +12,11 @@ from sendgate import schemas as S
 from sendgate.operators.status import day_of, normalise_due, overdue_keys
 from sendgate.sources.layout import day_folder, run_folder
 from sendgate.sources.records import read_records
-from sendgate.sources.records import read_records
 
 
 _BAD = "_bad_record"
 
 
-def _ddl(header: StructType) -> str:
-    """The header's columns and that of bad records, all text."""
-    names = [field.name.replace("`", "``") for field in header] + [_BAD]
-    return ", ".join(f"`{name}` string" for name in names)
-
-
 def _ddl(header: StructType) -> str:
     """The header's columns and that of bad records, all text."""
     names = [field.name.replace("`", "``") for field in header] + [_BAD]
@@ -51,11 +44,6 @@ def read_due(
         parsed = F.from_csv("record", _ddl(header), {"escape": '"', "columnNameOfCorruptRecord": _BAD})
         records = read_records(spark, path).where(~F.col("first"))
         raw = records.select(parsed.alias("_r")).select("_r.*").select(*S.DUE_RAW.names, _BAD)
-    else:
-        if multi_line:
-        parsed = F.from_csv("record", _ddl(header), {"escape": '"', "columnNameOfCorruptRecord": _BAD})
-        records = read_records(spark, path).where(~F.col("first"))
-        raw = records.select(parsed.alias("_r")).select("_r.*").select(*S.DUE_RAW.names, _BAD)
     else:
         raw = reader.schema(header.add(_BAD, "string")).csv(path).select(*S.DUE_RAW.names, _BAD)
     good = F.col(_BAD).isNull()
