@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 # A batch of rows sent to a Python worker, or back, holds about so many bytes at most.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 # A task that writes texts holds a row group of this size before it goes to the file.
 ROW_GROUP_BYTES = 16 << 20
 

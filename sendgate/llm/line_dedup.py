@@ -16,8 +16,8 @@ these would empty them. So a recurring line is dropped
 With ``exact`` set, every line is also a template of its own, as it stands, whatever share of its
 words holds digits. A line of fewer than ``least_words`` words takes as many more texts as it is
 shorter. With ``passage_words`` set, ``passage_texts`` different texts make a line of that many
-words or more recurring as it stands. ``WHOLE`` has both; the default has neither, which is what
-the SQL of op6_line_dedup says.
+words or more recurring as it stands. ``WHOLE`` has both, and is the rule of op6_line_dedup and of the
+pipeline; the default has neither.
 
 Blocks that recur together, as a header and a footer do, are not alone. With ``copied`` set, as in
 ``WHOLE``, a template also goes everywhere if most of its texts, and ``texts`` at least, have a rest

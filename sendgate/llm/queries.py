@@ -191,7 +191,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sendgate.llm import line_dedup
 
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = line_dedup.drop_recurring_lines(documents)
+    kept = line_dedup.drop_recurring_lines(documents, tree=line_dedup.WHOLE)
     return kept.select(
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
@@ -211,10 +211,12 @@ with texts as (
 ), worded as (
     select *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
     from lines
+), known as (
+    select *, len(words) as n from worded where len(words) > 0
 ), leaved as (
-    select *, len(words) as n, list_transform(words[:least(3, len(words) // 3)],
+    select *, list_transform(words[:least(3, len(words) // 3)],
            lambda w: case when regexp_matches(w, '[0-9]') then '<*>' else w end) as lead_words
-    from worded where len(words) >= 3
+    from known where n >= 3
 ), different as (
     select n, lead_words, line, any_value(words) as words, count(distinct text) as texts
     from leaved group by n, lead_words, line
@@ -236,24 +238,36 @@ with texts as (
 ), recurring as (
     select n, lead_words, template from templated
     group by n, lead_words, template having count(distinct text) >= 5
-), found as (
-    select text, place, n, lead_words, template
+), masked as (
+    select text, place, n, 'leaf ' || n || lead_words::varchar || template::varchar as name, 5 as floor
     from templated semi join recurring using (n, lead_words, template)
+), asked as (
+    -- As they stand: passages from two texts on, and the shorter a line, the more texts it takes.
+    select *, case when n >= 50 then 2 when n < 3 then ceil(15 / n)::bigint else 5 end as floor from known
+), repeats as (
+    select line, floor from asked group by line, floor having count(distinct text) >= floor
+), found as (
+    select * from masked
+    union all
+    select text, place, n, 'line ' || line, floor
+    from asked semi join repeats using (line) anti join masked using (text, place)
 ), held as (
     select text, sum(n) as repeated from found group by text
 ), sizes as (
-    select text, sum(n) as words from leaved group by text
+    select text, sum(n) as words from known group by text
+), shares as (
+    select *, repeated < words * 0.8571428571428571::double as differs from held join sizes using (text)
 ), own as (
-    select n, lead_words, template, text, sum(n) as own from found group by all
-), alone as (
-    select n, lead_words, template from own join held using (text) join sizes using (text)
-    group by n, lead_words, template
+    select name, floor, text, sum(n) as own from found group by all
+), everywhere as (
+    select name from own join shares using (text) group by name, floor
     having count(*) filter (words > own and repeated - own <= (words - own) * 0.5)
-           >= greatest(5, count(*) * 0.5)
+               >= greatest(floor, count(*) * 0.5)
+        or count(*) filter (differs) >= greatest(5, count(*) * 0.5)
 ), minor as (
-    select text from held join sizes using (text) where repeated <= words * 0.5
+    select text from shares where repeated <= words * 0.5
 ), dropped as (
-    select text, place from found semi join alone using (n, lead_words, template)
+    select text, place from found semi join everywhere using (name)
     union select text, place from found semi join minor using (text)
 ), listed as (
     select text, count(*) as n_dropped, string_agg(place, ',' order by place) as dropped
