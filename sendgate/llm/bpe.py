@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Generator, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -53,8 +53,16 @@ CHUNK_BYTES = 2 << 20
 PIECE_BYTES = 1 << 20
 # Encoded pieces that a task remembers, some 200 bytes each; it starts afresh beyond.
 REMEMBERED = 300_000
-# Pieces up to this many bytes take one contraction per step.
+# Pieces up to this many bytes take one contraction per step; longer ones are cut into windows
+# of as many bytes.
 SHORT_BYTES = 64
+OVERLAP = SHORT_BYTES // 2
+# Windows of a piece that are asked for at a time.
+WINDOWS = 4_096
+# Longer pieces and windows, in bytes, are not remembered.
+REMEMBERED_BYTES = 4_096
+# Ids that a query decodes at a time.
+DECODED_IDS = 1 << 18
 # Nothing is written to a disk: a chunk's rows fit in memory.
 DUCKDB = {"threads": 1, "memory_limit": "400MB", "temp_directory": ""}
 
@@ -193,6 +201,7 @@ class Codec:
         self.split = regex.compile(vocabulary.pattern).findall
         self.database = duckdb.connect(config=DUCKDB)
         self.words: dict[str, bytes] = {}
+        self.windows: dict[bytes, bytes] = {}
         # Straight into numbers, as lists of them would be most of what a worker takes.
         flat = np.fromiter((x for row in merge_rows(self.ranks) for x in row), np.int64)
         left, right, merged = flat.reshape(-1, 3).T
@@ -219,27 +228,71 @@ class Codec:
         self.database.execute("create table risks as select pair from merges where early")
         self.byte_ids = np.array([self.ranks[bytes([byte])] for byte in range(256)])
         self.known_ids = np.array(sorted(self.ranks.values()))
+        self.lengths = np.zeros(self.known_ids[-1] + 1, np.int64)
+        for token, rank in self.ranks.items():
+            self.lengths[rank] = len(token)
         return_memory()
 
     def close(self) -> None:
         self.words.clear()
+        self.windows.clear()
         self.database.close()
 
     def encode_words(self, words: list[str]) -> None:
         """Remember the ids of pieces, as little-endian unsigned 32-bit integers."""
-        short, long = [], []
+        short: list[bytes] = []
+        names: list[str] = []
+        long: dict[str, bytes] = {}
         for word in words:
             piece = word.encode()
             whole = self.ranks.get(piece)
             if whole is not None:
                 self.words[word] = whole.to_bytes(4, "little")
+            elif len(piece) <= SHORT_BYTES:
+                names.append(word)
+                short.append(piece)
             else:
-                (short if len(piece) <= SHORT_BYTES else long).append((word, piece))
-        for query, rest in ((_ENCODE_SHORT, short), (_ENCODE_LONG, long)):
+                long[word] = piece
+        self.words.update(zip(names, self._contracted(short), strict=True))
+        self._encode_long(long)
+
+    def _encode_long(self, pieces: dict[str, bytes]) -> None:
+        """Put long pieces together, all of them side by side so that they share queries."""
+        asking = {}
+        for word, piece in pieces.items():
+            joining = _joined(piece, self.lengths)
+            asking[word] = (joining, next(joining))
+        while asking:
+            wanted = {window for _, windows in asking.values() for window in windows}
+            fresh_ones = sorted(wanted.difference(self.windows))
+            found = dict(zip(fresh_ones, self._contracted(fresh_ones), strict=True))
+            found |= {window: self.windows[window] for window in wanted.difference(found)}
+            if len(self.windows) + len(found) > self.sizes.remembered // 8:
+                self.windows.clear()
+            self.windows.update(
+                (window, ids) for window, ids in found.items() if len(window) <= REMEMBERED_BYTES
+            )
+            for word, (joining, windows) in list(asking.items()):
+                try:
+                    asking[word] = (joining, joining.send([found[w] for w in windows]))
+                except StopIteration as finished:
+                    self.words[word] = finished.value
+                    del asking[word]
+
+    def _contracted(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces, each by itself, as little-endian unsigned 32-bit integers."""
+        result: list[bytes] = [b""] * len(pieces)
+        numbered = list(enumerate(pieces))
+        for query, rest in (
+            (_ENCODE_SHORT, [one for one in numbered if len(one[1]) <= SHORT_BYTES]),
+            (_ENCODE_LONG, [one for one in numbered if len(one[1]) > SHORT_BYTES]),
+        ):
             for part in _in_chunks(rest, lambda item: len(item[1]), self.sizes.piece_bytes):
-                self._contract(query, part)
+                for (number, _), ids in zip(part, self._contract(query, part), strict=True):
+                    result[number] = ids
+        return result
 
-    def _contract(self, query: str, part: list[tuple[str, bytes]]) -> None:
+    def _contract(self, query: str, part: list[tuple[int, bytes]]) -> list[bytes]:
         raw = [piece for _, piece in part]
         ids = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         offsets = np.cumsum([0, *map(len, raw)], dtype=np.int32)
@@ -255,8 +308,10 @@ class Codec:
         ids = found["ids"].combine_chunks()
         ends = ids.offsets.to_pylist()
         flat = ids.values.cast(pa.uint32()).to_numpy(zero_copy_only=False).tobytes()
+        result: list[bytes] = [b""] * len(part)
         for row, number in enumerate(found["word"].to_pylist()):
-            self.words[part[number][0]] = flat[4 * ends[row] : 4 * ends[row + 1]]
+            result[number] = flat[4 * ends[row] : 4 * ends[row + 1]]
+        return result
 
     def encode(self, texts: list[str | None]) -> Iterator[list[bytes]]:
         """Ids of each text as little-endian unsigned 32-bit integers, some texts at a time."""
@@ -270,7 +325,11 @@ class Codec:
             new.difference_update(self.words)
             self.encode_words(sorted(new))
             ids_of = self.words.__getitem__
-            yield [b"".join(map(ids_of, words)) for words in split]
+            encoded = [b"".join(map(ids_of, words)) for words in split]
+            for word in new:
+                if len(word) > REMEMBERED_BYTES:
+                    del self.words[word]
+            yield encoded
 
     def decode(self, encoded: Sequence[Sequence[int] | None] | pa.ListArray) -> list[bytes]:
         """The bytes that the ids of each text stand for."""
@@ -280,18 +339,78 @@ class Codec:
         if not len(flat):
             return [b""] * len(encoded)
         lengths = pc.fill_null(pc.list_value_length(encoded), 0).to_numpy()
-        rows = {
-            "text_no": np.repeat(np.arange(len(encoded)), lengths),
-            "pos": np.arange(len(flat)),
-            "id": flat,
-        }
         if not np.isin(flat, self.known_ids).all():
             raise ValueError("an id is not in the vocabulary")
-        self.database.register("encoded", pa.table(rows))
-        found = self.database.sql(_DECODE).to_arrow_table()
-        self.database.unregister("encoded")
-        by_text = dict(zip(found["text_no"].to_pylist(), found["bytes"].to_pylist(), strict=True))
-        return [by_text.get(i, b"") for i in range(len(encoded))]
+        text_no = np.repeat(np.arange(len(encoded)), lengths)
+        parts: dict[int, list[bytes]] = {}
+        for first in range(0, len(flat), DECODED_IDS):
+            some = slice(first, first + DECODED_IDS)
+            rows = {"text_no": text_no[some], "pos": np.arange(len(flat[some])), "id": flat[some]}
+            self.database.register("encoded", pa.table(rows))
+            found = self.database.sql(_DECODE).to_arrow_table()
+            self.database.unregister("encoded")
+            for text, part in zip(*(found[c].to_pylist() for c in ("text_no", "bytes")), strict=True):
+                parts.setdefault(text, []).append(part)
+        return [b"".join(parts.get(i, ())) for i in range(len(encoded))]
+
+
+@dataclass
+class _Window:
+    """Ids of a stretch of a piece, and where its tokens start and end."""
+
+    ids: np.ndarray
+    bounds: np.ndarray
+
+    @classmethod
+    def of(cls, start: int, ids: bytes, lengths: np.ndarray) -> _Window:
+        numbers = np.frombuffer(ids, "<u4")
+        return cls(numbers, np.concatenate(([start], start + np.cumsum(lengths[numbers]))))
+
+    def shared(self, other: _Window) -> tuple[int, int] | None:
+        """Places in both of the first token that both have."""
+        _, mine, others = np.intersect1d(
+            self.bounds, other.bounds, assume_unique=True, return_indices=True
+        )
+        both = np.flatnonzero((np.diff(mine) == 1) & (np.diff(others) == 1))
+        return (int(mine[both[0]]), int(others[both[0]])) if len(both) else None
+
+    def since(self, place: int) -> _Window:
+        return _Window(self.ids[place:], self.bounds[place:])
+
+
+def _joined(piece: bytes, lengths: np.ndarray) -> Generator[list[bytes], list[bytes], bytes]:
+    """Ids of a long piece: asks for the ids of windows and puts them together."""
+    stride = SHORT_BYTES - OVERLAP
+    ready: dict[int, bytes] = {}
+    held: list[bytes] = []
+    (first,) = yield [piece[:SHORT_BYTES]]
+    current = _Window.of(0, first, lengths)
+    while (end := int(current.bounds[-1])) < len(piece):
+        number = (end - OVERLAP) // stride
+        if number not in ready:
+            starts = range(number * stride, len(piece), stride)[:WINDOWS]
+            found = yield [piece[start : start + SHORT_BYTES] for start in starts]
+            ready = dict(enumerate(found, number))
+        following = _Window.of(number * stride, ready[number], lengths)
+        places = current.shared(following)
+        reach, back = SHORT_BYTES, OVERLAP // 2
+        while places is None:
+            # From a token of the current window, further back and further on each time.
+            token = max(0, int(np.searchsorted(current.bounds[:-1], end - back)) - 1)
+            start = int(current.bounds[token])
+            # Windows end where one of the regular ones has its overlap.
+            until = max(end + stride, start + reach - (start + reach - OVERLAP) % stride)
+            if until >= len(piece) and token == 0 and reach > SHORT_BYTES:
+                return (yield [piece])[0]
+            (found_ids,) = yield [piece[start:until]]
+            following = _Window.of(start, found_ids, lengths)
+            places = current.shared(following)
+            reach, back = 4 * reach, 4 * back
+        mine, others = places
+        held.append(current.ids[:mine].tobytes())
+        current = following.since(others)
+    held.append(current.ids.tobytes())
+    return b"".join(held)
 
 
 def _in_chunks(items: list, size: Callable[[object], int], most: int) -> Iterator[list]:

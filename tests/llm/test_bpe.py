@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import time
 
 import public_tokenizers
 import pytest
@@ -52,6 +53,41 @@ def test_hard_texts(vocabulary, library):
     assert codec.decode(expected) == [text.encode() for text in texts]
 
 
+def test_long_words(vocabulary, library):
+    draw = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [
+        "".join(draw.choices(alphabet, k=draw.randint(60, 3_000)))
+        for alphabet in ("ab", "aaab", "中é", "áé", "=-", letters)
+        for _ in range(20)
+    ]
+    texts += ["".join(draw.choice("abc") * draw.randint(1, 90) for _ in range(40)) for _ in range(5)]
+    texts += ["x" + part * 5_001 for part in ("a", "ab", "abc", "中", "  ", "=", ".-")]
+    codec = bpe.Codec(vocabulary)
+    encoded = [ids for part in codec.encode(texts) for ids in part]
+    expected = [library.encode_ordinary(text) for text in texts]
+    assert [list(struct.unpack(f"<{len(x) // 4}I", x)) for x in encoded] == expected
+
+
+@pytest.mark.parametrize("kind", ["letters", "run"])
+def test_words_of_megabytes(vocabulary, library, kind):
+    draw = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = "".join(draw.choices(letters, k=1_000_000)) if kind == "letters" else "x" + "a" * 8_000_000
+    codec = bpe.Codec(vocabulary)
+    begun = time.monotonic()
+    (ids,) = (ids for part in codec.encode([word]) for ids in part)
+    assert time.monotonic() - begun < 60
+    numbers = list(struct.unpack(f"<{len(ids) // 4}I", ids))
+    assert codec.decode([numbers]) == [word.encode()]
+    # The library takes too long for the run: its start has to do.
+    if kind == "letters":
+        assert numbers == library.encode_ordinary(word)
+    else:
+        assert numbers[:50] == library.encode_ordinary(word[:20_000])[:50]
+    assert not codec.words
+
+
 def test_frames(spark, vocabulary, library):
     rows = [(i, text, "x", i) for i, text in enumerate([None, *hard_texts()])]
     df = spark.createDataFrame(rows, "doc_id long, text string, Decoded string, extra int")
