@@ -14,6 +14,10 @@ A number of different pages that does not grow with the host makes a subtree a t
 outside of the article, 100 inside. On smaller hosts a share of the pages is enough, 5 % or 30 %,
 of 4 or 10 pages at least; and what all pages of a host of 4 to 9 have inside is a template, too.
 
+Only what stands by itself is a template: no heading, list item, table cell, row or inline element
+(but for links outside of the article), and inside an article no block of under 40 letters, unless
+the article ends with it. So a heading or a value that thousands of articles share stays in each.
+
 Defined results:
 
 * A null or empty html has an empty text.

@@ -53,6 +53,15 @@ BOILERPLATE_ROLES = frozenset(
 )
 ARTICLE_WORDS = frozenset("article articlebody post entry story content main".split())
 KEPT = frozenset("html body main article".split())
+# Parts of a heading, list or table: they recur on many pages without being a template.
+PARTS = frozenset(
+    "h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody tfoot caption figcaption legend option "
+    "summary".split()
+)
+# A block inside an article is a template by itself from so many letters on, at the end of the
+# article from so many.
+LONG_LETTERS = 40
+LAST_LETTERS = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -258,12 +267,45 @@ class Page:
                 return out, inside
         return out, [False] * len(self.elements)
 
+    def _last(self, out: list[bool], inside: list[bool]) -> set[int]:
+        """The elements that the main part ends with, one in the other."""
+        found: set[int] = set()
+        for owner, _, piece in reversed(self.pieces):
+            if inside[owner] and not out[owner] and piece.strip():
+                while owner >= 0:
+                    found.add(owner)
+                    owner = self.elements[owner].parent
+                break
+        return found
+
+    def separable(self, out: list[bool], inside: list[bool]) -> list[bool]:
+        """Per element: may it be deleted as a template by itself?
+
+        Headings, list items, cells and inline elements may not, unless they are links outside of
+        the main part; a block in the main part has to be long, or the last and no paragraph.
+        """
+        last = self._last(out, inside)
+        found = []
+        for place, element in enumerate(self.elements):
+            block = element.tag in BLOCKS or "-" in element.tag
+            if element.holds or not element.letters or element.tag in KEPT:
+                found.append(False)
+            elif not block or element.tag in PARTS:
+                found.append(not inside[place] and element.linked > 0.7 * element.letters)
+            elif inside[place]:
+                ends = place in last and element.tag != "p" and element.letters >= LAST_LETTERS
+                found.append(ends or element.letters >= LONG_LETTERS)
+            else:
+                found.append(True)
+        return found
+
     def subtrees(self) -> tuple[int, list[int], list[int]]:
         """A hash of the page's main text, and hashes of subtrees in and outside the main part."""
         out, inside = self.judged()
+        separable = self.separable(out, inside)
         within, without = set(), set()
         for place, element in enumerate(self.elements):
-            if not out[place] and element.letters and not element.holds and element.tag not in KEPT:
+            if not out[place] and separable[place]:
                 (within if inside[place] else without).add(element.hash)
         text = self.text((), ())
         return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63), [
@@ -274,14 +316,12 @@ class Page:
         """The main text, less the recurring subtrees inside and outside the main part."""
         out, inside = self.judged()
         anywhere = not any(inside)
+        separable = self.separable(out, inside) if within or without else []
         gone: list[bool] = []
         for place, element in enumerate(self.elements):
             above = element.parent >= 0 and gone[element.parent]
-            recurring = (
-                not element.holds
-                and element.tag not in KEPT
-                and element.hash in (within if inside[place] else without)
-            )
+            templates = within if inside[place] else without
+            recurring = bool(templates) and element.hash in templates and separable[place]
             # Outside an article, a list of links is a menu.
             menu = (
                 anywhere

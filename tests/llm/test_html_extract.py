@@ -146,6 +146,40 @@ def test_templates_of_a_hot_host(spark, monkeypatch, most):
     assert not any("Board" in text or "Notice" in text for text in got)
 
 
+@pytest.mark.parametrize("pages", [12, 300, 3000])
+def test_common_parts_of_articles_stay(spark, pages):
+    """Planted on hosts of several sizes: parts that articles share, and two notices."""
+    box = "<div>Sign up and never miss a story from our newsroom again.</div>"
+    shared = (
+        "<h2>Background</h2><table><tr><td>Price</td><td>0</td></tr></table><p>See also.</p>"
+        "<ul><li>Yes</li><li>No</li></ul><div>Summary</div><p>More in <b>Part one</b> of this.</p>"
+    )
+    rows = [
+        (
+            i,
+            "http://h.org/",
+            f"<article><h1>Title</h1><p>Story {i}.</p>{box}{shared if i % 2 else ''}"
+            f"<p>End {i}.</p><div>Follow us now.</div></article>",
+            None,
+        )
+        for i in range(pages)
+    ]
+    common = ["Background", "Price", "0", "See also.", "Yes", "No", "Summary", "More in Part one of this."]
+    got = {r.page_id: r.text.split("\n\n") for r in extract_text(pages_of(spark, rows)).collect()}
+    assert got == {
+        i: ["Title", f"Story {i}.", *(common if i % 2 else []), f"End {i}."] for i in range(pages)
+    }
+
+
+def test_headings_of_plain_pages_stay(spark):
+    rows = [
+        (i, "http://h.org/", f"<div>Our own site name</div><h2>Background</h2><p>Story {i}.</p>", None)
+        for i in range(40)
+    ]
+    got = {r.page_id: r.text for r in extract_text(pages_of(spark, rows)).collect()}
+    assert got == {i: f"Background\n\nStory {i}." for i in range(40)}
+
+
 def test_inside_of_articles_of_a_small_host(spark):
     rows = []
     for i in range(5):
