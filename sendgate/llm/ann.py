@@ -14,8 +14,11 @@ too, so that neither a large list nor many queries meet in one task.
 
 Defined results:
 
-* Vectors that are null, zero, hold null or non-finite components, or are of another length than
-  most, take no part, neither as queries nor as candidates.
+* Vectors that are null, zero or hold null or non-finite components take no part, neither as
+  queries nor as candidates. Vectors of different lengths have no inner product: each length is
+  a search of its own, with an index of its own.
+* The scan is scaled by the largest component, so finite vectors of any size take part. A score
+  beyond the range of a double is infinite, and ties.
 * A query is never its own neighbour; other rows with its id or its vector are candidates.
 * With fewer candidates than asked for, all are returned. An empty table has no result.
 * Ties go to the smaller id. Rows without an id are no queries, and candidates with a null id.
@@ -24,11 +27,13 @@ Defined results:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sendgate.llm import vectors as V
@@ -81,6 +86,7 @@ class _Space:
     """What tasks need: bounded by the number of lists and the square of the vector length."""
 
     length: int
+    scale: float  # the largest component; all but the scores is in units of it
     longest: float
     centroids: np.ndarray
     rotation: np.ndarray
@@ -121,10 +127,15 @@ def _survivors(
 
 
 def _best(
-    query: np.ndarray, other: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int
+    query: np.ndarray,
+    other: np.ndarray,
+    score: np.ndarray,
+    ids: tuple[np.ndarray, np.ndarray],
+    k: int,
 ) -> np.ndarray:
-    """Places of each query's k highest scores, ties to smaller ids."""
-    order = np.lexsort((other, ids, -score, query))
+    """Places of each query's k highest scores, ties to smaller ids; ids missing come last."""
+    numbers, missing = ids
+    order = np.lexsort((other, numbers, missing, -score, query))
     sorted_query = query[order]
     first = np.flatnonzero(np.concatenate(([True], np.diff(sorted_query) != 0)))
     sizes = np.diff(np.append(first, len(order)))
@@ -141,8 +152,9 @@ def _searcher(space: Callable[[], _Space], index: Index, k: int):
             s = space()
             given = V.matrix(vectors["vector"], s.length)
             rows = vectors["row"].to_numpy()
-            ids = vectors["id"].to_pandas().fillna(np.inf).to_numpy(float)
-            candidates = (_longer(given, s.longest) @ s.rotation).astype(np.float32)
+            ids = pc.fill_null(vectors["id"], 0).to_numpy()
+            missing = pc.is_null(vectors["id"]).to_numpy()
+            candidates = (_longer(given / s.scale, s.longest) @ s.rotation).astype(np.float32)
             # So many queries at a time that their distances take some 16 MB.
             step = max(1, (4 << 20) // len(rows))
             for first in range(0, asking.num_rows, step):
@@ -151,8 +163,11 @@ def _searcher(space: Callable[[], _Space], index: Index, k: int):
                 q_rows = part["row"].to_numpy()
                 worst = part["worst"].to_pandas().fillna(-np.inf).to_numpy(float)
                 # |q - x|^2 = longest + |q|^2 - 2 <q, x>
-                bounds = s.longest + np.square(q).sum(axis=1) - 2.0 * worst
-                rotated = (np.column_stack([q, np.zeros(len(q))]) @ s.rotation).astype(np.float32)
+                scaled = q / s.scale
+                bounds = s.longest + np.square(scaled).sum(axis=1) - 2.0 * (worst / s.scale / s.scale)
+                bounds[~np.isfinite(worst)] = np.inf
+                rotated = np.column_stack([scaled, np.zeros(len(q))]) @ s.rotation
+                rotated = rotated.astype(np.float32)
                 one, two = _survivors(rotated, bounds, candidates, index)
                 other = q_rows[one] != rows[two]
                 one, two = one[other], two[other]
@@ -161,7 +176,7 @@ def _searcher(space: Callable[[], _Space], index: Index, k: int):
                     some = slice(at, at + (1 << 15))
                     score[some] = np.einsum("ij,ij->i", q[one[some]], given[two[some]])
                 if len(one):
-                    best = _best(q_rows[one], rows[two], score, ids[two], k)
+                    best = _best(q_rows[one], rows[two], score, (ids[two], missing[two]), k)
                     found.append([q_rows[one[best]], two[best], score[best]])
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else None
         if columns is None:
@@ -201,30 +216,44 @@ def nearest_neighbours(
         F.coalesce(queries, F.lit(False)).alias("asks"),
     )
     good = keep(good, "vectors")
-    length = V.common_length(good, "vector")
-    good = good.where(F.size("vector") == length)
+    result = df.sparkSession.createDataFrame(
+        [], f"query_id long, rank int, {id} long, score double"
+    )
+    parts = [
+        _nearest_of_length(good.where(F.size("vector") == length), length, kind, k, id, index)
+        for length in V.lengths(good, "vector")
+    ]
+    parts = [part for part in parts if part is not None]
+    return functools.reduce(DataFrame.unionByName, parts) if parts else result
+
+
+def _nearest_of_length(
+    good: DataFrame, length: int, kind: str, k: int, id: str, index: Index
+) -> DataFrame | None:
+    """The search among vectors of one length; nothing if none of them asks."""
     numbers = good.agg(
         F.count("*").alias("n"),
-        F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("longest"),
+        F.max(F.array_max(F.transform("vector", F.abs))).cast("double").alias("scale"),
         F.count_if("asks").alias("asking"),
     ).first()
-    result = f"query_id long, rank int, {id} long, score double"
-    if not numbers["n"] or not numbers["asking"]:
-        return df.sparkSession.createDataFrame([], result)
-    longest = float(numbers["longest"])
+    if not numbers["asking"]:
+        return None
+    scale = float(numbers["scale"])
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / scale) * (x / scale))
+    longest = float(good.agg(F.max(squares)).first()[0])
     n_lists = max(1, min(index.lists, int(numbers["n"] ** 0.5)))
-    sample = V.bounded_sample(good, "row", "vector", index.sample, length)
+    sample = V.bounded_sample(good, "row", "vector", index.sample, length) / scale
     centroids = _fit(_longer(sample, longest), n_lists, index)
     rotation, _ = np.linalg.qr(
         np.random.default_rng(index.seed).normal(size=(length + 1, length + 1))
     )
-    context = df.sparkSession.sparkContext
-    shared = context.broadcast(_Space(length, longest, centroids, rotation))
+    context = good.sparkSession.sparkContext
+    shared = context.broadcast(_Space(length, scale, longest, centroids, rotation))
 
     def assign(batches):
         for batch in batches:
             if batch.num_rows:
-                rows = _longer(V.matrix(batch["vector"], length), longest)
+                rows = _longer(V.matrix(batch["vector"], length) / scale, longest)
                 nearest = _nearest(rows, shared.value.centroids)[:, 0].astype(np.int64)
                 columns = [batch["row"], batch["id"], batch["vector"], pa.array(nearest)]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "id", "vector", "list"])
@@ -246,7 +275,7 @@ def nearest_neighbours(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = V.matrix(batch["vector"], length)
+            rows = V.matrix(batch["vector"], length) / scale
             rows = np.column_stack([rows, np.zeros(len(rows))])
             order = _nearest(rows, shared.value.centroids, len(shared.value.centroids))
             order = order.reshape(len(rows), -1)

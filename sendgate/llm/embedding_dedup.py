@@ -15,8 +15,9 @@ not all of them, so a group of many near copies gives few rows. Components follo
 
 Defined results:
 
-* Vectors that are null, zero, hold null or non-finite components, or are of another length than
-  most, link with nothing: no links, a component of their own.
+* Vectors that are null, zero or hold null or non-finite components link with nothing: no links,
+  a component of their own. Vectors of different lengths have no cosine: each length is a join
+  of its own.
 * Repeated rows, also with one id, are vectors of their own and link with each other.
 * A component is named by its least id; a vector without an id is named null on its own.
 * Every column of the input stays, except the vector and those named like an output column.
@@ -24,6 +25,7 @@ Defined results:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -300,6 +302,18 @@ def _links(near: DataFrame, blocks: DataFrame, axes: np.ndarray, threshold: floa
     )
 
 
+def _links_of_length(good: DataFrame, length: int, threshold: float, grid: Grid) -> DataFrame:
+    """The links among vectors of one length."""
+    axes = _principal_axes(V.bounded_sample(good, "row", "vector", grid.sample, length))
+    eps = float(np.sqrt(2.0 - 2.0 * threshold))
+    n_parts = good.count() // grid.spread + 1
+    blocks = _blocks(good, axes, eps, grid, n_parts)
+    bits = max(1, int(blocks.agg(F.max("nth")).first()[0]).bit_length())
+    blocks = blocks.withColumn("block", F.shiftleft("part", bits) + F.col("nth"))
+    near = _near_blocks(blocks, eps, min(grid.boxed, length))
+    return _links(near, blocks, axes, threshold, grid)
+
+
 def near_duplicates(
     df: DataFrame,
     threshold: float = 0.9,
@@ -316,24 +330,22 @@ def near_duplicates(
     good = base.where(V.takes_part(F.col(vector))).select(
         F.col(row).alias("row"), F.col(vector).alias("vector")
     )
-    length = V.common_length(good, "vector")
     plain = base.select(*others, row)
-    if not length:
+    every_length = V.lengths(good, "vector")
+    if not every_length:
         return plain.select(
             *others,
             F.lit(0).cast("long").alias("n_links"),
             F.col(id).cast("long").alias("component_id"),
             F.lit(True).alias("kept"),
         )
-    good = good.where(F.size("vector") == length)
-    axes = _principal_axes(V.bounded_sample(good, "row", "vector", grid.sample, length))
-    eps = float(np.sqrt(2.0 - 2.0 * threshold))
-    n_parts = good.count() // grid.spread + 1
-    blocks = _blocks(good, axes, eps, grid, n_parts)
-    bits = max(1, int(blocks.agg(F.max("nth")).first()[0]).bit_length())
-    blocks = blocks.withColumn("block", F.shiftleft("part", bits) + F.col("nth"))
-    near = _near_blocks(blocks, eps, min(grid.boxed, length))
-    found = _links(near, blocks, axes, threshold, grid)
+    found = functools.reduce(
+        DataFrame.unionByName,
+        (
+            _links_of_length(good.where(F.size("vector") == length), length, threshold, grid)
+            for length in every_length
+        ),
+    )
 
     counts = found.groupBy("row").agg(F.sum("links").alias("n_links"))
     pairs = found.where("other is not null").select(F.col("row").alias("a"), F.col("other").alias("b"))

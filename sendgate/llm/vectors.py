@@ -16,11 +16,10 @@ def takes_part(vector: Column) -> Column:
     return vector.isNotNull() & ~broken & F.exists(vector, lambda x: x != 0)
 
 
-def common_length(vectors: DataFrame, vector: str) -> int:
-    """The most common length; the larger of two as common, 0 without vectors."""
-    lengths = vectors.groupBy(F.size(vector).alias("size")).agg(F.count("*").alias("n"))
-    first = lengths.orderBy(F.desc("n"), F.desc("size")).first()
-    return first["size"] if first else 0
+def lengths(vectors: DataFrame, vector: str) -> list[int]:
+    """The lengths that the vectors have, ascending: one for each model that made some."""
+    sizes = vectors.select(F.size(vector).alias("size")).distinct()
+    return sorted(row["size"] for row in sizes.collect())
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, length: int) -> np.ndarray:

@@ -71,6 +71,27 @@ def test_inner_products_of_uneven_lengths(spark):
     assert recall(found, exact(ids, x)) >= 0.9
 
 
+def test_every_length_and_any_size_of_components(spark):
+    """Two embedding lengths, components whose squares overflow or vanish, ids beyond 2**53."""
+    draw = np.random.default_rng(2)
+    few = Index(share=1.0)
+    for size in (1.0, 1e25, 1e-30):
+        small, large = size * draw.normal(size=(120, 6)), size * draw.normal(size=(80, 9))
+        ids = list(range(200))
+        rows = [(i, v, "a", "b") for i, v in zip(ids, [*small.tolist(), *large.tolist()], strict=True)]
+        found = run(spark, rows, index=few)
+        for part, first in ((small, 0), (large, 120)):
+            names = ids[first : first + len(part)]
+            own = [r for r in found if r.query_id in names]
+            assert {r.vec_id for r in own} <= set(names)
+            assert recall(own, exact(names, part)) >= 0.9
+    base = 20 * 2**54
+    rows = [(base, [1.0, 0.0], "a", "b")]
+    rows += [(base + i, [1.0, 1.0], "a", "b") for i in (7, 3, 5, 1)]
+    found = run(spark, rows, k=2)
+    assert [(r.rank, r.vec_id - base) for r in sorted(found, key=lambda r: r.rank)] == [(1, 1), (2, 3)]
+
+
 def test_all_candidates_if_fewer(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (0, [3.0, 0.0])]
@@ -80,7 +101,7 @@ def test_all_candidates_if_fewer(spark):
     by_query = {}
     for row in found:
         by_query.setdefault(row.query_id, []).append((row.rank, row.vec_id, row.score))
-    assert sorted(by_query) == [0, 20]
+    assert sorted(by_query) == [0, 20]  # 120 is the only one of its length
     assert sorted(by_query[20]) == [(1, 1, 1.0), (2, 2, 1.0), (3, None, 0.5), (4, 0, 0.0), (5, 0, 0.0)]
     assert len(by_query[0]) == 10
     assert sum(score == 3.0 for _, _, score in by_query[0]) == 4

@@ -86,9 +86,24 @@ def test_invalid_and_repeated(spark):
         assert (n, component) == ((4, 0) if i in link else (0, i))
         assert kept == (i == component)
     assert len(got) == len(ids)
-    # Vectors of another length than most link with nothing.
+    # Vectors link with those of their own length.
     got = run(spark, [1, 2, 3, 4, 5], [[1.0, 0.0], [1.0, 0.1], [1.0], [1.0], [2.0, 0.0]])
-    assert [row[1] for row in got] == [2, 2, 0, 0, 2]
+    assert [row[1] for row in got] == [2, 2, 1, 1, 2]
+
+
+def test_every_length_against_brute_force(spark):
+    draw = np.random.default_rng(3)
+    ids = draw.permutation(240).tolist()
+    vectors: list = [None] * 240
+    expected = []
+    for places, length in ((range(0, 100), 6), (range(100, 180), 9), (range(180, 240), 1)):
+        centres = draw.normal(size=(8, length))
+        rows = centres[draw.integers(0, 8, len(places))] + 0.2 * draw.normal(size=(len(places), length))
+        rows = rows.astype(np.float32).tolist()
+        for place, row in zip(places, rows, strict=True):
+            vectors[place] = row
+        expected += brute([ids[place] for place in places], rows)
+    assert run(spark, ids, vectors, grid=SMALL) == sorted(expected)
 
 
 def test_threshold_is_exact(spark):
