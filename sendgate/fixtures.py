@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sendgate import schemas as S
+from sendgate.session import new_path
+from sendgate.sources.table_log import ACTIONS, LOG_FOLDER
 
 RUN_DATE = dt.date(2024, 1, 2)
 BUSINESS = "purchase"
@@ -106,3 +109,90 @@ class Roles:
             .alias("result"),
             F.when(failed, 1).otherwise(0).alias("retries"),
         )
+
+
+class LoggedLoans:
+    """The loans as a table with a log of versions, partitioned by ``BUCKET``.
+
+    Version 0 has all loans; in 1 those of status A are paid, in 2 those of status N become due, and
+    3 takes the payment of version 1 back: its files go and those of version 0 are live again. A
+    checkpoint covers version 1, and the commits before it are gone.
+    """
+
+    def __init__(self, r: Roles):
+        self.spark = r.spark
+        self.root = new_path(r.spark, "logged-loans")
+        self._known: set[str] = set()
+        lines = r.table("lineitem").select(
+            F.col("l_orderkey").alias(S.APPL_ID),
+            (F.col("l_quantity") - 40).cast("double").alias("INSTALLMENT_OVERDUE"),
+            F.col("l_returnflag").alias("status"),
+        )
+        bucket = F.when(F.col("status") == "R", 1).when(F.col("status") == "A", 2).otherwise(0)
+        of = {flag: lines.where(F.col("status") == flag) for flag in "RAN"}
+        first = {flag: self._write(rows.withColumn("BUCKET", bucket)) for flag, rows in of.items()}
+        schema = self.spark.read.parquet(self.root).schema
+        head = [
+            {"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}},
+            {"metaData": {"schemaString": schema.json(), "partitionColumns": ["BUCKET"]}},
+        ]
+        paid = self._write(of["A"].withColumn("BUCKET", F.lit(0)))
+        due = self._write(of["N"].withColumn("BUCKET", F.lit(3)))
+        self._checkpoint(1, [*head, *first["R"], *first["N"], *paid, *_removed(first["A"])])
+        self._commit(2, [*_removed(first["N"]), *due])
+        self._commit(3, [*_removed(paid), *first["A"]])
+
+    def _write(self, rows: DataFrame) -> list[dict]:
+        """Append rows in files that each hold a range of amounts; what the log tells of them."""
+        value = "INSTALLMENT_OVERDUE"
+        rows = rows.drop("status").repartitionByRange(4, value)
+        rows.write.mode("append").partitionBy("BUCKET").parquet(self.root)
+        columns = [S.APPL_ID, value]
+
+        def each(of) -> Column:
+            return F.struct(*[of(c).alias(c) for c in columns])
+
+        stats = F.struct(
+            F.count("*").alias("numRecords"),
+            each(F.min).alias("minValues"),
+            each(F.max).alias("maxValues"),
+            each(lambda c: F.count_if(F.col(c).isNull())).alias("nullCount"),
+        )
+        table = self.spark.read.parquet(self.root)
+        files = table.groupBy("_metadata.file_path", "BUCKET").agg(F.to_json(stats).alias("stats"))
+        added = []
+        for row in files.collect():  # a row per file
+            path = row["file_path"].rsplit("/", 2)
+            if row["file_path"] not in self._known:
+                self._known.add(row["file_path"])
+                held = {"BUCKET": str(row["BUCKET"])}
+                add = {"path": "/".join(path[1:]), "partitionValues": held, "stats": row["stats"]}
+                added.append({"add": add})
+        return added
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{LOG_FOLDER}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _commit(self, version: int, actions: list[dict]) -> None:
+        path, files = self._path(f"{version:020d}.json")
+        out = files.create(path, False)
+        out.write(bytearray("\n".join(map(json.dumps, actions)).encode()))
+        out.close()
+
+    def _checkpoint(self, version: int, actions: list[dict]) -> None:
+        lines = self.spark.createDataFrame([(json.dumps(a),) for a in actions], "line string")
+        table = lines.select(F.from_json("line", ACTIONS).alias("a")).select("a.*")
+        written = new_path(self.spark, "checkpoint")
+        table.coalesce(1).write.parquet(written)
+        path, files = self._path(f"{version:020d}.checkpoint.parquet")
+        files.mkdirs(path.getParent())
+        part = next(
+            s.getPath() for s in files.listStatus(self.spark._jvm.org.apache.hadoop.fs.Path(written))
+            if s.getPath().getName().startswith("part-")
+        )
+        files.rename(part, path)
+
+
+def _removed(added: list[dict]) -> list[dict]:
+    return [{"remove": {"path": a["add"]["path"]}} for a in added]

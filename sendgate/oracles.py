@@ -337,3 +337,12 @@ _WITHIN_FILE = _with(
     'sent as (select "IMEI", count(*) as n from history group by 1)',
 )
 ORACLES |= {"cap_within_file": _WITHIN_FILE, "cap_within_file_shuffled": _WITHIN_FILE}
+
+ORACLES |= {
+    "overdue_from_log": 'select l_orderkey as "APPL_ID" from lineitem where l_quantity > 40',
+    "overdue_from_log_as_of": """select l_orderkey as "APPL_ID" from lineitem
+      where l_quantity > 40 and l_returnflag <> 'A'""",
+    "loans_from_log": """select l_orderkey as "APPL_ID",
+      cast(l_quantity - 40 as double) as "INSTALLMENT_OVERDUE",
+      case when l_returnflag = 'R' then 1 else 0 end as "BUCKET" from lineitem""",
+}

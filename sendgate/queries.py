@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sendgate import schemas as S
-from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP, Roles
+from sendgate.fixtures import BUSINESS, FILE_NAME, RUN_DATE, RUN_ID, STAMP, STEP, LoggedLoans, Roles
 from sendgate.functions import scalars
 from sendgate.operators import batching, dispatch, funnel, logs, payloads, status as st
 from sendgate.plans import concurrent
@@ -18,7 +18,7 @@ from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
 from sendgate.plans.runs import run_log, run_logged
 from sendgate.session import keep, new_path
-from sendgate.sources import commits, readers, writers
+from sendgate.sources import commits, readers, table_log, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,6 +69,23 @@ def overdue_from_table(r: Roles) -> DataFrame:
     return readers.read_overdue(r.spark, path)
 
 
+@_query
+def overdue_from_log(r: Roles) -> DataFrame:
+    """The newest version of a loan table that keeps a log of its files."""
+    return readers.read_overdue_as_of(r.spark, LoggedLoans(r).root)
+
+
+@_query
+def overdue_from_log_as_of(r: Roles) -> DataFrame:
+    return readers.read_overdue_as_of(r.spark, LoggedLoans(r).root, version=2)
+
+
+@_query
+def loans_from_log(r: Roles) -> DataFrame:
+    """All rows of the version that a checkpoint gives."""
+    return table_log.read_logged_table(r.spark, LoggedLoans(r).root, version=1)
+
+
 @_query
 def null_key_flag(r: Roles) -> DataFrame:
     return st.flag_null_key(r.due)

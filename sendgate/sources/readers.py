@@ -12,6 +12,7 @@ from sendgate import schemas as S
 from sendgate.operators.status import day_of, normalise_due, overdue_keys
 from sendgate.sources.layout import day_folder, run_folder
 from sendgate.sources.records import read_records
+from sendgate.sources.table_log import read_logged_table
 
 
 _BAD = "_bad_record"
@@ -59,6 +60,15 @@ def read_overdue(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return overdue_keys(spark.read.format(fmt).load(path))
 
 
+def read_overdue_as_of(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Overdue loan ids from a version of a loan table with a Delta log; the newest by default.
+
+    Files without an overdue loan by the log are not opened.
+    """
+    overdue = [("BUCKET", ">", 0), ("INSTALLMENT_OVERDUE", ">", 0)]
+    return overdue_keys(read_logged_table(spark, root, version, overdue))
+
+
 def _read_staged(
     spark: SparkSession, root: str, folder: str, schema: StructType
 ) -> DataFrame:
