@@ -45,7 +45,7 @@ def match_keys(
     rows: int | None = None,
     max_broadcast: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """Left or left anti join of ``df`` to key tables, no two on the same key.
+    """Left or left anti join of ``df`` to key tables, whose other columns all differ.
 
     ``rows`` is the size of ``df`` where it is known, ``df`` then being a scan.
 

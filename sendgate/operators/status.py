@@ -217,6 +217,42 @@ def eligibility_cascade(
     return joined.select(*labelled if dedupe_keys else [*labelled, _copies()])
 
 
+def cascade_over_parts(
+    due: DataFrame,
+    overdue: DataFrame,
+    parts: Sequence[DataFrame],
+    business: str,
+    cap: int = S.DAILY_CAP,
+    rows: int | None = None,
+    **join: Any,
+) -> DataFrame:
+    """``eligibility_cascade`` over a day that is given in parts of ``schemas.SENT`` rows.
+
+    Each part is aggregated and joined by itself, so that one that is bucketed by key is read
+    as it lies; the counts of all parts are added up per row of ``due``.
+    """
+
+    def counted(part: DataFrame, i: int) -> KeyTable:
+        by_business = F.coalesce(F.max(F.col("business") == business), F.lit(False))
+        aggregates = [by_business.alias(f"{_BIZ}{i}"), F.sum("sent").alias(f"{_SENT}{i}")]
+        return KeyTable(S.IMEI, part, lambda found: found.groupBy(S.IMEI).agg(*aggregates))
+
+    tables = [_counted(overdue, S.APPL_ID), *[counted(part, i) for i, part in enumerate(parts)]]
+    joined = match_keys(due, tables, "left", due.count() if rows is None else rows, **join)
+    by_biz, sent = F.lit(False), F.lit(0)
+    for i in range(len(parts)):
+        by_biz = by_biz | F.coalesce(F.col(f"{_BIZ}{i}"), F.lit(False))
+        sent = sent + F.coalesce(F.col(f"{_SENT}{i}"), F.lit(0))
+    status = (
+        F.when(F.col(S.IMEI).isNull(), S.NULL)
+        .when(F.col(_MATCHES).isNotNull(), S.DELINQUENT)
+        .when(by_biz, S.DUPLICATE_BIZ)
+        .when(sent >= cap, S.DUPLICATE_GLOBAL)
+        .otherwise(S.UNIQUE_GLOBAL)
+    )
+    return joined.select(*due.columns, status.alias(S.FILTER_STATUS))
+
+
 def cap_within_file(
     status: DataFrame,
     history: DataFrame,

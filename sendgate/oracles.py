@@ -346,3 +346,10 @@ ORACLES |= {
       cast(l_quantity - 40 as double) as "INSTALLMENT_OVERDUE",
       case when l_returnflag = 'R' then 1 else 0 end as "BUCKET" from lineitem""",
 }
+
+ORACLES |= {
+    "cascade_compacted": ORACLES["cascade_status"],
+    "cascade_compacted_shuffled": ORACLES["cascade_status"],
+    "compacted_day": f"""with {_DUE}
+      select "IMEI", business, count(*) as sent from history where "IMEI" is not null group by 1, 2""",
+}

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sendgate import schemas as S
 from sendgate.operators import batching, logs
-from sendgate.operators.status import contacts_of_day, day_of, eligibility_cascade, eligible
+from sendgate.operators.status import cascade_over_parts, contacts_of_day, day_of, eligible
 from sendgate.plans.primary import Folders, Run, first_start, log_kpi, utc_now
 from sendgate.session import broadcast_if_small, drop, keep, scratch, settle
 from sendgate.sources import commits as C, readers
+from sendgate.sources.compacted import history_parts
 
 STATUS, BATCHES, INIT, STAGING = TABLES = ["status", "batches", "init", "staging"]
 
@@ -128,9 +129,8 @@ def run_concurrent(
     with scratch(spark):
         due = keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
         version = C.latest_version(spark, base, run.run_date)
-        history = published_history(spark, base, run, version)
-        cascade = eligibility_cascade(due, overdue, history, run.run_date, run.business, cap)
-        status = keep(cascade, "status")
+        parts = history_parts(spark, base, run.run_date, version, run.transaction_id)
+        status = keep(cascade_over_parts(due, overdue, parts, run.business, cap), "status")
         snapshot = _write(spark, base, run, status, step, balanced)
         while True:
             if before_commit is not None:

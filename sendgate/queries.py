@@ -18,7 +18,7 @@ from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
 from sendgate.plans.runs import run_log, run_logged
 from sendgate.session import keep, new_path
-from sendgate.sources import commits, readers, table_log, writers
+from sendgate.sources import commits, compacted, readers, table_log, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -645,17 +645,21 @@ def _published(r: Roles) -> tuple[str, str]:
     due = new_path(r.spark, "arrival")
     r.due_raw.write.option("header", True).csv(due)
     base = new_path(r.spark, "published")
-    columns = [f for f in S.BATCHES if f.name not in ("run_date", "business", "transaction_id")]
     for business in ("view", "click", "purchase", "signup", "error"):
-        rows = r.history.where(F.col("business") == business)
-        known = {S.IMEI: F.col(S.IMEI)}
-        batches = rows.select(
-            *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
-        )
-        commits.publish(r.spark, base, RUN_DATE, business, f"EARLIER-{business}", {"batches": batches})
+        _publish_earlier(r, base, business)
     return due, base
 
 
+def _publish_earlier(r: Roles, base: str, business: str) -> None:
+    rows = r.history.where(F.col("business") == business)
+    known = {S.IMEI: F.col(S.IMEI)}
+    columns = [f for f in S.BATCHES if f.name not in ("run_date", "business", "transaction_id")]
+    batches = rows.select(
+        *[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in columns]
+    )
+    commits.publish(r.spark, base, RUN_DATE, business, f"EARLIER-{business}", {"batches": batches})
+
+
 def _race(r: Roles) -> str:
     """Two businesses' runs read the same day; the rival commits while the other is about to."""
     due, base = _published(r)
@@ -702,3 +706,37 @@ def killed_before_commit(r: Roles) -> DataFrame:
     except InterruptedError:
         pass
     return commits.read_published(r.spark, base, concurrent.STAGING, S.STAGING_LOG, RUN_DATE)
+
+
+def _compacted(r: Roles) -> str:
+    """A day that is compacted after three runs, before two more, one of them for the second time."""
+    base = new_path(r.spark, "published")
+    for business in ("view", "click", "purchase"):
+        _publish_earlier(r, base, business)
+    compacted.compact_day(r.spark, base, RUN_DATE)
+    for business in ("signup", "error", "view"):
+        _publish_earlier(r, base, business)
+    return base
+
+
+def _cascade_over_parts(r: Roles, **options) -> DataFrame:
+    parts = compacted.history_parts(r.spark, _compacted(r), RUN_DATE)
+    return st.cascade_over_parts(r.due, st.overdue_keys(r.loans), parts, BUSINESS, **options)
+
+
+@_query
+def cascade_compacted(r: Roles) -> DataFrame:
+    """The cascade over a bucketed part of the day and what was committed after it."""
+    return _cascade_over_parts(r)
+
+
+@_query
+def cascade_compacted_shuffled(r: Roles) -> DataFrame:
+    return _cascade_over_parts(r, **_SHUFFLED)
+
+
+@_query
+def compacted_day(r: Roles) -> DataFrame:
+    """A second compaction, made of the first and the runs since."""
+    _, rows = compacted.compact_day(r.spark, _compacted(r), RUN_DATE)
+    return rows.select(S.IMEI, "business", "sent")

@@ -74,6 +74,8 @@ BATCHES = _schema(
     transaction_id=_TEXT,
 )
 
+SENT = _schema(IMEI=_TEXT, business=_TEXT, transaction_id=_TEXT, sent=_LONG)
+
 COMMIT = _schema(
     version=_LONG,
     run_date=T.DateType(),
