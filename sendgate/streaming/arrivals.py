@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sendgate import schemas as S
@@ -25,13 +25,15 @@ def process_arrivals(
     cap: int = S.DAILY_CAP,
     step: int = S.BATCH_STEP,
 ) -> StreamingQuery:
-    """Run the primary plan once for each file that arrives in ``landing``.
+    """Run the primary plan once for each file that arrives in ``landing``, a folder or a pattern.
 
     Files are taken one at a time, as the result of each depends on those before it. The
     stream carries only paths; the run reads the file itself. The transaction id comes from
-    the file name and keeps the time of its first attempt, so a repeated micro-batch replaces
-    what it wrote before, after midnight too. A file that fails, or whose name has no business,
-    is a row in the run log, and the stream goes on with the next.
+    the file's name and time of change and keeps the time of its first attempt, so a repeated
+    micro-batch replaces what it wrote before, after midnight too, and a file of the same name on
+    a later day is a run of its own. The stream takes a path once, so such files have to come
+    in folders of their own (``landing/*``). A file that fails, or whose name has no business, is a
+    row in the run log, and the stream goes on with the next.
     """
 
     def run_one(arrived: DataFrame, _epoch: int) -> None:
@@ -39,8 +41,8 @@ def process_arrivals(
             path = row["path"]
             name = path.rsplit("/", 1)[-1]
 
-            def work(path: str = path, name: str = name) -> None:
-                run = Run(name, f"arrival-{name}", clock())
+            def work(path: str = path, name: str = name, changed: int = row["changed"]) -> None:
+                run = Run(name, f"arrival-{name}-{changed}", clock())
                 run_primary(spark, path, overdue(spark), folders, run, cap, step)
 
             run_logged(spark, folders, path, work)
@@ -51,7 +53,7 @@ def process_arrivals(
         .option("maxFilesPerTrigger", 1)
         .option("pathGlobFilter", "*.csv")
         .load(landing)
-        .select("path")
+        .select("path", F.unix_millis("modificationTime").alias("changed"))
         .writeStream.foreachBatch(run_one)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,6 +1,7 @@
 """Whole runs: file in, batches staged, dispatched and logged."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
@@ -274,3 +275,26 @@ def test_arrivals(spark, tmp_path, overdue):
         ("A_CD_1.csv", 6, 4), ("B_CD_2 a%20b.csv", 7, 1),
     }
     assert len(log) == 2
+
+
+def test_a_name_that_arrives_again_is_a_run_of_its_own(spark, tmp_path, overdue):
+    """The same file name on two days, in a folder per day: both days keep their rows."""
+    folders = Folders.under(str(tmp_path / "staging"))
+    for i in range(2):
+        day = tmp_path / "landing" / f"day{i}"
+        day.mkdir(parents=True)
+        path = write_due(day / "A_CD_1.csv", ROWS + [f"N1,x,20{i},7"])
+        os.utime(path, (1_700_000_000 + 86_400 * i,) * 2)
+        for _ in range(2):
+            query = process_arrivals(
+                spark, str(tmp_path / "landing" / "*"), lambda _s: overdue, folders,
+                str(tmp_path / "checkpoint"), clock=lambda: START + dt.timedelta(days=i),
+            )
+            query.awaitTermination(120)
+            assert query.exception() is None
+        for earlier in range(i + 1):
+            status = readers.read_status(spark, folders.status, DAY + dt.timedelta(days=earlier)).collect()
+            assert len(status) == 7 and f"20{earlier}" in {r["IMEI"] for r in status}
+            assert len({r["transaction_id"] for r in status}) == 1
+    assert readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).count() == 2
+    assert run_log(spark, folders).count() == 2
