@@ -127,7 +127,9 @@ def run_concurrent(
     run = first_start(spark, folders, run)
     tries = 0
     with scratch(spark):
-        due = keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
+        due = readers.retried(
+            lambda: keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
+        )
         version = C.latest_version(spark, base, run.run_date)
         parts = history_parts(spark, base, run.run_date, version, run.transaction_id)
         status = keep(cascade_over_parts(due, overdue, parts, run.business, cap), "status")

@@ -132,7 +132,9 @@ def run_primary(
     run = first_start(spark, folders, run)
     with scratch(spark):
         # The text is parsed once; later passes read only the columns they need.
-        due = keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
+        due = readers.retried(
+            lambda: keep(readers.read_due(spark, due_path, multi_line, drop_bad), "due")
+        )
         history = readers.read_history(spark, folders.batches, run.run_date, run.transaction_id)
         audit = readers.read_status(spark, folders.status, run.run_date) if count_audit else None
         status = eligibility_cascade(

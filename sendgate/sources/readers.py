@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import time
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from sendgate import schemas as S
+from sendgate.operators.dispatch import backoff_seconds
 from sendgate.operators.status import day_of, normalise_due, overdue_keys
 from sendgate.sources.layout import day_folder, run_folder
 from sendgate.sources.records import read_records
@@ -16,6 +21,33 @@ from sendgate.sources.table_log import read_logged_table
 
 
 _BAD = "_bad_record"
+_T = TypeVar("_T")
+
+# How errors of storage show: a path or file that cannot be read, or an exception of java.io, java.net.
+_STORAGE = re.compile(
+    r"PATH_NOT_FOUND|FAILED_READ_FILE|\bjava\.(?:io|net|nio)\.[\w.]*(?:Exception|Error)\b"
+)
+
+
+def retried(
+    work: Callable[[], _T],
+    attempts: int = S.SEND_ATTEMPTS,
+    wait: Callable[[float], object] = time.sleep,
+) -> _T:
+    """Do ``work``, a read that ends in a written table or a value, again after errors of storage.
+
+    Spark runs a failed task again by itself; this also covers the listing, the header and a job
+    whose tasks have all failed. Waits grow from 2 to 20 s. Any other error, such as a missing column
+    or a malformed record, is raised at once, and the last one of storage is raised, too.
+    """
+    for attempt in range(1, attempts + 1):
+        try:
+            return work()
+        except Exception as error:
+            if attempt == attempts or not _STORAGE.search(str(error)):
+                raise
+        wait(backoff_seconds(attempt))
+    raise ValueError("no attempts")
 
 
 def _ddl(header: StructType) -> str:

@@ -13,6 +13,7 @@ from sendgate.operators.status import overdue_keys
 from sendgate.plans.bulk import run_bulk
 from sendgate.plans.primary import Folders, Run, run_primary
 from sendgate.plans.runs import run_log, run_logged
+from sendgate.session import keep
 from sendgate.sources import layout, readers, writers
 from sendgate.streaming.arrivals import process_arrivals
 
@@ -298,3 +299,38 @@ def test_a_name_that_arrives_again_is_a_run_of_its_own(spark, tmp_path, overdue)
             assert len({r["transaction_id"] for r in status}) == 1
     assert readers.read_log(spark, f"{folders.logs}/init", S.INIT_LOG).count() == 2
     assert run_log(spark, folders).count() == 2
+
+
+def test_a_read_is_tried_again_after_errors_of_storage(spark, tmp_path):
+    """The file is not there at first, then goes while it is read, and is there in the end."""
+    path, waits = tmp_path / "late.csv", []
+
+    def wait(seconds):
+        waits.append(seconds)
+        write_due(path, ROWS)
+
+    def read():
+        due = readers.read_due(spark, str(path))
+        if len(waits) == 1:
+            path.unlink()
+        return keep(due, "due")
+
+    assert readers.retried(read, wait=wait).count() == len(ROWS)
+    assert waits == [2, 4]
+
+
+def test_a_read_that_never_works_fails_loudly(spark, tmp_path):
+    waits = []
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        readers.retried(lambda: readers.read_due(spark, str(tmp_path / "none.csv")).count(), wait=waits.append)
+    assert waits == [2, 4]
+
+
+@pytest.mark.parametrize("header", ["LOAN_OVERVIEW_APPL_ID,Notification_Code", None])
+def test_a_bad_file_is_not_read_again(spark, tmp_path, header):
+    rows = ["1,2"] if header else ["1,2"] + ROWS
+    path = write_due(tmp_path / "bad.csv", rows, *([header] if header else []))
+    waits = []
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN" if header else "not as many values"):
+        readers.retried(lambda: keep(readers.read_due(spark, path), "due"), wait=waits.append)
+    assert waits == []
