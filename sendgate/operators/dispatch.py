@@ -128,14 +128,27 @@ def dispatch_batches(
     run again, or twice by speculation, sends again: the file name is the receiver's key for
     repeats. Write the result once and read that, as each evaluation sends.
     """
-    spark = batches.sparkSession
-    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = build_payloads(batches, part_rows, ["batch_no"])
+    return send_payloads(deal_payloads(parts, tasks), transport, tokens, max_attempts, wait)
+
+
+def deal_payloads(parts: DataFrame, tasks: int) -> DataFrame:
+    """Payload parts with their ``batch_no``, dealt to ``tasks`` tasks, a file to one of them."""
     # Batches are dealt to the tasks in turn, as hashing would give some tasks many more.
-    parts = (
-        build_payloads(batches, part_rows, ["batch_no"])
-        .repartitionById(tasks, F.pmod("batch_no", F.lit(tasks)).cast("int"))
-        .sortWithinPartitions("batch_no", "DATA_C_FILENAME", S.CODE, "part_no")
-        .select("DATA_C_FILENAME", "payload")
+    return parts.repartitionById(tasks, F.pmod("batch_no", F.lit(tasks)).cast("int"))
+
+
+def send_payloads(
+    dealt: DataFrame,
+    transport: Transport,
+    tokens: TokenSource,
+    max_attempts: int = S.SEND_ATTEMPTS,
+    wait: Callable[[int], float] = backoff_seconds,
+) -> DataFrame:
+    """Send payload parts that are dealt already, each task the files it has; a row per attempt."""
+    parts = dealt.sortWithinPartitions("batch_no", "DATA_C_FILENAME", S.CODE, "part_no").select(
+        "DATA_C_FILENAME", "payload"
     )
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,7 +1,7 @@
 """A durable ledger of sends, so that no file whose answer is known is ever sent again.
 
-Files are sent in waves. Before a wave, an intent row per file is written; in it, each file is a
-task of its own, whose answer becomes readable when that task commits, whether or not the job ever
+Files are sent in waves. Before a wave, an intent row per file is put in place; in it, each file is
+a task of its own, whose answer becomes readable when that task commits, whether or not the job ever
 ends. So whatever is lost (a task, an executor, the driver), the ledger tells the files apart:
 
 * with an answer: acknowledged, left out of every later attempt by an anti join;
@@ -9,6 +9,10 @@ ends. So whatever is lost (a task, an executor, the driver), the ledger tells th
   so it is ``unresolved`` and not sent again, unless that is asked for;
 * with neither: still to be sent.
 
+There may be as many waves as files, so a wave costs no more than its own files: the payloads and
+the intents of all waves are written once before the first, in a folder per wave, and a wave reads
+its own folder. Its planned intents become readable as their file is moved, which takes no job.
+
 A task that Spark runs again, or twice by speculation, finds itself to be a further attempt and
 reports its file as unresolved instead of sending it.
 """
@@ -24,10 +28,12 @@ from pyspark.sql.types import StructType
 
 from sendgate import schemas as S
 from sendgate.operators import dispatch
-from sendgate.session import broadcast_if_small, keep
+from sendgate.operators.payloads import PART_ROWS, build_payloads
+from sendgate.session import broadcast_if_small, drop, keep, read_kept
 
 UNRESOLVED = "unresolved"
 _NOT_SENT = -1
+_WAVE = "_wave"
 
 # The answers of a task are moved to the table as the task commits, not as the job does.
 _AT_TASK_COMMIT = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
@@ -74,6 +80,37 @@ def _first_attempt_only(transport: dispatch.Transport) -> dispatch.Transport:
     return send
 
 
+def _planned(ledger: str) -> str:
+    return f"{ledger}/planned"
+
+
+def _plan_intents(files: DataFrame, ledger: str, first: int) -> None:
+    """The intents of all waves, in a folder per wave that no reader looks at; the first is ``first``."""
+    told = files.select(
+        F.col("DATA_C_FILENAME").alias("filename"), (F.lit(first) + F.col(_WAVE)).alias("wave"), _WAVE
+    )
+    # Beside the intents, so that a move does not leave the file system.
+    told.coalesce(1).write.mode("overwrite").partitionBy(_WAVE).parquet(_planned(ledger))
+
+
+def _declare(spark: SparkSession, ledger: str, number: int) -> None:
+    """Make the planned intents of a wave readable."""
+    planned, intents = (
+        spark._jvm.org.apache.hadoop.fs.Path(p)
+        for p in (f"{_planned(ledger)}/{_WAVE}={number}", f"{ledger}/intents")
+    )
+    store = intents.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(intents)
+    parts = [status.getPath() for status in store.listStatus(planned)]
+    for part in parts:
+        # Parts have the same name in the folders of all waves.
+        name = f"wave-{number:06d}-{part.getName()}"
+        if not store.rename(part, spark._jvm.org.apache.hadoop.fs.Path(intents, name)):
+            raise OSError(f"{part} could not be moved to {intents}")
+    if not parts:
+        raise OSError(f"no planned intents in {planned}")
+
+
 def send_with_ledger(
     listed: DataFrame,
     ledger: str,
@@ -82,7 +119,8 @@ def send_with_ledger(
     wave: int | None = None,
     resend_unresolved: bool = False,
     wait: Callable[[int], float] = dispatch.backoff_seconds,
-    **options: int,
+    max_attempts: int = S.SEND_ATTEMPTS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Send the batches that the ledger has no answer for; returns one outcome per file known to it.
 
@@ -90,12 +128,12 @@ def send_with_ledger(
     time, by default as many as there are shuffle partitions, and so many may become unresolved
     together. A repeat with the same ``ledger`` goes on where the one before was lost. A file that
     was refused, or failed after its retries, has an answer too, and is not sent again.
-    ``resend_unresolved`` sends again what has an intent and no answer. ``options`` go to
-    ``dispatch_batches``.
+    ``resend_unresolved`` sends again what has an intent and no answer. ``max_attempts`` and
+    ``part_rows`` are those of ``dispatch_batches``.
 
     Whole stages that Spark runs again, because executors lost the parts of a payload before
     they were read, cannot be told from first ones by their tasks: there the file name stays the
-    receiver's key for repeats.
+    receiver's key for repeats. A wave of one file has a single stage, so there this cannot be.
     """
     spark = listed.sparkSession
     wave = wave or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -109,23 +147,30 @@ def send_with_ledger(
         files = files.join(names(unresolved(spark, ledger)), "DATA_C_FILENAME", "left_anti")
     # A row is a whole batch file, so one task can number them.
     place = F.row_number().over(Window.orderBy("batch_no", "DATA_C_FILENAME")) - 1
-    files = keep(files.select("DATA_C_FILENAME", place.alias("_place")), "to-send")
+    files = files.select("DATA_C_FILENAME", place.alias("_place"))
+    files = keep(files.withColumn(_WAVE, F.floor(F.col("_place") / wave)), "to-send")
     waves = -(-files.count() // wave)
+    if not waves:
+        return outcomes(spark, ledger)
     before = read_intents(spark, ledger).agg(F.max("wave")).first()[0]
-    for number in range(waves):
-        now = files.where(F.floor(F.col("_place") / wave) == number)
-        told = now.select(
-            F.col("DATA_C_FILENAME").alias("filename"),
-            F.lit((0 if before is None else before + 1) + number).cast("long").alias("wave"),
-        )
-        told.coalesce(1).write.mode("append").parquet(f"{ledger}/intents")
-        # The place in the wave deals each file to a task of its own.
-        rows = listed.join(broadcast_if_small(now), "DATA_C_FILENAME").withColumn("batch_no", F.col("_place"))
-        once = _first_attempt_only(transport)
-        sent = dispatch.dispatch_batches(rows, once, tokens, wave, wait=wait, **options)
-        lost = F.col("status_code") == str(_NOT_SENT)
-        sent = sent.withColumn("status", F.when(lost, UNRESOLVED).otherwise(F.col("status")))
-        sent.write.mode("append").options(**_AT_TASK_COMMIT).parquet(f"{ledger}/answers")
+    first = 0 if before is None else before + 1
+    # The place in the wave deals each file to a task of its own.
+    rows = listed.join(broadcast_if_small(files), "DATA_C_FILENAME").withColumn("batch_no", F.col("_place"))
+    parts = build_payloads(rows, part_rows, ["batch_no", _WAVE])
+    parts = keep(parts.hint("rebalance", F.col(_WAVE)), "payloads", by=[_WAVE])
+    once = _first_attempt_only(transport)
+    lost = F.col("status_code") == str(_NOT_SENT)
+    try:
+        _plan_intents(files, ledger, first)
+        for number in range(waves):
+            _declare(spark, ledger, number)
+            own = read_kept(parts, {_WAVE: number})
+            dealt = own.coalesce(1) if wave == 1 else dispatch.deal_payloads(own, wave)
+            sent = dispatch.send_payloads(dealt, once, tokens, max_attempts, wait)
+            sent = sent.withColumn("status", F.when(lost, UNRESOLVED).otherwise(F.col("status")))
+            sent.write.mode("append").options(**_AT_TASK_COMMIT).parquet(f"{ledger}/answers")
+    finally:
+        drop(spark, _planned(ledger))
     return outcomes(spark, ledger)
 
 

@@ -6,7 +6,7 @@ import contextlib
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -60,8 +60,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 _SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from that table.
+def keep(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders ``by`` columns, and go on from that table.
 
     The result is a plain scan: it prunes columns, its row order no longer changes, and it
     survives the loss of any executor without recomputing what came before.
@@ -70,12 +70,18 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     held = _SCRATCH.get()
     if held is not None:
         held.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(by) or None)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._kept_at = path
     return table
 
 
+def read_kept(table: DataFrame, part: Mapping[str, object]) -> DataFrame:
+    """The rows in one folder of a table that was kept ``by`` columns; no other folder is listed."""
+    folder = "/".join([table._kept_at, *(f"{name}={value}" for name, value in part.items())])
+    return table.sparkSession.read.schema(table.drop(*part).schema).parquet(folder)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Drop in the end what ``keep`` writes inside; nothing may be read from it after that."""
