@@ -161,37 +161,41 @@ def _describe(texts: DataFrame) -> DataFrame:
     )
 
 
+def _add_sheets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Levels of each sheet from its parts, which come one behind the other; one sheet is held."""
+    current = None
+    counts = np.zeros(1 << _SHEET_BITS, np.int64)
+
+    def finished() -> pa.RecordBatch:
+        levels = np.ceil(np.log2(counts + 1)).astype(np.uint8)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([current], pa.int32()), pa.array([levels.tobytes()], pa.binary())],
+            ["sheet", "levels"],
+        )
+
+    for batch in batches:
+        columns = (batch[name] for name in ("sheet", "cells", "times"))
+        for sheet, cells, times in zip(*columns, strict=True):
+            if sheet.as_py() != current:
+                if current is not None:
+                    yield finished()
+                current = sheet.as_py()
+                counts[:] = 0
+            at = np.frombuffer(cells.as_buffer(), "<u4") & np.uint32((1 << _SHEET_BITS) - 1)
+            counts[at] += np.frombuffer(times.as_buffer(), "<u4")
+    if current is not None:
+        yield finished()
+
+
 def _levels(described: DataFrame) -> np.ndarray:
     """How often the shingles of each cell occur, in powers of two; 0 if hardly ever.
 
     The counts of all parts are added up sheet by sheet; the result is a table of fixed size.
     """
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sheets: dict[int, np.ndarray] = {}
-            columns = (batch[name].to_pylist() for name in ("sheet", "cells", "times"))
-            for sheet, cells, times in zip(*columns, strict=True):
-                counts = sheets.setdefault(sheet, np.zeros(1 << _SHEET_BITS, np.int64))
-                at = np.frombuffer(cells, "<u4").astype(np.int64) & ((1 << _SHEET_BITS) - 1)
-                counts[at] += np.frombuffer(times, "<u4")
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "sheet": pa.array(list(sheets), pa.int32()),
-                    "counts": pa.array([x.astype("<i8").tobytes() for x in sheets.values()]),
-                }
-            )
-
-    def finish(key: tuple, table: pa.Table) -> pa.Table:
-        counts = sum(np.frombuffer(x, "<i8") for x in table["counts"].to_pylist())
-        levels = np.ceil(np.log2(counts + 1)).astype(np.uint8)
-        return pa.table({"sheet": pa.array([key[0].as_py()], pa.int32()), "levels": [levels.tobytes()]})
-
     parts = described.where("sheet is not null").select("sheet", "cells", "times")
-    added = parts.repartition("sheet").mapInArrow(add, "sheet int, counts binary")
-    done = added.groupBy("sheet").applyInArrow(finish, "sheet int, levels binary")
+    dealt = parts.repartition("sheet").sortWithinPartitions("sheet")
     levels = np.zeros(1 << _CELL_BITS, np.uint8)
-    for row in done.toLocalIterator():
+    for row in dealt.mapInArrow(_add_sheets, "sheet int, levels binary").toLocalIterator():
         start = row["sheet"] << _SHEET_BITS
         levels[start : start + (1 << _SHEET_BITS)] = np.frombuffer(row["levels"], np.uint8)
     return levels

@@ -31,6 +31,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sendgate.llm.common import fresh
@@ -42,6 +43,17 @@ Path = tuple[str, ...]
 LEAST_BUCKETS = 64
 ROWS_PER_BUCKET = 100_000
 
+# A row per leaf and epoch: tokens to give in it and in all, and the leaf's buckets.
+_PLAN = pa.schema(
+    [
+        ("leaf", pa.list_(pa.string())),
+        ("epoch", pa.int32()),
+        ("prefix", pa.int64()),
+        ("leaf_budget", pa.int64()),
+        ("buckets", pa.int64()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Mix:
@@ -182,8 +194,9 @@ def mix_sources(
         plan += [(list(path), epoch, have, wanted, buckets) for epoch in range(whole)]
         if rest:
             plan.append((list(path), whole, rest, wanted, buckets))
+    # From an Arrow table, no executor starts Python for it.
     wishes = df.sparkSession.createDataFrame(
-        plan, "leaf array<string>, epoch int, prefix long, leaf_budget long, buckets long"
+        pa.Table.from_pylist([dict(zip(_PLAN.names, line, strict=True)) for line in plan], _PLAN)
     )
     drawn = (
         small.join(broadcast_if_small(keep(wishes, "wishes")), "leaf")

@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 import string
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +11,7 @@ import pytest
 from sendgate.llm import shingles
 from sendgate.llm.jaccard_join import (
     Join,
+    _add_sheets,
     choose_boundary,
     drop_near_duplicates,
     link_documents,
@@ -183,3 +185,30 @@ def test_every_link_is_counted(spark, join):
     assert all(r._a < r._b for r in pairs)
     assert len(pairs) == len(different)
     assert {frozenset((sets[r.a], sets[r.b])) for r in pairs} == different
+
+
+def test_one_sheet_of_the_sketch_is_held_at_a_time():
+    draw = np.random.default_rng(3)
+    parts, expected = [], {sheet: np.zeros(1 << 16, int) for sheet in range(256)}
+    for sheet in range(256):
+        for _ in range(2):
+            low = np.unique(draw.integers(0, 1 << 16, 50))
+            times = draw.integers(2, 1000, len(low))
+            expected[sheet][low] += times
+            cells = (low + (sheet << 16)).astype("<u4").tobytes()
+            parts.append({"sheet": sheet, "cells": cells, "times": times.astype("<u4").tobytes()})
+    table = pa.Table.from_pylist(
+        parts, pa.schema([("sheet", pa.int32()), ("cells", pa.binary()), ("times", pa.binary())])
+    )
+    found, sizes = {}, []
+    tracemalloc.start()
+    for batch in _add_sheets(iter(table.to_batches(max_chunksize=301))):
+        sizes.append(batch.num_rows)
+        found[batch["sheet"][0].as_py()] = bytes(batch["levels"][0].as_py())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [1] * 256 and list(_add_sheets(iter([]))) == []
+    for sheet, counts in expected.items():
+        assert found[sheet] == np.ceil(np.log2(counts + 1)).astype(np.uint8).tobytes()
+    # 16 MB of levels, and some counts; those of all sheets would be 128 MB.
+    assert peak < 32 << 20

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sendgate.llm.mixing import Mix, _draw, budgets, mix_sources
 from sendgate.llm.queries import QUERIES, source_mix, source_tree, text_tokens
+from sendgate.session import keep
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -88,6 +89,17 @@ def brute(rows, mix):
     return chosen
 
 
+def test_no_python_worker_for_the_plan(spark, monkeypatch):
+    df = keep(spark.createDataFrame([("a", "some text")] * 20, "lang string, text string"), "docs")
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("rows of Python objects are read by Python workers, which then stay")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    found = mix_sources(df, [F.col("lang")], F.length("text"), Mix(share=0.5))
+    assert found.count() == 10
+
+
 @pytest.mark.parametrize("rows_per_bucket", [100_000, 3])
 def test_against_brute_force(spark, rows_per_bucket):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
