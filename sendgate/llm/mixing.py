@@ -4,7 +4,8 @@ Leaves are paths in a tree of domain, language and source. Target weights propag
 root: a node's budget is divided among its children by their weights. A leaf can give at most
 its tokens times the number of epochs allowed. What a child cannot take goes to its siblings
 first, in proportion to their weights, and only what they cannot take either goes up to the
-parent's siblings. Integer budgets are made by largest remainders, so they add up exactly.
+parent's siblings. What rounding down leaves goes to whoever stays furthest behind its weight with
+one more token, so integer budgets add up exactly, and none is a token short beside a sibling.
 
 A leaf that has to give more than all of its tokens gives whole epochs and a prefix of one more.
 In each epoch its documents come in an order drawn by seed, epoch and content; the prefix holds
@@ -27,6 +28,7 @@ Defined results:
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from fractions import Fraction
@@ -82,12 +84,17 @@ def _shared(budget: int, wants: Sequence[tuple[Path, Fraction, int]]) -> dict[Pa
                 given[path] = open_.pop(path)[1]
                 left -= given[path]
             continue
-        exact = {p: left * weight / total for p, (weight, _) in open_.items()}
-        for path, value in exact.items():
-            given[path] = int(value)
-        rest = left - sum(int(value) for value in exact.values())
-        for path in sorted(exact, key=lambda p: (int(exact[p]) - exact[p], p))[:rest]:
+        for path, (weight, _) in open_.items():
+            given[path] = int(left * weight / total)
+        # What rounding leaves goes, token by token, to the one that stays furthest behind with it.
+        behind = [((given[path] + 1) / weight, path) for path, (weight, _) in open_.items()]
+        heapq.heapify(behind)
+        for _ in range(left - sum(given[path] for path in open_)):
+            path = heapq.heappop(behind)[1]
             given[path] += 1
+            weight, most = open_[path]
+            if given[path] < most:
+                heapq.heappush(behind, ((given[path] + 1) / weight, path))
         break
     return given
 

@@ -39,6 +39,13 @@ def test_epochs_zero_weights_and_errors():
             budgets(tokens, Mix(weights={("a",): bad}))
 
 
+def test_rounding_leaves_nobody_short():
+    # 19.2, 6.4 and 6.4 of 32: with 7, a weight of 1 would have more than a third of 20.
+    tokens = {("a", "a"): 175, ("a", "b"): 38, ("a", "c"): 107}
+    mix = Mix(weights={("a", "a"): 3}, share=0.1)
+    assert budgets(tokens, mix) == {("a", "a"): 20, ("a", "b"): 6, ("a", "c"): 6}
+
+
 paths = st.tuples(*[st.sampled_from("abc")] * 3)
 
 
