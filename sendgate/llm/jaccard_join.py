@@ -10,8 +10,11 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|`` for their sets of 5-wo
    ``n - ceil(0.75 n) + c`` shingles of both.
 3. Small (light) sets go by c = 2: every subset of two of these first shingles is a key. Of
    large (heavy) sets every single one is a key, and its inverted list holds the sets that have
-   it; c is ``SHARED_KEYS`` where the sizes allow, and a set that shares fewer of its keys than
-   that with all others together has no candidates. The boundary x between small and large is where the costs of both, summed over
+   it; c is a sixth of the least overlap, and ``SHARED_KEYS`` at least, where the sizes allow. A set
+   that shares fewer of its keys than that with all others together has no candidates and is left
+   out, and then lists are shorter, so this goes on while many sets go. As c grows with the set,
+   passages that long texts share by chance with many others do not make them candidates. The
+   boundary x between small and large is where the costs of both, summed over
    the sizes of all sets, are least. Sets up to 4x/3 have subset keys and those above x single
    ones, so that any two sets that can link meet under a key of one kind.
 4. The sets of a key are candidates. Keys with the same least document (hub) are one cluster. In
@@ -19,7 +22,10 @@ Two documents link when ``100 * |A & B| >= 75 * |A | B|`` for their sets of 5-wo
    the members of large groups of near copies in one pass. In a second round only keys whose
    sets are of several components count; the members of a cluster that are not connected yet
    are compared with each other, by scanning inverted lists inside tasks. Clusters of any size
-   are cut into chunks.
+   are cut into chunks. A set stays out of the clusters with which it shares the fewest keys, as
+   long as these are fewer than half of those that it shares with any set that it links with: so
+   two that link still meet. Sets go to their chunks in passes, so that their copies in shuffle
+   files at a time take no more disk than the sets themselves.
 
 So no component is lost, and no group's pairs are written out. Where links are asked for, with their
 number per document or pair by pair, one round takes the place of these two: all members of a
@@ -40,13 +46,14 @@ Defined results:
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sendgate.llm import shingles as S
 from sendgate.llm.common import fresh, return_memory
@@ -55,10 +62,12 @@ from sendgate.session import broadcast_if_small, keep, release
 
 _CELL_BITS = 24
 _SHEET_BITS = 16  # cells of the sketch in one row
-SHARED_KEYS = 16  # the c of large sets
+SHARED_KEYS = 16  # the c of large sets, at least
+SHARED_PART = 6  # and this part of their least overlap
 _LARGE = 2 << 20  # bytes of a group
 CANDIDATE_COST = 100  # what another set on a list costs, in keys written
 _COUNTED = 1 << 22  # shingles that are counted exactly at a time
+_FEW = 0.1  # of the sets; where no more than these go, lists are not looked through again
 # Numbers of rows and keys, 16 bytes each, are broadcast up to this many.
 BROADCAST_NUMBERS = 1_000_000
 
@@ -68,6 +77,7 @@ class Join:
     percent: int = 75
     boundary: int | None = None  # largest small set; None: by cost
     chunk: int = 1 << 19  # shingles of a cluster in one task, besides single larger sets
+    sent: int = 1 << 27  # shingles that go to tasks in one pass; or as many as all sets have
 
 
 def _least_shared(n: np.ndarray | int, percent: int):
@@ -75,17 +85,24 @@ def _least_shared(n: np.ndarray | int, percent: int):
     return -(-n * percent // 100)
 
 
-def _singles(n: np.ndarray, percent: int) -> np.ndarray:
-    """How many single keys a large set shares at least with any large set it links with."""
-    return np.where(_least_shared(n, percent) >= SHARED_KEYS, SHARED_KEYS, 1)
+def _singles(n: np.ndarray | int, percent: int):
+    """How many single keys a large set shares at least with any large set of its size or above."""
+    least = _least_shared(n, percent)
+    return np.where(least >= SHARED_KEYS, np.maximum(SHARED_KEYS, least // SHARED_PART), 1)
 
 
-def surely_shared(percent: int) -> int:
-    """The least size of which all sets that can link share ``SHARED_KEYS`` single keys."""
-    size = 1
-    while _least_shared(_least_shared(size, percent), percent) < SHARED_KEYS:
-        size += 1
-    return size
+def keys_needed(n: Column, percent: int) -> Column:
+    """How many single keys a large set of n shares at least with any large set it links with.
+
+    The other one may be as small as the overlap, and then has fewer keys.
+    """
+
+    def least(n: Column) -> Column:
+        return F.floor((n * percent + 99) / 100)
+
+    own = least(least(n))
+    part = F.greatest(F.lit(SHARED_KEYS).cast("long"), F.floor(own / SHARED_PART))
+    return F.when(own >= SHARED_KEYS, part).otherwise(F.lit(1).cast("long"))
 
 
 # The first pass: sizes, classes and the sketch ----------------------------------------
@@ -464,31 +481,59 @@ def _candidate_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Needs:
-    """Which sets share at least ``SHARED_KEYS`` keys with any set that they link with."""
+    """How many keys a set shares at least with any set that it links with."""
 
     boundary: int
     percent: int
 
+    def least(self) -> Column:
+        # Sets that may link with small ones share subset keys with these, one at least.
+        large = F.col("n") * self.percent > self.boundary * 100
+        return F.when(large, keys_needed(F.col("n"), self.percent)).otherwise(F.lit(1).cast("long"))
+
+    def marked(self, listed: DataFrame, sizes: DataFrame) -> DataFrame:
+        """The rows of ``listed``, and whether they have as many keys there as a link takes."""
+        counted = listed.groupBy("row").agg(F.count("*").alias("shared")).join(sizes, "row")
+        return counted.select("row", (F.col("shared") >= self.least()).alias("enough"))
+
     def enough(self, listed: DataFrame, sizes: DataFrame) -> DataFrame:
         """The rows that have as many keys in ``listed`` as a link takes."""
-        large = (F.col("n") * self.percent > self.boundary * 100) & (
-            F.col("n") >= surely_shared(self.percent)
+        return self.marked(listed, sizes).where("enough").select("row")
+
+    def without_least(self, shared: DataFrame, sizes: DataFrame) -> DataFrame:
+        """``shared`` (hub, row, shared) with n, less the hubs a row need not meet others at.
+
+        Of the keys that two linking rows share, each of them gives up fewer than half, so a hub is
+        left at which both are.
+        """
+        given_up = F.sum("shared").over(
+            Window.partitionBy("row").orderBy("shared", "hub").rowsBetween(Window.unboundedPreceding, 0)
         )
-        counted = listed.groupBy("row").agg(F.count("*").alias("shared")).join(sizes, "row")
-        return counted.where(~large | (F.col("shared") >= SHARED_KEYS)).select("row")
+        sized = shared.join(sizes, "row").withColumn("given_up", given_up)
+        return sized.where(F.col("given_up") * 2 >= self.least()).drop("given_up")
+
+
+def _on_lists(keys: DataFrame) -> DataFrame:
+    """Keys and rows on lists of two or more."""
+    many = F.count("*").over(Window.partitionBy("key"))
+    return keep(keys.withColumn("many", many).where("many > 1").drop("many"), "listed")
 
 
 def _listed(keys: DataFrame, sizes: DataFrame, needs: _Needs) -> DataFrame:
     """Keys and rows on lists of two or more, of rows that have enough of them."""
     # Most keys are on one set only: one shuffle tells, where a join would take a second one. They
     # go into it as they are made; written first, they would take as much disk again.
-    many = F.count("*").over(Window.partitionBy("key"))
-    listed = keep(keys.withColumn("many", many).where("many > 1").drop("many"), "listed")
-    enough = keep(needs.enough(listed, sizes), "enough")
-    whole = keep(listed.join(_numbers(enough), "row", "left_semi"), "listed")
-    release(listed)
-    release(enough)
-    return whole
+    listed = _on_lists(keys)
+    while True:
+        marked = keep(needs.marked(listed, sizes), "marked")
+        rows, gone = marked.agg(F.count("*"), F.count_if(~F.col("enough"))).first()
+        enough = marked.where("enough").select("row")
+        whole = _on_lists(listed.join(_numbers(enough), "row", "left_semi"))
+        release(listed)
+        release(marked)
+        listed = whole
+        if gone <= _FEW * rows:
+            return listed
 
 
 def _shared_with_hubs(listed: DataFrame) -> DataFrame:
@@ -545,8 +590,7 @@ def _second_clusters(
     left = keep(left.join(enough, "row", "left_semi"), "listed")
     by_size = Window.partitionBy("hub").orderBy("n", "row")
     members = (
-        _shared_with_hubs(left)
-        .join(sizes, "row")
+        needs.without_least(_shared_with_hubs(left), sizes)
         .withColumns({"below": F.lag("n").over(by_size), "above": F.lead("n").over(by_size)})
         .where(
             (F.col("n") * needs.percent <= F.col("below") * 100)
@@ -575,20 +619,34 @@ def _of_near_size(members: DataFrame, percent: int) -> DataFrame:
     return members.join(_numbers(keep(near, "near")), ["hub", "n"], "left_semi")
 
 
-def _all_links(
-    listed: DataFrame,
-    sets: DataFrame,
-    sizes: DataFrame,
-    weights: DataFrame,
-    join: Join,
-    every_pair: bool,
+def _in_passes(
+    dealt: DataFrame, group: list[str], one_pass: Callable[[DataFrame], DataFrame], join: Join
 ) -> DataFrame:
+    """What ``one_pass`` gives for all groups of ``dealt``; its rows have the sizes of their sets.
+
+    Sets that go to many groups go there in passes of some groups each, none of which takes much
+    more shingles than there are in all sets, or than ``join.sent``.
+    """
+    dealt = keep(dealt, "dealt")
+    rows = dealt.groupBy("row").agg(F.first("n").alias("n"), F.count("*").alias("times"))
+    once, sent = rows.agg(F.sum("n"), F.sum(F.col("n") * F.col("times"))).first()
+    passes = max(1, math.ceil((sent or 0) / max(join.sent, once or 0)))
+    place = F.pmod(F.xxhash64(*group), F.lit(passes))
+    done = []
+    for number in range(passes):
+        own = dealt if passes == 1 else keep(dealt.where(place == number), "dealt")
+        done.append(keep(one_pass(own), "links"))
+    return reduce(DataFrame.unionAll, done)
+
+
+def _all_links(found: _Found, weights: DataFrame, join: Join, every_pair: bool) -> DataFrame:
     """Every link: (row, links) to be added up per row, and linked pairs (row, other).
 
     ``weights`` has the number of documents of each set that several have. Without
     ``every_pair``, the pairs are only enough to connect what links.
     """
-    members = _shared_with_hubs(listed).join(sizes, "row").select("hub", "row", "n")
+    members = found.needs.without_least(_shared_with_hubs(found.listed), found.sizes)
+    members = members.select("hub", "row", "n")
     clusters = keep(_of_near_size(keep(members, "members"), join.percent), "clusters")
     traits = (
         clusters.groupBy("row")
@@ -602,21 +660,26 @@ def _all_links(
         "chunk", F.pmod(F.xxhash64("row"), "pieces")
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("other")
-    dealt = placed.select("hub", "row", "chunk", other).select(
+    dealt = placed.select("hub", "row", "n", "chunk", other).select(
         "hub",
         "row",
+        "n",
         "chunk",
         F.least("chunk", "other").alias("low"),
         F.greatest("chunk", "other").alias("high"),
     )
-    return keep(
-        sets.join(_numbers(traits), "row")
-        .join(_numbers(keep(dealt, "dealt")), "row")
-        .select("hub", "low", "high", "row", "chunk", "weight", "hubs", "hashes")
-        .groupBy("hub", "low", "high")
-        .applyInArrow(_compare_all(join.percent, every_pair), "row long, links long, other long"),
-        "links",
-    )
+    compare = _compare_all(join.percent, every_pair)
+
+    def one_pass(dealt: DataFrame) -> DataFrame:
+        return (
+            found.sets.join(_numbers(traits), "row")
+            .join(_numbers(dealt), "row")
+            .select("hub", "low", "high", "row", "chunk", "weight", "hubs", "hashes")
+            .groupBy("hub", "low", "high")
+            .applyInArrow(compare, "row long, links long, other long")
+        )
+
+    return _in_passes(dealt, ["hub", "low", "high"], one_pass, join)
 
 
 def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -626,6 +689,7 @@ def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     dealt = clusters.select(
         "hub",
         "row",
+        "n",
         F.explode(
             F.when(member, F.array(F.pmod(F.xxhash64("row"), pieces))).otherwise(
                 F.sequence(F.lit(0).cast("long"), pieces - 1)
@@ -633,12 +697,17 @@ def _first_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         ).alias("chunk"),
     )
     # The numbers go to the sets, which then are shuffled once, to their groups.
-    return (
-        sets.join(_numbers(keep(dealt, "dealt")), "row")
-        .select("hub", "chunk", "row", "hashes")
-        .groupBy("hub", "chunk")
-        .applyInArrow(_compare_with_hub(join.percent), "a long, b long")
-    )
+    compare = _compare_with_hub(join.percent)
+
+    def one_pass(dealt: DataFrame) -> DataFrame:
+        return (
+            sets.join(_numbers(dealt), "row")
+            .select("hub", "chunk", "row", "hashes")
+            .groupBy("hub", "chunk")
+            .applyInArrow(compare, "a long, b long")
+        )
+
+    return _in_passes(dealt, ["hub", "chunk"], one_pass, join)
 
 
 def _second_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -677,14 +746,19 @@ def _second_round(clusters: DataFrame, sets: DataFrame, join: Join) -> DataFrame
         ),
         lambda pair: pair.low < F.col("first"),
     )
-    dealt = placed.select("hub", "row", "root", "chunk", F.explode(pairs).alias("pair"))
-    dealt = dealt.select("hub", "pair.low", "pair.high", "row", "root", "chunk")
-    return (
-        sets.join(_numbers(keep(dealt, "dealt")), "row")
-        .select("hub", "low", "high", "row", "root", "chunk", "hashes")
-        .groupBy("hub", "low", "high")
-        .applyInArrow(_compare_chunks(join.percent), "a long, b long")
-    )
+    dealt = placed.select("hub", "row", "n", "root", "chunk", F.explode(pairs).alias("pair"))
+    dealt = dealt.select("hub", "pair.low", "pair.high", "row", "n", "root", "chunk")
+    compare = _compare_chunks(join.percent)
+
+    def one_pass(dealt: DataFrame) -> DataFrame:
+        return (
+            sets.join(_numbers(dealt), "row")
+            .select("hub", "low", "high", "row", "root", "chunk", "hashes")
+            .groupBy("hub", "low", "high")
+            .applyInArrow(compare, "a long, b long")
+        )
+
+    return _in_passes(dealt, ["hub", "low", "high"], one_pass, join)
 
 
 @dataclass(frozen=True)
@@ -751,11 +825,11 @@ def _prepare(docs: DataFrame, id: str, text: str, join: Join) -> _Found:
 def _connected(found: _Found, join: Join) -> DataFrame:
     """The least node that each linked row reaches, by as few links as it takes."""
     clusters = _first_clusters(found.listed, found.sizes, join.percent)
-    first = keep(_first_round(clusters, found.sets, join), "links")
+    first = _first_round(clusters, found.sets, join)
     release(clusters)
     reached = keep(components(first), "components")
     clusters = _second_clusters(found.listed, reached, found.sizes, found.needs)
-    second = keep(_second_round(clusters, found.sets, join), "links")
+    second = _second_round(clusters, found.sets, join)
     release(clusters)
     release(found.listed)
     release(found.sets)
@@ -786,7 +860,7 @@ def link_documents(
     known = found.known
     if links:
         weights = keep(found.weights(), "weights")
-        linked = _all_links(found.listed, found.sets, found.sizes, weights, join, False)
+        linked = _all_links(found, weights, join, False)
         release(found.listed)
         release(found.sets)
         reached = keep(components(_pairs(linked)), "components")
@@ -839,7 +913,7 @@ def linked_pairs(
     join = join or Join()
     found = _prepare(docs, id, text, join)
     weights = keep(found.weights(), "weights")
-    linked = _all_links(found.listed, found.sets, found.sizes, weights, join, True)
+    linked = _all_links(found, weights, join, True)
     pairs = _pairs(linked).select(F.col("a").alias("_a"), F.col("b").alias("_b"))
     for side in "ab":
         named = found.known.select(F.col("row").alias(f"_{side}"), F.col("id").alias(side))

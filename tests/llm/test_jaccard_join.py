@@ -7,13 +7,16 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from sendgate.llm import shingles
+from sendgate.llm import jaccard_join, shingles
 from sendgate.llm.jaccard_join import (
     Join,
     _add_sheets,
+    _singles,
     choose_boundary,
     drop_near_duplicates,
+    keys_needed,
     link_documents,
     linked_pairs,
 )
@@ -187,6 +190,91 @@ def test_every_link_is_counted(spark, join):
     assert {frozenset((sets[r.a], sets[r.b])) for r in pairs} == different
 
 
+def chance_corpus():
+    """Long texts of many passages, each of which is also in some other one; and three near copies."""
+    draw = random.Random(6)
+    passages = [[f"p{p}w{i}" for i in range(8)] for p in range(400)]
+    rows = []
+    for i in range(40):
+        own = [[f"d{i}w{j}" for j in range(20 * part, 20 * part + 20)] for part in range(60)]
+        for place in range(0, 60, 2):
+            own[place] = own[place] + draw.choice(passages)
+        rows.append((i, [w for part in own for w in part]))
+    for i in range(40, 43):
+        copy = list(rows[i - 40][1])
+        copy[100] = f"x{i}"
+        rows.append((i, copy))
+    return [(i, " ".join(words)) for i, words in rows]
+
+
+@pytest.mark.parametrize("links", [False, True])
+def test_chance_passages_make_no_candidates(spark, monkeypatch, links):
+    """Only the sets of texts that share many keys are written and sent to tasks."""
+    rows = chance_corpus()
+    df = keep(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "docs")
+    written = []
+
+    def kept(table, label, by=()):
+        table = keep(table, label, by)
+        written.append((label, table))
+        return table
+
+    monkeypatch.setattr(jaccard_join, "keep", kept)
+    monkeypatch.setattr(jaccard_join, "release", lambda table: None)
+    # As where the sketch has not counted what is shared: any order is right.
+    monkeypatch.setattr(jaccard_join, "_levels", lambda described: np.zeros(1 << 24, np.uint8))
+    found = link_documents(df, links=links, join=Join(boundary=0)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+    sets = next(table for label, table in written if label == "sets")
+    assert sets.count() == 6
+    sent = [table.count() for label, table in written if label == "dealt"]
+    assert sum(sent) <= 12
+
+
+@pytest.mark.parametrize("links", [False, True])
+def test_sets_are_sent_in_passes(spark, monkeypatch, links):
+    """Chunks that take many copies of the sets are sent a part at a time, and nothing is lost."""
+    draw = random.Random(7)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for _ in range(draw.choice([1, 2, 3, 5])):
+            text[draw.randrange(80)] = f"x{draw.random()}"
+        rows.append((i, " ".join(text)))
+    sent = []
+
+    def kept(table, label, by=()):
+        table = keep(table, label, by)
+        if label == "dealt":
+            sent.append(table.agg({"n": "sum"}).first()[0])
+        return table
+
+    monkeypatch.setattr(jaccard_join, "keep", kept)
+    df = keep(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "docs")
+    found = link_documents(df, links=links, join=Join(boundary=0, chunk=800, sent=1)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+    if links:
+        whole, *passes = sent
+        assert len(passes) > 5 and sum(passes) == whole
+        expected = dict.fromkeys(range(120), 0)
+        for pair in brute_links(rows):
+            for place in pair:
+                expected[place] += 1
+        assert {r.doc_id: r.n_links for r in found} == expected
+
+
+def test_keys_needed_are_shared_at_least(spark):
+    """Any two sizes that can link share as many keys as the larger and the smaller one need."""
+    for percent in (60, 75, 90):
+        found = spark.range(1, 700).select("id", keys_needed(F.col("id"), percent)).collect()
+        needed = dict(tuple(r) for r in found)
+        for n in range(1, 700):
+            for m in range(-(-n * percent // 100), n + 1):
+                shared = min(int(_singles(n, percent)), int(_singles(m, percent)))
+                assert max(needed[n], needed[m]) <= shared <= -(-n * percent // 100)
+
+
 def test_one_sheet_of_the_sketch_is_held_at_a_time():
     draw = np.random.default_rng(3)
     parts, expected = [], {sheet: np.zeros(1 << 16, int) for sheet in range(256)}
