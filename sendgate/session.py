@@ -57,6 +57,24 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/sendgate-{owner}/{label}-{uuid.uuid4().hex}"
 
 
+# Makes a job's shuffle files go as it ends; else they stay until the driver collects its garbage.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _without_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Keep no shuffle files of the jobs that are planned inside."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 _SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
@@ -70,7 +88,8 @@ def keep(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     held = _SCRATCH.get()
     if held is not None:
         held.append(path)
-    df.write.parquet(path, partitionBy=list(by) or None)
+    with _without_shuffles(df.sparkSession):
+        df.write.parquet(path, partitionBy=list(by) or None)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._kept_at = path
     return table

@@ -1,3 +1,4 @@
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -70,3 +71,25 @@ def test_plans_set_what_they_rely_on(spark):
     session.settle(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = blocks.getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_as_a_table_is_kept(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(key, None), shuffle_files(spark)
+    held = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    kept = session.keep(held, "kept")
+    deadline = time.time() + 10
+    while shuffle_files(spark) - files and time.time() < deadline:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - files
+    assert spark.conf.get(key, None) == before
+    assert sorted(map(tuple, kept.collect())) == [(k, 143 if k < 6 else 142) for k in range(7)]
+    # Other jobs of the session keep theirs.
+    assert held.count() == held.count() == 7
