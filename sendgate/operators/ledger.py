@@ -2,7 +2,8 @@
 
 Files are sent in waves. Before a wave, an intent row per file is put in place; in it, each file is
 a task of its own, whose answer becomes readable when that task commits, whether or not the job ever
-ends. So whatever is lost (a task, an executor, the driver), the ledger tells the files apart:
+ends. A wave of one file is a job of one task, and its answer becomes readable, through the driver, as
+that job ends, before the next file's intent. So whatever is lost (a task, an executor, the driver), the ledger tells the files apart:
 
 * with an answer: acknowledged, left out of every later attempt by an anti join;
 * with an intent and no answer: in flight when something was lost. The receiver may have it or not,
@@ -12,6 +13,7 @@ ends. So whatever is lost (a task, an executor, the driver), the ledger tells th
 There may be as many waves as files, so a wave costs no more than its own files: the payloads and
 the intents of all waves are written once before the first, in a folder per wave, and a wave reads
 its own folder. Its planned intents become readable as their file is moved, which takes no job.
+Waves of one file are planned once for all: each is a job over one partition of the same plan.
 
 A task that Spark runs again, or twice by speculation, finds itself to be a further attempt and
 reports its file as unresolved instead of sending it.
@@ -19,12 +21,17 @@ reports its file as unresolved instead of sending it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark import TaskContext
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import RDD, TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
+from pyspark.util import _load_from_socket
 
 from sendgate import schemas as S
 from sendgate.operators import dispatch
@@ -93,22 +100,50 @@ def _plan_intents(files: DataFrame, ledger: str, first: int) -> None:
     told.coalesce(1).write.mode("overwrite").partitionBy(_WAVE).parquet(_planned(ledger))
 
 
-def _declare(spark: SparkSession, ledger: str, number: int) -> None:
-    """Make the planned intents of a wave readable."""
-    planned, intents = (
-        spark._jvm.org.apache.hadoop.fs.Path(p)
-        for p in (f"{_planned(ledger)}/{_WAVE}={number}", f"{ledger}/intents")
-    )
-    store = intents.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(intents)
-    parts = [status.getPath() for status in store.listStatus(planned)]
-    for part in parts:
-        # Parts have the same name in the folders of all waves.
-        name = f"wave-{number:06d}-{part.getName()}"
-        if not store.rename(part, spark._jvm.org.apache.hadoop.fs.Path(intents, name)):
-            raise OSError(f"{part} could not be moved to {intents}")
-    if not parts:
-        raise OSError(f"no planned intents in {planned}")
+class _Files:
+    """The driver's hands on the ledger's folders; what a wave needs of them is looked up once."""
+
+    def __init__(self, spark: SparkSession, ledger: str) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._ledger = ledger
+        self._intents, self._answers = (self._path(f"{ledger}/{name}") for name in ("intents", "answers"))
+        self._store = self._intents.getFileSystem(spark._jsc.hadoopConfiguration())
+        self._store.mkdirs(self._intents)
+
+    def declare(self, number: int) -> None:
+        """Make the planned intents of a wave readable."""
+        planned = self._path(f"{_planned(self._ledger)}/{_WAVE}={number}")
+        parts = [status.getPath() for status in self._store.listStatus(planned)]
+        for part in parts:
+            # Parts have the same name in the folders of all waves.
+            self._move(part, self._intents, f"wave-{number:06d}-{part.getName()}")
+        if not parts:
+            raise OSError(f"no planned intents in {planned}")
+
+    def record(self, answers: list[Row]) -> None:
+        """Make the attempts of one file readable."""
+        self._store.mkdirs(self._answers)
+        table = pa.Table.from_pylist([row.asDict() for row in answers], to_arrow_schema(S.ATTEMPTS))
+        held = pa.BufferOutputStream()
+        pq.write_table(table, held)
+        name = f"part-{uuid.uuid4().hex}.parquet"
+        # No reader looks at it by this name.
+        unfinished = self._path(self._answers, f"_{name}")
+        out = self._store.create(unfinished, False)
+        out.write(bytearray(held.getvalue()))
+        out.close()
+        self._move(unfinished, self._answers, name)
+
+    def _move(self, part, folder, name: str) -> None:
+        if not self._store.rename(part, self._path(folder, name)):
+            raise OSError(f"{part} could not be moved to {folder}")
+
+
+def _run_one(rows: RDD, number: int) -> list[Row]:
+    """The rows of one partition, as ``runJob`` gives them, which would start a second Python worker."""
+    context = rows.context
+    served = context._jvm.PythonRDD.runJob(context._jsc.sc(), rows._jrdd, [number])
+    return list(_load_from_socket(served, rows._jrdd_deserializer))
 
 
 def send_with_ledger(
@@ -157,18 +192,28 @@ def send_with_ledger(
     # The place in the wave deals each file to a task of its own.
     rows = listed.join(broadcast_if_small(files), "DATA_C_FILENAME").withColumn("batch_no", F.col("_place"))
     parts = build_payloads(rows, part_rows, ["batch_no", _WAVE])
-    parts = keep(parts.hint("rebalance", F.col(_WAVE)), "payloads", by=[_WAVE])
     once = _first_attempt_only(transport)
     lost = F.col("status_code") == str(_NOT_SENT)
+
+    def sending(dealt: DataFrame) -> DataFrame:
+        sent = dispatch.send_payloads(dealt, once, tokens, max_attempts, wait)
+        return sent.withColumn("status", F.when(lost, UNRESOLVED).otherwise(F.col("status")))
+
     try:
         _plan_intents(files, ledger, first)
-        for number in range(waves):
-            _declare(spark, ledger, number)
-            own = read_kept(parts, {_WAVE: number})
-            dealt = own.coalesce(1) if wave == 1 else dispatch.deal_payloads(own, wave)
-            sent = dispatch.send_payloads(dealt, once, tokens, max_attempts, wait)
-            sent = sent.withColumn("status", F.when(lost, UNRESOLVED).otherwise(F.col("status")))
-            sent.write.mode("append").options(**_AT_TASK_COMMIT).parquet(f"{ledger}/answers")
+        store = _Files(spark, ledger)
+        if wave == 1:
+            # A partition per file; nothing is sent but by a job over that partition.
+            answers = sending(dispatch.deal_payloads(keep(parts, "payloads"), waves)).rdd
+            for number in range(waves):
+                store.declare(number)
+                store.record(_run_one(answers, number))
+        else:
+            parts = keep(parts.hint("rebalance", F.col(_WAVE)), "payloads", by=[_WAVE])
+            for number in range(waves):
+                store.declare(number)
+                sent = sending(dispatch.deal_payloads(read_kept(parts, {_WAVE: number}), wave))
+                sent.write.mode("append").options(**_AT_TASK_COMMIT).parquet(f"{ledger}/answers")
     finally:
         drop(spark, _planned(ledger))
     return outcomes(spark, ledger)

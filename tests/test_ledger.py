@@ -114,6 +114,25 @@ def test_a_wave_is_one_job_on_its_own_files(spark, tmp_path, api_folder):
     assert jobs[8] - jobs[3] < 2 * 5  # one per wave; how the tables are read may take a further one
 
 
+def test_waves_of_one_file_are_planned_once(spark, tmp_path, api_folder, monkeypatch):
+    """And each answer is readable before the next file's intent."""
+    rows, ledger = listed(spark, tmp_path, files=6), tmp_path / "ledger"
+    planned = []
+    plain = dispatch.send_payloads
+    monkeypatch.setattr(dispatch, "send_payloads", lambda *a, **k: planned.append(a) or plain(*a, **k))
+
+    class Seen(Api):
+        def __call__(self, name, payload, token):
+            super().__call__(name, payload, token)
+            held = [len([*(ledger / kind).glob("[!._]*")]) for kind in ("intents", "answers")]
+            return 200, str(held)
+
+    sent = L.send_with_ledger(rows, str(ledger), Seen(api_folder), token, wave=1, wait=no_wait)
+    seen = {r["filename"]: r["api_response"] for r in sent.collect()}
+    assert seen == {f"/f{i}.csv": str([i + 1, i]) for i in range(6)}
+    assert len(planned) == 1 and calls(api_folder) == {f"/f{i}.csv": 1 for i in range(6)}
+
+
 @pytest.mark.parametrize("wave", [1, 3])
 def test_payloads_are_those_of_a_plain_dispatch(spark, tmp_path, wave):
     """Files of several codes and parts are sent in order, whatever the wave."""
