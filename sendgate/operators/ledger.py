@@ -168,7 +168,8 @@ def send_with_ledger(
 
     Whole stages that Spark runs again, because executors lost the parts of a payload before
     they were read, cannot be told from first ones by their tasks: there the file name stays the
-    receiver's key for repeats. A wave of one file has a single stage, so there this cannot be.
+    receiver's key for repeats. A wave of one file has a single task, which has read all its parts
+    before it sends, so there this cannot be.
     """
     spark = listed.sparkSession
     wave = wave or int(spark.conf.get("spark.sql.shuffle.partitions"))
